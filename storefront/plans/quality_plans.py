@@ -1 +1,96 @@
-"""Registered queries (filled in below)."""
+"""Registered queries for the data-quality checks (V1-V9)."""
+
+from __future__ import annotations
+
+from storefront.operators import quality
+from storefront.plans.catalog import XAVG, XSUM, register
+from storefront.plans.views import with_views
+from storefront.sources import testdata as td
+
+
+def _o(spark, d):
+    return td.orders(spark, d)
+
+
+def _p(spark, d):
+    return td.products(spark, d)
+
+
+def _c(spark, d):
+    return td.customers(spark, d)
+
+
+def _nulls_sql(view: str, table: str) -> str:
+    parts = []
+    for col in quality.REQUIRED[table]:
+        parts.append(
+            f"SELECT '{table}' AS table_name, '{col}' AS column_name, COUNT(*) AS rows, "
+            f"COUNT(*) FILTER (WHERE {col} IS NULL) AS nulls, "
+            f"CAST(COUNT(*) FILTER (WHERE {col} IS NULL) AS DOUBLE) / COUNT(*) * 100e0 AS null_pct, "
+            f"CAST(COUNT(*) FILTER (WHERE {col} IS NULL) AS DOUBLE) / COUNT(*) > 0.1 AS high_nulls FROM {view}")
+    return " UNION ALL ".join(parts)
+
+
+@register("dq_nulls", with_views(" UNION ALL ".join(
+    [_nulls_sql("orders_c", "orders"), _nulls_sql("products_c", "products"),
+     _nulls_sql("customers_c", "customers")])))
+def _dq_nulls(spark, d):
+    return (quality.dq_nulls(_o(spark, d), "orders")
+            .unionByName(quality.dq_nulls(_p(spark, d), "products"))
+            .unionByName(quality.dq_nulls(_c(spark, d), "customers")))
+
+
+register("dq_orders", with_views(
+    "SELECT COUNT(*) AS rows, MIN(order_date) AS first_order, MAX(order_date) AS last_order, "
+    "COUNT(*) FILTER (WHERE quantity < 1) AS quantity_below_1, "
+    "COUNT(*) FILTER (WHERE order_value < 0) AS negative_value, "
+    f"COALESCE({XSUM('order_value')}, 0e0) AS total_revenue FROM orders_c"))(
+    lambda spark, d: quality.dq_orders(_o(spark, d)))
+
+register("dq_products", with_views(
+    "SELECT COUNT(*) AS rows, MIN(base_price) AS min_price, MAX(base_price) AS max_price, "
+    "COUNT(*) FILTER (WHERE rating < 1 OR rating > 5) AS rating_out_of_range FROM products_c"))(
+    lambda spark, d: quality.dq_products(_p(spark, d)))
+
+register("dq_customers", with_views(
+    "SELECT COUNT(*) AS rows, MIN(lifetime_value) AS min_ltv, MAX(lifetime_value) AS max_ltv, "
+    f"{XAVG('lifetime_value')} AS avg_ltv FROM customers_c"))(
+    lambda spark, d: quality.dq_customers(_c(spark, d)))
+
+
+def _orphan_sql(left: str, right: str, key: str) -> str:
+    return (f"SELECT COUNT(*) AS orphans, CASE WHEN COUNT(*) <= 10 THEN "
+            f"COALESCE(string_agg(CAST({key} AS VARCHAR), ', ' ORDER BY CAST({key} AS VARCHAR)), '') END "
+            f"AS orphan_ids FROM (SELECT DISTINCT {key} FROM {left} l WHERE NOT EXISTS "
+            f"(SELECT 1 FROM {right} r WHERE r.{key} = l.{key})) t")
+
+
+register("dq_orphan_customers", with_views(_orphan_sql("orders_c", "customers_c", "customer_id")))(
+    lambda spark, d: quality.orphan_summary(_o(spark, d), _c(spark, d), "customer_id"))
+
+register("dq_orphan_products", with_views(_orphan_sql("orders_c", "products_c", "product_id")))(
+    lambda spark, d: quality.orphan_summary(_o(spark, d), _p(spark, d), "product_id"))
+
+
+def _report_sql() -> str:
+    rows = [f"SELECT '{t}' AS table_name, 'required_columns' AS \"check\", 'error' AS severity, TRUE AS ok, "
+            "'' AS detail" for t in ("orders", "products", "customers")]
+    nulls = ("SELECT table_name, 'nulls:' || column_name AS \"check\", 'warning' AS severity, NOT high_nulls AS ok, "
+             "CAST(nulls AS VARCHAR) || ' nulls (' || format('{:,.1f}', null_pct) || '%)' AS detail FROM ("
+             + " UNION ALL ".join([_nulls_sql("orders_c", "orders"), _nulls_sql("products_c", "products"),
+                                   _nulls_sql("customers_c", "customers")]) + ") n")
+    orph = []
+    for name, right, key in (("orphan_customers", "customers_c", "customer_id"),
+                             ("orphan_products", "products_c", "product_id")):
+        orph.append(f"SELECT 'orders' AS table_name, '{name}' AS \"check\", 'warning' AS severity, "
+                    f"orphans = 0 AS ok, COALESCE(orphan_ids, CAST(orphans AS VARCHAR)) AS detail FROM "
+                    f"({_orphan_sql('orders_c', right, key)}) t")
+    return " UNION ALL ".join(rows + [nulls] + orph)
+
+
+register("dq_report", with_views(_report_sql()))(
+    lambda spark, d: quality.dq_report(_o(spark, d), _p(spark, d), _c(spark, d)))
+
+register("dq_verdict", with_views(
+    f"SELECT COALESCE(bool_and(CASE WHEN severity = 'error' THEN ok END), TRUE) AS valid FROM ({_report_sql()}) r"))(
+    lambda spark, d: quality.dq_verdict(quality.dq_report(_o(spark, d), _p(spark, d), _c(spark, d))))

@@ -67,6 +67,7 @@ REVIEWS_C = """reviews_c AS (
          '₹' || format('{:,.4f}', (l.l_extendedprice / l.l_quantity) * (1e0 - l.l_discount)) AS discounted_price,
          '₹' || format('{:,.2f}', l.l_extendedprice / l.l_quantity) AS actual_price,
          CAST(2.5e0 + p.p_size / 20e0 AS VARCHAR) AS rating,
+         CAST(l.l_quantity AS BIGINT) AS rating_count,
          CAST(c.c_custkey AS VARCHAR) AS user_id, c.c_name AS user_name,
          concat_ws('-', l.l_orderkey, l.l_linenumber, l.l_partkey, l.l_suppkey) AS review_id,
          l.l_orderkey AS ro, l.l_linenumber AS rl, l.l_partkey AS rp, l.l_suppkey AS rs
