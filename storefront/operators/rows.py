@@ -30,7 +30,14 @@ def first_row(df: DataFrame, key: str, order: str, cols: Sequence[str]) -> DataF
 
 def dense_row_index(df: DataFrame, order_cols: Sequence[str], out: str = "row_index",
                     buckets: int | None = None, seed: int = 42) -> DataFrame:
-    """0-based dense row number in ``order_cols`` order, computed without one task.
+    """0-based dense row number in ``order_cols`` order (see ``prefix_sum``)."""
+    return prefix_sum(df, order_cols, None, out, buckets, seed)
+
+
+def prefix_sum(df: DataFrame, order_cols: Sequence[str], value_col: str | None, out: str,
+               buckets: int | None = None, seed: int = 42) -> DataFrame:
+    """Sum of ``value_col`` over the rows before each row in ``order_cols`` order
+    (``value_col`` None counts rows: a dense 0-based row number), without one task.
 
     1. split the key space into ranges: boundaries are taken from a bounded
        sample of the keys (about 100 keys per range), and a row's bucket is the
@@ -61,9 +68,10 @@ def dense_row_index(df: DataFrame, order_cols: Sequence[str], out: str = "row_in
     else:
         bucket = F.lit(0)
     keyed = df.withColumn("_pid", bucket)
-    numbered = keyed.withColumn(
-        "_rn", F.row_number().over(Window.partitionBy("_pid").orderBy(*leaves)) - 1)
-    counts = keyed.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
+    val = F.lit(1) if value_col is None else F.col(value_col)
+    inner = Window.partitionBy("_pid").orderBy(*leaves).rowsBetween(Window.unboundedPreceding, -1)
+    numbered = keyed.withColumn("_rn", F.coalesce(F.sum(val).over(inner), F.lit(0)))
+    counts = keyed.groupBy("_pid").agg(F.sum(val).alias("_n"))
     offsets = counts.select(
         "_pid", (F.sum("_n").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)))
         .alias("_off"))

@@ -1 +1,230 @@
-"""Registered queries (filled in below)."""
+"""Registered queries for splits, scaling, metrics and the models (M1-M13),
+the insight document (I6, I19, I20), the dashboard cards (D8) and the KPI
+document (K2-K4).
+
+Metrics are oracle-checked on deterministic scores computed from the data
+(``order_value`` vs list value, a recency score for churn), so the SQL and Spark
+sides compute the same thing; the fitted models (GBT, random forest) are
+checked on row counts only, since tree ensembles are not bit-equal across
+libraries.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from storefront.operators import churn, clean, insights, kpis, models, reports
+from storefront.operators.clean import np_round
+from storefront.plans.catalog import (_FEATURES, IAVG, NPROUND, REF, XSUM, _features, _kpis,
+                                      register)
+from storefront.plans.views import with_views
+from storefront.sources import testdata as td
+
+
+def HASH_SQL(key: str, seed: int = 42, buckets: int = 100) -> str:
+    return f"(('0x' || substr(md5(CAST({key} AS VARCHAR) || '#{seed}'), 1, 8))::BIGINT % {buckets})"
+
+
+def _o(spark, d):
+    return td.orders(spark, d)
+
+
+# Deterministic churn score used to check the selection logic against SQL.
+def _recency_score(df):
+    return df.withColumn("churn_probability", F.least(F.lit(1.0), F.col("recency") / F.lit(360.0)))
+
+
+SCORE_SQL = "LEAST(1e0, recency / 360e0)"
+
+# ------------------------------------------------------------------ splits ---
+register("split_train", with_views(
+    f"SELECT customer_id, churned, {HASH_SQL('customer_id')} < 20 AS is_test FROM features", _FEATURES))(
+    lambda spark, d: models.split_train(_features(spark, d).select("customer_id", "churned"), "customer_id"))
+
+register("split_stratified", with_views(
+    f"SELECT churned, COUNT(*) FILTER (WHERE NOT ({HASH_SQL('customer_id')} < 20)) AS train_rows, "
+    f"COUNT(*) FILTER (WHERE {HASH_SQL('customer_id')} < 20) AS test_rows FROM features GROUP BY churned",
+    _FEATURES))(
+    lambda spark, d: models.split_counts(models.split_train(_features(spark, d), "customer_id"), "churned"))
+
+_SCALE = ("tr AS (SELECT * FROM features WHERE NOT ({h} < 20)), "
+          "st AS (SELECT avg(total_spent) AS m1, stddev_pop(total_spent) AS s1, "
+          "avg(recency) AS m2, stddev_pop(recency) AS s2 FROM tr)").format(h=HASH_SQL("customer_id"))
+
+
+@register("standard_scale", with_views(
+    f"SELECT customer_id, {NPROUND('(total_spent - m1) / CASE WHEN s1 = 0 OR s1 IS NULL THEN 1e0 ELSE s1 END', 6)}"
+    f" AS total_spent_scaled, {NPROUND('(recency - m2) / CASE WHEN s2 = 0 OR s2 IS NULL THEN 1e0 ELSE s2 END', 6)}"
+    " AS recency_scaled FROM features, st", _FEATURES + ", " + _SCALE))
+def _standard_scale(spark, d):
+    f = models.split_train(_features(spark, d), "customer_id")
+    out = models.standard_scale(f, ["total_spent", "recency"], fit=f.where(~F.col("is_test")))
+    return out.select("customer_id", np_round(F.col("total_spent_scaled"), 6).alias("total_spent_scaled"),
+                      np_round(F.col("recency_scaled"), 6).alias("recency_scaled"))
+
+
+register("class_weights", with_views(
+    "SELECT customer_id, churned, CAST((SELECT COUNT(*) FROM features) AS DOUBLE) / "
+    "((SELECT COUNT(DISTINCT churned) FROM features) * COUNT(*) OVER (PARTITION BY churned)) AS weight "
+    "FROM features", _FEATURES))(
+    lambda spark, d: models.class_weights(_features(spark, d).select("customer_id", "churned"), "churned"))
+
+# ----------------------------------------------------------------- metrics ---
+_REG = ("reg AS (SELECT CAST(order_value AS DECIMAL(18,4)) AS y, "
+        "CAST(base_price * quantity AS DECIMAL(18,4)) AS p FROM orders_c "
+        "WHERE order_value IS NOT NULL AND base_price * quantity IS NOT NULL), "
+        "ra AS (SELECT COUNT(*) AS n, CAST(SUM(abs(y - p)) AS DOUBLE) AS sae, "
+        "CAST(SUM(CAST(y - p AS DECIMAL(38,4)) * CAST(y - p AS DECIMAL(38,4))) AS DOUBLE) AS sse, "
+        "CAST(SUM(y) AS DOUBLE) AS sy, CAST(SUM(CAST(y AS DECIMAL(38,4)) * CAST(y AS DECIMAL(38,4))) AS DOUBLE) "
+        "AS syy FROM reg)")
+
+
+def _grade(x: str) -> str:
+    return f"CASE WHEN {x} > 0.85 THEN 'Excellent' WHEN {x} > 0.70 THEN 'Good' ELSE 'Fair' END"
+
+
+_R2 = "(1e0 - sse / (syy - sy * sy / n))"
+
+register("regression_metrics", with_views(
+    f"SELECT n, {NPROUND('sae / n', 9)} AS mae, {NPROUND('sqrt(sse / n)', 9)} AS rmse, {NPROUND(_R2, 9)} AS r2, "
+    f"{_grade(_R2)} AS status FROM ra", _REG))(
+    lambda spark, d: _REG_METRICS(spark, d).select(
+        "n", *[np_round(F.col(c), 9).alias(c) for c in ("mae", "rmse", "r2")], "status"))
+
+_CLS = (_FEATURES + ", cls AS (SELECT churned AS y, CASE WHEN " + SCORE_SQL + " > 0.5 THEN 1 ELSE 0 END AS p, "
+        + SCORE_SQL + " AS s FROM features)")
+
+
+@register("classification_metrics", with_views(
+    "SELECT n, tp, fp, fn, tn, CAST(tp + tn AS DOUBLE) / n AS accuracy, "
+    "COALESCE(CAST(tp AS DOUBLE) / NULLIF(tp + fp, 0), 0e0) AS precision, "
+    "COALESCE(CAST(tp AS DOUBLE) / NULLIF(tp + fn, 0), 0e0) AS recall, "
+    "COALESCE(2e0 * tp / NULLIF(2 * tp + fp + fn, 0), 0e0) AS f1_score FROM ("
+    "SELECT COUNT(*) AS n, COUNT(*) FILTER (WHERE y = 1 AND p = 1) AS tp, COUNT(*) FILTER (WHERE y = 0 AND p = 1) "
+    "AS fp, COUNT(*) FILTER (WHERE y = 1 AND p = 0) AS fn, COUNT(*) FILTER (WHERE y = 0 AND p = 0) AS tn FROM cls) t",
+    _CLS))
+def _classification_metrics(spark, d):
+    s = _recency_score(_features(spark, d))
+    s = s.withColumn("pred", F.when(F.col("churn_probability") > 0.5, 1).otherwise(0))
+    return models.classification_metrics(s, "churned", "pred")
+
+
+_AUC = (_CLS + ", per AS (SELECT s, COUNT(*) FILTER (WHERE y = 1) AS pos, COUNT(*) FILTER (WHERE y = 0) AS neg "
+        "FROM cls WHERE s IS NOT NULL GROUP BY s), cum AS (SELECT *, COALESCE(SUM(neg) OVER (ORDER BY s ROWS BETWEEN "
+        "UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS neg_below FROM per), "
+        "au AS (SELECT SUM(pos) AS P, SUM(neg) AS N, SUM(pos * (neg_below + neg / 2e0)) AS u FROM cum)")
+_AUC_X = "CASE WHEN P > 0 AND N > 0 THEN u / (P * N) END"
+
+
+@register("roc_auc", with_views(
+    f"SELECT CAST(P AS BIGINT) AS positives, CAST(N AS BIGINT) AS negatives, {_AUC_X} AS roc_auc, "
+    f"{_grade(_AUC_X)} AS status FROM au", _AUC))
+def _roc_auc(spark, d):
+    return models.roc_auc(_recency_score(_features(spark, d)), "churned", "churn_probability")
+
+
+@register("model_status", with_views(
+    f"SELECT {_grade(_R2)} AS sales_status, (SELECT {_grade(_AUC_X)} FROM au) AS churn_status FROM ra",
+    _REG + ", " + _AUC.replace("WITH ", "")))
+def _model_status(spark, d):
+    reg = _REG_METRICS(spark, d)
+    auc = _roc_auc(spark, d)
+    return reg.select(F.col("status").alias("sales_status"), auc.select("status").scalar().alias("churn_status"))
+
+
+def _REG_METRICS(spark, d):
+    return models.regression_metrics(
+        _o(spark, d).withColumn("list_value", F.col("base_price") * F.col("quantity")), "order_value", "list_value")
+
+
+# ------------------------------------------------- insights on the scores ----
+register("high_risk", with_views(
+    f"SELECT customer_id, total_orders, total_spent, {SCORE_SQL} AS churn_probability FROM features "
+    f"WHERE {SCORE_SQL} > 0.7 AND total_orders > 0 ORDER BY total_spent DESC, customer_id LIMIT 10", _FEATURES))(
+    lambda spark, d: insights.high_risk(_recency_score(_features(spark, d))).select(
+        "customer_id", "total_orders", "total_spent", "churn_probability"))
+
+register("high_risk_summary", with_views(
+    f"SELECT COUNT(*) AS at_risk_customers, COALESCE({XSUM('total_spent')}, 0e0) AS at_risk_value, "
+    f"COALESCE({XSUM('total_spent')}, 0e0) * 0.3e0 AS estimated_save FROM (SELECT * FROM features "
+    f"WHERE {SCORE_SQL} > 0.7 AND total_orders > 0 ORDER BY total_spent DESC, customer_id LIMIT 10) t", _FEATURES))(
+    lambda spark, d: insights.high_risk_summary(_recency_score(_features(spark, d))))
+
+register("churn_alert", with_views(
+    f"SELECT {NPROUND(f'avg({SCORE_SQL})', 9)} AS avg_churn_probability, 'High' AS severity FROM features "
+    f"HAVING avg({SCORE_SQL}) > 0.3", _FEATURES))(
+    lambda spark, d: insights.churn_alert(_recency_score(_features(spark, d))).select(
+        np_round(F.col("avg_churn_probability"), 9).alias("avg_churn_probability"), "severity"))
+
+
+# ------------------------------------------------------------ fitted models --
+_MODEL_CACHE: dict = {}
+
+
+def _sales_fit(spark, d):
+    key = ("sales", d)
+    if key not in _MODEL_CACHE:
+        o = clean.date_parts(clean.profit_margin(_o(spark, d), td.products(spark, d)))
+        _MODEL_CACHE[key] = models.fit_sales_model(o)
+    return _MODEL_CACHE[key]
+
+
+def _churn_fit(spark, d):
+    key = ("churn", d)
+    if key not in _MODEL_CACHE:
+        _MODEL_CACHE[key] = models.fit_churn_model(_features(spark, d))
+    return _MODEL_CACHE[key]
+
+
+@register("sales_model")
+def _sales_model(spark, d):
+    model, test = _sales_fit(spark, d)
+    pred = model.transform(test)
+    return models.regression_metrics(pred, "order_value", "prediction")
+
+
+@register("feature_importance")
+def _feature_importance(spark, d):
+    model, _ = _sales_fit(spark, d)
+    return models.feature_importance(model, models.SALES_FEATURES)
+
+
+@register("churn_model")
+def _churn_model(spark, d):
+    model, test, const = _churn_fit(spark, d)
+    scored = models.score(model, test, const)
+    m = models.classification_metrics(scored, "churned", "prediction")
+    auc = models.roc_auc(scored, "churned", "churn_probability")
+    return m.select("*", auc.select("roc_auc").scalar().alias("roc_auc"))
+
+
+@register("score_customers")
+def _score_customers(spark, d):
+    model, _, const = _churn_fit(spark, d)
+    feats = models._sanitised(_features(spark, d), models.CHURN_FEATURES)
+    return models.score(model, feats, const).select("customer_id", "churned", "churn_probability", "prediction")
+
+
+# -------------------------------------------------------------- documents ----
+def _insights_doc(spark, d):
+    o, p, c = _o(spark, d), td.products(spark, d), td.customers(spark, d)
+    scored = _recency_score(_features(spark, d))
+    return insights.insights(o, p, scored, c, REF)
+
+
+@register("insights")
+def _insights(spark, d):
+    return _insights_doc(spark, d)
+
+
+@register("insight_cards")
+def _insight_cards(spark, d):
+    return reports.insight_cards(_insights_doc(spark, d))
+
+
+@register("kpi_json")
+def _kpi_json(spark, d):
+    k = _kpis(spark, d)
+    reg = _REG_METRICS(spark, d)
+    doc = kpis.kpi_document(k, reg_metrics=reg, with_timestamp=False)
+    return doc.select(F.to_json(F.struct(*doc.columns)).alias("kpi_json"))
