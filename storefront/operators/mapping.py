@@ -73,6 +73,9 @@ def _fuzzy_hit(alias: str, col: str) -> bool:
         return False
     if len(a) <= SHORT_ALIAS_LEN and a.isalpha():
         return a.lower() == c.lower()
+    # a short header (e.g. 'ID') may only match exactly, never as part of an alias
+    if len(c) <= SHORT_ALIAS_LEN and c.lower() != a.lower():
+        return a.lower() in c.lower()
     return a.lower() in c.lower() or c.lower() in a.lower()
 
 
@@ -83,7 +86,9 @@ def resolve_columns(columns: Sequence[str], mapping: Mapping[str, Sequence[str]]
     ``fuzzy`` (S4): a standard name already present is kept; otherwise an exact
     case-insensitive alias match wins, then the first column (in column order)
     where alias is contained in the column or the column in the alias; short
-    alphabetic aliases need an exact match; empty names are ignored; a source
+    alphabetic aliases need an exact match, and so do short headers on the
+    column side (a bare 'ID' is not part of 'Customer.ID'); empty names are
+    ignored; a source
     column is used for at most one standard name.
     ``contains`` (S5): case-sensitive ``alias in column``, exact matches first;
     a source column may feed several targets (values are copied).

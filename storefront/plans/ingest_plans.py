@@ -11,7 +11,7 @@ from storefront.plans.views import with_views
 from storefront.sources import testdata as td
 
 ORD = "Row ID"
-ROW_ORDER = "ro, rl, rp, rs"
+from storefront.plans.views import ROW_ORDER  # noqa: E402
 
 
 def _first(col: str) -> str:
@@ -140,7 +140,7 @@ def _discount_from_prices(spark, d):
 _HASH = "(('0x' || substr(md5({k}), 1, 8))::BIGINT % {m})"
 
 _REVIEW_ORDERS = (
-    "ro AS (SELECT *, row_number() OVER (ORDER BY ro, rl, rp, rs) - 1 AS i FROM reviews_c), "
+    f"ro AS (SELECT *, row_number() OVER (ORDER BY {ROW_ORDER}) - 1 AS i FROM reviews_c), "
     "ro2 AS (SELECT *, 'AMZ_O' || CAST(i + 100000 AS VARCHAR) AS order_id FROM ro)")
 
 

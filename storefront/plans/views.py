@@ -7,6 +7,11 @@ Constants are written as ``2.5e0`` so both engines stay in DOUBLE.
 
 from __future__ import annotations
 
+LINE_ORDER_SQL = ("l.l_orderkey AS ro, l.l_linenumber AS rl, l.l_partkey AS rp, l.l_suppkey AS rs, "
+                  "l.l_quantity AS rq, l.l_extendedprice AS re, l.l_discount AS rd, l.l_tax AS rt, "
+                  "l.l_returnflag AS rrf, l.l_linestatus AS rls, l.l_shipdate AS rsd")
+ROW_ORDER = "ro, rl, rp, rs, rq, re, rd, rt, rrf, rls, rsd"
+
 ORDERS_C = """orders_c AS (
   SELECT l.l_orderkey AS order_id, l.l_linenumber AS line_no, l.l_suppkey AS supplier_id,
          o.o_custkey AS customer_id, l.l_partkey AS product_id,
@@ -42,7 +47,7 @@ CUSTOMERS_C = """customers_c AS (
              FROM orders GROUP BY o_custkey) f ON f.o_custkey = c.c_custkey)"""
 
 WIDE_C = """wide_c AS (
-  SELECT l.l_orderkey AS ro, l.l_linenumber AS rl, l.l_partkey AS rp, l.l_suppkey AS rs,
+  SELECT """ + LINE_ORDER_SQL + """,
          CAST(l.l_orderkey AS VARCHAR) AS "Order ID",
          CAST(o.o_orderdate AS TIMESTAMP) AS "Order Date",
          CAST(o.o_orderdate AS TIMESTAMP) + to_days(CAST((l.l_orderkey + l.l_linenumber) % 8 AS INTEGER))
@@ -70,7 +75,7 @@ REVIEWS_C = """reviews_c AS (
          CAST(l.l_quantity AS BIGINT) AS rating_count,
          CAST(c.c_custkey AS VARCHAR) AS user_id, c.c_name AS user_name,
          concat_ws('-', l.l_orderkey, l.l_linenumber, l.l_partkey, l.l_suppkey) AS review_id,
-         l.l_orderkey AS ro, l.l_linenumber AS rl, l.l_partkey AS rp, l.l_suppkey AS rs
+         """ + LINE_ORDER_SQL + """
   FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
                   JOIN part p ON l.l_partkey = p.p_partkey
                   JOIN customer c ON o.o_custkey = c.c_custkey)"""

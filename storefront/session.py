@@ -38,6 +38,7 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.setdefault("spark.driver.memory", "8g")
     conf.setdefault("spark.ui.enabled", "false")
+    conf.setdefault("spark.ui.showConsoleProgress", "false")
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)

@@ -22,6 +22,17 @@ REF_DATE = "2001-08-02"          # orders end 2001-08-01
 URGENT_PRIORITY = "1-URGENT"
 
 
+# Line identity used as "file order" of the exports: every lineitem column, so that
+# rows tying on all of them are identical rows.
+LINE_ORDER = [("o", "l_orderkey"), ("l", "l_linenumber"), ("p", "l_partkey"), ("s", "l_suppkey"),
+              ("q", "l_quantity"), ("e", "l_extendedprice"), ("d", "l_discount"), ("t", "l_tax"),
+              ("rf", "l_returnflag"), ("ls", "l_linestatus"), ("sd", "l_shipdate")]
+
+
+def line_order():
+    return F.struct(*[F.col(c).alias(a) for a, c in LINE_ORDER])
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
@@ -108,8 +119,7 @@ def wide_export(spark: SparkSession, sf_dir: str) -> DataFrame:
               .join(n, c.c_nationkey == n.n_nationkey)
               .join(r, n.n_regionkey == r.r_regionkey)
               .select(
-                  F.struct(F.col("l_orderkey").alias("o"), F.col("l_linenumber").alias("l"),
-                           F.col("l_partkey").alias("p"), F.col("l_suppkey").alias("s")).alias("Row ID"),
+                  line_order().alias("Row ID"),
                   F.col("l_orderkey").cast("string").alias("Order ID"),
                   od.alias("Order Date"),
                   (od + F.make_interval(days=delivery.cast("int"))).alias("Ship Date"),
@@ -154,6 +164,5 @@ def review_export(spark: SparkSession, sf_dir: str) -> DataFrame:
                   F.col("c_name").alias("user_name"),
                   F.concat_ws("-", *[F.col(c).cast("string") for c in
                                      ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")]).alias("review_id"),
-                  F.struct(F.col("l_orderkey").alias("o"), F.col("l_linenumber").alias("l"),
-                           F.col("l_partkey").alias("p"), F.col("l_suppkey").alias("s")).alias("row_ord"),
+                  line_order().alias("row_ord"),
               ))
