@@ -49,7 +49,9 @@ def ratio(num, den) -> Column:
 def clean_money(c) -> Column:
     """Currency text -> number: keep only digits, '.', '-', then a lenient cast.
 
-    '₹1,299.50' -> 1299.5; '1-2' -> NULL; '' -> NULL.
+    '₹1,299.50' -> 1299.5; '1-2' -> NULL; '' -> NULL (an empty string does not
+    cast).  The result is never NaN or infinite (letters are removed first).
+    One regex and one cast, no repeated sub-expression: the generated code
+    stays small enough for the JIT even when many columns are cleaned at once.
     """
-    stripped = F.regexp_replace(_col(c).cast("string"), r"[^0-9.\-]", "")
-    return F.when(stripped == "", F.lit(None).cast("double")).otherwise(stripped.try_cast("double"))
+    return F.regexp_replace(_col(c).cast("string"), r"[^0-9.\-]", "").try_cast("double")

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from storefront.functions.dates import floor_days
 from storefront.functions.numeric import exact_sum, nan_to_null
-from storefront.operators.stats import quantile_scalar
+from storefront.operators.stats import quantile_scalars
 
 # Fixed values of the churn rule.
 CHURN_AFTER_DAYS = 180          # churned when days since last order > 180 (strict)
@@ -77,5 +77,6 @@ def impute_features(df: DataFrame, cols: Iterable[str]) -> DataFrame:
     """inf/NaN -> NULL, NULL -> exact column median, still NULL -> 0."""
     cols = list(cols)
     clean = df.withColumns({c: nan_to_null(F.col(c).cast("double")) for c in cols})
-    fills = {c: F.coalesce(F.col(c), quantile_scalar(clean, c, 0.5), F.lit(0.0)) for c in cols}
+    med = quantile_scalars(clean, cols, 0.5)
+    fills = {c: F.coalesce(F.col(c), med[c], F.lit(0.0)) for c in cols}
     return clean.withColumns(fills)

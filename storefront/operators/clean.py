@@ -48,15 +48,28 @@ def parse_dates(df: DataFrame, cols: Iterable[str],
     for c in cols:
         if c not in df.columns:
             continue
-        s = F.col(c).cast("string")
-        out = out.withColumn(c, F.coalesce(*[F.try_to_timestamp(s, F.lit(f)) for f in formats]))
+        s = F.trim(F.col(c).cast("string"))
+        # a format is only tried on text of its shape: no parse attempt (and no
+        # parser exception) for the formats that cannot match
+        out = out.withColumn(c, F.coalesce(*[
+            F.when(s.rlike(_format_shape(f)), F.try_to_timestamp(s, F.lit(f))) for f in formats]))
     return out
 
 
+def _format_shape(fmt: str) -> str:
+    """A permissive regex for text that a datetime pattern could parse."""
+    import re
+    shape = re.escape(fmt)
+    for token, rx in (("yyyy", r"\d{4}"), ("MM", r"\d{1,2}"), ("dd", r"\d{1,2}"),
+                      ("HH", r"\d{1,2}"), ("mm", r"\d{1,2}"), ("ss", r"\d{1,2}")):
+        shape = shape.replace(token, rx)
+    return "^" + shape + "$"
+
+
 def clean_numeric(df: DataFrame, cols: Iterable[str]) -> DataFrame:
     """Currency or text numbers -> DOUBLE (NaN/inf -> NULL)."""
     present = [c for c in cols if c in df.columns]
-    return df.withColumns({c: nan_to_null(clean_money(F.col(c))) for c in present})
+    return df.withColumns({c: clean_money(F.col(c)) for c in present})
 
 
 def fill_order_nulls(df: DataFrame) -> DataFrame:
@@ -93,7 +106,7 @@ def add_defaults(df: DataFrame, table: str) -> DataFrame:
 
 def impute_price(products: DataFrame, col: str = "base_price") -> DataFrame:
     """Clean the price text, fill NULL with the exact column median, else 0."""
-    cleaned = products.withColumn(col, nan_to_null(clean_money(F.col(col))))
+    cleaned = products.withColumn(col, clean_money(F.col(col)))
     med = quantile_scalar(cleaned, col, 0.5)
     return cleaned.withColumn(col, F.coalesce(F.col(col), med, F.lit(0.0)))
 

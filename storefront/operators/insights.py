@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import datetime as _dt
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -205,8 +206,9 @@ def acquisition(customers: DataFrame) -> DataFrame:
     modal = (customers.where(F.col("city").isNotNull()).groupBy("city").agg(F.count(F.lit(1)).alias("n"))
              .orderBy(F.col("n").desc(), F.col("city").asc()).limit(1)
              .select(F.col("city").alias("top_city"), F.col("n").alias("top_city_customers")))
-    return mean_ltv.select("avg_ltv", modal.select("top_city").scalar().alias("top_city"),
-                           modal.select("top_city_customers").scalar().alias("top_city_customers"))
+    top = modal.select(F.struct("top_city", "top_city_customers")).scalar()
+    return mean_ltv.select("avg_ltv", top.getField("top_city").alias("top_city"),
+                           top.getField("top_city_customers").alias("top_city_customers"))
 
 
 # ------------------------------------------------------------------ risks ----
@@ -243,6 +245,14 @@ def insights(orders: DataFrame, products: DataFrame, scored: DataFrame, customer
     orders -> no revenue or product insights; no failures -> no payment row).
     """
     spark = orders.sparkSession
+    # about fifteen aggregates read the same inputs: keep the needed columns once
+    # (recomputed from lineage if an executor is lost)
+    need = [c for c in ("order_date", "order_value", "category", "discount_pct", "product_id", "quantity",
+                        "rating", "delivery_time_days", "delivery_delay", "is_returned",
+                        "failed_payment_attempts") if c in orders.columns]
+    orders = orders.select(*need).persist(StorageLevel.MEMORY_AND_DISK)
+    scored = scored.select("customer_id", "churn_probability", "total_orders", "total_spent") \
+                   .persist(StorageLevel.MEMORY_AND_DISK)
     parts: list[DataFrame] = []
     rev = revenue_90_30(orders, ref_date).where(F.col("orders_90") > 0)
     parts.append(_row(spark, "revenue_insights", 1, "Total Revenue (90 days)",

@@ -31,8 +31,9 @@ def business_kpis(orders: DataFrame, labeled_customers: DataFrame) -> DataFrame:
     )
     c = labeled_customers.agg(F.count(F.lit(1)).alias("total_customers"),
                               (F.sum("churned").cast("double") / F.count("churned")).alias("customer_churn_rate"))
-    return o.select("*", c.select("total_customers").scalar().alias("total_customers"),
-                    c.select("customer_churn_rate").scalar().alias("customer_churn_rate"))
+    cs = c.select(F.struct("total_customers", "customer_churn_rate")).scalar()
+    return o.select("*", cs.getField("total_customers").alias("total_customers"),
+                    cs.getField("customer_churn_rate").alias("customer_churn_rate"))
 
 
 def top_features(importance: DataFrame, n: int = TOP_FEATURES) -> Column:
@@ -51,16 +52,16 @@ def kpi_document(kpis: DataFrame, reg_metrics: DataFrame | None = None, clf_metr
     """K2-K4: the KPI document as one nested row (write it with ``write.json``)."""
     cols = [F.struct(*[F.col(c) for c in kpis.columns]).alias("business_kpis")]
     if reg_metrics is not None:
-        r = reg_metrics
+        r = reg_metrics.select(F.struct("mae", "rmse", "r2")).scalar()
         cols.append(F.struct(
-            r.select("mae").scalar().alias("mae"), r.select("rmse").scalar().alias("rmse"),
-            r.select("r2").scalar().alias("r2_score"),
-            model_status(r.select("r2").scalar()).alias("status")).alias("sales_prediction"))
+            r.getField("mae").alias("mae"), r.getField("rmse").alias("rmse"), r.getField("r2").alias("r2_score"),
+            model_status(r.getField("r2")).alias("status")).alias("sales_prediction"))
     if clf_metrics is not None:
-        m = clf_metrics
+        names = ("accuracy", "roc_auc", "precision", "recall", "f1_score")
+        m = clf_metrics.select(F.struct(*names)).scalar()
         cols.append(F.struct(
-            *[m.select(c).scalar().alias(c) for c in ("accuracy", "roc_auc", "precision", "recall", "f1_score")],
-            model_status(m.select("roc_auc").scalar()).alias("status")).alias("churn_prediction"))
+            *[m.getField(c).alias(c) for c in names],
+            model_status(m.getField("roc_auc")).alias("status")).alias("churn_prediction"))
     if reg_importance is not None:
         cols.append(top_features(reg_importance).alias("top_features_sales"))
     if clf_importance is not None:

@@ -65,20 +65,20 @@ def standard_scale(df: DataFrame, cols: Sequence[str], fit: DataFrame | None = N
                    suffix: str = "_scaled") -> DataFrame:
     """M3: (x - mean) / population sigma fitted on ``fit``; sigma 0 -> divisor 1."""
     fit = df if fit is None else fit
-    stats = fit.agg(*[F.avg(c).alias(f"m_{i}") for i, c in enumerate(cols)],
-                    *[F.stddev_pop(c).alias(f"s_{i}") for i, c in enumerate(cols)])
+    stats = fit.select(F.struct(*[F.avg(c).alias(f"m_{i}") for i, c in enumerate(cols)],
+                                *[F.stddev_pop(c).alias(f"s_{i}") for i, c in enumerate(cols)])).scalar()
     out = {}
     for i, c in enumerate(cols):
-        m = stats.select(f"m_{i}").scalar()
-        s = stats.select(f"s_{i}").scalar()
+        m = stats.getField(f"m_{i}")
+        s = stats.getField(f"s_{i}")
         out[c + suffix] = (F.col(c) - m) / F.when((s == 0) | s.isNull(), F.lit(1.0)).otherwise(s)
     return df.withColumns(out)
 
 
 def class_weights(df: DataFrame, label: str, out: str = "weight") -> DataFrame:
     """M9: balanced weights n / (k * n_class), joined back as a weight column."""
-    n = df.select(F.count(F.lit(1))).scalar()
-    k = df.select(F.countDistinct(label)).scalar()
+    nk = df.select(F.struct(F.count(F.lit(1)).alias("n"), F.countDistinct(label).alias("k"))).scalar()
+    n, k = nk.getField("n"), nk.getField("k")
     per = df.groupBy(label).agg(F.count(F.lit(1)).alias("_nc"))
     return (df.join(F.broadcast(per), label)      # one row per class
             .withColumn(out, n.cast("double") / (k * F.col("_nc")))
@@ -119,6 +119,30 @@ def fit_churn_model(features_df: DataFrame, features: Sequence[str] = CHURN_FEAT
     return model, data.where(F.col("is_test")), None
 
 
+def cross_val_r2(orders: DataFrame, features: Sequence[str] = SALES_FEATURES, label: str = "order_value",
+                 key: str = "order_id", folds: int = 5, params: dict | None = None) -> DataFrame:
+    """M6: k-fold R^2 of the regressor on the train split: (fold, r2) rows plus
+    the mean and population standard deviation on every row.
+
+    Folds are hash buckets of the key (stable under re-execution); each fold is
+    one distributed GBT fit on the other folds.
+    """
+    data = _sanitised(orders.where(F.col(label).isNotNull()), features)
+    train = split_train(data, key).where(~F.col("is_test")).withColumn(
+        "_fold", hash_bucket(key, SEED + 2, folds))
+    spark = orders.sparkSession
+    rows = []
+    for f in range(folds):
+        fit = train.where(F.col("_fold") != f)
+        gbt = GBTRegressor(featuresCol="features", labelCol=label, seed=SEED, **(params or GBT_PARAMS))
+        model = Pipeline(stages=[VectorAssembler(inputCols=list(features), outputCol="features"), gbt]).fit(fit)
+        m = regression_metrics(model.transform(train.where(F.col("_fold") == f)), label, "prediction")
+        rows.append((f, m.select("r2").first()[0]))
+    out = spark.createDataFrame(rows, "fold int, r2 double")
+    stats = out.select(F.struct(F.avg("r2").alias("m"), F.stddev_pop("r2").alias("s"))).scalar()
+    return out.select("fold", "r2", stats.getField("m").alias("mean_r2"), stats.getField("s").alias("std_r2"))
+
+
 def _sanitised(df: DataFrame, features: Sequence[str]) -> DataFrame:
     """F7 in plain expressions: inf/NaN -> NULL -> column median (approx-free exact) -> 0."""
     from storefront.operators.churn import impute_features

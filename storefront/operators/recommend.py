@@ -80,8 +80,10 @@ def recommend_similar(products: DataFrame, product_id, top_n: int = TOP_N) -> Da
     """
     vec = product_vectors(product_price(products))
     src = vec.where(F.col("product_id") == F.lit(product_id))
-    sp, sr, sc, sn = (src.select(c).scalar() for c in ("price_log", "rating_f", "category", "norm"))
-    known = src.select(F.count(F.lit(1)) > 0).scalar()
+    one = src.select(F.struct(F.count(F.lit(1)).alias("k"), *[F.first(c).alias(c) for c in
+                                                            ("price_log", "rating_f", "category", "norm")])).scalar()
+    sp, sr, sc, sn = (one.getField(c) for c in ("price_log", "rating_f", "category", "norm"))
+    known = one.getField("k") > 0
     sim = cosine(sp, sr, sc, sn, F.col("price_log"), F.col("rating_f"), F.col("category"), F.col("norm"))
     scored = (vec.where(known & (F.col("product_id") != F.lit(product_id)))
               .withColumn("similarity", sim))

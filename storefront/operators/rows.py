@@ -39,11 +39,13 @@ def prefix_sum(df: DataFrame, order_cols: Sequence[str], value_col: str | None,
     """Sum of ``value_col`` over the rows before each row in ``order_cols`` order
     (``value_col`` None counts rows: a dense 0-based row number), without one task.
 
-    1. split the key space into ranges: boundaries are taken from a bounded
-       sample of the keys (about 100 keys per range), and a row's bucket is the
-       number of boundaries <= its key, a pure function of the row, so every
-       branch of the plan agrees on it (physical partition ids do not: adaptive
-       execution may coalesce partitions differently per branch);
+    1. split the key space into ranges of the first order column: boundaries
+       are taken from a bounded sample (about 100 values per range), and a row's
+       bucket is the number of boundaries <= its first order value, a pure
+       function of the row, so every branch of the plan agrees on it (physical
+       partition ids do not: adaptive execution may coalesce partitions
+       differently per branch); rows tying on the first column share a bucket,
+       so bucket order agrees with the full order;
     2. number rows inside each bucket (a window whose group is one range);
     3. count rows per bucket, turn the counts into start offsets and broadcast
        that table (its size is the bucket count);
@@ -52,19 +54,20 @@ def prefix_sum(df: DataFrame, order_cols: Sequence[str], value_col: str | None,
     spark = df.sparkSession
     n_b = buckets or max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     leaves = _leaves(df, order_cols)
-    key = F.struct(*leaves)
+    first = leaves[0]
     total = df.count()
     bounds: list = []
     if total > 0 and n_b > 1:
         frac = min(1.0, 100.0 * n_b / total)
-        sample = sorted(tuple(r[0]) for r in df.select(key.alias("k")).sample(False, frac, seed).collect())
+        sample = sorted(r[0] for r in df.select(first.alias("k")).sample(False, frac, seed).collect()
+                        if r[0] is not None)
         if sample:
             step = len(sample) / n_b
             bounds = sorted({sample[int(step * i)] for i in range(1, n_b) if int(step * i) < len(sample)})
     if bounds:
-        arr = F.array(*[F.struct(*[F.lit(v).alias(f"c{j}") for j, v in enumerate(b)]) for b in bounds])
-        k2 = F.struct(*[c.alias(f"c{j}") for j, c in enumerate(leaves)])
-        bucket = F.size(F.filter(arr, lambda b: b <= k2))
+        arr = F.array(*[F.lit(b) for b in bounds]).cast(
+            f"array<{df.select(first.alias('k')).schema['k'].dataType.simpleString()}>")
+        bucket = F.size(F.filter(arr, lambda b: b <= first))
     else:
         bucket = F.lit(0)
     keyed = df.withColumn("_pid", bucket)

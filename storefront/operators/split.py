@@ -1,9 +1,10 @@
 """Wide export -> orders / products / customers.
 
-One scan of the export feeds three lazy plans.  Per-key attributes are the
-first non-null value in input order (one ``groupBy`` with ``min_by`` per table,
-not one group-by per attribute).  "Column entirely null" checks are scalar
-subqueries, so nothing is collected while the plans are built.
+Per-key attributes are the first non-null value in input order (one
+``groupBy`` with ``min_by`` per table, not one group-by per attribute).  The
+"column entirely null" checks and the discount unit detection need a few
+column-level facts; they come from one profiling aggregate (one pass, one row
+back to the driver) instead of one pass per check.
 """
 
 from __future__ import annotations
@@ -33,22 +34,40 @@ def _q(c: str):
     return F.col(f"`{c}`")
 
 
-def _all_null(df: DataFrame, c: str):
-    """Scalar: True when the column holds no value."""
-    return df.select(F.count(_q(c)) == 0).scalar()
+def profile(df: DataFrame, key_cols: dict[str, str | None] | None = None) -> dict:
+    """Non-null counts of every column (overall and per mapped key) and the
+    max of the discount column, from one aggregate pass."""
+    hits = resolve_columns(df.columns, SPLIT_ORDER_ALIASES, "contains")
+    aggs = [F.count(_q(c)).alias(f"n{i}") for i, c in enumerate(df.columns)]
+    keyed = []
+    for name, kc in (key_cols or {}).items():
+        if kc is None:
+            continue
+        for i, c in enumerate(df.columns):
+            keyed.append((name, c))
+            aggs.append(F.count(F.when(_q(kc).isNotNull(), _q(c))).alias(f"k{len(keyed) - 1}"))
+    if "discount" in hits:
+        aggs.append(F.max(_q(hits["discount"])).alias("maxdisc"))
+    row = df.agg(*aggs).first()
+    out = {"count": {c: row[f"n{i}"] for i, c in enumerate(df.columns)},
+           "keyed": {(nm, c): row[f"k{j}"] for j, (nm, c) in enumerate(keyed)},
+           "max_discount": row["maxdisc"] if "discount" in hits else None}
+    return out
 
 
 def _ts(c):
     return F.coalesce(c.try_cast("timestamp"), F.try_to_timestamp(c.cast("string")))
 
 
-def split_orders(df: DataFrame, order_col: str | None = None, carry: dict | None = None) -> DataFrame:
+def split_orders(df: DataFrame, order_col: str | None = None, carry: dict | None = None,
+                 prof: dict | None = None) -> DataFrame:
     """The orders table of a wide export (mapped columns + derived ones).
 
     ``carry`` ({name: source column}) adds source columns to the same projection,
     so the product and customer tables are built from one pass over the export.
     """
     hits = resolve_columns(df.columns, SPLIT_ORDER_ALIASES, "contains")
+    prof = profile(df) if prof is None else prof
     cols = {std: _q(src) for std, src in hits.items()}
     if "order_value" not in cols and "sales" in cols:
         cols["order_value"] = cols["sales"]
@@ -58,10 +77,8 @@ def split_orders(df: DataFrame, order_col: str | None = None, carry: dict | None
     for key, prefix in (("order_id", "O"), ("customer_id", "C"), ("product_id", "P")):
         sur = F.concat(F.lit(prefix), row_no if key == "order_id" else
                        (F.monotonically_increasing_id() + 1).cast("string"))
-        if key not in cols:
+        if key not in cols or prof["count"][hits[key]] == 0:
             cols[key] = sur
-        else:
-            cols[key] = F.when(_all_null(df, hits[key]), sur).otherwise(cols[key])
     for dc in ("order_date", "ship_date"):
         if dc in cols:
             cols[dc] = _ts(cols[dc])
@@ -69,9 +86,9 @@ def split_orders(df: DataFrame, order_col: str | None = None, carry: dict | None
         cols["quantity"] = F.lit(1)
     # W5 fraction -> percent when max < 1 (strict)
     if "discount" in cols:
-        mx = df.select(F.max(_q(hits["discount"]))).scalar()
-        cols["discount_pct"] = F.when(mx < 1, cols["discount"] * F.lit(100.0)).otherwise(
-            cols["discount"].cast("double"))
+        mx = prof["max_discount"]
+        cols["discount_pct"] = (cols["discount"] * F.lit(100.0) if mx is not None and mx < 1
+                                else cols["discount"].cast("double"))
     else:
         cols["discount_pct"] = F.lit(0.0)
     # W6/W7 delivery time and delay
@@ -97,33 +114,35 @@ def split_orders(df: DataFrame, order_col: str | None = None, carry: dict | None
 def split_products(df: DataFrame, order_col: str) -> DataFrame:
     """One row per product with first non-null attributes and defaults."""
     hits = resolve_columns(df.columns, SPLIT_PRODUCT_ALIASES, "contains")
-    joined = split_orders(df, order_col, {f"_a_{std}": src for std, src in hits.items()})
+    okeys = resolve_columns(df.columns, SPLIT_ORDER_ALIASES, "contains")
+    prof = profile(df, {"product": okeys.get("product_id")})
+    joined = split_orders(df, order_col, {f"_a_{std}": src for std, src in hits.items()}, prof)
+
+    def empty(std):
+        src = hits.get(std)
+        if src is None:
+            return True
+        if okeys.get("product_id") and prof["count"][okeys["product_id"]] > 0:
+            return prof["keyed"][("product", src)] == 0
+        return prof["count"][src] == 0
     aggs = [first_non_null(F.col(f"_a_{std}"), "_ord").alias(std) for std in hits]
     if "sales" in joined.columns:
         aggs.append(exact_avg("sales").alias("_mean_sales"))
     prods = joined.where(F.col("product_id").isNotNull()).groupBy("product_id").agg(
         *(aggs or [F.count(F.lit(1)).alias("_n")]))
-    if "category" not in prods.columns:
-        prods = prods.withColumn("category", F.lit(None).cast("string"))
-    cat_empty = prods.select(F.count("category") == 0).scalar()
-    fallback_cat = F.lit("General")
-    if SUBCATEGORY_COLUMN in df.columns:
-        sub = (split_orders(df, order_col, {"_sub": SUBCATEGORY_COLUMN})
-               .groupBy("product_id").agg(first_non_null(F.col("_sub"), "_ord").alias("_subcat")))
-        prods = prods.join(sub, "product_id", "left")
-        fallback_cat = F.col("_subcat")
-    prods = prods.withColumn("category", F.when(cat_empty, fallback_cat).otherwise(F.col("category")))
-    if "base_price" not in prods.columns:
-        prods = prods.withColumn("base_price", F.lit(None).cast("double"))
-    price_empty = prods.select(F.count("base_price") == 0).scalar()
-    fallback_price = F.col("_mean_sales") if "_mean_sales" in prods.columns else F.lit(DEFAULT_BASE_PRICE)
-    prods = prods.withColumn("base_price", F.when(price_empty, fallback_price)
-                             .otherwise(F.col("base_price")).cast("double"))
-    if "rating" not in prods.columns:
-        prods = prods.withColumn("rating", F.lit(None).cast("double"))
-    rating_empty = prods.select(F.count("rating") == 0).scalar()
-    prods = prods.withColumn("rating", F.when(rating_empty, F.lit(DEFAULT_RATING))
-                             .otherwise(F.col("rating").cast("double")))
+    if empty("category"):
+        if SUBCATEGORY_COLUMN in df.columns:
+            sub = (split_orders(df, order_col, {"_sub": SUBCATEGORY_COLUMN}, prof)
+                   .groupBy("product_id").agg(first_non_null(F.col("_sub"), "_ord").alias("_subcat")))
+            prods = prods.join(sub, "product_id", "left").withColumn("category", F.col("_subcat"))
+        else:
+            prods = prods.withColumn("category", F.lit("General"))
+    if empty("base_price"):
+        prods = prods.withColumn("base_price", F.col("_mean_sales") if "_mean_sales" in prods.columns
+                                 else F.lit(DEFAULT_BASE_PRICE))
+    prods = prods.withColumn("base_price", F.col("base_price").cast("double"))
+    prods = prods.withColumn("rating", F.lit(DEFAULT_RATING) if empty("rating")
+                             else F.col("rating").cast("double"))
     prods = prods.withColumn("stock_quantity", F.lit(DEFAULT_STOCK)) \
                  .withColumn("manufacturing_cost", F.col("base_price") * F.lit(0.5))
     keep = ["product_id", "category", "base_price", "rating"] + \
@@ -134,17 +153,20 @@ def split_products(df: DataFrame, order_col: str) -> DataFrame:
 def split_customers(df: DataFrame, order_col: str) -> DataFrame:
     """One row per customer: first location attributes, LTV, signup date."""
     hits = resolve_columns(df.columns, SPLIT_CUSTOMER_ALIASES, "contains")
-    joined = split_orders(df, order_col, {f"_a_{std}": src for std, src in hits.items()})
+    okeys = resolve_columns(df.columns, SPLIT_ORDER_ALIASES, "contains")
+    prof = profile(df, {"customer": okeys.get("customer_id")})
+    joined = split_orders(df, order_col, {f"_a_{std}": src for std, src in hits.items()}, prof)
     aggs = [first_non_null(F.col(f"_a_{std}"), "_ord").alias(std) for std in hits]
     aggs.append((exact_sum("sales") if "sales" in joined.columns else F.lit(DEFAULT_LTV)).alias("lifetime_value"))
     aggs.append((F.min("order_date") if "order_date" in joined.columns
                  else F.lit(DEFAULT_SIGNUP).cast("timestamp")).alias("signup_date"))
     cust = joined.where(F.col("customer_id").isNotNull()).groupBy("customer_id").agg(*aggs)
-    if "city" not in cust.columns:
+    city_src = hits.get("city")
+    city_empty = city_src is None or (
+        prof["keyed"][("customer", city_src)] == 0 if okeys.get("customer_id") and
+        prof["count"][okeys["customer_id"]] > 0 else prof["count"][city_src] == 0)
+    if city_empty:
         cust = cust.withColumn("city", F.lit("Unknown"))
-    else:
-        city_empty = cust.select(F.count("city") == 0).scalar()
-        cust = cust.withColumn("city", F.when(city_empty, F.lit("Unknown")).otherwise(F.col("city")))
     cust = cust.withColumn("lifetime_value", F.col("lifetime_value").cast("double"))
     cust = cust.withColumn("age_group", F.lit("Unknown"))
     keep = ["customer_id"] + [c for c in ("city", "region", "country", "state", "segment") if c in cust.columns] \

@@ -42,12 +42,11 @@ def quantile_scalar(df: DataFrame, col: str, q: float, accuracy: int = DEFAULT_A
     slack = 2.0 / accuracy
     p_lo = max(0.0, k / n - slack)
     p_hi = min(1.0, (k + 2) / n + slack)
-    lo = vals.select(F.percentile_approx("v", F.lit(p_lo), F.lit(accuracy))).scalar()
-    hi = vals.select(F.percentile_approx("v", F.lit(p_hi), F.lit(accuracy))).scalar()
-    if p_lo == 0.0:
-        lo = vals.select(F.min("v")).scalar()
-    if p_hi == 1.0:
-        hi = vals.select(F.max("v")).scalar()
+    br = vals.select(F.struct(
+        F.percentile_approx("v", F.array(F.lit(p_lo), F.lit(p_hi)), F.lit(accuracy)).alias("b"),
+        F.min("v").alias("mn"), F.max("v").alias("mx"))).scalar()
+    lo = br.getField("mn") if p_lo == 0.0 else F.element_at(br.getField("b"), 1)
+    hi = br.getField("mx") if p_hi == 1.0 else F.element_at(br.getField("b"), 2)
     below = vals.select(F.count_if(F.col("v") < lo)).scalar()
     inside = (vals.where((F.col("v") >= lo) & (F.col("v") <= hi))
               .groupBy("v").agg(F.count(F.lit(1)).alias("c")))
@@ -61,6 +60,24 @@ def quantile_scalar(df: DataFrame, col: str, q: float, accuracy: int = DEFAULT_A
     return v_k + (v_k1 - v_k) * F.lit(frac)
 
 
+def quantile_scalars(df: DataFrame, cols: list[str], q: float,
+                     accuracy: int = DEFAULT_ACCURACY) -> dict[str, Column]:
+    """``quantile_scalar`` for several columns with one counting pass; columns
+    small enough for the exact buffer share one scalar subquery."""
+    counts = df.agg(*[F.count(F.col(c).cast("double")).alias(f"n{i}") for i, c in enumerate(cols)]).first()
+    out: dict[str, Column] = {}
+    small = [c for i, c in enumerate(cols) if counts[f"n{i}"] <= accuracy]
+    if small:
+        st = df.select(F.struct(*[F.percentile(F.col(c).cast("double"), F.lit(q)).alias(f"q{i}")
+                                  for i, c in enumerate(small)])).scalar()
+        for i, c in enumerate(small):
+            out[c] = st.getField(f"q{i}")
+    for c in cols:
+        if c not in out:
+            out[c] = quantile_scalar(df, c, q, accuracy)
+    return out
+
+
 def group_median(df: DataFrame, key: str, col: str, out: str = "median") -> DataFrame:
     """Exact per-key median (linear interpolation), one row per key."""
     counts = (df.where(F.col(col).isNotNull())

@@ -228,3 +228,36 @@ def _kpi_json(spark, d):
     reg = _REG_METRICS(spark, d)
     doc = kpis.kpi_document(k, reg_metrics=reg, with_timestamp=False)
     return doc.select(F.to_json(F.struct(*doc.columns)).alias("kpi_json"))
+
+
+@register("report_sections")
+def _report_sections(spark, d):
+    return reports.insight_cards(_insights_doc(spark, d), reports.REPORT_LIMITS)
+
+
+@register("top_features")
+def _top_features(spark, d):
+    model, _ = _sales_fit(spark, d)
+    imp = models.feature_importance(model, models.SALES_FEATURES)
+    return imp.orderBy(F.col("importance").desc(), F.col("feature").asc()).limit(kpis.TOP_FEATURES)
+
+
+_IMPUTE_COLS = ["lifetime_value", "total_orders", "avg_order_value", "recency", "total_spent",
+                "avg_rating_given", "return_rate", "customer_age_days"]
+
+
+@register("impute_features", with_views(
+    "SELECT customer_id, " + ", ".join(
+        f"{NPROUND(f'COALESCE(CAST({c} AS DOUBLE), (SELECT quantile_cont({c}, 0.5) FROM features), 0e0)', 9)} AS {c}"
+        for c in _IMPUTE_COLS) + " FROM features", _FEATURES))
+def _impute_features(spark, d):
+    f = churn.impute_features(_features(spark, d), _IMPUTE_COLS)
+    return f.select("customer_id", *[np_round(F.col(c), 9).alias(c) for c in _IMPUTE_COLS])
+
+
+@register("fill_order_nulls", with_views(
+    "SELECT order_id, line_no, product_id, COALESCE(quantity, 1e0) AS quantity, "
+    "COALESCE(discount_pct, 0e0) AS discount_pct FROM orders_c"))
+def _fill_order_nulls(spark, d):
+    o = _o(spark, d).select("order_id", "line_no", "product_id", "quantity", "discount_pct")
+    return clean.fill_order_nulls(o)
