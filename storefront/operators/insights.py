@@ -237,34 +237,85 @@ def _row(spark, section: str, ordinal: int, metric: str, value: Column, hint: Co
                       hint.cast("string").alias("hint"), F.lit(severity).cast("string").alias("severity"))
 
 
+def insight_facts(orders: DataFrame, ref_date: str) -> DataFrame:
+    """The order-level numbers of the insight document in one aggregate pass.
+
+    ``GROUPING SETS ((category), (discount_pct), (product_id), ())`` over the
+    orders: one scan and one shuffle (partial aggregation per set before it)
+    instead of one scan of the fact table per insight.  ``level`` names the set
+    of each row; recent-window figures are conditional aggregates.
+    """
+    dt = orders.schema["order_date"].dataType
+    recent = F.col("order_date") >= F.lit(cutoff(ref_date, RECENT_DAYS)).cast(dt)
+    short = F.col("order_date") >= F.lit(cutoff(ref_date, SHORT_DAYS)).cast(dt)
+    late = F.col("delivery_delay") > DELAY_ALERT_DAYS
+    failed = F.col("failed_payment_attempts") > 0
+    g = orders.groupingSets([["category"], ["discount_pct"], ["product_id"], []],
+                            "category", "discount_pct", "product_id")
+    facts = g.agg(
+        F.grouping_id().alias("_gid"),
+        F.count_if(recent).alias("orders_90"),
+        F.coalesce(exact_sum(F.when(recent, F.col("order_value"))), F.lit(0.0)).alias("revenue_90"),
+        F.count_if(short).alias("orders_30"),
+        F.coalesce(exact_sum(F.when(short, F.col("order_value"))), F.lit(0.0)).alias("revenue_30"),
+        F.coalesce(F.sum(F.when(recent, F.col("quantity"))), F.lit(0.0)).alias("units_90"),
+        F.coalesce(exact_sum(F.when(recent, F.col("rating"))), F.lit(0.0)).alias("_rating_sum_90"),
+        F.count(F.when(recent, F.col("rating"))).alias("_rating_n_90"),
+        F.count(F.lit(1)).alias("orders"),
+        F.coalesce(F.sum("is_returned"), F.lit(0)).cast("bigint").alias("_ret_sum"),
+        F.count("is_returned").alias("_ret_n"),
+        F.coalesce(F.sum("delivery_time_days"), F.lit(0)).cast("bigint").alias("_del_sum"),
+        F.count("delivery_time_days").alias("_del_n"),
+        F.count_if(late).alias("delayed_orders"),
+        F.coalesce(F.sum(F.when(late, F.col("delivery_delay"))), F.lit(0)).cast("bigint").alias("_late_delay_sum"),
+        F.count(F.when(late, F.col("delivery_delay"))).alias("_late_delay_n"),
+        F.coalesce(F.sum(F.when(late, F.col("is_returned"))), F.lit(0)).cast("bigint").alias("_late_ret_sum"),
+        F.count(F.when(late, F.col("is_returned"))).alias("_late_ret_n"),
+        F.count_if(failed).alias("failed_orders"),
+        F.coalesce(exact_sum(F.when(failed, F.col("order_value"))), F.lit(0.0)).alias("value_at_stake"),
+    )
+    # grouping_id bits follow the column order (category, discount_pct, product_id)
+    level = (F.when(F.col("_gid") == 3, "category").when(F.col("_gid") == 5, "discount_pct")
+             .when(F.col("_gid") == 6, "product_id").otherwise("all"))
+    return facts.withColumn("level", level).drop("_gid")
+
+
 def insights(orders: DataFrame, products: DataFrame, scored: DataFrame, customers: DataFrame,
              ref_date: str, top_sales_features: DataFrame | None = None) -> DataFrame:
     """The insight document as rows (section, ordinal, metric, value, hint, severity).
 
     Insights whose data is empty are absent, as in the reference (e.g. no recent
     orders -> no revenue or product insights; no failures -> no payment row).
+    All order-level numbers come from one grouping-sets pass (``insight_facts``);
+    the small fact table is kept for the dozen reads below.
     """
     spark = orders.sparkSession
-    # about fifteen aggregates read the same inputs: keep the needed columns once
-    # (recomputed from lineage if an executor is lost)
-    need = [c for c in ("order_date", "order_value", "category", "discount_pct", "product_id", "quantity",
-                        "rating", "delivery_time_days", "delivery_delay", "is_returned",
-                        "failed_payment_attempts") if c in orders.columns]
-    orders = orders.select(*need).persist(StorageLevel.MEMORY_AND_DISK)
-    scored = scored.select("customer_id", "churn_probability", "total_orders", "total_spent") \
-                   .persist(StorageLevel.MEMORY_AND_DISK)
+    facts = insight_facts(orders, ref_date).persist(StorageLevel.MEMORY_AND_DISK)
+    glob = facts.where(F.col("level") == "all")
+    cats = facts.where((F.col("level") == "category") & F.col("category").isNotNull())
+    discs = facts.where((F.col("level") == "discount_pct") & F.col("discount_pct").isNotNull()
+                        & (F.col("orders_90") > 0))
+    prods = (facts.where((F.col("level") == "product_id") & F.col("product_id").isNotNull()
+                         & (F.col("orders_90") > 0))
+             .select("product_id", F.col("revenue_90").alias("revenue"))
+             .join(products.select("product_id"), "product_id"))
     parts: list[DataFrame] = []
-    rev = revenue_90_30(orders, ref_date).where(F.col("orders_90") > 0)
+    rev = glob.where(F.col("orders_90") > 0)
     parts.append(_row(spark, "revenue_insights", 1, "Total Revenue (90 days)",
                       money_text(F.col("revenue_90")),
                       F.lit("Focus on maintaining this revenue momentum."), None, rev))
-    tc = top_category(orders, ref_date)
+    total90 = glob.select("revenue_90").scalar()
+    tc = (cats.where(F.col("orders_90") > 0)
+          .orderBy(F.col("revenue_90").desc(), F.col("category").asc()).limit(1)
+          .select("category", F.col("revenue_90").alias("revenue"),
+                  (F.col("revenue_90") / total90 * F.lit(100.0)).alias("share_pct")))
     parts.append(_row(spark, "revenue_insights", 2, "Top Revenue Category",
                       F.concat(F.col("category"), F.lit(": "), money_text(F.col("revenue")), F.lit(" ("),
                                F.format_number(F.col("share_pct"), 1), F.lit("%)")),
                       F.concat(F.lit("Increase inventory and marketing for '"), F.col("category"), F.lit("'.")),
                       None, tc))
-    od = optimal_discount(orders, ref_date)
+    od = (discs.orderBy(F.col("revenue_90").desc(), F.col("discount_pct").asc()).limit(1)
+          .select("discount_pct"))
     parts.append(_row(spark, "revenue_insights", 3, "Optimal Discount Strategy",
                       F.concat(F.col("discount_pct").cast("string"), F.lit("% discount drives highest revenue")),
                       F.concat(F.lit("Test "), F.col("discount_pct").cast("string"),
@@ -279,26 +330,34 @@ def insights(orders: DataFrame, products: DataFrame, scored: DataFrame, customer
     parts.append(_row(spark, "customer_insights", 2, "High-Value Customers",
                       F.concat(F.col("high_value_customers").cast("string"), F.lit(" customers (Top 10%)")),
                       F.lit("Create VIP program."), None, hv))
-    tp = top_products(orders, products, ref_date).where(F.col("n") > 0)
+    tp = _id_list(prods, [F.col("revenue").desc(), F.col("product_id").asc()], TOP_PRODUCTS,
+                  "top_products").where(F.col("n") > 0)
     parts.append(_row(spark, "product_insights", 1, "Top 5 Products (Revenue)", F.col("top_products"),
                       F.lit("Ensure adequate stock. Create product bundles."), None, tp))
-    wp = worst_products(orders, products, ref_date).where(F.col("n") > 0)
+    bottom = (prods.where(F.col("revenue") > 0)
+              .orderBy(F.col("revenue").asc(), F.col("product_id").desc()).limit(TOP_PRODUCTS))
+    wp = _id_list(bottom, [F.col("revenue").desc(), F.col("product_id").asc()], TOP_PRODUCTS,
+                  "worst_products").where(F.col("n") > 0)
     parts.append(_row(spark, "product_insights", 2, "Underperforming Products", F.col("worst_products"),
                       F.lit("Review pricing strategy."), None, wp))
-    di = delivery_insight(orders)
+    di = glob.select((F.col("_del_sum").cast("double") / F.col("_del_n")).alias("avg_delivery_days"),
+                     (F.col("_late_delay_sum").cast("double") / F.col("_late_delay_n")).alias("avg_delay_days"),
+                     (F.col("_late_ret_sum").cast("double") / F.col("_late_ret_n")).alias("delayed_return_rate"))
     parts.append(_row(spark, "operational_insights", 1, "Average Delivery Time",
                       F.concat(F.format_number(F.col("avg_delivery_days"), 1), F.lit(" days")),
                       F.concat(F.lit("Target <3 days. Delays of "), F.format_number(F.col("avg_delay_days"), 1),
                                F.lit(" days correlate with "), pct_text(F.col("delayed_return_rate")),
                                F.lit(" return rate.")), None, di))
-    pf = payment_failures(orders).where(F.col("failed_orders") > 0)
+    pf = glob.where(F.col("failed_orders") > 0).select(
+        "failed_orders", (F.col("failed_orders").cast("double") / F.col("orders") * F.lit(100.0)).alias("failed_pct"),
+        "value_at_stake")
     parts.append(_row(spark, "operational_insights", 2, "Payment Failures",
                       F.concat(F.col("failed_orders").cast("string"), F.lit(" orders ("),
                                F.format_number(F.col("failed_pct"), 1), F.lit("%)")),
                       F.concat(F.lit("Potential lost revenue: "), money_text(F.col("value_at_stake"))), None, pf))
-    rr = return_rate(orders)
-    worst = (return_by_category(orders).orderBy(F.col("return_rate").desc(), F.col("category").asc())
-             .limit(1))
+    rr = glob.select((F.col("_ret_sum").cast("double") / F.col("_ret_n")).alias("return_rate"))
+    worst = (cats.select("category", (F.col("_ret_sum").cast("double") / F.col("_ret_n")).alias("return_rate"))
+             .orderBy(F.col("return_rate").desc(), F.col("category").asc()).limit(1))
     parts.append(_row(spark, "operational_insights", 3, "Overall Return Rate",
                       pct_text(F.col("return_rate"), 2),
                       F.concat(F.lit("Target <5%. Highest returns in '"),

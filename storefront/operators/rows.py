@@ -55,32 +55,47 @@ def prefix_sum(df: DataFrame, order_cols: Sequence[str], value_col: str | None,
     n_b = buckets or max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     leaves = _leaves(df, order_cols)
     first = leaves[0]
-    total = df.count()
-    bounds: list = []
-    if total > 0 and n_b > 1:
-        frac = min(1.0, 100.0 * n_b / total)
-        sample = sorted(r[0] for r in df.select(first.alias("k")).sample(False, frac, seed).collect()
-                        if r[0] is not None)
-        if sample:
-            step = len(sample) / n_b
-            bounds = sorted({sample[int(step * i)] for i in range(1, n_b) if int(step * i) < len(sample)})
+    ftype = df.select(first.alias("k")).schema["k"].dataType
+    bounds = _range_bounds(df, first, ftype, n_b, seed) if n_b > 1 else []
     if bounds:
-        arr = F.array(*[F.lit(b) for b in bounds]).cast(
-            f"array<{df.select(first.alias('k')).schema['k'].dataType.simpleString()}>")
+        arr = F.array(*[F.lit(b) for b in bounds]).cast(f"array<{ftype.simpleString()}>")
         bucket = F.size(F.filter(arr, lambda b: b <= first))
     else:
         bucket = F.lit(0)
     keyed = df.withColumn("_pid", bucket)
     val = F.lit(1) if value_col is None else F.col(value_col)
     inner = Window.partitionBy("_pid").orderBy(*leaves).rowsBetween(Window.unboundedPreceding, -1)
-    numbered = keyed.withColumn("_rn", F.coalesce(F.sum(val).over(inner), F.lit(0)))
-    counts = keyed.groupBy("_pid").agg(F.sum(val).alias("_n"))
+    numbered = keyed.withColumn("_v", val).withColumn("_rn", F.coalesce(F.sum("_v").over(inner), F.lit(0)))
+    # bucket sizes from the numbered rows: same shuffle (reused), input computed once
+    counts = numbered.groupBy("_pid").agg(F.sum("_v").alias("_n"))
     offsets = counts.select(
         "_pid", (F.sum("_n").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)))
         .alias("_off"))
     return (numbered.join(F.broadcast(offsets), "_pid")
             .withColumn(out, F.coalesce(F.col("_off"), F.lit(0)) + F.col("_rn"))
-            .drop("_pid", "_rn", "_off"))
+            .drop("_pid", "_rn", "_off", "_v"))
+
+
+def _range_bounds(df: DataFrame, first: Column, ftype, n_b: int, seed: int) -> list:
+    """Sorted distinct boundaries splitting the first order column into about
+    n_b ranges: one ``percentile_approx`` pass for numeric/date/timestamp
+    columns, a bounded sample (about 100 values per range) otherwise."""
+    from pyspark.sql.types import DateType, NumericType, TimestampNTZType, TimestampType
+    if isinstance(ftype, (NumericType, DateType, TimestampType, TimestampNTZType)):
+        ps = [i / n_b for i in range(1, n_b)]
+        row = df.select(F.percentile_approx(first, F.array(*[F.lit(p) for p in ps]), F.lit(10_000))).first()
+        vals = row[0] if row and row[0] is not None else []
+        return sorted({v for v in vals if v is not None})
+    total = df.count()
+    if total == 0:
+        return []
+    frac = min(1.0, 100.0 * n_b / total)
+    sample = sorted(r[0] for r in df.select(first.alias("k")).sample(False, frac, seed).collect()
+                    if r[0] is not None)
+    if not sample:
+        return []
+    step = len(sample) / n_b
+    return sorted({sample[int(step * i)] for i in range(1, n_b) if int(step * i) < len(sample)})
 
 
 def _leaves(df: DataFrame, cols: Sequence[str]) -> list[Column]:

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from storefront.operators import churn, clean, insights, kpis, models, reports
 from storefront.operators.clean import np_round
-from storefront.plans.catalog import (_FEATURES, IAVG, NPROUND, REF, XSUM, _features, _kpis,
+from storefront.plans.catalog import (_FEATURES, CUT30, CUT90, IAVG, NPROUND, REF, XSUM, _features, _kpis,
                                       register)
 from storefront.plans.views import with_views
 from storefront.sources import testdata as td
@@ -261,3 +261,37 @@ def _impute_features(spark, d):
 def _fill_order_nulls(spark, d):
     o = _o(spark, d).select("order_id", "line_no", "product_id", "quantity", "discount_pct")
     return clean.fill_order_nulls(o)
+
+
+_LATE = "delivery_delay > 2"
+_FAIL = "failed_payment_attempts > 0"
+_R90 = f"order_date >= {CUT90}"
+_R30 = f"order_date >= {CUT30}"
+
+
+@register("insight_facts", with_views(
+    "SELECT COALESCE(category, CAST(discount_pct AS VARCHAR), CAST(product_id AS VARCHAR)) AS key, "
+    f"COUNT(*) FILTER (WHERE {_R90}) AS orders_90, "
+    f"COALESCE({XSUM(f'CASE WHEN {_R90} THEN order_value END')}, 0e0) AS revenue_90, "
+    f"COUNT(*) FILTER (WHERE {_R30}) AS orders_30, "
+    f"COALESCE({XSUM(f'CASE WHEN {_R30} THEN order_value END')}, 0e0) AS revenue_30, "
+    f"COALESCE(SUM(CASE WHEN {_R90} THEN quantity END), 0e0) AS units_90, "
+    f"COALESCE({XSUM(f'CASE WHEN {_R90} THEN rating END')}, 0e0) AS _rating_sum_90, "
+    f"COUNT(CASE WHEN {_R90} THEN rating END) AS _rating_n_90, COUNT(*) AS orders, "
+    "CAST(COALESCE(SUM(is_returned), 0) AS BIGINT) AS _ret_sum, COUNT(is_returned) AS _ret_n, "
+    "CAST(COALESCE(SUM(delivery_time_days), 0) AS BIGINT) AS _del_sum, COUNT(delivery_time_days) AS _del_n, "
+    f"COUNT(*) FILTER (WHERE {_LATE}) AS delayed_orders, "
+    f"CAST(COALESCE(SUM(CASE WHEN {_LATE} THEN delivery_delay END), 0) AS BIGINT) AS _late_delay_sum, "
+    f"COUNT(CASE WHEN {_LATE} THEN delivery_delay END) AS _late_delay_n, "
+    f"CAST(COALESCE(SUM(CASE WHEN {_LATE} THEN is_returned END), 0) AS BIGINT) AS _late_ret_sum, "
+    f"COUNT(CASE WHEN {_LATE} THEN is_returned END) AS _late_ret_n, "
+    f"COUNT(*) FILTER (WHERE {_FAIL}) AS failed_orders, "
+    f"COALESCE({XSUM(f'CASE WHEN {_FAIL} THEN order_value END')}, 0e0) AS value_at_stake, "
+    "CASE GROUPING(category, discount_pct, product_id) WHEN 3 THEN 'category' WHEN 5 THEN 'discount_pct' "
+    "WHEN 6 THEN 'product_id' ELSE 'all' END AS level FROM orders_c "
+    "GROUP BY GROUPING SETS ((category), (discount_pct), (product_id), ())"))
+def _insight_facts(spark, d):
+    f = insights.insight_facts(_o(spark, d), REF)
+    key = F.coalesce(F.col("category"), F.col("discount_pct").cast("string"), F.col("product_id").cast("string"))
+    return f.select("level", key.alias("key"), *[c for c in f.columns
+                                                 if c not in ("level", "category", "discount_pct", "product_id")])

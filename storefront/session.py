@@ -19,6 +19,8 @@ from pyspark.sql import SparkSession
 #    or product with a third of all rows) are split at run time.
 #  * Broadcast only below a size the planner has measured (default 10 MB; AQE
 #    re-checks with runtime statistics).
+#  * Runtime bloom filters: a selective filter on one join side prunes the other
+#    side's scan before the shuffle.
 SESSION_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -27,6 +29,9 @@ SESSION_CONF = {
     "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "3",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
+    # a filtered dimension side (e.g. orders of the last 90 days) builds a bloom
+    # filter that prunes the fact side (lineitem) before the join shuffle
+    "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
 }
 
 

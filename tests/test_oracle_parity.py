@@ -16,7 +16,7 @@ TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineite
 
 
 def _norm(v):
-    if v is None or (isinstance(v, float) and math.isnan(v)):
+    if v is None or v is pd.NA or v is pd.NaT or (isinstance(v, float) and math.isnan(v)):
         return ("~",)
     if isinstance(v, bool):
         return ("b", v)
@@ -75,3 +75,28 @@ def test_every_query_has_oracle_or_is_a_model():
     rows_only = set(queries()) - set(oracle_sql())
     assert rows_only <= {"sales_model", "feature_importance", "top_features", "churn_model", "score_customers",
                          "insights", "insight_cards", "report_sections", "kpi_json"}
+
+
+@pytest.mark.skipif(not os.path.exists(SF), reason="test data not present")
+def test_insight_document_agrees_with_operators(spark):
+    from pyspark.sql import functions as F
+
+    from storefront.operators import insights
+    from storefront.plans.model_plans import _features, _recency_score
+    from storefront.sources import testdata as td
+    o, p, c = td.orders(spark, SF), td.products(spark, SF), td.customers(spark, SF)
+    doc = {(r.section, r.metric): r for r in insights.insights(
+        o, p, _recency_score(_features(spark, SF)), c, td.REF_DATE).collect()}
+    top = insights.top_products(o, p, td.REF_DATE).first()
+    assert doc[("product_insights", "Top 5 Products (Revenue)")].value == top.top_products
+    worst = insights.worst_products(o, p, td.REF_DATE).first()
+    assert doc[("product_insights", "Underperforming Products")].value == worst.worst_products
+    cat = insights.top_category(o, td.REF_DATE).first()
+    assert doc[("revenue_insights", "Top Revenue Category")].value.startswith(cat.category + ": ")
+    disc = insights.optimal_discount(o, td.REF_DATE).first()
+    assert doc[("revenue_insights", "Optimal Discount Strategy")].value.startswith(str(disc.discount_pct))
+    failed = insights.payment_failures(o).first()
+    assert doc[("operational_insights", "Payment Failures")].value.startswith(f"{failed.failed_orders} orders")
+    worst_cat = (insights.return_by_category(o).orderBy(F.col("return_rate").desc(), F.col("category"))
+                 .first().category)
+    assert f"'{worst_cat}'" in doc[("operational_insights", "Overall Return Rate")].hint
