@@ -291,6 +291,9 @@ def insights(orders: DataFrame, products: DataFrame, scored: DataFrame, customer
     """
     spark = orders.sparkSession
     facts = insight_facts(orders, ref_date).persist(StorageLevel.MEMORY_AND_DISK)
+    # the scored customers feed two insights; keep the four columns they read
+    scored = scored.select("customer_id", "churn_probability", "total_orders", "total_spent") \
+                   .persist(StorageLevel.MEMORY_AND_DISK)
     glob = facts.where(F.col("level") == "all")
     cats = facts.where((F.col("level") == "category") & F.col("category").isNotNull())
     discs = facts.where((F.col("level") == "discount_pct") & F.col("discount_pct").isNotNull()
