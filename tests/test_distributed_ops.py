@@ -90,3 +90,15 @@ def test_rank_sources_and_roundtrip(spark):
     back = readers.read_if_present(spark, os.path.join(base, "out"), "csv")
     assert back is not None and back.count() == 1
     assert readers.read_if_present(spark, os.path.join(base, "missing.csv")) is None
+
+
+def test_group_median_hot_key_bracket_path(spark):
+    rng = np.random.default_rng(11)
+    hot = rng.normal(size=5000)
+    rows = [("hot", float(v)) for v in hot] + [("hot", 0.125)] * 2000 + \
+           [("small", 1.0), ("small", 4.0), ("small", 2.0)]
+    df = spark.createDataFrame(rows, "k string, v double")
+    got = {r.k: r.median for r in group_median(df, "k", "v", accuracy=500).collect()}
+    assert got["small"] == 2.0
+    assert got["hot"] == pytest.approx(float(np.median(np.concatenate([hot, np.full(2000, 0.125)]))),
+                                       rel=0, abs=1e-12)
