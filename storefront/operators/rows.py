@@ -56,8 +56,17 @@ def prefix_sum(df: DataFrame, order_cols: Sequence[str], value_col: str | None,
     leaves = _leaves(df, order_cols)
     first = leaves[0]
     ftype = df.select(first.alias("k")).schema["k"].dataType
-    bounds = _range_bounds(df, first, ftype, n_b, seed) if n_b > 1 else []
-    if bounds:
+    bounds, hot = _range_bounds(df, first, ftype, n_b, seed) if n_b > 1 else ([], False)
+    if hot and len(leaves) > 1:
+        # one first-column value spans several ranges: cut on (first, second) pairs
+        # so that value is spread over several buckets too
+        pairs = _pair_bounds(df, leaves[0], leaves[1], n_b, seed)
+        stype = df.select(F.struct(leaves[0].alias("a"), leaves[1].alias("b")).alias("k")).schema["k"].dataType
+        arr = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a, b in pairs]).cast(
+            f"array<{stype.simpleString()}>")
+        key2 = F.struct(leaves[0].alias("a"), leaves[1].alias("b"))
+        bucket = F.size(F.filter(arr, lambda x: x <= key2)) if pairs else F.lit(0)
+    elif bounds:
         arr = F.array(*[F.lit(b) for b in bounds]).cast(f"array<{ftype.simpleString()}>")
         bucket = F.size(F.filter(arr, lambda b: b <= first))
     else:
@@ -76,22 +85,38 @@ def prefix_sum(df: DataFrame, order_cols: Sequence[str], value_col: str | None,
             .drop("_pid", "_rn", "_off", "_v"))
 
 
-def _range_bounds(df: DataFrame, first: Column, ftype, n_b: int, seed: int) -> list:
+def _range_bounds(df: DataFrame, first: Column, ftype, n_b: int, seed: int) -> tuple[list, bool]:
     """Sorted distinct boundaries splitting the first order column into about
-    n_b ranges: one ``percentile_approx`` pass for numeric/date/timestamp
-    columns, a bounded sample (about 100 values per range) otherwise."""
+    n_b ranges, and whether one value spans several ranges (a hot value):
+    one ``percentile_approx`` pass for numeric/date/timestamp columns, a
+    bounded sample (about 100 values per range) otherwise."""
     from pyspark.sql.types import DateType, NumericType, TimestampNTZType, TimestampType
     if isinstance(ftype, (NumericType, DateType, TimestampType, TimestampNTZType)):
         ps = [i / n_b for i in range(1, n_b)]
         row = df.select(F.percentile_approx(first, F.array(*[F.lit(p) for p in ps]), F.lit(10_000))).first()
-        vals = row[0] if row and row[0] is not None else []
-        return sorted({v for v in vals if v is not None})
+        vals = [v for v in (row[0] if row and row[0] is not None else []) if v is not None]
+        return sorted(set(vals)), len(set(vals)) < len(vals)
     total = df.count()
     if total == 0:
-        return []
+        return [], False
     frac = min(1.0, 100.0 * n_b / total)
     sample = sorted(r[0] for r in df.select(first.alias("k")).sample(False, frac, seed).collect()
                     if r[0] is not None)
+    if not sample:
+        return [], False
+    step = len(sample) / n_b
+    picks = [sample[int(step * i)] for i in range(1, n_b) if int(step * i) < len(sample)]
+    return sorted(set(picks)), len(set(picks)) < len(picks)
+
+
+def _pair_bounds(df: DataFrame, a: Column, b: Column, n_b: int, seed: int) -> list:
+    """Sorted distinct (a, b) boundaries from a bounded sample (about 100 rows per range)."""
+    total = df.count()
+    if total == 0:
+        return []
+    frac = min(1.0, 100.0 * n_b / total)
+    sample = sorted((r[0], r[1]) for r in df.select(a.alias("a"), b.alias("b")).sample(False, frac, seed).collect()
+                    if r[0] is not None and r[1] is not None)
     if not sample:
         return []
     step = len(sample) / n_b

@@ -102,3 +102,14 @@ def test_group_median_hot_key_bracket_path(spark):
     assert got["small"] == 2.0
     assert got["hot"] == pytest.approx(float(np.median(np.concatenate([hot, np.full(2000, 0.125)]))),
                                        rel=0, abs=1e-12)
+
+
+def test_dense_row_index_hot_first_column(spark):
+    # a third of the rows share the first order value: they must still be spread
+    df = spark.range(0, 3000).select(F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id")).alias("k"),
+                                     F.col("id"))
+    got = dense_row_index(df, ["k", "id"], buckets=8).toPandas().sort_values(["k", "id"]).reset_index(drop=True)
+    assert list(got.row_index) == list(range(3000))
+    from storefront.operators.rows import _range_bounds
+    _, hot = _range_bounds(df, F.col("k"), df.schema["k"].dataType, 8, 42)
+    assert hot
