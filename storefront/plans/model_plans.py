@@ -162,7 +162,7 @@ _MODEL_CACHE: dict = {}
 
 
 def _sales_fit(spark, d):
-    key = ("sales", d)
+    key = ("sales", d, spark.sparkContext.applicationId)   # a model lives in one session
     if key not in _MODEL_CACHE:
         o = clean.date_parts(clean.profit_margin(_o(spark, d), td.products(spark, d)))
         _MODEL_CACHE[key] = models.fit_sales_model(o)
@@ -170,7 +170,7 @@ def _sales_fit(spark, d):
 
 
 def _churn_fit(spark, d):
-    key = ("churn", d)
+    key = ("churn", d, spark.sparkContext.applicationId)
     if key not in _MODEL_CACHE:
         _MODEL_CACHE[key] = models.fit_churn_model(_features(spark, d))
     return _MODEL_CACHE[key]
