@@ -235,3 +235,39 @@ def test_wide_split_first_non_null_and_defaults(spark):
     c = {r.customer_id: r for r in split.split_customers(df, "Row.ID").collect()}
     assert c["C1"].city == "Pune" and c["C1"].lifetime_value == 150.0
     assert c["C1"].signup_date == _ts("2024-01-01") and c["C2"].age_group == "Unknown"
+
+
+def test_review_export_detection_and_enrichment(spark):
+    from storefront.operators import reviews
+    assert reviews.is_review_export(["product_id", "user_id", "rating"])
+    assert not reviews.is_review_export(["order_id", "order_date", "user_id"])
+    assert not reviews.is_review_export(["product_id", "category"])
+    raw = spark.createDataFrame(
+        [(1, "P1", "Lamp", "Home", "₹1,000", "₹800", "4.5", "U1", "Asha"),
+         (2, "P1", "Lamp", "Home", "₹1,000", "₹900", "bad", "U2", "Ravi"),
+         (3, "P2", "Pen", None, "₹0", "₹0", None, "U1", "Asha")],
+        "ord int, product_id string, product_name string, category string, actual_price string, "
+        "discounted_price string, rating string, user_id string, user_name string")
+    orders = {r.order_id: r for r in reviews.reviews_to_orders(raw, "ord", REF).collect()}
+    assert sorted(orders) == ["AMZ_O100000", "AMZ_O100001", "AMZ_O100002"]
+    o0 = orders["AMZ_O100000"]
+    assert o0.discount_pct == pytest.approx(20.0) and o0.customer_rating == 4.5 and o0.quantity == 1
+    assert orders["AMZ_O100001"].customer_rating == 4.0          # unparseable rating -> 4
+    assert orders["AMZ_O100002"].discount_pct == 0.0             # zero base price -> 0
+    prods = reviews.reviews_products(raw, "ord")
+    enriched = {r.order_id: r for r in reviews.enrich_review_orders(
+        reviews.reviews_to_orders(raw, "ord", REF), prods).collect()}
+    assert enriched["AMZ_O100000"].rating == 4.5 and enriched["AMZ_O100000"].category == "Home"
+    assert enriched["AMZ_O100002"].rating == 4.0 and enriched["AMZ_O100002"].category is None
+    cust = {r.customer_id: r for r in reviews.reviews_customers(raw, "ord", REF).collect()}
+    assert set(cust) == {"U1", "U2"} and cust["U1"].user_name == "Asha" and cust["U1"].lifetime_value == 0.0
+    lo, hi = _ts("2022-06-14"), _ts("2024-11-01")           # ref - [30, 900) days
+    assert all(lo <= c.signup_date <= hi for c in cust.values())
+
+
+def test_high_value_flag_is_strictly_above_quantile(spark):
+    df = spark.createDataFrame([(str(i), float(v)) for i, v in enumerate([1, 2, 3, 4, 5, 6, 7, 8, 9, 10])],
+                               "customer_id string, lifetime_value double")
+    flags = {r.customer_id: r.is_high_value for r in clean.high_value_flag(df).collect()}
+    # 0.85 quantile of 1..10 = 8.65: only the values 9 and 10 (ids "8", "9") are above it
+    assert sorted(k for k, v in flags.items() if v == 1) == ["8", "9"]
