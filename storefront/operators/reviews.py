@@ -23,6 +23,9 @@ ORDER_KEEP = ["order_id", "customer_id", "product_id", "order_date", "quantity",
               "price_after_discount", "base_price", "delivery_time_days", "delivery_delay", "payment_method",
               "failed_payment_attempts", "is_returned", "customer_rating"]
 ORDER_NUMBER_BASE = 100000
+ORDER_PREFIX = "AMZ_O"
+CUSTOMER_PREFIX = "C_AMZ_"
+PRODUCT_PREFIX = "P_AMZ_"
 SIGNUP_DAYS = (30, 900)          # signup = ref - [30, 900) days
 ORDER_DAYS = (0, 730)            # order date = ref - [0, 730) days
 PRODUCT_HASH_MOD = 100000
@@ -52,7 +55,7 @@ def reviews_customers(df: DataFrame, order_col: str, ref_date: str) -> DataFrame
                 if extra else df.select(F.col("user_id").alias("customer_id")).distinct())
     else:
         idx = dense_row_index(df.select(order_col), [order_col])
-        cust = idx.select(F.concat(F.lit("C_AMZ_"), F.col("row_index").cast("string")).alias("customer_id"))
+        cust = idx.select(F.concat(F.lit(CUSTOMER_PREFIX), F.col("row_index").cast("string")).alias("customer_id"))
     return (cust.withColumn("signup_date", hash_days_before(ref_date, F.col("customer_id"), *SIGNUP_DAYS))
                 .withColumn("lifetime_value", F.lit(0.0)))
 
@@ -60,16 +63,16 @@ def reviews_customers(df: DataFrame, order_col: str, ref_date: str) -> DataFrame
 def _with_product_id(df: DataFrame) -> DataFrame:
     name = F.col("product_name") if "product_name" in df.columns else F.lit("")
     h = F.conv(F.substring(F.md5(name.cast("string")), 1, 8), 16, 10).cast("bigint")
-    return df.withColumn("product_id", F.concat(F.lit("P_AMZ_"), F.pmod(h, F.lit(PRODUCT_HASH_MOD)).cast("string")))
+    return df.withColumn("product_id", F.concat(F.lit(PRODUCT_PREFIX), F.pmod(h, F.lit(PRODUCT_HASH_MOD)).cast("string")))
 
 
 def reviews_to_orders(df: DataFrame, order_col: str, ref_date: str) -> DataFrame:
     """A5-A10: one order per review row in the standard order schema."""
     indexed = dense_row_index(df, [order_col])
     i = F.col("row_index")
-    out = indexed.withColumn("order_id", F.concat(F.lit("AMZ_O"), (i + ORDER_NUMBER_BASE).cast("string")))
+    out = indexed.withColumn("order_id", F.concat(F.lit(ORDER_PREFIX), (i + ORDER_NUMBER_BASE).cast("string")))
     out = (out.withColumnRenamed("user_id", "customer_id") if "user_id" in df.columns
-           else out.withColumn("customer_id", F.concat(F.lit("C_AMZ_"), i.cast("string"))))
+           else out.withColumn("customer_id", F.concat(F.lit(CUSTOMER_PREFIX), i.cast("string"))))
     if "product_id" not in df.columns:
         out = _with_product_id(out)
     if "discounted_price" in df.columns:
