@@ -15,10 +15,6 @@ import numpy as np
 
 from . import textvec as tv
 
-#: Places of a worker's table of pieces; at half full it is emptied and filled anew.
-TABLE_PLACES = 1 << 22
-
-
 class SliceEncoder:
     """ids of concatenated texts; special tokens in a text are ordinary text."""
 
@@ -30,12 +26,11 @@ class SliceEncoder:
         self._empty()
 
     def _empty(self) -> None:
-        """An open-addressing table: hash of a piece, and where its ids lie."""
-        self.keys = np.zeros(TABLE_PLACES, np.uint64)
-        self.at = np.zeros(TABLE_PLACES, np.uint32)
-        self.size = np.zeros(TABLE_PLACES, np.uint32)
+        self.known = tv.KeyTable()
+        self.at = np.zeros(len(self.known.keys), np.uint32)
+        self.size = np.zeros(len(self.known.keys), np.uint32)
         self.ids = np.zeros(1 << 20, np.uint32)
-        self.n_keys = self.n_ids = 0
+        self.n_ids = 0
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All ids one after the other, and each text's number of ids."""
@@ -48,19 +43,19 @@ class SliceEncoder:
         ends = np.append(starts[1:], len(data))
         h = tv.span_hashes(tv.BYTE_HASH[data], starts) ^ tv.mix64((ends - starts).astype(np.uint64))
         h[h == 0] = 1
-        place = self._find(h)
+        place = self.known.find(h)
         missing = np.flatnonzero(place < 0)
         if len(missing):
             keys, first = np.unique(h[missing], return_index=True)
-            if self.n_keys + len(keys) > TABLE_PLACES // 2:
+            if not self.known.room(len(keys)):
                 self._empty()
-                if len(h) > TABLE_PLACES // 2:  # one very long text: the table would not hold its pieces
+                if not self.known.room(len(h)):  # one very long text: the table would not hold its pieces
                     return self._plain(data, offsets)
                 keys, missing = np.unique(h, return_index=True)
                 first = np.arange(len(keys))
             raw = data.tobytes()
             self._learn(keys, [raw[starts[i]:ends[i]].decode("utf-8") for i in missing[first]])
-            place = self._find(h)
+            place = self.known.find(h)
         size = self.size[place].astype(np.int64)
         total = np.cumsum(size)
         index = np.repeat(self.at[place] - (total - size), size) + np.arange(total[-1])
@@ -73,21 +68,6 @@ class SliceEncoder:
         size = np.fromiter(map(len, encoded), np.int64, len(encoded))
         return np.fromiter(chain.from_iterable(encoded), np.uint32, int(size.sum())), size
 
-    def _find(self, keys: np.ndarray) -> np.ndarray:
-        """Place of each key in the table, or -1."""
-        mask = TABLE_PLACES - 1
-        place = (keys & np.uint64(mask)).astype(np.int64)
-        found = self.keys[place]
-        open_ = np.flatnonzero(found != keys)
-        place[open_[found[open_] == 0]] = -1
-        open_ = open_[found[open_] != 0]
-        while len(open_):
-            nxt = (place[open_] + 1) & mask
-            found = self.keys[nxt]
-            place[open_] = np.where(found == 0, -1, nxt)
-            open_ = open_[(found != keys[open_]) & (found != 0)]
-        return place
-
     def _learn(self, keys: np.ndarray, pieces: list[str]) -> None:
         encoded = [e.ids for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
         size = np.fromiter(map(len, encoded), np.int64, len(encoded))
@@ -97,16 +77,8 @@ class SliceEncoder:
         self.ids[self.n_ids:self.n_ids + len(more)] = more
         at = self.n_ids + np.cumsum(size) - size
         self.n_ids += len(more)
-        self.n_keys += len(keys)
-        place = (keys & np.uint64(TABLE_PLACES - 1)).astype(np.int64)
-        left = np.arange(len(keys))
-        while len(left):
-            free = left[self.keys[place[left]] == 0]
-            self.keys[place[free]] = keys[free]  # of several at one place the last stays
-            held = free[self.keys[place[free]] == keys[free]]
-            self.at[place[held]], self.size[place[held]] = at[held], size[held]
-            left = np.setdiff1d(left, held, assume_unique=True)
-            place[left] = (place[left] + 1) & (TABLE_PLACES - 1)
+        place = self.known.add(keys)
+        self.at[place], self.size[place] = at, size
 
 
 @lru_cache(maxsize=2)

@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import packing, sharding
+from . import decontaminate, imatch, packing, quality_gam, sharding, token_count, toxicity
 from .corpus_io import table
 
 
@@ -23,12 +23,44 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "sequence_id", "offset")
 
 
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents that hold an item of ``benchmark``."""
+    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of all documents by a learned lexicon."""
+    docs = table(spark, sf_dir, "documents")
+    lexicon = toxicity.learn_lexicon(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, lexicon)
+
+
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in shards 0 to 23 of near equal size."""
     return sharding.shard(table(spark, sf_dir, "documents"), 24)
 
 
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of all documents by the additive model."""
+    return quality_gam.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op9_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """I-Match fingerprints of all documents and of their edited texts."""
+    return imatch.fingerprints(table(spark, sf_dir, "documents"))
+
+
+def op10_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unigram token counts of all documents."""
+    return token_count.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_packing": op2_packing,
+    "op3_decontamination": op3_decontamination,
+    "op5_toxicity": op5_toxicity,
     "op7_sharding": op7_sharding,
+    "op8_quality": op8_quality,
+    "op9_imatch": op9_imatch,
+    "op10_token_count": op10_token_count,
 }

@@ -163,6 +163,45 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, n: int = 5) -> list[np.n
     return out
 
 
+class KeyTable:
+    """Open addressing for 64-bit hashes: a numpy table that a worker keeps between batches."""
+
+    def __init__(self, places: int = 1 << 22):
+        self.mask = places - 1
+        self.keys = np.zeros(places, U64)
+        self.count = 0
+
+    def room(self, more: int) -> bool:
+        """Whether the table stays at most half full with ``more`` keys."""
+        return self.count + more <= (self.mask + 1) // 2
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """Place of each key (none may be 0), or -1."""
+        place = (keys & U64(self.mask)).astype(np.int64)
+        found = self.keys[place]
+        open_ = np.flatnonzero(found != keys)
+        place[open_[found[open_] == 0]] = -1
+        open_ = open_[found[open_] != 0]
+        while len(open_):
+            nxt = (place[open_] + 1) & self.mask
+            found = self.keys[nxt]
+            place[open_] = np.where(found == 0, -1, nxt)
+            open_ = open_[(found != keys[open_]) & (found != 0)]
+        return place
+
+    def add(self, keys: np.ndarray) -> np.ndarray:
+        """Put in distinct keys that are not there yet; their places."""
+        place = (keys & U64(self.mask)).astype(np.int64)
+        left = np.arange(len(keys))
+        while len(left):
+            free = left[self.keys[place[left]] == 0]
+            self.keys[place[free]] = keys[free]  # of several at one place the last stays
+            left = left[self.keys[place[left]] != keys[left]]
+            place[left] = (place[left] + 1) & self.mask
+        self.count += len(keys)
+        return place
+
+
 # --- piece cuts of the byte-level BPE pattern -------------------------------------------------
 
 LETTER, NUMBER, OTHER, BLANK = 0, 1, 2, 3
