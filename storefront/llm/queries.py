@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, imatch, packing, quality_gam, sharding, token_count, toxicity
+from . import decontaminate, imatch, jaccard_join, packing, quality_gam, sharding, token_count, toxicity
 from .corpus_io import table
 
 
@@ -35,6 +35,11 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, lexicon)
 
 
+def op6_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of all documents under Jaccard similarity of 0.75 on five-word shingles."""
+    return jaccard_join.similar(table(spark, sf_dir, "documents"))
+
+
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in shards 0 to 23 of near equal size."""
     return sharding.shard(table(spark, sf_dir, "documents"), 24)
@@ -59,6 +64,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_packing": op2_packing,
     "op3_decontamination": op3_decontamination,
     "op5_toxicity": op5_toxicity,
+    "op6_jaccard": op6_jaccard,
     "op7_sharding": op7_sharding,
     "op8_quality": op8_quality,
     "op9_imatch": op9_imatch,
