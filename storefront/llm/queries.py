@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, imatch, jaccard_join, packing, quality_gam, sharding, token_count, toxicity
+from . import decontaminate, imatch, jaccard_join, packing, quality_gam, sharding, suffix_dedup, token_count, toxicity
 from .corpus_io import table
 
 
@@ -28,6 +28,13 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Repeated strings of 200 bytes removed from all documents."""
+    kept = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return kept.select("doc_id", F.col("_n_bytes").alias("n_bytes"), F.col("_n_removed").alias("n_removed"),
+                       F.col("_n_spans").alias("n_spans"), F.sha2("_kept", 256).alias("kept_sha256"))
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of all documents by a learned lexicon."""
     docs = table(spark, sf_dir, "documents")
@@ -63,6 +70,7 @@ def op10_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_packing": op2_packing,
     "op3_decontamination": op3_decontamination,
+    "op4_suffix_dedup": op4_suffix_dedup,
     "op5_toxicity": op5_toxicity,
     "op6_jaccard": op6_jaccard,
     "op7_sharding": op7_sharding,
