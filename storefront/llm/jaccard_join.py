@@ -368,7 +368,10 @@ def _texts(rows: DataFrame, classes: DataFrame, wanted: DataFrame) -> DataFrame:
 
 
 def similar(docs: DataFrame, rule: Rule = Rule(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Shingle-set size and component of every document: ``doc_id, n_shingles, component_id``.
+    """Shingle-set size and component of every document.
+
+    Returns ``doc_id, text_hash, n_shingles, component_id`` and ``component``, a
+    number of the component (null without shingles).
 
     A document of fewer than ``rule.words`` words has its whole sequence as one
     shingle.  Null texts, empty texts and texts without words have the empty set,
@@ -419,8 +422,27 @@ def similar(docs: DataFrame, rule: Rule = Rule(), id_col: str = "doc_id", text_c
     if not more.isEmpty():
         nodes = connected(edges.unionByName(more.select(F.col("a").alias("u"), F.col("b").alias("v"))))
     named = (sets.filter("n > 0").join(nodes, sets.cls == nodes.node, "left")
-             .select("id", "n", F.coalesce("component", "cls").alias("component")))
+             .select("id", "text_hash", "n", F.coalesce("component", "cls").alias("component")))
     least = named.groupBy("component").agg(F.min("id").alias("component_id"))
-    linked = named.join(least, "component").select("id", "n", "component_id")
-    alone = sets.filter("n = 0").select("id", "n", F.col("id").alias("component_id"))
-    return linked.unionByName(alone).select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), "component_id")
+    linked = named.join(least, "component").select("id", "text_hash", "n", "component_id", "component")
+    alone = sets.filter("n = 0").select("id", "text_hash", "n", F.col("id").alias("component_id"),
+                                        F.lit(None).cast("long").alias("component"))
+    return linked.unionByName(alone).select(F.col("id").alias("doc_id"), "text_hash", F.col("n").alias("n_shingles"),
+                                            "component_id", "component")
+
+
+def representatives(docs: DataFrame, rule: Rule = Rule(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with one row of each component: the one of the least id and, of its texts, the least hash.
+
+    Rows without shingles stay.  Rows that agree in id and text count once.
+    """
+    found = written(similar(docs, rule, id_col, text_col).select("doc_id", "text_hash", "component"), "near-found")
+    stays = found.filter("component is not null").groupBy("component").agg(F.min(F.struct("doc_id", "text_hash")).alias("one"))
+    goes = found.join(stays, "component").filter(
+        ~(F.col("doc_id").eqNullSafe(F.col("one.doc_id")) & (F.col("text_hash") == F.col("one.text_hash"))))
+    goes = written(goes.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct(), "near-goes")
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    kept = docs.withColumn("_own", F.xxhash64(text)).join(
+        maybe_broadcast(goes, goes.count(), 32), F.col(id_col).eqNullSafe(F.col("_id")) & (F.col("_own") == F.col("_hash")), "left_anti")
+    repeated = found.filter("component is not null").groupBy("doc_id", "text_hash").count().filter("count > 1")
+    return kept.drop("_own") if repeated.isEmpty() else kept.dropDuplicates([id_col, text_col]).drop("_own")

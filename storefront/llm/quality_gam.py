@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import textvec as tv
-from .corpus_io import doc_crc, written
+from .corpus_io import doc_crc
 
 FEATURES = ("log_bytes", "upper", "digit", "blank", "newline", "sentence", "exclaim", "bar", "symbol", "quote",
             "other_sign", "high_byte", "words", "word_bytes", "long_word", "short_word", "sign_word", "upper_word",
@@ -209,46 +209,47 @@ def fit_gam(x: np.ndarray, y: np.ndarray, fit: Fit = Fit()) -> Gam:
     return model
 
 
-def feature_table(docs: DataFrame, keep: list[str], text_col: str = "text") -> DataFrame:
-    """``keep`` and an array of features for every row of ``docs``."""
+def _arrow(docs: DataFrame, keep: list[str], text_col: str, extra: T.StructField, make, where=None) -> DataFrame:
+    """``keep`` and a column that ``make`` derives from the features of each slice of texts."""
     rows = docs.select(*keep, F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("_text"))
-    schema = T.StructType([*rows.schema.fields[:-1], T.StructField("features", T.ArrayType(T.DoubleType()))])
+    schema = T.StructType([*rows.schema.fields[:-1], extra])
+    names = schema.names
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in tv.text_slices(batch, "_text"):
-                x = features(*tv.binary_view(part.column("_text")))
-                flat = pa.array(x.ravel(), pa.float64())
-                at = pa.array(np.arange(0, x.size + 1, x.shape[1]), pa.int32())
-                yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.ListArray.from_arrays(at, flat)], names=schema.names)
+                made = make(features(*tv.binary_view(part.column("_text"))))
+                out = pa.RecordBatch.from_arrays([*part.columns[:-1], made], names=names)
+                yield out if where is None else out.filter(where(made))
 
     return rows.mapInArrow(run, schema)
 
 
-def train(scored: DataFrame, labels: DataFrame, fit: Fit, label_col: str = "quality") -> Gam:
+def train(docs: DataFrame, labels: DataFrame, fit: Fit = Fit(), label_col: str = "quality", text_col: str = "text") -> Gam:
     """Fit on the labelled rows outside the held-out fold, a bounded share of them by a hash of the id."""
     usable = (labels.filter(F.col(label_col).isNotNull() & F.col("doc_id").isNotNull())
               .filter(doc_crc(F.col("doc_id")) % 4 != 2).select("doc_id", F.col(label_col).cast("int").alias("y")))
     n = usable.count()
     if n > fit.max_rows:
         usable = usable.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int((1 << 30) * fit.max_rows / n))
-    rows = scored.select("doc_id", "features").join(usable, "doc_id").orderBy("doc_id", "y").toPandas()
-    x = np.array(rows.features.tolist(), dtype=np.float64).reshape(len(rows), len(FEATURES))
-    return fit_gam(x, rows.y.to_numpy(dtype=np.float64), fit)
+    # about ``max_rows`` ids of 12 bytes: a proven bound for the broadcast
+    rows = docs.select("doc_id", F.col(text_col).alias("text")).join(F.broadcast(usable), "doc_id")
+    field_ = T.StructField("features", T.ArrayType(T.DoubleType()))
 
+    def lists(x: np.ndarray) -> pa.Array:
+        at = pa.array(np.arange(0, x.size + 1, x.shape[1]), pa.int32())
+        return pa.ListArray.from_arrays(at, pa.array(x.ravel(), pa.float64()))
 
-def apply(scored: DataFrame, model: Gam) -> DataFrame:
-    """Replace ``features`` by ``score``, the probability of label 1."""
-    keep = [f for f in scored.schema.fields if f.name != "features"]
-    schema = T.StructType([*keep, T.StructField("score", T.DoubleType())])
+    seen = _arrow(rows, ["doc_id", "y"], "text", field_, lists).toPandas().sort_values(["doc_id", "y"])
+    x = np.array(seen.features.tolist(), dtype=np.float64).reshape(len(seen), len(FEATURES))
+    return fit_gam(x, seen.y.to_numpy(dtype=np.float64), fit)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            x = np.asarray(batch.column("features").flatten()).reshape(batch.num_rows, len(FEATURES))
-            columns = [batch.column(f.name) for f in keep]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(model.score(x), pa.float64())], names=schema.names)
 
-    return scored.select(*[f.name for f in keep], "features").mapInArrow(run, schema)
+def score(docs: DataFrame, model: Gam, keep: list[str], text_col: str = "text", least: float | None = None) -> DataFrame:
+    """``keep`` and ``score``, the probability of label 1; with ``least``, only rows that reach it."""
+    where = None if least is None else lambda made: pa.array(made.to_numpy() >= least)
+    return _arrow(docs, keep, text_col, T.StructField("score", T.DoubleType()),
+                  lambda x: pa.array(model.score(x), pa.float64()), where)
 
 
 def classify(docs: DataFrame, labels: DataFrame, fit: Fit = Fit(), threshold: float = 0.7) -> DataFrame:
@@ -260,8 +261,6 @@ def classify(docs: DataFrame, labels: DataFrame, fit: Fit = Fit(), threshold: fl
     not held out; a null label is not learned from; without usable labels every
     score is 0.5; an empty table gives an empty result.
     """
-    scored = written(feature_table(docs, ["doc_id"]), "quality-features")
-    model = train(scored, labels, fit)
-    return apply(scored, model).select(
+    return score(docs, train(docs, labels, fit), ["doc_id"]).select(
         "doc_id", F.coalesce(doc_crc(F.col("doc_id")) % 4 == 2, F.lit(False)).alias("held_out"), "score",
         (F.col("score") >= threshold).cast("int").alias("predicted"))

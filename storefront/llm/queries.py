@@ -12,10 +12,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, imatch, jaccard_join, packing, quality_gam, sharding, suffix_dedup, token_count, toxicity
+from . import decontaminate, imatch, jaccard_join, licenses, packing, quality_gam, sharding, suffix_dedup, token_count, toxicity
 from .corpus_io import table
 
 
+def op1_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licences of all documents as files ``source/lang/doc_id``."""
+    return licenses.scan(table(spark, sf_dir, "documents"), F.concat_ws("/", "source", "lang", F.col("doc_id").cast("string")))
+
+
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of at most 2,048 ids."""
     pieces = packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
@@ -44,7 +49,7 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of all documents under Jaccard similarity of 0.75 on five-word shingles."""
-    return jaccard_join.similar(table(spark, sf_dir, "documents"))
+    return jaccard_join.similar(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
 
 
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -68,6 +73,7 @@ def op10_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_licenses": op1_licenses,
     "op2_packing": op2_packing,
     "op3_decontamination": op3_decontamination,
     "op4_suffix_dedup": op4_suffix_dedup,
