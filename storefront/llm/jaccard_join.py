@@ -434,15 +434,17 @@ def similar(docs: DataFrame, rule: Rule = Rule(), id_col: str = "doc_id", text_c
 def representatives(docs: DataFrame, rule: Rule = Rule(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with one row of each component: the one of the least id and, of its texts, the least hash.
 
+    A null id stays only where no row of the component has one.
     Rows without shingles stay.  Rows that agree in id and text count once.
     """
     found = written(similar(docs, rule, id_col, text_col).select("doc_id", "text_hash", "component"), "near-found")
-    stays = found.filter("component is not null").groupBy("component").agg(F.min(F.struct("doc_id", "text_hash")).alias("one"))
+    stays = found.filter("component is not null").groupBy("component").agg(
+        F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash")).alias("one"))
     goes = found.join(stays, "component").filter(
         ~(F.col("doc_id").eqNullSafe(F.col("one.doc_id")) & (F.col("text_hash") == F.col("one.text_hash"))))
-    goes = written(goes.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct(), "near-goes")
+    goes = written(goes.select(F.col("doc_id").alias("__near_id"), F.col("text_hash").alias("__near_hash")).distinct(), "near-goes")
     text = F.coalesce(F.col(text_col), F.lit(""))
-    kept = docs.withColumn("_own", F.xxhash64(text)).join(
-        maybe_broadcast(goes, goes.count(), 32), F.col(id_col).eqNullSafe(F.col("_id")) & (F.col("_own") == F.col("_hash")), "left_anti")
+    kept = docs.withColumn("__near_own", F.xxhash64(text)).join(
+        maybe_broadcast(goes, goes.count(), 32), F.col(id_col).eqNullSafe(F.col("__near_id")) & (F.col("__near_own") == F.col("__near_hash")), "left_anti")
     repeated = found.filter("component is not null").groupBy("doc_id", "text_hash").count().filter("count > 1")
-    return kept.drop("_own") if repeated.isEmpty() else kept.dropDuplicates([id_col, text_col]).drop("_own")
+    return kept.drop("__near_own") if repeated.isEmpty() else kept.dropDuplicates([id_col, text_col]).drop("__near_own")

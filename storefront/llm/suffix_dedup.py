@@ -360,19 +360,21 @@ def remove_repeats(docs: DataFrame, rule: Rule = Rule(), text_col: str = "text",
     input.  With ``whole_characters``, a character of which a byte goes is removed
     whole, so the kept bytes are UTF-8.
 
-    A null text counts as the empty one.  Texts shorter than ``rule.length`` lose
+    The columns of ``docs`` may have any other names.  A null text counts as the
+    empty one.  Texts shorter than ``rule.length`` lose
     nothing, equal rows lose all that is long enough, very long texts are cut
     into overlapping pieces, and an empty table gives an empty result.
     """
     ids = [c for c in docs.columns if c != text_col]
     body = F.coalesce(F.col(text_col), F.lit("")).cast("binary")
     name = F.xxhash64(*(F.coalesce(F.col(c).cast("string"), F.lit("\0")) for c in ids if c == "doc_id"), body)
-    rows = docs.withColumn("_text", body).withColumn("k", name)
-    spans = written(repeated_spans(rows.select("k", "_text"), rule), "repeat-spans")
-    per_row = spans.groupBy("k").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
+    rows = docs.withColumn("__repeat_text", body).withColumn("__repeat_key", name)
+    keyed = rows.select(F.col("__repeat_key").alias("k"), F.col("__repeat_text").alias("_text"))
+    spans = written(repeated_spans(keyed, rule), "repeat-spans")
+    per_row = spans.groupBy(F.col("k").alias("__repeat_key")).agg(F.collect_list(F.struct("start", "end")).alias("__repeat_spans"))
     per_row = written(per_row, "repeat-rows")
-    n = per_row.agg(F.sum(F.size("spans"))).first()[0] or 0
-    joined = rows.join(maybe_broadcast(per_row, n, 24), "k", "left")
+    n = per_row.agg(F.sum(F.size("__repeat_spans"))).first()[0] or 0
+    joined = rows.join(maybe_broadcast(per_row, n, 24), "__repeat_key", "left")
     schema = T.StructType([*docs.schema.fields, T.StructField("_kept", T.BinaryType()), T.StructField("_n_bytes", T.LongType()),
                            T.StructField("_n_removed", T.LongType()), T.StructField("_n_spans", T.LongType())])
 
@@ -380,10 +382,10 @@ def remove_repeats(docs: DataFrame, rule: Rule = Rule(), text_col: str = "text",
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in tv.text_slices(batch, "_text", 8 << 20):
-                data, offsets = tv.binary_view(part.column("_text"))
+            for part in tv.text_slices(batch, "__repeat_text", 8 << 20):
+                data, offsets = tv.binary_view(part.column("__repeat_text"))
                 kept, counts = [], []
-                found = part.column("spans")
+                found = part.column("__repeat_spans")
                 for d in range(part.num_rows):
                     text = data[offsets[d]:offsets[d + 1]]
                     own = found[d]
@@ -406,4 +408,4 @@ def remove_repeats(docs: DataFrame, rule: Rule = Rule(), text_col: str = "text",
                     [*(part.column(c) for c in columns), pa.array(kept, pa.binary()),
                      *(pa.array([c[i] for c in counts], pa.int64()) for i in range(3))], names=names)
 
-    return joined.select(*columns, "_text", "spans").mapInArrow(run, schema)
+    return joined.select(*columns, "__repeat_text", "__repeat_spans").mapInArrow(run, schema)
