@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import textvec as tv
-from .corpus_io import maybe_broadcast, written
+from .corpus_io import written
 
 #: Bytes that are hashed at once; positions inside take this many bits.
 CHUNK_BITS = 20
@@ -329,9 +329,7 @@ def repeated_spans(rows: DataFrame, rule: Rule = Rule()) -> DataFrame:
         F.col("one.start").alias("start"), F.col("one.len").alias("len"), F.col("one.a0").alias("a0"), "n", "ah",
         "kinds")).alias("wanted"))
     wanted = written(wanted, "repeat-wanted")
-    size = wanted.agg(F.sum(F.size("wanted"))).first()[0] or 0
-    texts = rows.join(maybe_broadcast(wanted, size, 56), "k")
-    cut = texts.select("k", "_text", F.explode("wanted").alias("w")).select(
+    cut = rows.join(wanted, "k").select("k", "_text", F.explode("wanted").alias("w")).select(
         "k", F.col("w.start").alias("start"), F.col("w.n").alias("n"), F.col("w.ah").alias("key"),
         F.expr("substring(_text, w.start + 1, w.len)").alias("seg"), F.col("w.a0").alias("a0"), F.col("w.kinds").alias("kinds"))
     cut = written(cut, "repeat-segments")
@@ -373,8 +371,7 @@ def remove_repeats(docs: DataFrame, rule: Rule = Rule(), text_col: str = "text",
     spans = written(repeated_spans(keyed, rule), "repeat-spans")
     per_row = spans.groupBy(F.col("k").alias("__repeat_key")).agg(F.collect_list(F.struct("start", "end")).alias("__repeat_spans"))
     per_row = written(per_row, "repeat-rows")
-    n = per_row.agg(F.sum(F.size("__repeat_spans"))).first()[0] or 0
-    joined = rows.join(maybe_broadcast(per_row, n, 24), "__repeat_key", "left")
+    joined = rows.join(per_row, "__repeat_key", "left")
     schema = T.StructType([*docs.schema.fields, T.StructField("_kept", T.BinaryType()), T.StructField("_n_bytes", T.LongType()),
                            T.StructField("_n_removed", T.LongType()), T.StructField("_n_spans", T.LongType())])
 
