@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from storefront.llm import decontaminate, jaccard_join, packing, quality_gam, suffix_dedup
-from storefront.llm.corpus_io import maybe_broadcast, table, written
+from storefront.llm.corpus_io import maybe_broadcast, small_batches, table, written
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -58,6 +58,7 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pack all that is left into sequences of at most 2,048 ids; documents without text are left out."""
+    small_batches(spark)
     some = docs.filter(F.length(F.coalesce("text", F.lit(""))) > 0)
     pieces = packing.pack(some, public_tokenizers.path("byte_bpe_50k.json"))
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")

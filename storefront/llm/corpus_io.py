@@ -9,8 +9,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+#: Rows of one Arrow batch.  Texts are long; the session's usual 10,000 rows would be
+#: tens of MB for every running task, in the JVM and again in its Python worker.
+BATCH_ROWS = 1_000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Bound the Arrow batches of the session's later jobs by ``BATCH_ROWS``."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= BATCH_ROWS:
+        spark.conf.set(name, str(BATCH_ROWS))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the given tables; the path may be in any store that Spark reads."""
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -34,6 +47,7 @@ def written(df: DataFrame, label: str) -> DataFrame:
     The folder is removed when the application ends.
     """
     spark = df.sparkSession
+    small_batches(spark)
     path = f"{shared_dir(spark)}/corpus/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     jvm = spark._jvm

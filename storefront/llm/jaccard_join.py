@@ -47,7 +47,7 @@ class Rule:
     #: Postings of one frequent shingle that go to one bucket.
     bucket_postings: int = 2_000
     #: Bytes of packed shingles that a task holds before it sends them on.
-    flush_bytes: int = 24 << 20
+    flush_bytes: int = 6 << 20
 
     def probe_prefix(self, n: np.ndarray) -> np.ndarray:
         return n - (self.num * n + self.den - 1) // self.den + 1
