@@ -1,9 +1,9 @@
 """Numeric column helpers.
 
-Money sums are computed in DECIMAL so they are exact and independent of the
-order in which partitions are combined: a double sum changes in its last digits
-when the partition count changes, a decimal sum does not.  The result is turned
-back into DOUBLE once, at the end.
+Sums are accumulated so that they hardly depend on the order in which partitions
+are combined: the part of a value down to 4 decimals adds up exactly in DECIMAL,
+the rest (below 0.0001) adds up in DOUBLE, and the two are added once at the end.
+Nothing of a value is cut off.  NaN and infinity count as missing, as in pandas.
 """
 
 from __future__ import annotations
@@ -12,22 +12,24 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
-# Fixed value: money values carry at most 4 decimals after a price x discount product.
-MONEY_SCALE = 4
+# Decimals of a value that are summed exactly; what lies below is summed in double.
+EXACT_SCALE = 4
 
 
 def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def exact_sum(c, scale: int = MONEY_SCALE) -> Column:
-    """Order-independent sum of a double column (decimal accumulator)."""
-    return F.sum(_col(c).cast(DecimalType(38, scale))).cast("double")
+def exact_sum(c) -> Column:
+    """Sum of all values that are neither NULL nor NaN; NULL without any."""
+    x = nan_to_null(_col(c).cast("double"))
+    high = x.cast(DecimalType(38, EXACT_SCALE))
+    return F.sum(high).cast("double") + F.sum(x - high.cast("double"))
 
 
-def exact_avg(c, scale: int = MONEY_SCALE) -> Column:
-    """Mean with an exact numerator; NULLs are skipped like pandas ``mean``."""
-    return exact_sum(c, scale) / F.count(_col(c))
+def exact_avg(c) -> Column:
+    """Mean of the values that are neither NULL nor NaN, like pandas ``mean``."""
+    return F.try_divide(exact_sum(c), F.count(nan_to_null(_col(c).cast("double"))))
 
 
 def nan_to_null(c) -> Column:

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from storefront.functions.dates import floor_days
-from storefront.functions.numeric import exact_sum, nan_to_null
+from storefront.functions.numeric import exact_avg, exact_sum, nan_to_null
 from storefront.operators.stats import quantile_scalars
 
 # Fixed values of the churn rule.
@@ -46,7 +46,7 @@ def churn_rate(labeled: DataFrame) -> DataFrame:
     """share of churned customers."""
     return labeled.agg(F.count(F.lit(1)).alias("customers"),
                        F.sum("churned").cast("bigint").alias("churned"),
-                       (F.sum("churned").cast("double") / F.count("churned")).alias("churn_rate"))
+                       F.try_divide(F.sum("churned").cast("double"), F.count("churned")).alias("churn_rate"))
 
 
 def order_stats(orders: DataFrame) -> DataFrame:
@@ -54,12 +54,12 @@ def order_stats(orders: DataFrame) -> DataFrame:
     return (orders.where(F.col("customer_id").isNotNull())
             .groupBy("customer_id")
             .agg(F.count("order_id").alias("total_orders"),
-                 (exact_sum("order_value") / F.count("order_value")).alias("avg_order_value"),
+                 exact_avg("order_value").alias("avg_order_value"),
                  exact_sum("order_value").alias("total_spent"),
-                 (F.sum("customer_rating").cast("double") / F.count("customer_rating"))
+                 F.try_divide(F.sum("customer_rating").cast("double"), F.count("customer_rating"))
                  .alias("avg_rating_given"),
-                 (F.sum("is_returned").cast("double") / F.count("is_returned")).alias("return_rate"),
-                 (exact_sum("discount_pct") / F.count("discount_pct")).alias("avg_discount")))
+                 F.try_divide(F.sum("is_returned").cast("double"), F.count("is_returned")).alias("return_rate"),
+                 exact_avg("discount_pct").alias("avg_discount")))
 
 
 def customer_features(labeled: DataFrame, orders: DataFrame, ref_date: str,

@@ -15,7 +15,7 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from storefront.functions.numeric import exact_sum
+from storefront.functions.numeric import exact_avg, exact_sum
 from storefront.functions.text import money_text, pct_text
 from storefront.operators.stats import quantile_scalar
 
@@ -74,7 +74,7 @@ def top_category(orders: DataFrame, ref_date: str) -> DataFrame:
     total = recent.select(exact_sum("order_value")).scalar()
     return (category_revenue(recent)
             .orderBy(F.col("revenue").desc(), F.col("category").asc()).limit(1)
-            .select("category", "revenue", (F.col("revenue") / total * F.lit(100.0)).alias("share_pct")))
+            .select("category", "revenue", (F.try_divide(F.col("revenue"), total) * F.lit(100.0)).alias("share_pct")))
 
 
 def discount_impact(orders: DataFrame, ref_date: str) -> DataFrame:
@@ -82,7 +82,7 @@ def discount_impact(orders: DataFrame, ref_date: str) -> DataFrame:
     recent = since(orders, ref_date, RECENT_DAYS)
     return (recent.where(F.col("discount_pct").isNotNull())
             .groupBy("discount_pct")
-            .agg((exact_sum("order_value") / F.count("order_value")).alias("avg_order_value"),
+            .agg(exact_avg("order_value").alias("avg_order_value"),
                  exact_sum("order_value").alias("total_revenue"),
                  F.count("order_value").alias("order_count")))
 
@@ -125,7 +125,7 @@ def product_sales(orders: DataFrame, products: DataFrame, ref_date: str) -> Data
            .groupBy("product_id")
            .agg(F.sum("quantity").alias("units_sold"),
                 exact_sum("order_value").alias("revenue"),
-                (exact_sum("rating") / F.count("rating")).alias("avg_rating")))
+                exact_avg("rating").alias("avg_rating")))
     return per.join(products.select("product_id", "base_price", "category"), "product_id")
 
 
@@ -157,12 +157,10 @@ def delivery_insight(orders: DataFrame) -> DataFrame:
     """Mean delivery days; over delayed lines (delay > 2): mean delay and return rate."""
     late = F.col("delivery_delay") > DELAY_ALERT_DAYS
     return orders.agg(
-        (F.sum("delivery_time_days").cast("double") / F.count("delivery_time_days")).alias("avg_delivery_days"),
+        F.try_divide(F.sum("delivery_time_days").cast("double"), F.count("delivery_time_days")).alias("avg_delivery_days"),
         F.count_if(late).alias("delayed_orders"),
-        (F.sum(F.when(late, F.col("delivery_delay"))).cast("double")
-         / F.count(F.when(late, F.col("delivery_delay")))).alias("avg_delay_days"),
-        (F.sum(F.when(late, F.col("is_returned"))).cast("double")
-         / F.count(F.when(late, F.col("is_returned")))).alias("delayed_return_rate"),
+        exact_avg(F.when(late, F.col("delivery_delay"))).alias("avg_delay_days"),
+        exact_avg(F.when(late, F.col("is_returned"))).alias("delayed_return_rate"),
     )
 
 
@@ -170,8 +168,8 @@ def delay_impact(orders: DataFrame) -> DataFrame:
     """Return rate and mean customer rating per delivery_delay."""
     return (orders.where(F.col("delivery_delay").isNotNull())
             .groupBy("delivery_delay")
-            .agg((F.sum("is_returned").cast("double") / F.count("is_returned")).alias("return_rate"),
-                 (F.sum("customer_rating").cast("double") / F.count("customer_rating")).alias("avg_rating"),
+            .agg(F.try_divide(F.sum("is_returned").cast("double"), F.count("is_returned")).alias("return_rate"),
+                 F.try_divide(F.sum("customer_rating").cast("double"), F.count("customer_rating")).alias("avg_rating"),
                  F.count(F.lit(1)).alias("orders")))
 
 
@@ -180,14 +178,14 @@ def payment_failures(orders: DataFrame) -> DataFrame:
     failed = F.col("failed_payment_attempts") > 0
     return orders.agg(
         F.count_if(failed).alias("failed_orders"),
-        (F.count_if(failed).cast("double") / F.count(F.lit(1)) * F.lit(100.0)).alias("failed_pct"),
+        (F.try_divide(F.count_if(failed).cast("double"), F.count(F.lit(1))) * F.lit(100.0)).alias("failed_pct"),
         F.coalesce(exact_sum(F.when(failed, F.col("order_value"))), F.lit(0.0)).alias("value_at_stake"),
     )
 
 
 def return_rate(orders: DataFrame) -> DataFrame:
     """Overall return rate."""
-    return orders.agg((F.sum("is_returned").cast("double") / F.count("is_returned")).alias("return_rate"),
+    return orders.agg(F.try_divide(F.sum("is_returned").cast("double"), F.count("is_returned")).alias("return_rate"),
                       F.count(F.lit(1)).alias("orders"))
 
 
@@ -195,14 +193,14 @@ def return_by_category(orders: DataFrame) -> DataFrame:
     """Return rate per category (worst first)."""
     return (orders.where(F.col("category").isNotNull())
             .groupBy("category")
-            .agg((F.sum("is_returned").cast("double") / F.count("is_returned")).alias("return_rate"),
+            .agg(F.try_divide(F.sum("is_returned").cast("double"), F.count("is_returned")).alias("return_rate"),
                  F.count(F.lit(1)).alias("orders")))
 
 
 # ----------------------------------------------------------------- growth ----
 def acquisition(customers: DataFrame) -> DataFrame:
     """I16: mean lifetime value and the modal city (ties -> smallest name)."""
-    mean_ltv = customers.agg((exact_sum("lifetime_value") / F.count("lifetime_value")).alias("avg_ltv"))
+    mean_ltv = customers.agg(exact_avg("lifetime_value").alias("avg_ltv"))
     modal = (customers.where(F.col("city").isNotNull()).groupBy("city").agg(F.count(F.lit(1)).alias("n"))
              .orderBy(F.col("n").desc(), F.col("city").asc()).limit(1)
              .select(F.col("city").alias("top_city"), F.col("n").alias("top_city_customers")))
@@ -311,7 +309,7 @@ def insights(orders: DataFrame, products: DataFrame, scored: DataFrame, customer
     tc = (cats.where(F.col("orders_90") > 0)
           .orderBy(F.col("revenue_90").desc(), F.col("category").asc()).limit(1)
           .select("category", F.col("revenue_90").alias("revenue"),
-                  (F.col("revenue_90") / total90 * F.lit(100.0)).alias("share_pct")))
+                  (F.try_divide(F.col("revenue_90"), total90) * F.lit(100.0)).alias("share_pct")))
     parts.append(_row(spark, "revenue_insights", 2, "Top Revenue Category",
                       F.concat(F.col("category"), F.lit(": "), money_text(F.col("revenue")), F.lit(" ("),
                                F.format_number(F.col("share_pct"), 1), F.lit("%)")),
@@ -343,23 +341,23 @@ def insights(orders: DataFrame, products: DataFrame, scored: DataFrame, customer
                   "worst_products").where(F.col("n") > 0)
     parts.append(_row(spark, "product_insights", 2, "Underperforming Products", F.col("worst_products"),
                       F.lit("Review pricing strategy."), None, wp))
-    di = glob.select((F.col("_del_sum").cast("double") / F.col("_del_n")).alias("avg_delivery_days"),
-                     (F.col("_late_delay_sum").cast("double") / F.col("_late_delay_n")).alias("avg_delay_days"),
-                     (F.col("_late_ret_sum").cast("double") / F.col("_late_ret_n")).alias("delayed_return_rate"))
+    di = glob.select(F.try_divide(F.col("_del_sum").cast("double"), F.col("_del_n")).alias("avg_delivery_days"),
+                     F.try_divide(F.col("_late_delay_sum").cast("double"), F.col("_late_delay_n")).alias("avg_delay_days"),
+                     F.try_divide(F.col("_late_ret_sum").cast("double"), F.col("_late_ret_n")).alias("delayed_return_rate"))
     parts.append(_row(spark, "operational_insights", 1, "Average Delivery Time",
                       F.concat(F.format_number(F.col("avg_delivery_days"), 1), F.lit(" days")),
                       F.concat(F.lit("Target <3 days. Delays of "), F.format_number(F.col("avg_delay_days"), 1),
                                F.lit(" days correlate with "), pct_text(F.col("delayed_return_rate")),
                                F.lit(" return rate.")), None, di))
     pf = glob.where(F.col("failed_orders") > 0).select(
-        "failed_orders", (F.col("failed_orders").cast("double") / F.col("orders") * F.lit(100.0)).alias("failed_pct"),
+        "failed_orders", (F.try_divide(F.col("failed_orders").cast("double"), F.col("orders")) * F.lit(100.0)).alias("failed_pct"),
         "value_at_stake")
     parts.append(_row(spark, "operational_insights", 2, "Payment Failures",
                       F.concat(F.col("failed_orders").cast("string"), F.lit(" orders ("),
                                F.format_number(F.col("failed_pct"), 1), F.lit("%)")),
                       F.concat(F.lit("Potential lost revenue: "), money_text(F.col("value_at_stake"))), None, pf))
-    rr = glob.select((F.col("_ret_sum").cast("double") / F.col("_ret_n")).alias("return_rate"))
-    worst = (cats.select("category", (F.col("_ret_sum").cast("double") / F.col("_ret_n")).alias("return_rate"))
+    rr = glob.select(F.try_divide(F.col("_ret_sum").cast("double"), F.col("_ret_n")).alias("return_rate"))
+    worst = (cats.select("category", F.try_divide(F.col("_ret_sum").cast("double"), F.col("_ret_n")).alias("return_rate"))
              .orderBy(F.col("return_rate").desc(), F.col("category").asc()).limit(1))
     parts.append(_row(spark, "operational_insights", 3, "Overall Return Rate",
                       pct_text(F.col("return_rate"), 2),

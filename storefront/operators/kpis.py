@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from storefront.functions.numeric import exact_sum
+from storefront.functions.numeric import exact_avg, exact_sum
 
 # Grade thresholds of the model block.
 EXCELLENT_ABOVE = 0.85
@@ -24,13 +24,13 @@ def business_kpis(orders: DataFrame, labeled_customers: DataFrame) -> DataFrame:
     o = orders.agg(
         F.count(F.lit(1)).alias("total_orders"),
         F.coalesce(exact_sum("order_value"), F.lit(0.0)).alias("total_revenue"),
-        (exact_sum("order_value") / F.count("order_value")).alias("average_order_value"),
-        (F.sum("is_returned").cast("double") / F.count("is_returned")).alias("return_rate"),
-        (F.sum("delivery_time_days").cast("double") / F.count("delivery_time_days"))
+        exact_avg("order_value").alias("average_order_value"),
+        F.try_divide(F.sum("is_returned").cast("double"), F.count("is_returned")).alias("return_rate"),
+        F.try_divide(F.sum("delivery_time_days").cast("double"), F.count("delivery_time_days"))
         .alias("average_delivery_time"),
     )
     c = labeled_customers.agg(F.count(F.lit(1)).alias("total_customers"),
-                              (F.sum("churned").cast("double") / F.count("churned")).alias("customer_churn_rate"))
+                              F.try_divide(F.sum("churned").cast("double"), F.count("churned")).alias("customer_churn_rate"))
     cs = c.select(F.struct("total_customers", "customer_churn_rate")).scalar()
     return o.select("*", cs.getField("total_customers").alias("total_customers"),
                     cs.getField("customer_churn_rate").alias("customer_churn_rate"))

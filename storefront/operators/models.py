@@ -5,8 +5,7 @@
 * The regressor (GBT) and classifier (random forest) are Spark ML estimators;
   training is distributed by Spark ML.  Tree models do not need scaling; the
   scaler operator (population sigma, like the reference) is still provided.
-* Metrics are plain aggregates: regression metrics with exact decimal
-  accumulators, confusion counts with ``count_if``, ROC-AUC as a rank sum with
+* Metrics are plain aggregates: regression metrics from exact means, confusion counts with ``count_if``, ROC-AUC as a rank sum with
   mid-ranks computed from per-score counts and distributed prefix sums.
 """
 
@@ -21,8 +20,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DecimalType
 
+from storefront.functions.numeric import exact_avg
 from storefront.operators.kpis import model_status
 from storefront.operators.rows import prefix_sum
 
@@ -181,22 +180,14 @@ def load_model(path: str) -> PipelineModel:
 
 
 # ----------------------------------------------------------------- metrics ---
-def regression_metrics(df: DataFrame, label: str, pred: str, scale: int = 4) -> DataFrame:
-    """M5: MAE, RMSE, R^2 from exact (decimal) sums; status grade from R^2."""
-    y = F.col(label).cast(DecimalType(18, scale))
-    p = F.col(pred).cast(DecimalType(18, scale))
-    e = y - p
-    agg = df.where(F.col(label).isNotNull() & F.col(pred).isNotNull()).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.sum(F.abs(e)).cast("double").alias("_sae"),
-        F.sum(e * e).cast("double").alias("_sse"),
-        F.sum(y).cast("double").alias("_sy"),
-        F.sum(y * y).cast("double").alias("_syy"))
-    sst = F.col("_syy") - F.col("_sy") * F.col("_sy") / F.col("n")
-    r2 = F.lit(1.0) - F.try_divide(F.col("_sse"), sst)
-    return agg.select("n", (F.col("_sae") / F.col("n")).alias("mae"),
-                      F.sqrt(F.col("_sse") / F.col("n")).alias("rmse"), r2.alias("r2"),
-                      model_status(r2).alias("status"))
+def regression_metrics(df: DataFrame, label: str, pred: str) -> DataFrame:
+    """M5: MAE, RMSE, R^2 and the status grade from R^2 (M13); all NULL without rows."""
+    y, p = F.col(label).cast("double"), F.col(pred).cast("double")
+    agg = df.where(y.isNotNull() & p.isNotNull()).agg(
+        F.count(F.lit(1)).alias("n"), exact_avg(F.abs(y - p)).alias("mae"),
+        exact_avg((y - p) * (y - p)).alias("_mse"), F.var_pop(y).alias("_var"))
+    r2 = F.lit(1.0) - F.try_divide(F.col("_mse"), F.col("_var"))
+    return agg.select("n", "mae", F.sqrt("_mse").alias("rmse"), r2.alias("r2"), model_status(r2).alias("status"))
 
 
 def classification_metrics(df: DataFrame, label: str, pred: str) -> DataFrame:
@@ -210,7 +201,7 @@ def classification_metrics(df: DataFrame, label: str, pred: str) -> DataFrame:
     f1 = F.coalesce(F.try_divide(F.lit(2.0) * F.col("tp"), F.lit(2) * F.col("tp") + F.col("fp") + F.col("fn")),
                     F.lit(0.0))
     return agg.select("n", "tp", "fp", "fn", "tn",
-                      ((F.col("tp") + F.col("tn")).cast("double") / F.col("n")).alias("accuracy"),
+                      F.try_divide((F.col("tp") + F.col("tn")).cast("double"), F.col("n")).alias("accuracy"),
                       prec.alias("precision"), rec.alias("recall"), f1.alias("f1_score"))
 
 

@@ -29,19 +29,26 @@ def missing_columns(df: DataFrame, table: str) -> list[str]:
     return [c for c in REQUIRED[table] if c not in df.columns]
 
 
+def _missing(df: DataFrame, col: str):
+    """NULL, and NaN of a floating column, count as missing."""
+    c = F.col(col)
+    return c.isNull() | F.isnan(c) if df.schema[col].dataType.typeName() in ("double", "float") else c.isNull()
+
+
 def dq_nulls(df: DataFrame, table: str) -> DataFrame:
-    """V3/V4: rows, and null count / share / warning per required column, one pass."""
+    """V3/V4: rows, and null count / share / warning per required column that is present, one pass."""
     cols = [c for c in REQUIRED[table] if c in df.columns]
+    if not cols:
+        return df.limit(0).select(*[F.lit(None).cast(t).alias(n) for n, t in (
+            ("table_name", "string"), ("column_name", "string"), ("rows", "long"), ("nulls", "long"),
+            ("null_pct", "double"), ("high_nulls", "boolean"))])
     agg = df.agg(F.count(F.lit(1)).alias("_rows"),
-                 *[F.count_if(F.col(c).isNull()).alias(f"n_{i}") for i, c in enumerate(cols)])
+                 *[F.count_if(_missing(df, c)).alias(f"n_{i}") for i, c in enumerate(cols)])
     stack = ", ".join(f"'{c}', n_{i}" for i, c in enumerate(cols))
     long = agg.selectExpr("_rows", f"stack({len(cols)}, {stack}) AS (column_name, nulls)")
-    return long.select(
-        F.lit(table).alias("table_name"), "column_name", F.col("_rows").alias("rows"),
-        F.col("nulls"),
-        (F.col("nulls").cast("double") / F.col("_rows") * F.lit(100.0)).alias("null_pct"),
-        (F.col("nulls").cast("double") / F.col("_rows") > NULL_WARN_SHARE).alias("high_nulls"),
-    )
+    share = F.coalesce(F.try_divide(F.col("nulls").cast("double"), F.col("_rows")), F.lit(0.0))
+    return long.select(F.lit(table).alias("table_name"), "column_name", F.col("_rows").alias("rows"), "nulls",
+                       (share * F.lit(100.0)).alias("null_pct"), (share > NULL_WARN_SHARE).alias("high_nulls"))
 
 
 def dq_orders(orders: DataFrame) -> DataFrame:
@@ -81,50 +88,82 @@ def orphans(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
 
 
 def orphan_summary(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
-    """Count of orphan keys and, when there are at most 10, their list."""
-    o = orphans(left, right, key)
-    return o.agg(F.count(F.lit(1)).alias("orphans"),
-                 F.when(F.count(F.lit(1)) <= ORPHAN_LIST,
-                        F.array_join(F.sort_array(F.collect_list(F.col(key).cast("string"))), ", "))
-                 .alias("orphan_ids"))
+    """Count of orphan keys and, when there are at most 10, their list (a bounded top-k of the ids)."""
+    o = orphans(left, right, key).select(F.col(key).cast("string").alias("id"))
+    few = o.where(F.col("id").isNotNull()).orderBy("id").limit(ORPHAN_LIST)
+    ids = few.agg(F.array_join(F.sort_array(F.collect_list("id")), ", ").alias("ids")).scalar()
+    return o.agg(F.count(F.lit(1)).alias("orphans")).select(
+        "orphans", F.when(F.col("orphans") <= ORPHAN_LIST, ids).alias("orphan_ids"))
+
+
+def _check(df: DataFrame, table: str, check: str, severity: str, ok, detail) -> DataFrame:
+    return df.select(F.lit(table).alias("table_name"), F.lit(check).alias("check"), F.lit(severity).alias("severity"),
+                     ok.alias("ok"), detail.cast("string").alias("detail"))
+
+
+def _range_checks(name: str, df: DataFrame) -> list[DataFrame]:
+    """V3, V5, V6: size, ranges and totals of the columns that are present."""
+    has, yes = set(df.columns), F.lit(True)
+
+    def money(c):
+        return F.coalesce(F.format_number(F.col(c), 2), F.lit("none"))
+
+    def day(c):
+        return F.coalesce(F.date_format(F.col(c), "yyyy-MM-dd"), F.lit("none"))
+
+    out = [_check(df.agg(F.count(F.lit(1)).alias("n")), name, "size", "info", yes,
+                  F.concat(F.col("n").cast("string"), F.lit(f" rows, {len(df.columns)} columns")))]
+    if name == "orders":
+        if "order_date" in has:
+            d = df.agg(F.min("order_date").alias("a"), F.max("order_date").alias("b"))
+            out.append(_check(d, name, "date_range", "info", yes, F.concat(day("a"), F.lit(" to "), day("b"))))
+        for col, check, bad in (("quantity", "quantity_below_1", F.col("quantity") < 1 if "quantity" in has else None),
+                                ("order_value", "negative_value", F.col("order_value") < 0 if "order_value" in has else None)):
+            if col in has:
+                out.append(_check(df.agg(F.count_if(bad).alias("n")), name, check, "warning", F.col("n") == 0, F.col("n")))
+        if "order_value" in has:
+            t = df.agg(F.coalesce(exact_sum("order_value"), F.lit(0.0)).alias("t"))
+            out.append(_check(t, name, "total_revenue", "info", yes, money("t")))
+    for table, col, check in (("products", "base_price", "price_range"), ("customers", "lifetime_value", "lifetime_value")):
+        if name == table and col in has:
+            m = df.agg(F.min(col).alias("a"), F.max(col).alias("b"), exact_avg(col).alias("m"))
+            out.append(_check(m, name, check, "info", yes, F.concat(money("a"), F.lit(" to "), money("b"), F.lit(", mean "), money("m"))))
+    if name == "products" and "rating" in has:
+        lo, hi = RATING_RANGE
+        n = df.agg(F.count_if((F.col("rating") < lo) | (F.col("rating") > hi)).alias("n"))
+        out.append(_check(n, name, "rating_out_of_range", "warning", F.col("n") == 0, F.col("n")))
+    return out
 
 
 def dq_report(orders: DataFrame | None, products: DataFrame | None, customers: DataFrame | None) -> DataFrame:
-    """V1-V9: one row per check; severity 'error' rows decide the verdict."""
+    """V1-V9: one row per check; severity 'error' rows decide the verdict.
+
+    A missing table or column gives an error row; the checks of the columns that
+    are present run all the same.
+    """
     spark = next(d for d in (orders, products, customers) if d is not None).sparkSession
     rows = []
     tables = {"orders": orders, "products": products, "customers": customers}
+    parts: list[DataFrame] = []
     for name, df in tables.items():
         if df is None:
             rows.append((name, "present", "error", False, "input missing"))
             continue
         miss = missing_columns(df, name)
         rows.append((name, "required_columns", "error", not miss, ", ".join(miss)))
-    checks = spark.createDataFrame(rows, "table_name string, check string, severity string, ok boolean, "
-                                         "detail string")
-    parts = [checks]
-    for name, df in tables.items():
-        if df is None or missing_columns(df, name):
-            continue
         n = dq_nulls(df, name)
         parts.append(n.select("table_name", F.concat(F.lit("nulls:"), F.col("column_name")).alias("check"),
                               F.lit("warning").alias("severity"), (~F.col("high_nulls")).alias("ok"),
                               F.concat(F.col("nulls").cast("string"), F.lit(" nulls (")
                                        , F.format_number(F.col("null_pct"), 1), F.lit("%)")).alias("detail")))
-    if orders is not None and customers is not None and "customer_id" in orders.columns \
-            and "customer_id" in customers.columns:
-        s = orphan_summary(orders, customers, "customer_id")
-        parts.append(s.select(F.lit("orders").alias("table_name"), F.lit("orphan_customers").alias("check"),
-                              F.lit("warning").alias("severity"), (F.col("orphans") == 0).alias("ok"),
-                              F.coalesce(F.col("orphan_ids"), F.col("orphans").cast("string")).alias("detail")))
-    if orders is not None and products is not None and "product_id" in orders.columns \
-            and "product_id" in products.columns:
-        s = orphan_summary(orders, products, "product_id")
-        parts.append(s.select(F.lit("orders").alias("table_name"), F.lit("orphan_products").alias("check"),
-                              F.lit("warning").alias("severity"), (F.col("orphans") == 0).alias("ok"),
-                              F.coalesce(F.col("orphan_ids"), F.col("orphans").cast("string")).alias("detail")))
-    out = parts[0]
-    for p in parts[1:]:
+        parts += _range_checks(name, df)
+    for check, other, key in (("orphan_customers", customers, "customer_id"), ("orphan_products", products, "product_id")):
+        if orders is not None and other is not None and key in orders.columns and key in other.columns:
+            s = orphan_summary(orders, other, key)
+            parts.append(_check(s, "orders", check, "warning", F.col("orphans") == 0,
+                                F.coalesce(F.col("orphan_ids"), F.col("orphans").cast("string"))))
+    out = spark.createDataFrame(rows, "table_name string, check string, severity string, ok boolean, detail string")
+    for p in parts:
         out = out.unionByName(p)
     return out
 

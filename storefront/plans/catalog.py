@@ -24,13 +24,14 @@ REF = td.REF_DATE
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
-# SQL fragments shared by the oracle queries (exact money sums, like exact_sum).
+# SQL fragments shared by the oracle queries: plain sums and means (``fsum`` only
+# adds up more carefully); results are rounded, inputs never.
 def XSUM(x: str) -> str:
-    return f"CAST(SUM(CAST({x} AS DECIMAL(38,4))) AS DOUBLE)"
+    return f"fsum({x})"
 
 
 def XAVG(x: str) -> str:
-    return f"(CAST(SUM(CAST({x} AS DECIMAL(38,4))) AS DOUBLE) / COUNT({x}))"
+    return f"(fsum({x}) / COUNT({x}))"
 
 
 def IAVG(x: str) -> str:
@@ -42,11 +43,44 @@ def NPROUND(x: str, d: int) -> str:
     return f"(round_even(({x}) * {s}, 0) / {s})"
 
 
+# Decimals to which the results of sums and means are rounded on both sides (two
+# engines add doubles up in different orders).  Money totals, whose terms have 4
+# decimals, are rounded to 5.
+ROUNDED: dict[str, dict[str, int]] = {
+    "revenue_by_category": {"revenue": 5},
+    "daily_revenue": {"revenue": 5},
+    "revenue_90_30": {"revenue_90": 5, "revenue_30": 5},
+    "top_category": {"revenue": 5, "share_pct": 9},
+    "discount_impact": {"avg_order_value": 6, "total_revenue": 5},
+    "optimal_discount": {"total_revenue": 5},
+    "product_sales": {"revenue": 5, "avg_rating": 9},
+    "payment_failures": {"value_at_stake": 5},
+    "acquisition": {"avg_ltv": 6},
+    "order_stats": {"avg_order_value": 6, "total_spent": 5, "avg_discount": 9},
+    "customer_features": {"avg_order_value": 6, "total_spent": 5, "avg_discount": 9},
+    "business_kpis": {"total_revenue": 5, "average_order_value": 6},
+    "dq_orders": {"total_revenue": 5},
+    "dq_customers": {"avg_ltv": 6},
+    "split_customers": {"lifetime_value": 5},
+    "high_risk": {"total_spent": 5},
+    "high_risk_summary": {"at_risk_value": 5, "estimated_save": 5},
+    "insight_facts": {"revenue_90": 5, "revenue_30": 5, "_rating_sum_90": 6, "value_at_stake": 5},
+}
+
+
 def register(name: str, sql: str | None = None):
+    places = ROUNDED.get(name, {})
+
     def deco(fn):
-        QUERIES[name] = fn
+        if places:
+            def run(spark, d):
+                return fn(spark, d).withColumns({c: np_round(F.col(c), n) for c, n in places.items()})
+        else:
+            run = fn
+        QUERIES[name] = run
         if sql is not None:
-            ORACLE[name] = sql
+            cut = ", ".join(f"{NPROUND(c, n)} AS {c}" for c, n in places.items())
+            ORACLE[name] = f"SELECT * REPLACE ({cut}) FROM ({sql}) t_" if cut else sql
         return fn
     return deco
 

@@ -83,7 +83,7 @@ def _split_products(spark, d):
 @register("split_customers", with_views(
     f'SELECT "Customer ID" AS customer_id, {_first("City")} AS city, {_first("Region")} AS region, '
     f'{_first("Country")} AS country, {_first("State")} AS state, {_first("Segment")} AS segment, '
-    'CAST(SUM(CAST("Sales" AS DECIMAL(38,4))) AS DOUBLE) AS lifetime_value, MIN("Order Date") AS signup_date, '
+    'fsum("Sales") AS lifetime_value, MIN("Order Date") AS signup_date, '
     "'Unknown' AS age_group FROM wide_c WHERE \"Customer ID\" IS NOT NULL GROUP BY \"Customer ID\""))
 def _split_customers(spark, d):
     return split.split_customers(td.wide_export(spark, d), ORD)

@@ -70,26 +70,22 @@ register("class_weights", with_views(
     lambda spark, d: models.class_weights(_features(spark, d).select("customer_id", "churned"), "churned"))
 
 # ----------------------------------------------------------------- metrics ---
-_REG = ("reg AS (SELECT CAST(order_value AS DECIMAL(18,4)) AS y, "
-        "CAST(base_price * quantity AS DECIMAL(18,4)) AS p FROM orders_c "
-        "WHERE order_value IS NOT NULL AND base_price * quantity IS NOT NULL), "
-        "ra AS (SELECT COUNT(*) AS n, CAST(SUM(abs(y - p)) AS DOUBLE) AS sae, "
-        "CAST(SUM(CAST(y - p AS DECIMAL(38,4)) * CAST(y - p AS DECIMAL(38,4))) AS DOUBLE) AS sse, "
-        "CAST(SUM(y) AS DOUBLE) AS sy, CAST(SUM(CAST(y AS DECIMAL(38,4)) * CAST(y AS DECIMAL(38,4))) AS DOUBLE) "
-        "AS syy FROM reg)")
+_REG = ("ra AS (SELECT COUNT(*) AS n, fsum(abs(order_value - base_price * quantity)) AS sae, "
+        "fsum(pow(order_value - base_price * quantity, 2)) AS sse, var_pop(order_value) * COUNT(*) AS sst "
+        "FROM orders_c WHERE order_value IS NOT NULL AND base_price * quantity IS NOT NULL)")
 
 
 def _grade(x: str) -> str:
     return f"CASE WHEN {x} > 0.85 THEN 'Excellent' WHEN {x} > 0.70 THEN 'Good' ELSE 'Fair' END"
 
 
-_R2 = "(1e0 - sse / (syy - sy * sy / n))"
+_R2 = "(1e0 - sse / sst)"
 
 register("regression_metrics", with_views(
-    f"SELECT n, {NPROUND('sae / n', 9)} AS mae, {NPROUND('sqrt(sse / n)', 9)} AS rmse, {NPROUND(_R2, 9)} AS r2, "
+    f"SELECT n, {NPROUND('sae / n', 6)} AS mae, {NPROUND('sqrt(sse / n)', 6)} AS rmse, {NPROUND(_R2, 9)} AS r2, "
     f"{_grade(_R2)} AS status FROM ra", _REG))(
     lambda spark, d: _REG_METRICS(spark, d).select(
-        "n", *[np_round(F.col(c), 9).alias(c) for c in ("mae", "rmse", "r2")], "status"))
+        "n", *[np_round(F.col(c), n).alias(c) for c, n in (("mae", 6), ("rmse", 6), ("r2", 9))], "status"))
 
 _CLS = (_FEATURES + ", cls AS (SELECT churned AS y, CASE WHEN " + SCORE_SQL + " > 0.5 THEN 1 ELSE 0 END AS p, "
         + SCORE_SQL + " AS s FROM features)")
