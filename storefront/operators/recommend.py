@@ -5,12 +5,14 @@ similarity has a closed form, so no vector column or UDF is needed:
 
     dot(a, b) = pa*pb + ra*rb + [cat_a <=> cat_b]      |a|^2 = pa^2 + ra^2 + 1
 
-A recommendation request scores every product against the requested source(s)
-and keeps the top n per source: one pass over the catalog per request batch
-(O(requests x catalog)).  The request vectors travel with the plan as literals
-only after their count was checked against ``MAX_BROADCAST_SOURCES``; larger
-request sets are processed in batches of that size.  There is no join of the
-catalog with itself and no cross join.
+``recommend_similar`` answers one product in one pass over the catalog.
+``knn_products`` answers every product of the catalog (R3, R5): unit vectors are
+dealt to square cells of their first two coordinates, products meet only those of
+their own and the eight cells around it, and an answer stands when its last
+neighbour is nearer than a cell is wide, since all products outside are farther.
+What is still open goes on to cells four times as wide.  Products with equal
+vectors are one point, so a popular vector is not compared with itself.
+``knn_vectors`` answers a stated set of query vectors against all rows, in blocks.
 """
 
 from __future__ import annotations
@@ -24,7 +26,8 @@ from storefront.operators.stats import group_median
 # Neighbourhood size of the reference and the default rating.
 TOP_N = 5
 DEFAULT_RATING = 4.0
-MAX_BROADCAST_SOURCES = 1_000
+# Query vectors that travel with one pass over all rows.
+QUERY_BLOCK = 4_096
 
 
 def product_price(products: DataFrame, orders: DataFrame | None = None) -> DataFrame:
@@ -62,15 +65,6 @@ def cosine(src_p: Column, src_r: Column, src_c: Column, src_n: Column,
     return (src_p * p + src_r * r + same) / (src_n * n)
 
 
-def _top_per_source(scored: DataFrame, top_n: int) -> DataFrame:
-    # row_number <= n lets Spark keep only n rows per source in each partition
-    # before the shuffle (window group limit), so a source never gathers the
-    # whole catalog in one task
-    w = Window.partitionBy("source_id").orderBy(F.col("similarity").desc(), F.col("product_id").asc())
-    return (scored.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= top_n)
-            .select("source_id", "rank", "product_id", "category", "base_price", "rating", "similarity"))
-
-
 def recommend_similar(products: DataFrame, product_id, top_n: int = TOP_N) -> DataFrame:
     """The top_n most similar products to one product (self excluded).
 
@@ -93,62 +87,126 @@ def recommend_similar(products: DataFrame, product_id, top_n: int = TOP_N) -> Da
                       .alias("rank"))
 
 
-def _score_batch(vec: DataFrame, src: DataFrame, top_n: int) -> DataFrame:
-    # the request set is bounded (checked by the caller): ship it as array literals
-    reqs = src.select("product_id", "price_log", "rating_f", "category", "norm").collect()
-    if not reqs:
-        return _top_per_source(vec.limit(0).withColumn("source_id", F.col("product_id"))
-                               .withColumn("similarity", F.lit(0.0)), top_n)
-    sid, sp, sr, sc, sn = (F.lit([r[i] for r in reqs]) for i in range(5))
-    idx = F.sequence(F.lit(1), F.lit(len(reqs)))
-    per = vec.select("product_id", "category", "base_price", "rating", F.explode(F.transform(
-        idx, lambda i: F.struct(F.element_at(sid, i).cast(vec.schema["product_id"].dataType).alias("source_id"),
-                                cosine(
-            F.element_at(sp, i), F.element_at(sr, i), F.element_at(sc, i), F.element_at(sn, i),
-            F.col("price_log"), F.col("rating_f"), F.col("category"), F.col("norm")).alias("similarity"))))
-        .alias("m"))
-    scored = (per.select("product_id", "category", "base_price", "rating", "m.source_id", "m.similarity")
-              .where(F.col("product_id") != F.col("source_id")))
-    return _top_per_source(scored, top_n)
-
-
-def knn_products(products: DataFrame, sources: DataFrame, top_n: int = TOP_N) -> DataFrame:
-    """top_n neighbours for every product id in ``sources`` (a request set).
-
-    The request vectors travel as array literals whose size was checked
-    against ``MAX_BROADCAST_SOURCES``; bigger request sets are split
-    into batches of that size (by a dense number of the source id) and unioned,
-    so every requested product is answered.
+def knn_products(products: DataFrame, top_n: int = TOP_N) -> DataFrame:
+    """The top_n most similar products of every product (itself excluded), exactly.
+
+    Equal similarities are ordered by product id.  Similarities are rounded to 12
+    decimals before they are ordered, so that the last bits of equal vectors don't
+    decide.
     """
-    vec = product_vectors(product_price(products))
-    req = sources.select("product_id").distinct()
-    src = vec.join(req, "product_id", "left_semi")
-    n = src.count()
-    if n <= MAX_BROADCAST_SOURCES:
-        return _score_batch(vec, src, top_n)
-    from storefront.operators.rows import dense_row_index
-    batched = dense_row_index(src, ["product_id"], "_i").withColumn(
-        "_batch", (F.col("_i") / MAX_BROADCAST_SOURCES).cast("long")).checkpoint()
-    out = None
-    for b in range(int((n + MAX_BROADCAST_SOURCES - 1) // MAX_BROADCAST_SOURCES)):
-        part = _score_batch(vec, batched.where(F.col("_batch") == b).drop("_i", "_batch"), top_n)
-        out = part if out is None else out.unionByName(part)
-    return out
-
-
-def knn_vectors(df: DataFrame, id_col: str, vec_col: str, query_id, top_n: int = TOP_N) -> DataFrame:
-    """Cosine top_n over a dense array column for one query row (self excluded).
-
-    The query vector is a scalar subquery; one pass and a bounded top-k.
+    vec = product_vectors(product_price(products)).where(F.col("product_id").isNotNull())
+    key = [F.col(c) for c in ("price_log", "rating_f", "category")]
+    named = vec.withColumn("_vector", F.xxhash64(*key))
+    nth = F.row_number().over(Window.partitionBy("_vector").orderBy("product_id"))
+    members = (named.withColumn("_nth", nth).where(F.col("_nth") <= top_n + 1)
+               .groupBy("_vector", *key, "norm")
+               .agg(F.sort_array(F.collect_list(F.struct("product_id", "base_price", "rating"))).alias("members")))
+    points = members.select("_vector", *key, "norm", "members", (F.col("price_log") / F.col("norm")).alias("_x"),
+                            (F.col("rating_f") / F.col("norm")).alias("_y")).checkpoint()
+    n = points.count()
+    answers: DataFrame | None = None
+    open_ = points.select("_vector", "price_log", "rating_f", "category", "norm", "_x", "_y")
+    width = 4.0 / max(n, 2)
+    while True:
+        last = width >= 2.0        # unit vectors are never farther apart: every point is met
+        found = _nearest(open_, points, width, top_n + 1).checkpoint()
+        # a point outside the nine cells is farther than ``width``, so less similar than this
+        sure = (F.size("near") > top_n) & (F.element_at("near", -1).getField("s") > F.lit(1.0 - width * width / 2.0 + 1e-9))
+        done = found if last else found.where(sure)
+        answers = done if answers is None else answers.unionByName(done)
+        if last:
+            break
+        open_ = open_.join(answers.select("_vector"), "_vector", "left_anti").checkpoint()
+        if open_.isEmpty():
+            break
+        width *= 4.0
+    near = named.select(F.col("product_id").alias("source_id"), "_vector").join(answers, "_vector")
+    others = F.slice(F.filter("near", lambda x: x["product_id"] != F.col("source_id")), 1, top_n)
+    return (near.select("source_id", F.posexplode(others).alias("rank", "p"))
+            .select("source_id", (F.col("rank") + 1).alias("rank"), "p.product_id", "p.category", "p.base_price",
+                    "p.rating", F.col("p.s").alias("similarity")))
+
+
+def _nearest(queries: DataFrame, points: DataFrame, width: float, k: int) -> DataFrame:
+    """``_vector, near``: the k most similar products among the cells around each query point."""
+    def cell(c):
+        return F.floor(F.col(c) / F.lit(width))
+
+    steps = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (-1, 0, 1) for j in (-1, 0, 1)])
+    q = (queries.withColumn("_step", F.explode(steps))
+         .select(F.col("_vector").alias("_q"), F.col("price_log").alias("_p"), F.col("rating_f").alias("_r"),
+                 F.col("category").alias("_c"), F.col("norm").alias("_n"),
+                 (cell("_x") + F.col("_step.i")).alias("_i"), (cell("_y") + F.col("_step.j")).alias("_j")))
+    p = points.withColumn("_i", cell("_x")).withColumn("_j", cell("_y"))
+    sim = F.round(cosine(F.col("_p"), F.col("_r"), F.col("_c"), F.col("_n"), F.col("price_log"), F.col("rating_f"),
+                         F.col("category"), F.col("norm")), 12)
+    met = q.join(p, ["_i", "_j"]).withColumn("s", sim)
+    # of equally similar points all k + 1 least ids are candidates: first the points, then their products
+    w = Window.partitionBy("_q").orderBy(F.col("s").desc(), F.element_at("members", 1).getField("product_id"))
+    few = met.withColumn("_rank", F.row_number().over(w)).where(F.col("_rank") <= k)
+    each = few.select("_q", "s", "category", F.explode("members").alias("m"))
+    item = F.struct((-F.col("s")).alias("o"), F.col("m.product_id").alias("product_id"), F.col("category"),
+                    F.col("m.base_price").alias("base_price"), F.col("m.rating").alias("rating"), F.col("s"))
+    return each.groupBy(F.col("_q").alias("_vector")).agg(F.slice(F.sort_array(F.collect_list(item)), 1, k).alias("near"))
+
+
+def knn_vectors(df: DataFrame, id_col: str, vec_col: str, queries: DataFrame, top_n: int = TOP_N) -> DataFrame:
+    """The top_n rows most similar (cosine) to each row of ``queries``, itself excluded.
+
+    ``queries`` has the same two columns.  Its vectors travel in blocks of
+    ``QUERY_BLOCK``; each block meets all rows in one pass that keeps top_n rows for
+    each query and task, and only those are shuffled.  Returns ``query_id, rank,
+    <id_col>, similarity``; ties go to the lesser id.  A zero or null vector has
+    similarity 0.
     """
-    rows = df.where(F.col(id_col) == F.lit(query_id)).select(vec_col).limit(1).collect()
-    if not rows:
-        return df.limit(0).select(id_col, F.lit(0.0).alias("similarity"))
-    q = F.lit([float(x) for x in rows[0][0]])     # one vector: a bounded literal
-    dbl = F.transform(F.col(vec_col), lambda x: x.cast("double"))
-    dot = F.aggregate(F.zip_with(dbl, q, lambda a, b: a * b), F.lit(0.0), lambda acc, v: acc + v)
-    n1 = F.sqrt(F.aggregate(F.transform(dbl, lambda a: a * a), F.lit(0.0), lambda acc, v: acc + v))
-    n2 = F.sqrt(F.aggregate(F.transform(q, lambda a: a * a), F.lit(0.0), lambda acc, v: acc + v))
-    scored = df.where(F.col(id_col) != F.lit(query_id)).withColumn("similarity", dot / (n1 * n2))
-    return (scored.orderBy(F.col("similarity").desc(), F.col(id_col).asc()).limit(top_n)
-            .select(id_col, "similarity"))
+    blocks = max(1, -(-queries.count() // QUERY_BLOCK))
+    rows = df.where(F.col(id_col).isNotNull()).select(
+        F.col(id_col).cast("long").alias("id"), F.transform(vec_col, lambda x: x.cast("double")).alias("v"))
+    asked = queries.where(F.col(id_col).isNotNull()).select(
+        F.col(id_col).cast("long").alias("id"), F.transform(vec_col, lambda x: x.cast("double")).alias("v"))
+    parts = None
+    for b in range(blocks):
+        block = asked.where(F.pmod(F.xxhash64("id"), F.lit(blocks)) == b).orderBy("id").toPandas()
+        part = rows.mapInArrow(_block_scorer(block, top_n), "query_id long, id long, similarity double")
+        parts = part if parts is None else parts.unionByName(part)
+    w = Window.partitionBy("query_id").orderBy(F.col("similarity").desc(), F.col("id"))
+    return (parts.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= top_n)
+            .select("query_id", "rank", F.col("id").alias(id_col), "similarity"))
+
+
+def _block_scorer(block, top_n: int):
+    import numpy as np
+
+    ids = block["id"].to_numpy()
+    width = max((len(v) for v in block["v"] if v is not None), default=1)
+    matrix = np.zeros((len(ids), width))
+    for i, v in enumerate(block["v"]):
+        if v is not None:
+            matrix[i, :len(v)] = v
+    length = np.linalg.norm(matrix, axis=1, keepdims=True)
+    matrix = np.divide(matrix, length, out=np.zeros_like(matrix), where=length > 0)
+
+    def run(batches):
+        import pyarrow as pa
+        best = np.zeros((len(ids), 0))
+        best_id = np.zeros((len(ids), 0), dtype=np.int64)
+        for batch in batches:
+            for at in range(0, batch.num_rows, 4096):
+                part = batch.slice(at, 4096)
+                own = np.zeros((part.num_rows, width))
+                for i, v in enumerate(part.column("v").to_pylist()):
+                    if v is not None:
+                        own[i, :len(v)] = v
+                size = np.linalg.norm(own, axis=1, keepdims=True)
+                own = np.divide(own, size, out=np.zeros_like(own), where=size > 0)
+                new_id = part.column("id").to_numpy()
+                sim = np.round(matrix @ own.T, 12)
+                sim[ids[:, None] == new_id[None, :]] = -np.inf
+                every, every_id = np.hstack((best, sim)), np.hstack((best_id, np.tile(new_id, (len(ids), 1))))
+                order = np.lexsort((every_id, -every), axis=1)[:, :top_n]
+                best, best_id = np.take_along_axis(every, order, 1), np.take_along_axis(every_id, order, 1)
+        keep = np.isfinite(best)
+        yield pa.RecordBatch.from_arrays([pa.array(np.repeat(ids, keep.sum(1))), pa.array(best_id[keep]), pa.array(best[keep])],
+                                         names=["query_id", "id", "similarity"])
+
+    return run

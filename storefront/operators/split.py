@@ -16,7 +16,8 @@ from storefront.functions.dates import days_between
 from storefront.functions.numeric import exact_avg, exact_sum
 from storefront.operators.mapping import (SPLIT_CUSTOMER_ALIASES, SPLIT_ORDER_ALIASES,
                                           SPLIT_PRODUCT_ALIASES, resolve_columns)
-from storefront.operators.rows import first_non_null
+from storefront.operators.rows import dense_row_index, first_non_null
+from storefront.session import ensure_checkpoint_dir
 
 # Defaults of the splitter.
 DEFAULT_DELIVERY_DAYS = 3
@@ -26,6 +27,7 @@ DEFAULT_STOCK = 100
 DEFAULT_LTV = 5000.0
 DEFAULT_SIGNUP = "2020-01-01"
 ROW_ID_COLUMN = "Row.ID"
+ROW_NUMBER = "_row_number"
 SUBCATEGORY_COLUMN = "Sub. CategYear"
 PAYMENT_COLUMN = "Payment Method"
 
@@ -34,27 +36,60 @@ def _q(c: str):
     return F.col(f"`{c}`")
 
 
-def profile(df: DataFrame, key_cols: dict[str, str | None] | None = None) -> dict:
-    """Non-null counts of every column (overall and per mapped key) and the
-    max of the discount column, from one aggregate pass."""
+def profile(df: DataFrame) -> dict:
+    """Non-null counts of the mapped columns (overall, and where the product or customer
+    key is known) and the largest discount: one aggregate pass that serves all three tables."""
     hits = resolve_columns(df.columns, SPLIT_ORDER_ALIASES, "contains")
-    aggs = [F.count(_q(c)).alias(f"n{i}") for i, c in enumerate(df.columns)]
-    keyed = []
-    for name, kc in (key_cols or {}).items():
-        if kc is None:
-            continue
-        for i, c in enumerate(df.columns):
-            keyed.append((name, c))
-            aggs.append(F.count(F.when(_q(kc).isNotNull(), _q(c))).alias(f"k{len(keyed) - 1}"))
+    attributes = {"product": resolve_columns(df.columns, SPLIT_PRODUCT_ALIASES, "contains"),
+                  "customer": resolve_columns(df.columns, SPLIT_CUSTOMER_ALIASES, "contains")}
+    mapped = sorted({*hits.values(), *attributes["product"].values(), *attributes["customer"].values()})
+    aggs = {f"n{i}": (("count", c), F.count(_q(c))) for i, c in enumerate(mapped)}
+    for name, found in attributes.items():
+        key = hits.get(f"{name}_id")
+        for src in sorted(set(found.values())) if key is not None else []:
+            aggs[f"k{len(aggs)}"] = (("keyed", (name, src)), F.count(F.when(_q(key).isNotNull(), _q(src))))
     if "discount" in hits:
-        aggs.append(F.max(_q(hits["discount"])).alias("maxdisc"))
-    row = df.agg(*aggs).first()
-    out = {"count": {c: row[f"n{i}"] for i, c in enumerate(df.columns)},
-           "keyed": {(nm, c): row[f"k{j}"] for j, (nm, c) in enumerate(keyed)},
-           "max_discount": row["maxdisc"] if "discount" in hits else None}
+        aggs["maxdisc"] = (("max_discount", None), F.max(_q(hits["discount"])))
+    row = df.agg(F.count(F.lit(1)).alias("_rows"), *[c.alias(k) for k, (_, c) in aggs.items()]).first()
+    out: dict = {"count": {}, "keyed": {}, "max_discount": None}
+    for k, ((kind, what), _) in aggs.items():
+        if kind == "max_discount":
+            out[kind] = row[k]
+        else:
+            out[kind][what] = row[k]
     return out
 
 
+def _surrogates(df: DataFrame, prof: dict) -> list[str]:
+    """The keys that are absent or entirely null."""
+    hits = resolve_columns(df.columns, SPLIT_ORDER_ALIASES, "contains")
+    return [k for k in ("order_id", "customer_id", "product_id") if k not in hits or prof["count"][hits[k]] == 0]
+
+
+def number_rows(df: DataFrame, order_col: str | None, prof: dict) -> DataFrame:
+    """Add the dense row number 1..n (``ROW_NUMBER``) if a key has to be made from it."""
+    if ROW_NUMBER in df.columns or not _surrogates(df, prof):
+        return df
+    if order_col is None:
+        raise ValueError("a key is missing: name the column that orders the rows, so that they can be numbered")
+    return dense_row_index(df, [order_col], ROW_NUMBER).withColumn(ROW_NUMBER, F.col(ROW_NUMBER) + 1)
+
+
+def split_wide(df: DataFrame, order_col: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Orders, products and customers of one export, with the same keys in all three.
+
+    The export is profiled once; made-up keys are numbered once and written to the
+    checkpoint folder, so the three tables agree on them.
+    """
+    prof = profile(df)
+    numbered = number_rows(df, order_col, prof)
+    if numbered is not df:
+        ensure_checkpoint_dir(df.sparkSession)
+        numbered = numbered.checkpoint()
+    return (split_orders(numbered, order_col, prof=prof).drop("_ord"), split_products(numbered, order_col, prof),
+            split_customers(numbered, order_col, prof))
+
+
 def _ts(c):
     return F.coalesce(c.try_cast("timestamp"), F.try_to_timestamp(c.cast("string")))
 
@@ -68,17 +103,15 @@ def split_orders(df: DataFrame, order_col: str | None = None, carry: dict | None
     """
     hits = resolve_columns(df.columns, SPLIT_ORDER_ALIASES, "contains")
     prof = profile(df) if prof is None else prof
+    made = _surrogates(df, prof)
+    df = number_rows(df, order_col, prof)
     cols = {std: _q(src) for std, src in hits.items()}
     if "order_value" not in cols and "sales" in cols:
         cols["order_value"] = cols["sales"]
-    # W3 surrogate keys when a key is absent or entirely null
-    row_no = (_q(ROW_ID_COLUMN).cast("string") if ROW_ID_COLUMN in df.columns
-              else (F.monotonically_increasing_id() + 1).cast("string"))
     for key, prefix in (("order_id", "O"), ("customer_id", "C"), ("product_id", "P")):
-        sur = F.concat(F.lit(prefix), row_no if key == "order_id" else
-                       (F.monotonically_increasing_id() + 1).cast("string"))
-        if key not in cols or prof["count"][hits[key]] == 0:
-            cols[key] = sur
+        if key in made:
+            number = ROW_ID_COLUMN if key == "order_id" and ROW_ID_COLUMN in df.columns else ROW_NUMBER
+            cols[key] = F.concat(F.lit(prefix), _q(number).cast("string"))
     for dc in ("order_date", "ship_date"):
         if dc in cols:
             cols[dc] = _ts(cols[dc])
@@ -111,11 +144,12 @@ def split_orders(df: DataFrame, order_col: str | None = None, carry: dict | None
     return df.select(*sel)
 
 
-def split_products(df: DataFrame, order_col: str) -> DataFrame:
+def split_products(df: DataFrame, order_col: str, prof: dict | None = None) -> DataFrame:
     """One row per product with first non-null attributes and defaults."""
     hits = resolve_columns(df.columns, SPLIT_PRODUCT_ALIASES, "contains")
     okeys = resolve_columns(df.columns, SPLIT_ORDER_ALIASES, "contains")
-    prof = profile(df, {"product": okeys.get("product_id")})
+    prof = profile(df) if prof is None else prof
+    df = number_rows(df, order_col, prof)
     joined = split_orders(df, order_col, {f"_a_{std}": src for std, src in hits.items()}, prof)
 
     def empty(std):
@@ -150,11 +184,12 @@ def split_products(df: DataFrame, order_col: str) -> DataFrame:
     return prods.select(*keep)
 
 
-def split_customers(df: DataFrame, order_col: str) -> DataFrame:
+def split_customers(df: DataFrame, order_col: str, prof: dict | None = None) -> DataFrame:
     """One row per customer: first location attributes, LTV, signup date."""
     hits = resolve_columns(df.columns, SPLIT_CUSTOMER_ALIASES, "contains")
     okeys = resolve_columns(df.columns, SPLIT_ORDER_ALIASES, "contains")
-    prof = profile(df, {"customer": okeys.get("customer_id")})
+    prof = profile(df) if prof is None else prof
+    df = number_rows(df, order_col, prof)
     joined = split_orders(df, order_col, {f"_a_{std}": src for std, src in hits.items()}, prof)
     aggs = [first_non_null(F.col(f"_a_{std}"), "_ord").alias(std) for std in hits]
     aggs.append((exact_sum("sales") if "sales" in joined.columns else F.lit(DEFAULT_LTV)).alias("lifetime_value"))

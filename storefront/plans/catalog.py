@@ -14,7 +14,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from storefront.functions.dates import floor_days, weekday_mon0
-from storefront.functions.numeric import exact_sum
 from storefront.operators import churn, clean, insights, kpis, reports
 from storefront.operators.clean import np_round
 from storefront.plans.views import with_views

@@ -89,6 +89,20 @@ def _split_customers(spark, d):
     return split.split_customers(td.wide_export(spark, d), ORD)
 
 
+_NUMBERED = ("numbered AS (SELECT *, row_number() OVER (ORDER BY " + ROW_ORDER + ") AS rn FROM wide_c)")
+
+
+@register("split_wide", with_views(
+    "SELECT 'O' || rn AS order_id, 'C' || rn AS customer_id, 'P' || rn AS product_id, \"Sales\" AS order_value, "
+    "\"Category\" AS category, \"Sales\" AS base_price, \"City\" AS city, \"Sales\" AS lifetime_value FROM numbered", _NUMBERED))
+def _split_wide(spark, d):
+    wide = td.wide_export(spark, d).drop("Order ID", "Customer ID", "Product ID")
+    orders, products, customers = split.split_wide(wide, ORD)
+    return (orders.select("order_id", "customer_id", "product_id", "order_value")
+            .join(products.select("product_id", "category", "base_price"), "product_id", "left")
+            .join(customers.select("customer_id", "city", "lifetime_value"), "customer_id", "left"))
+
+
 _PARSE_FORMATS = "['%Y-%m-%d %H:%M:%S', '%Y-%m-%d', '%m/%d/%Y', '%d-%m-%Y']"
 
 

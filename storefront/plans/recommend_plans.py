@@ -8,10 +8,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from storefront.operators import insights, recommend
+from storefront.operators import recommend
 from storefront.operators.clean import np_round
-from storefront.plans.catalog import _PS, NPROUND, REF, register
+from storefront.plans.catalog import NPROUND, register
 from storefront.plans.views import with_views
+from storefront.session import ensure_checkpoint_dir
 from storefront.sources import testdata as td
 
 _VEC = ("vec AS (SELECT product_id, category, base_price, rating, ln(1e0 + base_price) AS pl, "
@@ -56,31 +57,25 @@ def _recommend_similar(spark, d):
     return r.withColumn("similarity", np_round(F.col("similarity"), 9))
 
 
-_SOURCES = "src AS (SELECT product_id FROM ps ORDER BY revenue DESC, product_id LIMIT 5)"
-
-
 @register("knn_products", with_views(
     "SELECT source_id, CAST(rank AS INTEGER) AS rank, product_id, category, base_price, rating, "
-    f"{NPROUND('sim', 9)} AS similarity FROM (SELECT s.product_id AS source_id, v.product_id, v.category, "
-    f"v.base_price, v.rating, {_SIM} AS sim, row_number() OVER (PARTITION BY s.product_id ORDER BY {_SIM} DESC, "
-    "v.product_id) AS rank FROM vec v, (SELECT vec.* FROM vec JOIN src ON vec.product_id = src.product_id) s "
-    "WHERE v.product_id <> s.product_id) t WHERE rank <= 5", _PS + ", " + _VEC + ", " + _SOURCES))
+    f"{NPROUND('sim', 9)} AS similarity FROM (SELECT *, row_number() OVER (PARTITION BY source_id ORDER BY sim DESC, "
+    "product_id) AS rank FROM (SELECT s.product_id AS source_id, v.product_id, v.category, v.base_price, v.rating, "
+    f"round({_SIM}, 12) AS sim FROM vec v JOIN vec s ON v.product_id <> s.product_id) p) t WHERE rank <= 5", _VEC))
 def _knn_products(spark, d):
-    o, p = td.orders(spark, d), td.products(spark, d)
-    ps = insights.product_sales(o, p, REF)
-    sources = ps.orderBy(F.col("revenue").desc(), F.col("product_id").asc()).limit(5).select("product_id")
-    r = recommend.knn_products(p, sources)
+    ensure_checkpoint_dir(spark)
+    r = recommend.knn_products(td.products(spark, d))
     return r.withColumn("similarity", np_round(F.col("similarity"), 9)).withColumn("rank", F.col("rank").cast("int"))
 
 
+# a search takes as queries every row whose id is divisible by 20, against all rows
 @register("knn_embeddings",
-          "SELECT vec_id, round_even(sim * 1e9, 0) / 1e9 AS similarity FROM ("
-          "SELECT e.vec_id, list_cosine_similarity(CAST(e.embedding AS DOUBLE[]), CAST(q.embedding AS DOUBLE[])) "
-          "AS sim FROM embeddings e, (SELECT embedding FROM embeddings WHERE vec_id = "
-          "(SELECT MIN(vec_id) FROM embeddings)) q WHERE e.vec_id <> (SELECT MIN(vec_id) FROM embeddings)) t "
-          "ORDER BY sim DESC, vec_id LIMIT 5")
+          "SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, round_even(sim * 1e9, 0) / 1e9 AS similarity FROM ("
+          "SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY sim DESC, vec_id) AS rank FROM ("
+          "SELECT q.vec_id AS query_id, e.vec_id, round(list_cosine_similarity(CAST(e.embedding AS DOUBLE[]), "
+          "CAST(q.embedding AS DOUBLE[])), 12) AS sim FROM embeddings e JOIN embeddings q ON e.vec_id <> q.vec_id "
+          "AND q.vec_id % 20 = 0) p) t WHERE rank <= 5")
 def _knn_embeddings(spark, d):
     e = td.table(spark, d, "embeddings")
-    first = e.select(F.min("vec_id")).scalar()
-    r = recommend.knn_vectors(e, "vec_id", "embedding", first)
-    return r.withColumn("similarity", np_round(F.col("similarity"), 9))
+    r = recommend.knn_vectors(e, "vec_id", "embedding", e.where(F.col("vec_id") % 20 == 0))
+    return r.withColumn("similarity", np_round(F.col("similarity"), 9)).withColumn("rank", F.col("rank").cast("int"))
