@@ -48,7 +48,7 @@ class Rule:
     #: Different segments of one anchor that go into a block as they are.
     block_segments: int = 512
     #: Bytes of one suffix array.
-    block_bytes: int = 1 << 20
+    block_bytes: int = 1 << 18
 
 
 @lru_cache(maxsize=1)
@@ -161,9 +161,9 @@ def suffix_array(text: np.ndarray, reach: int) -> tuple[np.ndarray, np.ndarray]:
     while True:
         order = np.argsort(key, kind="stable")
         sorted_key = key[order]
-        step = np.zeros(n, np.int64)
+        step = np.zeros(n, np.int32)
         step[1:] = np.cumsum(sorted_key[1:] != sorted_key[:-1])
-        rank = np.empty(n, np.int64)
+        rank = np.empty(n, np.int32)
         rank[order] = step
         ranks.append((size, rank))
         if size >= reach or (n and step[-1] == n - 1):

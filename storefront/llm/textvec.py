@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes of text that are worked on at once; working memory is about 60 times as much.
-SLICE_BYTES = 1 << 19
+SLICE_BYTES = 1 << 18
 U64 = np.uint64
 
 
