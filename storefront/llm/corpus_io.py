@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,8 +16,26 @@ from pyspark.sql import functions as F
 BATCH_ROWS = 1_000
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Let Python workers import this package where it isn't installed: Spark sends it once as a zip."""
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    root = Path(__file__).resolve().parents[1]
+    target = Path(tempfile.mkdtemp(prefix="corpus-package-")) / "storefront-package.zip"
+    with zipfile.ZipFile(target, "w") as z:
+        for f in sorted(root.rglob("*.py")):
+            z.write(f, f.relative_to(root.parent))
+    spark.sparkContext.addPyFile(str(target))
+    _SHIPPED.add(app)
+
+
 def small_batches(spark: SparkSession) -> None:
-    """Bound the Arrow batches of the session's later jobs by ``BATCH_ROWS``."""
+    """Bound the Arrow batches of the session's later jobs by ``BATCH_ROWS``; ship the package."""
+    ship_package(spark)
     name = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if not 0 < int(spark.conf.get(name)) <= BATCH_ROWS:
         spark.conf.set(name, str(BATCH_ROWS))

@@ -13,8 +13,9 @@
 
 A shingle shared by many groups gives no pairs of all of them.  First each group
 is compared with one pivot of its size band.  What is connected then needs no more
-comparison for the components; only lists whose members are still in different
-components are joined with themselves, across components.
+comparison for the components.  In lists whose members are in different components,
+members outside the main component meet a few inside it, turn by turn; what is still
+apart is at last compared in full, across components.
 
 Shingles travel as blocks of packed integers, one row for each task and bucket.
 """
@@ -27,7 +28,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import textvec as tv
@@ -46,6 +47,10 @@ class Rule:
     frequent: int = 4_000_000
     #: Postings of one frequent shingle that go to one bucket.
     bucket_postings: int = 2_000
+    #: Turns in which members outside a list's main component meet members inside, and pairs for each
+    #: of them in a turn.  What they leave open is compared in full.
+    most_turns: int = 8
+    turn_pairs: int = 4
     #: Bytes of packed shingles that a task holds before it sends them on.
     flush_bytes: int = 6 << 20
 
@@ -367,6 +372,52 @@ def _texts(rows: DataFrame, classes: DataFrame, wanted: DataFrame) -> DataFrame:
     return written(packed, "shingle-texts").dropDuplicates(["cls"])
 
 
+def _edges(links: DataFrame) -> DataFrame:
+    return links.select(F.col("a").alias("u"), F.col("b").alias("v"))
+
+
+def _open(lists: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Lists whose members are in different components, with each member's component."""
+    placed = (lists.join(nodes, lists.cls == nodes.node, "left")
+              .select("name", "cls", "n", "indexed", F.coalesce("component", "cls").alias("component")))
+    open_ = (placed.groupBy("name").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
+             .filter("lo != hi").select("name"))
+    return placed.join(open_, "name")
+
+
+def _may_link(rule: Rule) -> F.Column:
+    """Of members ``x`` and ``y`` of a list: sizes can be similar and the shingle lies in both prefixes."""
+    low, high = F.least("x.n", "y.n"), F.greatest("x.n", "y.n")
+    flagged = (F.when(F.col("x.n") < F.col("y.n"), F.col("x.indexed")).when(F.col("y.n") < F.col("x.n"), F.col("y.indexed"))
+               .otherwise(F.least("x.indexed", "y.indexed")))
+    return (rule.den * low >= rule.num * high) & (flagged == 1)
+
+
+def _outliers(open_: DataFrame, turn: int, rule: Rule) -> DataFrame:
+    """Pairs of a member outside its list's main component with one inside, another one each turn."""
+    sizes = open_.groupBy("name", "component").agg(F.count("*").alias("m"))
+    main = sizes.groupBy("name").agg(F.max(F.struct("m", "component")).alias("main"))
+    sided = open_.join(main, "name").withColumn("inside", F.col("component") == F.col("main.component"))
+    # lists hold at most about ``bucket_postings`` members
+    inside = sided.filter("inside").withColumn("i", F.row_number().over(Window.partitionBy("name").orderBy("cls")))
+    outside = sided.filter("not inside").withColumn(
+        "i", 1 + F.pmod(F.xxhash64("cls", "name", F.lit(turn)), F.col("main.m")).cast("int"))
+    x, y = outside.alias("x"), inside.alias("y")
+    met = x.join(y, (F.col("x.name") == F.col("y.name")) & (F.col("x.i") == F.col("y.i")) & _may_link(rule))
+    pairs = met.select(F.col("x.cls").alias("out"), F.least("x.cls", "y.cls").alias("a"), F.greatest("x.cls", "y.cls").alias("b"))
+    few = Window.partitionBy("out").orderBy(F.xxhash64("a", "b"))
+    kept = pairs.distinct().withColumn("r", F.row_number().over(few)).filter(F.col("r") <= rule.turn_pairs)
+    return kept.select("a", "b").distinct()
+
+
+def _across(open_: DataFrame, rule: Rule) -> DataFrame:
+    """All pairs of classes that share a list and are in different components."""
+    x, y = open_.alias("x"), open_.alias("y")
+    return (x.join(y, (F.col("x.name") == F.col("y.name")) & (F.col("x.cls") < F.col("y.cls"))
+                   & (F.col("x.component") != F.col("y.component")) & _may_link(rule))
+            .select(F.col("x.cls").alias("a"), F.col("y.cls").alias("b")).distinct())
+
+
 def similar(docs: DataFrame, rule: Rule = Rule(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Shingle-set size and component of every document.
 
@@ -403,24 +454,27 @@ def similar(docs: DataFrame, rule: Rule = Rule(), id_col: str = "doc_id", text_c
     lists = written(lists.unionByName(in_group), "shingle-lists")
     texts = _texts(rows, classes, ends.unionByName(lists.select("cls")))
     links = written(_verify(first, texts, rule), "shingle-links")
-    edges = links.select(F.col("a").alias("u"), F.col("b").alias("v"))
-    nodes = connected(edges)
-
-    placed = (lists.join(nodes, lists.cls == nodes.node, "left")
-              .select("name", "cls", "n", "indexed", F.coalesce("component", "cls").alias("component")))
-    open_ = (placed.groupBy("name").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-             .filter("lo != hi").select("name"))
-    placed = written(placed.join(open_, "name"), "shingle-open")
-    x, y = placed.alias("x"), placed.alias("y")
-    low, high = F.least("x.n", "y.n"), F.greatest("x.n", "y.n")
-    flagged = (F.when(F.col("x.n") < F.col("y.n"), F.col("x.indexed")).when(F.col("y.n") < F.col("x.n"), F.col("y.indexed"))
-               .otherwise(F.least("x.indexed", "y.indexed")))
-    across = (x.join(y, (F.col("x.name") == F.col("y.name")) & (F.col("x.cls") < F.col("y.cls"))
-                     & (F.col("x.component") != F.col("y.component")) & (rule.den * low >= rule.num * high) & (flagged == 1))
-              .select(F.col("x.cls").alias("a"), F.col("y.cls").alias("b")).distinct().join(first, ["a", "b"], "left_anti"))
+    nodes = connected(_edges(links))
+    checked = first
+    # members outside their list's main component meet a few of its members, until that helps no more
+    for turn in range(rule.most_turns):
+        open_ = written(_open(lists, nodes), "shingle-open")
+        pairs = written(_outliers(open_, turn, rule).join(checked, ["a", "b"], "left_anti"), "shingle-pairs")
+        n_pairs = pairs.count()
+        more = written(_verify(pairs, texts, rule), "shingle-links")
+        n_more = more.count()
+        checked = checked.unionByName(pairs)
+        if n_more:
+            links = links.unionByName(more)
+            nodes = connected(_edges(links))
+        if n_more * 10 <= n_pairs:
+            break
+    # all that is left: pairs of one list in different components
+    open_ = written(_open(lists, nodes), "shingle-open")
+    across = written(_across(open_, rule).join(checked, ["a", "b"], "left_anti"), "shingle-pairs")
     more = written(_verify(across, texts, rule), "shingle-links")
     if not more.isEmpty():
-        nodes = connected(edges.unionByName(more.select(F.col("a").alias("u"), F.col("b").alias("v"))))
+        nodes = connected(_edges(links.unionByName(more)))
     named = (sets.filter("n > 0").join(nodes, sets.cls == nodes.node, "left")
              .select("id", "text_hash", "n", F.coalesce("component", "cls").alias("component")))
     least = named.groupBy("component").agg(F.min("id").alias("component_id"))
