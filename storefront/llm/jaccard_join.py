@@ -50,7 +50,7 @@ class Rule:
     #: Turns in which members outside a list's main component meet members inside, and pairs for each
     #: of them in a turn.  What they leave open is compared in full.
     most_turns: int = 8
-    turn_pairs: int = 4
+    turn_pairs: int = 8
     #: Bytes of packed shingles that a task holds before it sends them on.
     flush_bytes: int = 6 << 20
 
@@ -467,7 +467,7 @@ def similar(docs: DataFrame, rule: Rule = Rule(), id_col: str = "doc_id", text_c
         if n_more:
             links = links.unionByName(more)
             nodes = connected(_edges(links))
-        if n_more * 10 <= n_pairs:
+        if n_more * 25 <= n_pairs:
             break
     # all that is left: pairs of one list in different components
     open_ = written(_open(lists, nodes), "shingle-open")
