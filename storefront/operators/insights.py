@@ -11,13 +11,13 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from storefront.functions.numeric import exact_avg, exact_sum
 from storefront.functions.text import money_text, pct_text
 from storefront.operators.stats import quantile_scalar
+from storefront.session import ensure_checkpoint_dir
 
 # Windows, thresholds and list sizes of the reference's insights.
 RECENT_DAYS = 90
@@ -285,13 +285,13 @@ def insights(orders: DataFrame, products: DataFrame, scored: DataFrame, customer
     Insights whose data is empty are absent, as in the reference (e.g. no recent
     orders -> no revenue or product insights; no failures -> no payment row).
     All order-level numbers come from one grouping-sets pass (``insight_facts``);
-    the small fact table is kept for the dozen reads below.
+    the small fact table is checkpointed for the dozen reads below.
     """
     spark = orders.sparkSession
-    facts = insight_facts(orders, ref_date).persist(StorageLevel.MEMORY_AND_DISK)
+    ensure_checkpoint_dir(spark)
+    facts = insight_facts(orders, ref_date).checkpoint()
     # the scored customers feed two insights; keep the four columns they read
-    scored = scored.select("customer_id", "churn_probability", "total_orders", "total_spent") \
-                   .persist(StorageLevel.MEMORY_AND_DISK)
+    scored = scored.select("customer_id", "churn_probability", "total_orders", "total_spent").checkpoint()
     glob = facts.where(F.col("level") == "all")
     cats = facts.where((F.col("level") == "category") & F.col("category").isNotNull())
     discs = facts.where((F.col("level") == "discount_pct") & F.col("discount_pct").isNotNull()

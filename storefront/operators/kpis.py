@@ -51,17 +51,20 @@ def kpi_document(kpis: DataFrame, reg_metrics: DataFrame | None = None, clf_metr
                  with_timestamp: bool = True) -> DataFrame:
     """K2-K4: the KPI document as one nested row (write it with ``write.json``)."""
     cols = [F.struct(*[F.col(c) for c in kpis.columns]).alias("business_kpis")]
+    blocks = []
     if reg_metrics is not None:
         r = reg_metrics.select(F.struct("mae", "rmse", "r2")).scalar()
-        cols.append(F.struct(
+        blocks.append(F.struct(
             r.getField("mae").alias("mae"), r.getField("rmse").alias("rmse"), r.getField("r2").alias("r2_score"),
             model_status(r.getField("r2")).alias("status")).alias("sales_prediction"))
     if clf_metrics is not None:
         names = ("accuracy", "roc_auc", "precision", "recall", "f1_score")
         m = clf_metrics.select(F.struct(*names)).scalar()
-        cols.append(F.struct(
+        blocks.append(F.struct(
             *[m.getField(c).alias(c) for c in names],
             model_status(m.getField("roc_auc")).alias("status")).alias("churn_prediction"))
+    if blocks:
+        cols.append(F.struct(*blocks).alias("model_performance"))
     if reg_importance is not None:
         cols.append(top_features(reg_importance).alias("top_features_sales"))
     if clf_importance is not None:

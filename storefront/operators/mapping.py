@@ -131,12 +131,6 @@ def map_columns(df: DataFrame, mapping: Mapping[str, Sequence[str]], keep_unmapp
     return df.select(*sel)
 
 
-def select_mapped(df: DataFrame, mapping: Mapping[str, Sequence[str]]) -> DataFrame:
-    """A frame holding only the mapped targets (a source may feed several)."""
-    hits = resolve_columns(df.columns, mapping, "contains")
-    return df.select(*[F.col(f"`{src}`").alias(std) for std, src in hits.items()])
-
-
 def load_mapping(path_or_text: str) -> dict[str, list[str]]:
     """A per-supplier mapping stored as JSON {standard: [aliases]}."""
     text = path_or_text

@@ -18,7 +18,7 @@ from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from storefront.functions.numeric import exact_avg
@@ -45,12 +45,32 @@ def hash_bucket(key, seed: int = SEED, buckets: int = 100) -> Column:
 
 
 def split_train(df: DataFrame, key: str, test_pct: int = TEST_PCT, seed: int = SEED) -> DataFrame:
-    """M1/M2: adds ``is_test`` (about test_pct % of keys).
+    """M1: adds ``is_test`` (about test_pct % of keys); ``split_stratified`` splits classes exactly."""
+    return df.withColumn("is_test", hash_bucket(key, seed) < test_pct)
+
 
-    The hash does not look at the label, so every class is split in the same
-    proportion (stratified in expectation), including a single-class table.
+def split_stratified(df: DataFrame, label: str, key: str, test_pct: int = TEST_PCT, seed: int = SEED,
+                     buckets: int = 1024) -> DataFrame:
+    """M2: adds ``is_test`` for exactly ``test_pct`` % of each class's rows (rounded half up).
+
+    Rows are ordered by a hash of the key within their class.  Counts per class and
+    hash bucket tell the bucket in which the cut falls; only that bucket's rows are
+    ranked, so no class ever meets in one task.
     """
-    return df.withColumn("is_test", hash_bucket(key, seed) < test_pct)
+    hashed = df.withColumn("_h", F.md5(F.concat(F.coalesce(F.col(key).cast("string"), F.lit("")), F.lit(f"#{seed}"))))
+    hashed = hashed.withColumn("_b", hash_bucket(key, seed, buckets)).fillna({"_b": 0})
+    counts = hashed.groupBy(label, "_b").agg(F.count(F.lit(1)).alias("_n"))
+    w = Window.partitionBy(label)
+    placed = counts.select(
+        F.col(label).alias("_label"), F.col("_b").alias("_bucket"),
+        (F.sum("_n").over(w.orderBy("_b")) - F.col("_n")).alias("_before"),
+        F.floor(F.sum("_n").over(w) * test_pct / 100 + 0.5).alias("_wanted"), "_n")
+    joined = hashed.join(placed, hashed[label].eqNullSafe(placed["_label"]) & (hashed["_b"] == placed["_bucket"]))
+    cut = (F.col("_before") < F.col("_wanted")) & (F.col("_before") + F.col("_n") > F.col("_wanted"))
+    spread = F.when(cut, F.col("_b")).otherwise(-1 - F.pmod(F.xxhash64(key), F.lit(buckets)))
+    rank = F.row_number().over(Window.partitionBy("_label", spread).orderBy("_h", key))
+    test = F.when(cut, F.col("_before") + rank <= F.col("_wanted")).otherwise(F.col("_before") < F.col("_wanted"))
+    return joined.withColumn("is_test", test).select(*df.columns, "is_test")
 
 
 def split_counts(split: DataFrame, label: str) -> DataFrame:
@@ -104,8 +124,7 @@ def fit_churn_model(features_df: DataFrame, features: Sequence[str] = CHURN_FEAT
                     params: dict | None = None) -> tuple[PipelineModel | None, DataFrame, float | None]:
     """Balanced random forest; with a single class no model is fitted and
     the constant class is returned instead (probability 1 or 0)."""
-    data = _sanitised(features_df, features)
-    data = split_train(data, key)
+    data = split_stratified(_sanitised(features_df, features), label, key)
     train = data.where(~F.col("is_test"))
     classes = [r[0] for r in train.select(label).distinct().limit(2).collect()]
     if len(classes) < 2:

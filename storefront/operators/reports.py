@@ -119,8 +119,3 @@ def kpi_tiles(kpis: DataFrame) -> DataFrame:
         F.concat(F.format_number(z("return_rate").cast("double") * 100, 2), F.lit("%")).alias("return_tile"),
         F.concat(F.format_number(z("average_delivery_time").cast("double"), 1), F.lit(" days")).alias("delivery_tile"),
     )
-
-
-def ranked(df: DataFrame, part: str, order_cols) -> DataFrame:
-    w = Window.partitionBy(part).orderBy(*order_cols)
-    return df.withColumn("rank", F.row_number().over(w))

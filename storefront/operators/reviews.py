@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from storefront.functions.dates import hash_days_before
 from storefront.functions.numeric import clean_money
+from storefront.operators.clean import enrich_orders
 from storefront.operators.rows import dense_row_index, first_row
 
 # Fixed values of the review conversion.
@@ -28,7 +29,6 @@ CUSTOMER_PREFIX = "C_AMZ_"
 PRODUCT_PREFIX = "P_AMZ_"
 SIGNUP_DAYS = (30, 900)          # signup = ref - [30, 900) days
 ORDER_DAYS = (0, 730)            # order date = ref - [0, 730) days
-PRODUCT_HASH_MOD = 100000
 
 
 def is_review_export(columns) -> bool:
@@ -42,7 +42,7 @@ def reviews_products(df: DataFrame, order_col: str) -> DataFrame:
     cols = [c for c in PRODUCT_COLUMNS if c in df.columns]
     src = df
     if "product_id" not in df.columns:
-        src = _with_product_id(df)
+        src = _with_product_id(dense_row_index(df, [order_col]))
         cols = ["product_id", *cols]
     return first_row(src, "product_id", order_col, [c for c in cols if c != "product_id"])
 
@@ -60,10 +60,9 @@ def reviews_customers(df: DataFrame, order_col: str, ref_date: str) -> DataFrame
                 .withColumn("lifetime_value", F.lit(0.0)))
 
 
-def _with_product_id(df: DataFrame) -> DataFrame:
-    name = F.col("product_name") if "product_name" in df.columns else F.lit("")
-    h = F.conv(F.substring(F.md5(name.cast("string")), 1, 8), 16, 10).cast("bigint")
-    return df.withColumn("product_id", F.concat(F.lit(PRODUCT_PREFIX), F.pmod(h, F.lit(PRODUCT_HASH_MOD)).cast("string")))
+def _with_product_id(indexed: DataFrame) -> DataFrame:
+    """A2: without product ids every row is a product of its own, named by its row number."""
+    return indexed.withColumn("product_id", F.concat(F.lit(PRODUCT_PREFIX), F.col("row_index").cast("string")))
 
 
 def reviews_to_orders(df: DataFrame, order_col: str, ref_date: str) -> DataFrame:
@@ -103,16 +102,13 @@ def reviews_to_orders(df: DataFrame, order_col: str, ref_date: str) -> DataFrame
 
 
 def enrich_review_orders(orders: DataFrame, products: DataFrame) -> DataFrame:
-    """Bring rating (default 4.0) and category onto the orders from products."""
-    out = orders
-    if "rating" not in out.columns:
-        if "rating" in products.columns:
-            out = out.join(products.select("product_id", F.col("rating").alias("_r")), "product_id", "left") \
-                     .withColumn("rating", F.col("_r")).drop("_r")
-        else:
-            out = out.withColumn("rating", F.lit(4.0))
-        out = out.withColumn("rating", F.coalesce(F.col("rating").try_cast("double"), F.lit(4.0)))
-    if "category" not in out.columns and "category" in products.columns:
-        cats = products.select("product_id", "category").distinct()
-        out = out.join(cats, "product_id", "left")
+    """Bring rating (default 4.0), category and base_price onto the orders that lack them.
+
+    Products are reduced to one row per id first, so an order stays one row.
+    """
+    wanted = tuple(c for c in ("rating", "category", "base_price") if c not in orders.columns and c in products.columns)
+    out = enrich_orders(orders, products, wanted)
+    if "rating" not in orders.columns:
+        rating = F.col("rating").try_cast("double") if "rating" in wanted else F.lit(None).cast("double")
+        out = out.withColumn("rating", F.coalesce(rating, F.lit(4.0)))
     return out

@@ -2,17 +2,15 @@
 
 pandas ``quantile(q)`` (linear interpolation) is exact.  Spark's ``percentile``
 is exact too, but it buffers every value of the group in one task, which does not
-survive a 100 TB column.  ``quantile_scalar`` keeps it exact with bounded memory:
+survive a 100 TB column.  ``quantile_scalar`` keeps it exact with bounded memory,
+by the same steps at every size:
 
-1. n = number of non-null values; target ranks k = floor((n-1) q) and k + 1.
-2. ``percentile_approx`` (rank error <= n / accuracy) brackets both ranks in
-   [lo, hi]; the bracket holds O(n / accuracy) distinct values.
-3. The values inside the bracket are counted per distinct value (pre-aggregated,
+1. one pass takes n and ``percentile_approx`` on both sides of q (rank error <= n /
+   accuracy), which bracket the target ranks k = floor((n - 1) q) and k + 1; a second
+   pass widens the bracket to the next values outside it and counts those below;
+2. the values inside the bracket are counted per distinct value (pre-aggregated,
    so a hot value is one row), ordered, and the running count plus the number of
-   values below ``lo`` locates ranks k and k + 1 exactly.
-
-For n <= accuracy the plain exact ``percentile`` is used (its buffer is bounded
-by ``accuracy`` values).  The result is a lazy scalar-subquery Column.
+   values below the bracket locates the two ranks exactly.
 
 ``group_median`` is the per-group variant used for per-product medians: values
 are first collapsed to (key, value, count), then a window per key walks the
@@ -30,51 +28,50 @@ DEFAULT_ACCURACY = 100_000
 
 
 def quantile_scalar(df: DataFrame, col: str, q: float, accuracy: int = DEFAULT_ACCURACY) -> Column:
-    vals = df.select(F.col(col).cast("double").alias("v")).where(F.col("v").isNotNull())
-    n = vals.count()
-    if n == 0:
-        return F.lit(None).cast("double")
-    if n <= accuracy:
-        return vals.select(F.percentile("v", F.lit(q))).scalar()
-    pos = (n - 1) * q
-    k = math.floor(pos)
-    frac = pos - k
-    slack = 2.0 / accuracy
-    p_lo = max(0.0, k / n - slack)
-    p_hi = min(1.0, (k + 2) / n + slack)
-    br = vals.select(F.struct(
-        F.percentile_approx("v", F.array(F.lit(p_lo), F.lit(p_hi)), F.lit(accuracy)).alias("b"),
-        F.min("v").alias("mn"), F.max("v").alias("mx"))).scalar()
-    lo = br.getField("mn") if p_lo == 0.0 else F.element_at(br.getField("b"), 1)
-    hi = br.getField("mx") if p_hi == 1.0 else F.element_at(br.getField("b"), 2)
-    below = vals.select(F.count_if(F.col("v") < lo)).scalar()
-    inside = (vals.where((F.col("v") >= lo) & (F.col("v") <= hi))
-              .groupBy("v").agg(F.count(F.lit(1)).alias("c")))
-    # bounded set (O(n / accuracy) distinct values): one ordered window is fine
-    cum = inside.withColumn(
-        "cum", F.sum("c").over(Window.orderBy("v").rowsBetween(Window.unboundedPreceding, 0)) + below)
-    v_k = cum.where(F.col("cum") > F.lit(k)).select(F.min("v")).scalar()
-    if frac == 0.0:
-        return v_k
-    v_k1 = cum.where(F.col("cum") > F.lit(k + 1)).select(F.min("v")).scalar()
-    return v_k + (v_k1 - v_k) * F.lit(frac)
+    """The q-quantile of a column's non-null values, NULL without any."""
+    return quantile_scalars(df, [col], q, accuracy)[col]
 
 
-def quantile_scalars(df: DataFrame, cols: list[str], q: float,
-                     accuracy: int = DEFAULT_ACCURACY) -> dict[str, Column]:
-    """``quantile_scalar`` for several columns with one counting pass; columns
-    small enough for the exact buffer share one scalar subquery."""
-    counts = df.agg(*[F.count(F.col(c).cast("double")).alias(f"n{i}") for i, c in enumerate(cols)]).first()
-    out: dict[str, Column] = {}
-    small = [c for i, c in enumerate(cols) if counts[f"n{i}"] <= accuracy]
-    if small:
-        st = df.select(F.struct(*[F.percentile(F.col(c).cast("double"), F.lit(q)).alias(f"q{i}")
-                                  for i, c in enumerate(small)])).scalar()
-        for i, c in enumerate(small):
-            out[c] = st.getField(f"q{i}")
-    for c in cols:
-        if c not in out:
-            out[c] = quantile_scalar(df, c, q, accuracy)
+def quantile_scalars(df: DataFrame, cols: list[str], q: float, accuracy: int = DEFAULT_ACCURACY) -> dict[str, Column]:
+    """The q-quantile of several columns: two aggregate passes that return one row each, then a
+    lazy scalar subquery over the bracketed values of all columns."""
+    vals = df.select(*[F.col(c).cast("double").alias(f"v{i}") for i, c in enumerate(cols)])
+    slack = 3.0 / accuracy
+    ends = F.array(F.lit(max(0.0, q - slack)), F.lit(min(1.0, q + slack)))
+    first = vals.agg(*[x for i in range(len(cols)) for x in (
+        F.count(f"v{i}").alias(f"n{i}"), F.percentile_approx(f"v{i}", ends, F.lit(accuracy)).alias(f"b{i}"))]).first()
+    known = [i for i in range(len(cols)) if first[f"n{i}"]]
+    out = {c: F.lit(None).cast("double") for c in cols}
+    if not known:
+        return out
+    # the next values that occur outside the approximate ends, and how many lie below them
+    near = vals.agg(*[x for i in known for x in (
+        F.max(F.when(F.col(f"v{i}") < first[f"b{i}"][0], F.col(f"v{i}"))).alias(f"lo{i}"),
+        F.min(F.when(F.col(f"v{i}") > first[f"b{i}"][1], F.col(f"v{i}"))).alias(f"hi{i}"),
+        F.count_if(F.col(f"v{i}") < first[f"b{i}"][0]).alias(f"below{i}"))]).first()
+    parts = []
+    for i in known:
+        lo, hi = first[f"b{i}"][0], near[f"hi{i}"] if near[f"hi{i}"] is not None else first[f"b{i}"][1]
+        # values from the lower end on; if the rank lies below it, the next lower value is the answer
+        keep = (F.col(f"v{i}") >= lo) & (F.col(f"v{i}") <= hi)
+        parts.append(F.struct(F.lit(i).alias("i"), F.when(keep, F.col(f"v{i}")).alias("v")))
+    inside = (vals.select(F.explode(F.array(*parts)).alias("p")).where("p.v is not null").groupBy("p.i", "p.v")
+              .agg(F.count(F.lit(1)).alias("c")))
+    # O(n / accuracy) distinct values for each column
+    cum = inside.withColumn("cum", F.sum("c").over(Window.partitionBy("i").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)))
+    answers = []
+    for i in known:
+        place = (first[f"n{i}"] - 1) * q
+        k, below = math.floor(place), near[f"below{i}"]
+        own = (F.col("i") == i)
+        at = [F.min(F.when(own & (F.col("cum") > k + j - below), F.col("v"))) for j in (0, 1)]
+        lower = F.lit(near[f"lo{i}"]).cast("double")
+        a = F.when(F.lit(k < below), lower).otherwise(at[0])
+        b = F.coalesce(F.when(F.lit(k + 1 < below), lower).otherwise(at[1]), a)
+        answers.append((a + (b - a) * F.lit(place - k)).alias(f"q{i}"))
+    row = cum.agg(F.struct(*answers).alias("s")).select("s").scalar()
+    for i in known:
+        out[cols[i]] = row.getField(f"q{i}")
     return out
 
 

@@ -14,8 +14,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from storefront.functions.dates import floor_days, weekday_mon0
+from storefront.functions.numeric import exact_avg, exact_sum
 from storefront.operators import churn, clean, insights, kpis, reports
 from storefront.operators.clean import np_round
+from storefront.operators.stats import quantile_scalar
 from storefront.plans.views import with_views
 from storefront.sources import testdata as td
 
@@ -383,3 +385,24 @@ def _add_defaults(spark, d):
     bare = _p(spark, d).select("product_id", "category", "base_price")
     return clean.add_defaults(bare, "products").select(
         "product_id", "category", "base_price", F.col("stock_quantity"), "rating", "manufacturing_cost")
+
+
+# sums of fractions below 0.0001, means with NaN, a quantile over all order lines: plain SQL on the other side
+@register("plain_aggregates", with_views(
+    f"SELECT category, {NPROUND('sum(order_value * 1e-9)', 12)} AS tiny_sum, "
+    f"{NPROUND('avg(CASE WHEN order_id % 3 <> 0 THEN order_value END)', 6)} AS mean_without_nan FROM orders_c GROUP BY category"))
+def _plain_aggregates(spark, d):
+    value = F.when(F.col("order_id") % 3 == 0, F.lit(float("nan"))).otherwise(F.col("order_value"))
+    out = _o(spark, d).groupBy("category").agg(exact_sum(F.col("order_value") * 1e-9).alias("tiny_sum"),
+                                               exact_avg(value).alias("mean_without_nan"))
+    return out.select("category", np_round(F.col("tiny_sum"), 12).alias("tiny_sum"),
+                      np_round(F.col("mean_without_nan"), 6).alias("mean_without_nan"))
+
+
+@register("line_quantiles", with_views(
+    "SELECT " + ", ".join(f"{NPROUND(f'quantile_cont(order_value, {q})', 6)} AS q{int(q * 1000)}"
+                          for q in (0.0, 0.25, 0.5, 0.85, 0.9, 0.999, 1.0)) + " FROM orders_c"))
+def _line_quantiles(spark, d):
+    o = _o(spark, d)
+    return o.limit(1).select(*[np_round(quantile_scalar(o, "order_value", q), 6).alias(f"q{int(q * 1000)}")
+                               for q in (0.0, 0.25, 0.5, 0.85, 0.9, 0.999, 1.0)])

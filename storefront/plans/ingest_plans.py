@@ -6,8 +6,10 @@ from pyspark.sql import functions as F
 
 from storefront.functions.numeric import clean_money
 from storefront.operators import clean, mapping, reviews, split
-from storefront.plans.catalog import REF, register
+from storefront.operators.clean import np_round
+from storefront.plans.catalog import NPROUND, REF, register
 from storefront.plans.views import with_views
+from storefront.sources import readers
 from storefront.sources import testdata as td
 
 ORD = "Row ID"
@@ -89,6 +91,44 @@ def _split_customers(spark, d):
     return split.split_customers(td.wide_export(spark, d), ORD)
 
 
+# a table whose price text is missing or unreadable in places
+_PRICED = ("priced AS (SELECT product_id, CASE WHEN product_id % 5 = 0 THEN NULL WHEN product_id % 7 = 0 THEN 'n/a' "
+           "ELSE '₹' || format('{:,.2f}', base_price) END AS base_price FROM products_c), "
+           "cleaned AS (SELECT product_id, " + "TRY_CAST(nullif(regexp_replace(base_price, '[^0-9.\\-]', '', 'g'), '') AS DOUBLE)"
+           " AS v FROM priced)")
+
+
+@register("impute_price", with_views(
+    f"SELECT product_id, {NPROUND('COALESCE(v, (SELECT quantile_cont(v, 0.5) FROM cleaned), 0e0)', 6)} AS base_price "
+    "FROM cleaned", _PRICED))
+def _impute_price(spark, d):
+    p, i = td.products(spark, d), F.col("product_id")
+    text = F.when(i % 5 == 0, None).when(i % 7 == 0, "n/a").otherwise(F.concat(F.lit("₹"), F.format_number("base_price", 2)))
+    out = clean.impute_price(p.select("product_id", text.alias("base_price")))
+    return out.withColumn("base_price", np_round(F.col("base_price"), 6))
+
+
+_FILES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
+
+
+def _rank_sql() -> str:
+    def has(k, points):
+        return f"bool_or(contains(lower(column_name), '{k}'))::INTEGER * {points}"
+    terms = [has(k, readers.ORDER_KEYWORD_POINTS) for k in readers.ORDER_KEYWORDS]
+    terms += [has(k, readers.REVIEW_KEYWORD_POINTS) for k in readers.REVIEW_KEYWORDS]
+    hint = " OR ".join(f"contains(table_name, '{h}')" for h in readers.NAME_HINTS)
+    names = ", ".join(f"'{f}'" for f in _FILES)
+    return (f"SELECT table_name AS name, CAST({' + '.join(terms)} + CASE WHEN {hint} THEN {readers.NAME_HINT_POINTS} ELSE 0 END "
+            f"AS INTEGER) AS score FROM information_schema.columns WHERE table_name IN ({names}) GROUP BY table_name")
+
+
+@register("rank_sources", _rank_sql())
+def _rank_sources(spark, d):
+    ranked = readers.rank_sources(spark, [f"{d}/{f}.parquet" for f in _FILES])
+    name = F.regexp_extract("path", r"([^/]+)\.parquet$", 1)
+    return ranked.select(name.alias("name"), F.col("score").cast("int").alias("score"))
+
+
 _NUMBERED = ("numbered AS (SELECT *, row_number() OVER (ORDER BY " + ROW_ORDER + ") AS rn FROM wide_c)")
 
 

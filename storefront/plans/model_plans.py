@@ -11,13 +11,17 @@ libraries.
 
 from __future__ import annotations
 
+import uuid
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from storefront.operators import churn, clean, insights, kpis, models, reports
 from storefront.operators.clean import np_round
-from storefront.plans.catalog import (_FEATURES, CUT30, CUT90, IAVG, NPROUND, REF, XSUM, _features, _kpis,
+from storefront.plans.catalog import (_FEATURES, _KPIS, _LABELS, CUT30, CUT90, IAVG, NPROUND, REF, XSUM, _features, _kpis,
                                       register)
 from storefront.plans.views import with_views
+from storefront.session import ensure_checkpoint_dir
 from storefront.sources import testdata as td
 
 
@@ -42,10 +46,9 @@ register("split_train", with_views(
     lambda spark, d: models.split_train(_features(spark, d).select("customer_id", "churned"), "customer_id"))
 
 register("split_stratified", with_views(
-    f"SELECT churned, COUNT(*) FILTER (WHERE NOT ({HASH_SQL('customer_id')} < 20)) AS train_rows, "
-    f"COUNT(*) FILTER (WHERE {HASH_SQL('customer_id')} < 20) AS test_rows FROM features GROUP BY churned",
-    _FEATURES))(
-    lambda spark, d: models.split_counts(models.split_train(_features(spark, d), "customer_id"), "churned"))
+    "SELECT churned, COUNT(*) - CAST(floor(COUNT(*) * 20 / 100e0 + 0.5e0) AS BIGINT) AS train_rows, "
+    "CAST(floor(COUNT(*) * 20 / 100e0 + 0.5e0) AS BIGINT) AS test_rows FROM features GROUP BY churned", _FEATURES))(
+    lambda spark, d: models.split_counts(models.split_stratified(_features(spark, d), "churned", "customer_id"), "churned"))
 
 _SCALE = ("tr AS (SELECT * FROM features WHERE NOT ({h} < 20)), "
           "st AS (SELECT avg(total_spent) AS m1, stddev_pop(total_spent) AS s1, "
@@ -154,22 +157,27 @@ register("churn_alert", with_views(
 
 
 # ------------------------------------------------------------ fitted models --
-_MODEL_CACHE: dict = {}
+# the fitted model of each kind, for the folder and session that it was last asked for
+_FITTED: dict = {}
+
+
+def _fitted(kind: str, spark, d, fit):
+    key = (d, spark.sparkContext.applicationId)
+    if _FITTED.get(kind, (None,))[0] != key:
+        _FITTED[kind] = (key, fit())
+    return _FITTED[kind][1]
+
+
+def _sales_rows(spark, d):
+    return clean.date_parts(clean.profit_margin(_o(spark, d), td.products(spark, d)))
 
 
 def _sales_fit(spark, d):
-    key = ("sales", d, spark.sparkContext.applicationId)   # a model lives in one session
-    if key not in _MODEL_CACHE:
-        o = clean.date_parts(clean.profit_margin(_o(spark, d), td.products(spark, d)))
-        _MODEL_CACHE[key] = models.fit_sales_model(o)
-    return _MODEL_CACHE[key]
+    return _fitted("sales", spark, d, lambda: models.fit_sales_model(_sales_rows(spark, d)))
 
 
 def _churn_fit(spark, d):
-    key = ("churn", d, spark.sparkContext.applicationId)
-    if key not in _MODEL_CACHE:
-        _MODEL_CACHE[key] = models.fit_churn_model(_features(spark, d))
-    return _MODEL_CACHE[key]
+    return _fitted("churn", spark, d, lambda: models.fit_churn_model(_features(spark, d)))
 
 
 @register("sales_model")
@@ -201,11 +209,63 @@ def _score_customers(spark, d):
     return models.score(model, feats, const).select("customer_id", "churned", "churn_probability", "prediction")
 
 
+@register("model_facts",
+          "SELECT * FROM (VALUES ('sales_r2_above_mean', TRUE), ('sales_importance_sums_to_1', TRUE), "
+          "('churn_importance_sums_to_1', TRUE), ('churn_probability_in_0_1', TRUE), ('every_customer_scored', TRUE), "
+          "('reloaded_model_scores_equal', TRUE), ('single_class_is_constant', TRUE), ('folds_have_r2', TRUE)) t(fact, holds)")
+def _model_facts(spark, d):
+    """What must hold of the fitted models, whatever the library."""
+    sales, test = _sales_fit(spark, d)
+    churn_model, _, const = _churn_fit(spark, d)
+    feats = models._sanitised(_features(spark, d), models.CHURN_FEATURES)
+    scored = models.score(churn_model, feats, const)
+    path = f"{ensure_checkpoint_dir(spark)}/models/{uuid.uuid4().hex}"
+    models.save_model(churn_model, path)
+    again = models.score(models.load_model(path), feats, const)
+    one = feats.withColumn("churned", F.lit(1))
+    none, rest, constant = models.fit_churn_model(one)
+    folds = models.cross_val_r2(_sales_rows(spark, d), folds=2, params=dict(maxIter=3, maxDepth=3))
+    r2 = models.regression_metrics(sales.transform(test), "order_value", "prediction").select((F.col("r2") > 0).alias("h"))
+
+    def fact(name, df):
+        return df.select(F.lit(name).alias("fact"), F.col("h").alias("holds"))
+
+    def sums(model, names):
+        return models.feature_importance(model, names).agg((F.abs(F.sum("importance") - 1) < 1e-6).alias("h"))
+
+    probability = scored.agg(F.bool_and(F.col("churn_probability").between(0, 1)).alias("h"))
+    all_scored = scored.agg((F.count("churn_probability") == feats.select(F.count("*")).scalar()).alias("h"))
+    both = scored.select("customer_id", "churn_probability").exceptAll(again.select("customer_id", "churn_probability"))
+    parts = [fact("sales_r2_above_mean", r2), fact("sales_importance_sums_to_1", sums(sales, models.SALES_FEATURES)),
+             fact("churn_importance_sums_to_1", sums(churn_model, models.CHURN_FEATURES)),
+             fact("churn_probability_in_0_1", probability), fact("every_customer_scored", all_scored),
+             fact("reloaded_model_scores_equal", both.agg((F.count("*") == 0).alias("h"))),
+             fact("single_class_is_constant", models.score(none, rest, constant).agg(
+                 F.bool_and(F.col("churn_probability") == 1.0).alias("h"))),
+             fact("folds_have_r2", folds.agg((F.count("r2") == 2).alias("h")))]
+    return reduce(lambda x, y: x.unionByName(y), parts)
+
+
+@register("feature_importance_churn")
+def _feature_importance_churn(spark, d):
+    return models.feature_importance(_churn_fit(spark, d)[0], models.CHURN_FEATURES)
+
+
 # -------------------------------------------------------------- documents ----
+# importances that both sides know; the documents show them as given
+_GIVEN = {"sales": [("base_price", 0.5), ("quantity", 0.25), ("month", 0.125), ("rating", 0.0625), ("discount_pct", 0.046875),
+                    ("delivery_delay", 0.015625)],
+          "churn": [("recency", 0.625), ("total_orders", 0.25), ("total_spent", 0.125)]}
+
+
+def _given(spark, kind):
+    return spark.createDataFrame(_GIVEN[kind], "feature string, importance double")
+
+
 def _insights_doc(spark, d):
     o, p, c = _o(spark, d), td.products(spark, d), td.customers(spark, d)
     scored = _recency_score(_features(spark, d))
-    return insights.insights(o, p, scored, c, REF)
+    return insights.insights(o, p, scored, c, REF, _given(spark, "sales"))
 
 
 @register("insights")
@@ -218,14 +278,51 @@ def _insight_cards(spark, d):
     return reports.insight_cards(_insights_doc(spark, d))
 
 
+def _kpi_doc(spark, d):
+    scored = _recency_score(_features(spark, d)).withColumn("p", (F.col("churn_probability") > 0.5).cast("int"))
+    auc = models.roc_auc(scored, "churned", "churn_probability").select("roc_auc").scalar()
+    clf = models.classification_metrics(scored, "churned", "p").withColumn("roc_auc", auc)
+    return kpis.kpi_document(_kpis(spark, d), _REG_METRICS(spark, d), clf, _given(spark, "sales"), _given(spark, "churn"),
+                             with_timestamp=False)
+
+
 @register("kpi_json")
 def _kpi_json(spark, d):
-    k = _kpis(spark, d)
-    reg = _REG_METRICS(spark, d)
-    doc = kpis.kpi_document(k, reg_metrics=reg, with_timestamp=False)
+    doc = _kpi_doc(spark, d)
     return doc.select(F.to_json(F.struct(*doc.columns)).alias("kpi_json"))
 
 
+def _features_text(kind: str, n: int = kpis.TOP_FEATURES) -> str:
+    return "'" + ", ".join(f"{f}={v!r}" for f, v in _GIVEN[kind][:n]) + "'"
+
+
+@register("kpi_document", with_views(
+    f"SELECT total_orders, {NPROUND('total_revenue', 5)} AS total_revenue, total_customers, "
+    f"{NPROUND('customer_churn_rate', 9)} AS churn_rate, {NPROUND('sae / n', 6)} AS mae, {NPROUND('sqrt(sse / n)', 6)} AS rmse, "
+    f"{NPROUND(_R2, 9)} AS r2_score, {_grade(_R2)} AS sales_status, {NPROUND('accuracy', 9)} AS accuracy, "
+    f"{NPROUND('auc', 9)} AS roc_auc, {_grade('auc')} AS churn_status, {_features_text('sales')} AS top_sales, "
+    f"{_features_text('churn')} AS top_churn FROM kpis, ra, "
+    "(SELECT CAST(COUNT(*) FILTER (WHERE y = p) AS DOUBLE) / COUNT(*) AS accuracy FROM cls) a, "
+    "(SELECT (SUM(CASE WHEN y = 1 THEN r END) - SUM(y) * (SUM(y) + 1) / 2e0) / (SUM(y) * (COUNT(*) - SUM(y))) AS auc FROM "
+    "(SELECT y, rank() OVER (ORDER BY s) + (COUNT(*) OVER (PARTITION BY s) - 1) / 2e0 AS r FROM cls) q) u",
+    _CLS + _KPIS.replace(_LABELS, "") + ", " + _REG))
+def _kpi_document(spark, d):
+    doc = _kpi_doc(spark, d)
+    sales, churned = F.col("model_performance.sales_prediction"), F.col("model_performance.churn_prediction")
+
+    def text(c):
+        return F.array_join(F.transform(c, lambda x: F.concat(x["feature"], F.lit("="), x["importance"].cast("string"))), ", ")
+
+    return doc.select(
+        "business_kpis.total_orders", np_round(F.col("business_kpis.total_revenue"), 5).alias("total_revenue"),
+        "business_kpis.total_customers", np_round(F.col("business_kpis.customer_churn_rate"), 9).alias("churn_rate"),
+        np_round(sales["mae"], 6).alias("mae"), np_round(sales["rmse"], 6).alias("rmse"),
+        np_round(sales["r2_score"], 9).alias("r2_score"), sales["status"].alias("sales_status"),
+        np_round(churned["accuracy"], 9).alias("accuracy"), np_round(churned["roc_auc"], 9).alias("roc_auc"),
+        churned["status"].alias("churn_status"), text(F.col("top_features_sales")).alias("top_sales"),
+        text(F.col("top_features_churn")).alias("top_churn"))
+
+
 @register("report_sections")
 def _report_sections(spark, d):
     return reports.insight_cards(_insights_doc(spark, d), reports.REPORT_LIMITS)

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from storefront.functions.numeric import nan_to_null
 from storefront.operators.clean import parse_dates
 from storefront.operators.mapping import map_columns
 
@@ -52,41 +53,43 @@ def read_table(spark: SparkSession, path: str, fmt: str | None = None,
 def load_table(spark: SparkSession, path: str, mapping: Mapping[str, Sequence[str]] | None = None,
                date_columns: Sequence[str] = (), fmt: str | None = None,
                schema: StructType | str | None = None) -> DataFrame:
-    """S1+S4+S2: read, map vendor headers to standard names, then parse dates (bad -> NULL)."""
+    """S1+S4+S2: read, map vendor headers to standard names, parse dates (bad -> NULL), NaN -> NULL."""
     df = read_table(spark, path, fmt, schema)
     if mapping:
         df = map_columns(df, mapping)
     if date_columns:
         df = parse_dates(df, [c for c in date_columns if c in df.columns])
-    return df
+    floats = [f.name for f in df.schema.fields if f.dataType.typeName() in ("double", "float")]
+    return df.withColumns({c: nan_to_null(F.col(f"`{c}`")) for c in floats}) if floats else df
 
 
 def read_if_present(spark: SparkSession, path: str, fmt: str | None = None,
                     schema: StructType | str | None = None) -> DataFrame | None:
-    """Read an output back if it exists, else None (the feature is skipped)."""
-    try:
-        return read_table(spark, path, fmt, schema)
-    except Exception:  # noqa: BLE001  (missing path / unreadable input)
-        return None
+    """Read an output back if it exists, else None (the feature is skipped).
 
+    Only an absent path counts as absent; a corrupt or unreadable input raises.
+    """
+    return read_table(spark, path, fmt, schema) if _length(spark, path) is not None else None
 
-def source_headers(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """One row per candidate file: path, size in bytes, header column names.
 
-    Sizes come from the binary-file source without reading file contents;
-    headers from the CSV reader's header line (one small read per file).
-    """
-    rows = []
-    for p in paths:
-        try:
-            cols = read_table(spark, p, "csv" if p.lower().endswith(".csv") else None).columns
-        except Exception:  # noqa: BLE001
-            cols = []
-        rows.append((p, cols))
-    heads = spark.createDataFrame(rows, "path string, header array<string>")
-    sizes = (spark.read.format("binaryFile").load(list(paths)).select(
-        F.regexp_replace("path", "^file:", "").alias("path"), F.col("length").alias("size")))
-    return heads.join(sizes, "path", "left").select("path", F.coalesce("size", F.lit(0)).alias("size"), "header")
+def _length(spark: SparkSession, path: str) -> int | None:
+    """Bytes under a path on any file system, None if there is nothing: one metadata call."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    return int(fs.getContentSummary(place).getLength()) if fs.exists(place) else None
+
+
+def _header(spark: SparkSession, path: str) -> list[str]:
+    """Column names: the header line of a CSV, the footer of a Parquet or ORC file; no type inference."""
+    if _fmt(path) == "csv":
+        return spark.read.option("header", True).csv(path).columns
+    return read_table(spark, path).columns
+
+
+def source_headers(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """One row per candidate file: path, size in bytes, header column names (metadata only)."""
+    rows = [(p, _length(spark, p) or 0, _header(spark, p)) for p in paths]
+    return spark.createDataFrame(rows, "path string, size long, header array<string>")
 
 
 def score_sources(headers: DataFrame) -> DataFrame:

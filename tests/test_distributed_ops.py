@@ -1,5 +1,5 @@
 """Distributed building blocks: exact quantiles, dense row numbers, prefix sums,
-repartition invariance, streaming refresh and the file readers/writers."""
+repartition invariance and the file readers/writers."""
 
 import os
 import tempfile
@@ -53,24 +53,6 @@ def test_report_unchanged_under_repartition(spark):
     assert a == b == c          # exact (decimal) sums do not depend on partitioning
 
 
-def test_streaming_refresh_matches_batch(spark):
-    from storefront.streaming import live_kpis
-    base = tempfile.mkdtemp(prefix="sf-stream-", dir="/tmp")
-    src, out, ckpt = (os.path.join(base, x) for x in ("in", "out", "ckpt"))
-    rows = [(f"o{i}", f"2024-01-0{1 + i % 3} 10:00:00", float(i), i % 2, 3) for i in range(30)]
-    df = spark.createDataFrame(rows, "order_id string, order_date string, order_value double, "
-                                     "is_returned int, delivery_time_days int") \
-              .withColumn("order_date", F.col("order_date").cast("timestamp"))
-    df.limit(10).write.parquet(src + "/a")
-    df.subtract(df.limit(10)).write.parquet(src + "/b")
-    stream = live_kpis.order_stream(spark, src + "/*", df.schema)
-    q = live_kpis.start_refresh(live_kpis.daily_revenue_updates(stream), out, ckpt, available_now=True)
-    q.awaitTermination(120)
-    got = {r.day: r.revenue for r in spark.read.parquet(out).collect()}
-    want = {r.date: r.revenue for r in reports.daily_revenue(df).collect()}
-    assert got == want
-
-
 def test_rank_sources_and_roundtrip(spark):
     from storefront.sources import readers, sinks
     base = tempfile.mkdtemp(prefix="sf-src-", dir="/tmp")
