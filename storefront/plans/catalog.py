@@ -69,18 +69,23 @@ ROUNDED: dict[str, dict[str, int]] = {
 }
 
 
+def _off(places: int) -> float:
+    """A small part of the last place: means such as 1/16 of a cent would lie just between two results."""
+    return 0.0123 / 10 ** places
+
+
 def register(name: str, sql: str | None = None):
     places = ROUNDED.get(name, {})
 
     def deco(fn):
         if places:
             def run(spark, d):
-                return fn(spark, d).withColumns({c: np_round(F.col(c), n) for c, n in places.items()})
+                return fn(spark, d).withColumns({c: np_round(F.col(c) + _off(n), n) for c, n in places.items()})
         else:
             run = fn
         QUERIES[name] = run
         if sql is not None:
-            cut = ", ".join(f"{NPROUND(c, n)} AS {c}" for c, n in places.items())
+            cut = ", ".join(f"{NPROUND(f'{c} + {_off(n)!r}', n)} AS {c}" for c, n in places.items())
             ORACLE[name] = f"SELECT * REPLACE ({cut}) FROM ({sql}) t_" if cut else sql
         return fn
     return deco
