@@ -11,6 +11,8 @@ import duckdb
 import pandas as pd
 import pytest
 
+from storefront.plans import registry
+
 SF = "/root/testdata/sf0.001"
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "embeddings"]
 
@@ -45,16 +47,14 @@ def duck():
 
 
 def _keys():
-    from __spark_entry__ import oracle_sql
-    return sorted(oracle_sql())
+    return sorted(registry.oracle_sql())
 
 
 @pytest.mark.skipif(not os.path.exists(SF), reason="test data not present")
 @pytest.mark.parametrize("key", _keys())
 def test_query_matches_oracle(spark, duck, key):
-    from __spark_entry__ import oracle_sql, queries
-    got = queries()[key](spark, SF).toPandas()
-    want = duck.sql(oracle_sql()[key]).df()
+    got = registry.queries()[key](spark, SF).toPandas()
+    want = duck.sql(registry.oracle_sql()[key]).df()
     gc, gr = _rows(got)
     wc, wr = _rows(want)
     assert gc == wc
