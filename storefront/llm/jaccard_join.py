@@ -12,10 +12,11 @@
    candidate pair of classes is verified on whole sets.
 
 A shingle shared by many groups gives no pairs of all of them.  First each group
-is compared with one pivot of its size band.  What is connected then needs no more
-comparison for the components.  In lists whose members are in different components,
-members outside the main component meet a few inside it, turn by turn; what is still
-apart is at last compared in full, across components.
+is compared with a few pivots of its size band.  What is connected then needs no more
+comparison for the components; only lists whose members are still in different
+components are joined with themselves, across components.  Candidates must also
+pass a bitmap filter: a bit that one set has and the other lacks is an element
+outside the intersection, so sets whose bitmaps differ too much can't link.
 
 Shingles travel as blocks of packed integers, one row for each task and bucket.
 """
@@ -28,7 +29,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textvec as tv
@@ -47,10 +48,10 @@ class Rule:
     frequent: int = 4_000_000
     #: Postings of one frequent shingle that go to one bucket.
     bucket_postings: int = 2_000
-    #: Turns in which members outside a list's main component meet members inside, and pairs for each
-    #: of them in a turn.  What they leave open is compared in full.
-    most_turns: int = 8
-    turn_pairs: int = 8
+    #: Groups of one list and size band that all others of the band are compared with first.
+    pivots: int = 6
+    #: 64-bit words of a set's bitmap.
+    bitmap_words: int = 32
     #: Bytes of packed shingles that a task holds before it sends them on.
     flush_bytes: int = 6 << 20
 
@@ -189,6 +190,9 @@ class _Prefixes:
         self.cls = np.zeros(len(sets), np.uint64)
         if len(h):
             self.cls[some] = tv.mix64(np.add.reduceat(tv.mix64(h), first) ^ tv.mix64(self.n[some].astype(np.uint64)))
+        flags = np.zeros((len(sets), 64 * rule.bitmap_words), dtype=bool)
+        flags[doc, ((h >> np.uint64(24)) % np.uint64(64 * rule.bitmap_words)).astype(np.int64)] = True
+        self.bits = np.packbits(flags, axis=1).view(np.int64)
         order = np.lexsort((h, rank, doc))
         h, rank = h[order], rank[order]
         place = np.arange(len(h)) - np.repeat(np.cumsum(self.n) - self.n, self.n)
@@ -208,19 +212,21 @@ def _signed(x: np.ndarray) -> pa.Array:
 
 
 def set_table(rows: DataFrame, frequent, rule: Rule) -> DataFrame:
-    """``id, text_hash, n, cls, grp`` of every document."""
+    """``id, text_hash, n, cls, grp, bits`` of every document."""
     shared = rows.sparkSession.sparkContext.broadcast(frequent)
-    names = ["id", "text_hash", "n", "cls", "grp"]
+    names = ["id", "text_hash", "n", "cls", "grp", "bits"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in tv.text_slices(batch, "_text"):
                 p = _Prefixes(*tv.binary_view(part.column("_text")), shared.value, rule)
                 yield pa.RecordBatch.from_arrays([part.column("id"), part.column("text_hash"), pa.array(p.n), _signed(p.cls),
-                                                  _signed(p.group)], names=names)
+                                                  _signed(p.group), pa.ListArray.from_arrays(
+                                                      pa.array(np.arange(len(p.n) + 1, dtype=np.int32) * rule.bitmap_words),
+                                                      pa.array(p.bits.ravel()))], names=names)
 
     kind = rows.schema["id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"id {kind}, text_hash long, n long, cls long, grp long")
+    return rows.mapInArrow(run, f"id {kind}, text_hash long, n long, cls long, grp long, bits array<long>")
 
 
 def _candidates(rows: DataFrame, frequent, rule: Rule) -> DataFrame:
@@ -294,8 +300,11 @@ def _meet(shingle: np.ndarray, group: np.ndarray, n: np.ndarray, rule: Rule):
     head = np.ones(len(g), dtype=bool)
     head[1:] = (li[1:] != li[:-1]) | (b[1:] != b[:-1])
     pivot = np.flatnonzero(head)[np.cumsum(head) - 1]
-    other = np.flatnonzero(~head)
-    left = [(pivot[other], other)]
+    place = np.arange(len(g)) - pivot
+    left = []
+    for k in range(rule.pivots):
+        other = np.flatnonzero(place > k)
+        left.append((pivot[other] + k, other))
     heads = np.flatnonzero(head)
     near = np.flatnonzero((li[heads[1:]] == li[heads[:-1]]) & (b[heads[1:]] == b[heads[:-1]] + 1))
     left.append((heads[near], heads[near + 1]))
@@ -376,45 +385,39 @@ def _edges(links: DataFrame) -> DataFrame:
     return links.select(F.col("a").alias("u"), F.col("b").alias("v"))
 
 
-def _open(lists: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Lists whose members are in different components, with each member's component."""
+def _bitmaps_fit(rule: Rule) -> F.Column:
+    """Whether classes ``x`` and ``y`` can link by their sizes ``n`` and bitmaps ``bits``.
+
+    The intersection has at most n less the bits that the other lacks, and must have
+    num / (num + den) of both sizes together.
+    """
+    def lacks(p: str, q: str) -> F.Column:
+        one = F.zip_with(p, q, lambda a, b: F.bit_count(a.bitwiseAND(F.bitwise_not(b))))
+        return F.aggregate(one, F.lit(0), lambda total, c: total + c)
+
+    least = rule.num * (F.col("x.n") + F.col("y.n"))
+    both = rule.num + rule.den
+    return (both * (F.col("x.n") - lacks("x.bits", "y.bits")) >= least) & (both * (F.col("y.n") - lacks("y.bits", "x.bits")) >= least)
+
+
+def _open(lists: DataFrame, nodes: DataFrame, classes: DataFrame) -> DataFrame:
+    """Lists whose members are in different components, with each member's component and bitmap."""
     placed = (lists.join(nodes, lists.cls == nodes.node, "left")
-              .select("name", "cls", "n", "indexed", F.coalesce("component", "cls").alias("component")))
+              .select("name", "cls", "indexed", F.coalesce("component", "cls").alias("component")))
     open_ = (placed.groupBy("name").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
              .filter("lo != hi").select("name"))
-    return placed.join(open_, "name")
+    return placed.join(open_, "name").join(classes.select("cls", "n", "bits"), "cls")
 
 
-def _may_link(rule: Rule) -> F.Column:
-    """Of members ``x`` and ``y`` of a list: sizes can be similar and the shingle lies in both prefixes."""
+def _across(open_: DataFrame, rule: Rule) -> DataFrame:
+    """Pairs of classes that share a list, are in different components and can link."""
+    x, y = open_.alias("x"), open_.alias("y")
     low, high = F.least("x.n", "y.n"), F.greatest("x.n", "y.n")
     flagged = (F.when(F.col("x.n") < F.col("y.n"), F.col("x.indexed")).when(F.col("y.n") < F.col("x.n"), F.col("y.indexed"))
                .otherwise(F.least("x.indexed", "y.indexed")))
-    return (rule.den * low >= rule.num * high) & (flagged == 1)
-
-
-def _outliers(open_: DataFrame, turn: int, rule: Rule) -> DataFrame:
-    """Pairs of a member outside its list's main component with one inside, another one each turn."""
-    sizes = open_.groupBy("name", "component").agg(F.count("*").alias("m"))
-    main = sizes.groupBy("name").agg(F.max(F.struct("m", "component")).alias("main"))
-    sided = open_.join(main, "name").withColumn("inside", F.col("component") == F.col("main.component"))
-    # lists hold at most about ``bucket_postings`` members
-    inside = sided.filter("inside").withColumn("i", F.row_number().over(Window.partitionBy("name").orderBy("cls")))
-    outside = sided.filter("not inside").withColumn(
-        "i", 1 + F.pmod(F.xxhash64("cls", "name", F.lit(turn)), F.col("main.m")).cast("int"))
-    x, y = outside.alias("x"), inside.alias("y")
-    met = x.join(y, (F.col("x.name") == F.col("y.name")) & (F.col("x.i") == F.col("y.i")) & _may_link(rule))
-    pairs = met.select(F.col("x.cls").alias("out"), F.least("x.cls", "y.cls").alias("a"), F.greatest("x.cls", "y.cls").alias("b"))
-    few = Window.partitionBy("out").orderBy(F.xxhash64("a", "b"))
-    kept = pairs.distinct().withColumn("r", F.row_number().over(few)).filter(F.col("r") <= rule.turn_pairs)
-    return kept.select("a", "b").distinct()
-
-
-def _across(open_: DataFrame, rule: Rule) -> DataFrame:
-    """All pairs of classes that share a list and are in different components."""
-    x, y = open_.alias("x"), open_.alias("y")
     return (x.join(y, (F.col("x.name") == F.col("y.name")) & (F.col("x.cls") < F.col("y.cls"))
-                   & (F.col("x.component") != F.col("y.component")) & _may_link(rule))
+                   & (F.col("x.component") != F.col("y.component")) & (rule.den * low >= rule.num * high) & (flagged == 1)
+                   & _bitmaps_fit(rule))
             .select(F.col("x.cls").alias("a"), F.col("y.cls").alias("b")).distinct())
 
 
@@ -435,7 +438,7 @@ def similar(docs: DataFrame, rule: Rule = Rule(), id_col: str = "doc_id", text_c
     frequent = frequent_shingles(rows, rule)
     sets = written(set_table(rows, frequent, rule), "shingle-sets")
     classes = sets.filter("n > 0").groupBy("cls").agg(
-        F.min(F.struct("id", "text_hash")).alias("rep"), F.min("n").alias("n"), F.min("grp").alias("grp"))
+        F.min(F.struct("id", "text_hash")).alias("rep"), F.min("n").alias("n"), F.min("grp").alias("grp"), F.first("bits").alias("bits"))
     classes = written(classes, "shingle-classes")
     found = written(_candidates(rows, frequent, rule), "shingle-candidates")
     members = classes.select("cls", "grp")
@@ -444,8 +447,11 @@ def similar(docs: DataFrame, rule: Rule = Rule(), id_col: str = "doc_id", text_c
                 .join(members.select(F.col("grp").alias("b"), F.col("cls").alias("y")), "b").select("x", "y"))
     heads = members.groupBy("grp").agg(F.min("cls").alias("x"))
     inside = members.join(heads, "grp").filter("cls != x").select("x", F.col("cls").alias("y"))
-    first = written(expanded.unionByName(inside).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
-                    .distinct(), "shingle-pairs")
+    sized = classes.select("cls", "n", "bits")
+    first = expanded.unionByName(inside).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    first = (first.join(sized.alias("x"), F.col("a") == F.col("x.cls")).join(sized.alias("y"), F.col("b") == F.col("y.cls"))
+             .filter(_bitmaps_fit(rule)).select("a", "b"))
+    first = written(first, "shingle-pairs")
     ends = first.select(F.col("a").alias("cls")).unionByName(first.select(F.col("b").alias("cls")))
     lists = (found.filter("kind = 1").select("a", "b", "n", "indexed").distinct()
              .join(members.select(F.col("grp").alias("b"), "cls"), "b").select(F.col("a").alias("name"), "cls", "n", "indexed"))
@@ -455,23 +461,8 @@ def similar(docs: DataFrame, rule: Rule = Rule(), id_col: str = "doc_id", text_c
     texts = _texts(rows, classes, ends.unionByName(lists.select("cls")))
     links = written(_verify(first, texts, rule), "shingle-links")
     nodes = connected(_edges(links))
-    checked = first
-    # members outside their list's main component meet a few of its members, until that helps no more
-    for turn in range(rule.most_turns):
-        open_ = written(_open(lists, nodes), "shingle-open")
-        pairs = written(_outliers(open_, turn, rule).join(checked, ["a", "b"], "left_anti"), "shingle-pairs")
-        n_pairs = pairs.count()
-        more = written(_verify(pairs, texts, rule), "shingle-links")
-        n_more = more.count()
-        checked = checked.unionByName(pairs)
-        if n_more:
-            links = links.unionByName(more)
-            nodes = connected(_edges(links))
-        if n_more * 25 <= n_pairs:
-            break
-    # all that is left: pairs of one list in different components
-    open_ = written(_open(lists, nodes), "shingle-open")
-    across = written(_across(open_, rule).join(checked, ["a", "b"], "left_anti"), "shingle-pairs")
+    open_ = written(_open(lists, nodes, classes), "shingle-open")
+    across = written(_across(open_, rule).join(first, ["a", "b"], "left_anti"), "shingle-across")
     more = written(_verify(across, texts, rule), "shingle-links")
     if not more.isEmpty():
         nodes = connected(_edges(links.unionByName(more)))
