@@ -84,9 +84,9 @@ class Learn:
     """Parameters of the fit; ``max_rows`` bounds the labelled rows that it sees."""
 
     max_rows: int = 20_000
-    shortest: int = 3
+    shortest: int = 4
     longest: int = 10
-    least_share: float = 0.004
+    least_share: float = 0.006
     least_rows: int = 3
     least_weight: float = 2.5
     most_entries: int = 4_000
