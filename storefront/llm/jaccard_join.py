@@ -161,7 +161,7 @@ def frequent_shingles(rows: DataFrame, rule: Rule) -> tuple[np.ndarray, np.ndarr
         if total > rule.frequent:
             break
         lowest = level
-    kept = counted.filter(F.col("level") >= lowest).select("level", "shingles").toLocalIterator()
+    kept = counted.filter(F.col("level") >= lowest).select("level", "shingles").collect()  # ``rule.frequent`` times 4 bytes
     parts = [(np.frombuffer(r.shingles, dtype=np.uint32), r.level) for r in kept]
     if not parts:
         return np.zeros(0, np.uint32), np.zeros(0, np.uint8)
