@@ -14,7 +14,9 @@
 A shingle shared by many groups gives no pairs of all of them.  First each group
 is compared with a few pivots of its size band.  What is connected then needs no more
 comparison for the components; only lists whose members are still in different
-components are joined with themselves, across components.  Candidates must also
+components are joined with themselves, across components.  The postings of
+a very frequent shingle are dealt to several buckets; the pivots of its parts then
+meet each other, and its list is that of all parts.  Candidates must also
 pass a bitmap filter: a bit that one set has and the other lacks is an element
 outside the intersection, so sets whose bitmaps differ too much can't link.
 
@@ -235,6 +237,8 @@ def _candidates(rows: DataFrame, frequent, rule: Rule) -> DataFrame:
     ``kind`` 0: groups ``a, b`` to compare (each list's pivots with their bands).
     ``kind`` 1: ``a`` is the name of a list of three groups or more, ``b`` a member,
     ``n`` its size and ``indexed`` whether the shingle lies in its index prefix.
+    ``kind`` 2: the same of a list that is dealt to several buckets, with ``a`` its shingle.
+    ``kind`` 3: those of ``kind`` 2 that are pivots of their part.
     """
     buckets = _n_buckets(rows)
     shared = rows.sparkSession.sparkContext.broadcast(frequent)
@@ -252,7 +256,7 @@ def _candidates(rows: DataFrame, frequent, rule: Rule) -> DataFrame:
                 if spread.any():
                     key = key.copy()
                     key[spread] = tv.mix64(key[spread] + group[spread] % share[spread])
-                n = p.n[p.doc].astype(np.uint32) * np.uint32(2) + p.indexed
+                n = p.n[p.doc].astype(np.uint32) * np.uint32(4) + spread * np.uint32(2) + p.indexed
                 box.add(_blocks(key, buckets), p.shingle, group, n.astype(np.uint32))
                 if box.full():
                     yield box.flush()
@@ -278,8 +282,11 @@ def _fits(na, fa, nb, fb, rule: Rule):
     return (rule.den * low >= rule.num * high) & flagged
 
 
-def _meet(shingle: np.ndarray, group: np.ndarray, n: np.ndarray, rule: Rule):
-    """Pivot pairs and long lists of one bucket."""
+def _meet(shingle: np.ndarray, group: np.ndarray, n: np.ndarray, rule: Rule, pairs_only: bool = False):
+    """Pivot pairs and long lists of one bucket; all members and the pivots of lists that have other parts elsewhere.
+
+    ``n`` is four times the size, plus 2 if the list has other parts, plus 1 if the shingle lies in the index prefix.
+    """
     order = np.lexsort((group, shingle))
     shingle, group, n = shingle[order], group[order], n[order]
     new = np.ones(len(shingle), dtype=bool)
@@ -289,11 +296,11 @@ def _meet(shingle: np.ndarray, group: np.ndarray, n: np.ndarray, rule: Rule):
     start[1:] = shingle[1:] != shingle[:-1]
     list_of = np.cumsum(start) - 1
     length = np.bincount(list_of)
-    keep = length[list_of] > 1
+    keep = (length[list_of] > 1) | ((n & 2) > 0)
     shingle, group, n, list_of = shingle[keep], group[keep], n[keep], list_of[keep]
     if len(group) == 0:
         return
-    size, flag = (n >> 1).astype(np.int64), (n & 1).astype(np.int64)
+    size, part, flag = (n >> 2).astype(np.int64), (n & 2) > 0, (n & 1).astype(np.int64)
     band = np.floor(np.log(size) / np.log(rule.den / rule.num)).astype(np.int64)
     order = np.lexsort((group, band, list_of))
     g, s, f, b, li = group[order], size[order], flag[order], band[order], list_of[order]
@@ -313,7 +320,13 @@ def _meet(shingle: np.ndarray, group: np.ndarray, n: np.ndarray, rule: Rule):
     pairs = np.unique(np.column_stack((np.minimum(g[x], g[y])[ok], np.maximum(g[x], g[y])[ok])), axis=0)
     zero = np.zeros(len(pairs), np.int64)
     yield 0, pairs[:, 0].copy(), pairs[:, 1].copy(), zero, zero
-    long_ = length[list_of] > 2
+    if pairs_only:
+        return
+    if part.any():
+        yield 2, shingle[part], group[part], size[part], flag[part]
+        first = order[(place < rule.pivots) & part[order]]
+        yield 3, shingle[first], group[first], size[first], flag[first]
+    long_ = (length[list_of] > 2) & ~part
     if long_.any():
         group, size, flag, list_of = group[long_], size[long_], flag[long_], list_of[long_]
         first = np.flatnonzero(np.append(True, list_of[1:] != list_of[:-1]))
@@ -323,6 +336,41 @@ def _meet(shingle: np.ndarray, group: np.ndarray, n: np.ndarray, rule: Rule):
         yield 1, name[only], group[only], size[only], flag[only]
 
 
+def _part_pivots(found: DataFrame, rule: Rule) -> DataFrame:
+    """Pairs of groups ``a, b``: the pivots of all parts of a dealt list meet as one list does."""
+    sent = found.filter("kind = 3").select("a", "b", "n", "indexed")
+    sent = sent.repartition(_n_buckets(found) // 4, "a").sortWithinPartitions("a")
+
+    def whole_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, ...]]:
+        held = None
+        for batch in batches:
+            new = tuple(batch.column(k).to_numpy() for k in range(4))
+            held = new if held is None else tuple(np.concatenate(c) for c in zip(held, new, strict=True))
+            if len(held[0]) >= 100_000:
+                cut = int(np.searchsorted(held[0], held[0][-1]))
+                if cut:
+                    yield tuple(c[:cut] for c in held)
+                    held = tuple(c[cut:] for c in held)
+        if held is not None:
+            yield held
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for a, b, n, indexed in whole_lists(batches):
+            for _, x, y, _, _ in _meet(a.view(np.uint64), b.view(np.uint64), (4 * n + indexed).astype(np.uint32),
+                                       rule, pairs_only=True):
+                yield pa.RecordBatch.from_arrays([_signed(x), _signed(y)], names=["a", "b"])
+
+    return sent.mapInArrow(run, "a long, b long")
+
+
+def _dealt_lists(found: DataFrame) -> DataFrame:
+    """Members ``a, b, n, indexed`` of the dealt lists of three groups or more; equal lists once, named by their members."""
+    members = found.filter("kind = 2").select("a", "b", "n", "indexed")
+    whole = (members.groupBy("a").agg(F.bit_xor(F.xxhash64("b", "indexed")).alias("name"), F.count("*").alias("groups"))
+             .filter("groups > 2").groupBy("name", "groups").agg(F.min("a").alias("a")))
+    return members.join(whole, "a").select(F.xxhash64("name", "groups").alias("a"), "b", "n", "indexed")
+
+
 def _verify(pairs: DataFrame, texts: DataFrame, rule: Rule) -> DataFrame:
     """Those of the class pairs ``a, b`` whose whole sets link.  ``texts``: ``cls, z`` (compressed texts)."""
     joined = (pairs.join(texts.select(F.col("cls").alias("a"), F.col("z").alias("za")), "a")
@@ -442,7 +490,7 @@ def similar(docs: DataFrame, rule: Rule = Rule(), id_col: str = "doc_id", text_c
     classes = written(classes, "shingle-classes")
     found = written(_candidates(rows, frequent, rule), "shingle-candidates")
     members = classes.select("cls", "grp")
-    pairs = found.filter("kind = 0").select("a", "b").distinct()
+    pairs = found.filter("kind = 0").select("a", "b").unionByName(_part_pivots(found, rule)).distinct()
     expanded = (pairs.join(members.select(F.col("grp").alias("a"), F.col("cls").alias("x")), "a")
                 .join(members.select(F.col("grp").alias("b"), F.col("cls").alias("y")), "b").select("x", "y"))
     heads = members.groupBy("grp").agg(F.min("cls").alias("x"))
@@ -453,7 +501,7 @@ def similar(docs: DataFrame, rule: Rule = Rule(), id_col: str = "doc_id", text_c
              .filter(_bitmaps_fit(rule)).select("a", "b"))
     first = written(first, "shingle-pairs")
     ends = first.select(F.col("a").alias("cls")).unionByName(first.select(F.col("b").alias("cls")))
-    lists = (found.filter("kind = 1").select("a", "b", "n", "indexed").distinct()
+    lists = (found.filter("kind = 1").select("a", "b", "n", "indexed").distinct().unionByName(_dealt_lists(found))
              .join(members.select(F.col("grp").alias("b"), "cls"), "b").select(F.col("a").alias("name"), "cls", "n", "indexed"))
     in_group = (members.join(members.groupBy("grp").count().filter("count > 2"), "grp")
                 .join(classes.select("cls", "n"), "cls").select(F.col("grp").alias("name"), "cls", "n", F.lit(1).alias("indexed")))

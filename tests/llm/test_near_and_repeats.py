@@ -93,6 +93,40 @@ def test_jaccard_without_frequent_list_and_small_buckets(make_docs):
     assert got == components(rows)
 
 
+def frequent_families(seed=11):
+    """A text with many exact copies, near copies of it, and near copies of each other that share its shingles only."""
+    rng = random.Random(seed)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(rng.randint(3, 7)))
+    base = [word() for _ in range(120)]
+    rows = [(i, " ".join(base)) for i in range(400)]
+    for i in range(40):
+        w = list(base)
+        w[5 + i * 2] = f"own{i}"
+        rows.append((1000 + i, " ".join(w)))
+    for i in range(40):  # a fifth of the words replaced: like some of the others at most
+        w = list(base)
+        w[(i % 8) * 12:(i % 8) * 12 + 18] = [word() for _ in range(18)]
+        rows.append((2000 + i, " ".join(w)))
+    return rows
+
+
+@pytest.mark.parametrize("partitions", [4, 32])
+def test_jaccard_of_a_list_dealt_to_many_buckets(spark, make_docs, partitions):
+    rows = frequent_families()
+    rule = jaccard_join.Rule(bucket_postings=8, pivots=2)
+    name = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(partitions))
+    try:
+        docs = make_docs(rows)
+        source = docs.select("doc_id", docs.text.cast("binary").alias("_text"))
+        assert len(jaccard_join.frequent_shingles(source, rule)[0])
+        got = sorted((r.doc_id, r.n_shingles, r.component_id) for r in jaccard_join.similar(docs, rule).collect())
+    finally:
+        spark.conf.set(name, before)
+    assert got == components(rows)
+
+
 def test_jaccard_on_table(spark, sf, sf_docs):
     got = sorted((r.doc_id, r.n_shingles, r.component_id) for r in queries.op6_jaccard(spark, sf).collect())
     assert got == components(sf_docs)
