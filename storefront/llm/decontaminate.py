@@ -10,7 +10,8 @@ of all documents in the scan's own tasks, so documents are not shuffled.
 For the windows that meet, the words behind placeholders are set side by side:
 a re-parameterised item must replace the same value by the same value everywhere.
 A document holds an item if enough of the item's windows meet and enough of its
-slots are consistent.
+slots are consistent, at one occurrence (meetings of about one distance between the
+document's and the item's word) or over all places together.
 
 The build side has a bound: items are taken in blocks of ``Rule.block_words`` words
 at most, and every block meets all documents.
@@ -18,6 +19,7 @@ at most, and every block meets all documents.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import reduce
@@ -143,6 +145,39 @@ def build_index(items: list, texts: list[bytes], rule: Rule) -> Index:
     return Index(items, h[order], doc[first][order], first[order], n_windows, short, own, kind, first_word)
 
 
+def _occurrences(met: list[tuple[int, int, int]], slack: int) -> list[list[tuple[int, int, int]]]:
+    """The meetings of one document and item by occurrence: those of one distance, and runs of near distances.
+
+    A run goes on with a later word of the document and of the item whose distance
+    differs by at most ``slack`` words, the nearest one first.
+    """
+    lines: dict[int, list[tuple[int, int, int]]] = {}
+    for m in met:
+        lines.setdefault(m[0] - m[1], []).append(m)
+    if len(lines) == 1:
+        return list(lines.values())
+    reach = 2 * max(w + n for _, w, n in met) + slack
+    runs: list[list[tuple[int, int, int]]] = []
+    live: list[list[tuple[int, int, int]]] = []
+    here: dict[int, list[tuple[int, int, int]]] = {}
+    for m in met:
+        here.setdefault(m[0], []).append(m)
+    for p in sorted(here):
+        live = [r for r in live if p - r[-1][0] <= reach]
+        pairs = sorted((abs(r[-1][0] - r[-1][1] - m[0] + m[1]), -r[-1][0], i, k) for i, r in enumerate(live)
+                       for k, m in enumerate(here[p]) if r[-1][1] < m[1])
+        grown, placed = set(), set()
+        for far, _, i, k in pairs:
+            if far <= slack and i not in grown and k not in placed:
+                live[i].append(here[p][k])
+                grown.add(i)
+                placed.add(k)
+        new = [[m] for k, m in enumerate(here[p]) if k not in placed]
+        live += new
+        runs += new
+    return runs + list(lines.values())
+
+
 def find(data: np.ndarray, offsets: np.ndarray, index: Index, rule: Rule) -> list[tuple]:
     """(document, item, windows met, windows of the item, slots, consistent slots, first byte, end byte)."""
     starts, ends, doc, own, canon, kind = canonical(data, offsets)
@@ -163,17 +198,26 @@ def find(data: np.ndarray, offsets: np.ndarray, index: Index, rule: Rule) -> lis
                 pairs.setdefault((int(doc[first[m]]), item), []).append((int(first[m]), int(index.first_word[item]), n))
     found = []
     for (d, item), met in pairs.items():
-        windows, total = len({w for _, w, _ in met}), int(index.n_windows[item])
-        if windows < min(rule.windows, max(1, np.ceil(rule.share * total))):
+        total = int(index.n_windows[item])
+        least = min(rule.windows, max(1, np.ceil(rule.share * total)))
+
+        def slots_of(part: list[tuple[int, int, int]]) -> tuple[int, int]:
+            slots = {(int(index.own[w + k]), int(own[p + k])) for p, w, n in part for k in range(n) if index.kind[w + k]}
+            to, of = Counter(x for x, _ in slots), Counter(y for _, y in slots)
+            return len(slots), sum(to[x] == 1 and of[y] == 1 for x, y in slots)
+
+        if len({w for _, w, _ in met}) < least:
             continue
-        slots = {(int(index.own[w + k]), int(own[p + k])) for p, w, n in met for k in range(n) if index.kind[w + k]}
-        one_to = {a: [y for x, y in slots if x == a] for a, _ in slots}
-        from_one = {b: [x for x, y in slots if y == b] for _, b in slots}
-        good = sum(len(one_to[a]) == 1 and len(from_one[b]) == 1 for a, b in slots)
-        if slots and good < rule.consistent * len(slots):
+        sized = [(len({w for _, w, _ in part}), part) for part in _occurrences(met, rule.window)]
+        sized = sorted((x for x in sized if x[0] >= least), key=lambda x: (-x[0], x[1][0][0]))
+        for windows, met in [*sized, (len({w for _, w, _ in met}), met)]:
+            n_slots, good = slots_of(met)
+            if good >= rule.consistent * n_slots:
+                break
+        else:
             continue
         begin, end = min(p for p, _, _ in met), max(p + n - 1 for p, _, n in met)
-        found.append((d, item, windows, total, len(slots), good, int(starts[begin] - offsets[d]),
+        found.append((d, item, windows, total, n_slots, good, int(starts[begin] - offsets[d]),
                       int(ends[end] - offsets[d])))
     return found
 

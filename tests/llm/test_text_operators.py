@@ -109,6 +109,17 @@ def test_inconsistent_slots_are_no_leak(make_docs, spark):
     assert got == [(1, 5)]
 
 
+def test_each_occurrence_counts_alone(make_docs, spark):
+    template = ("A shop near the river sells {a} baskets for {b} dollars each on monday and the owner keeps {c} of them "
+                "back for friends so how many baskets are left to sell")
+    one, two, three = (template.format(a=a, b=b, c=c) for a, b, c in ((5, 7, 2), (6, 9, 3), (8, 11, 4)))
+    items = [(1, one), (2, two)]
+    filler = " and some other words stand here that no item has at all " * 3
+    rows = [(1, one + filler + two), (2, three + filler + two.replace("6", "10")), (3, f"{one} {one} {two}"),
+            (4, one + filler + "sells 9 baskets for 9 dollars each on monday and the owner"), (5, filler)]
+    assert found(make_docs, spark, rows, items) == [(d, i) for d in (1, 2, 3, 4) for i in (1, 2)]
+
+
 def test_leaks_match_plain_search(spark, sf):
     docs = duckdb.sql(f"select doc_id, text from '{sf}/documents.parquet'").fetchall()
     items = duckdb.sql(f"select item_id, text from '{sf}/benchmark.parquet'").fetchall()
