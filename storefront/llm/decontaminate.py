@@ -13,6 +13,11 @@ A document holds an item if enough of the item's windows meet and enough of its
 slots are consistent, at one occurrence (meetings of about one distance between the
 document's and the item's word) or over all places together.
 
+Items without a window of enough words that are no placeholder (short ones and those
+dense in numbers, units and names) are met as a whole: one of their windows leads to the
+place, where every word is compared in its canonical form.  Items of placeholders only
+are met word for word.
+
 The build side has a bound: items are taken in blocks of ``Rule.block_words`` words
 at most, and every block meets all documents.
 """
@@ -112,8 +117,10 @@ class Index:
     item: np.ndarray
     word: np.ndarray
     n_windows: np.ndarray
-    short: dict[int, list[tuple[int, int]]]  # items of fewer words than a window: length to (hash, item)
+    #: Items met as a whole: length of a window and whether of own hashes, to sorted hashes, the item and the window's place.
+    whole: dict[tuple[int, bool], tuple[np.ndarray, np.ndarray, np.ndarray]]
     own: np.ndarray
+    canon: np.ndarray
     kind: np.ndarray
     first_word: np.ndarray
 
@@ -126,6 +133,23 @@ def _windows(canon: np.ndarray, kind: np.ndarray, doc: np.ndarray, n: int, liter
     return h[keep], first[keep]
 
 
+def _probes(own: np.ndarray, canon: np.ndarray, kind: np.ndarray, n: int) -> Iterator[tuple[bool, int, int]]:
+    """Windows that lead to an item met as a whole: whether of own hashes, the hash and the place in the item."""
+    n = min(n, len(kind))
+    doc = np.zeros(n, np.int64)
+    plain = kind == 0
+    if not plain.any():
+        yield True, int(tv.window_hashes(own[:n], doc, n)[0][0]), 0
+        return
+    at = int(np.argmax(np.convolve(plain, np.ones(n, np.int64), "valid")))
+    # inside a document an item's first word can look like a name or unit
+    heads = {int(canon[at])} | ({int(PLACEHOLDERS[k - 1]) for k in (UNIT, NAME)} if at == 0 else set())
+    for head in sorted(heads):
+        words = canon[at:at + n].copy()
+        words[0] = head
+        yield False, int(tv.window_hashes(words, doc, n)[0][0]), at
+
+
 def build_index(items: list, texts: list[bytes], rule: Rule) -> Index:
     """Index the items of one block."""
     data = np.frombuffer(b"".join(texts), dtype=np.uint8)
@@ -135,14 +159,18 @@ def build_index(items: list, texts: list[bytes], rule: Rule) -> Index:
     h, first = _windows(canon, kind, doc, rule.window, rule.literal)
     order = np.argsort(h, kind="stable")
     n_windows = np.bincount(doc[first], minlength=len(items)) if len(first) else np.zeros(len(items), np.int64)
-    short: dict[int, list[tuple[int, int]]] = {}
-    for i in range(len(items)):
+    whole: dict[tuple[int, bool], list[tuple[int, int, int]]] = {}
+    for i in np.flatnonzero((n_windows == 0) & (np.diff(first_word) > 0)).tolist():
         a, b = first_word[i], first_word[i + 1]
-        if 0 < b - a < rule.window and (kind[a:b] == 0).any():
-            one, _ = tv.window_hashes(canon[a:b], doc[a:b], b - a)
-            short.setdefault(int(b - a), []).append((int(one[0]), i))
-            n_windows[i] = 1
-    return Index(items, h[order], doc[first][order], first[order], n_windows, short, own, kind, first_word)
+        for verbatim, value, at in _probes(own[a:b], canon[a:b], kind[a:b], rule.window):
+            whole.setdefault((min(rule.window, int(b - a)), verbatim), []).append((value, i, at))
+        n_windows[i] = 1
+    sorted_whole = {}
+    for key, known in whole.items():
+        known.sort()
+        value, item, at = zip(*known, strict=True)
+        sorted_whole[key] = np.array(value, np.uint64), np.array(item), np.array(at)
+    return Index(items, h[order], doc[first][order], first[order], n_windows, sorted_whole, own, canon, kind, first_word)
 
 
 def _occurrences(met: list[tuple[int, int, int]], slack: int) -> list[list[tuple[int, int, int]]]:
@@ -178,24 +206,39 @@ def _occurrences(met: list[tuple[int, int, int]], slack: int) -> list[list[tuple
     return runs + list(lines.values())
 
 
+def _meetings(known: np.ndarray, h: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Places in ``h`` and in the sorted ``known`` of equal hashes."""
+    if len(known) == 0 or len(h) == 0:
+        return
+    a = np.searchsorted(known, h, side="left")
+    met = np.flatnonzero(known[np.minimum(a, len(known) - 1)] == h)
+    ends = np.searchsorted(known, h[met], side="right")
+    for m, b in zip(met.tolist(), ends.tolist(), strict=True):
+        for k in range(int(a[m]), b):
+            yield m, k
+
+
 def find(data: np.ndarray, offsets: np.ndarray, index: Index, rule: Rule) -> list[tuple]:
     """(document, item, windows met, windows of the item, slots, consistent slots, first byte, end byte)."""
     starts, ends, doc, own, canon, kind = canonical(data, offsets)
     pairs: dict[tuple[int, int], list[tuple[int, int, int]]] = {}  # (doc, item): (document's word, item's word, length)
     h, first = _windows(canon, kind, doc, rule.window, rule.literal)
-    if len(index.hashes) and len(h):
-        a = np.searchsorted(index.hashes, h, side="left")
-        met = np.flatnonzero(index.hashes[np.minimum(a, len(index.hashes) - 1)] == h)
-        ends_at = np.searchsorted(index.hashes, h[met], side="right")
-        for m, b in zip(met.tolist(), ends_at.tolist(), strict=True):
-            for k in range(int(a[m]), b):
-                pairs.setdefault((int(doc[first[m]]), int(index.item[k])), []).append(
-                    (int(first[m]), int(index.word[k]), rule.window))
-    for n, known in index.short.items():
-        h, first = tv.window_hashes(canon, doc, n)
-        for value, item in known:
-            for m in np.flatnonzero(h == np.uint64(value)).tolist():
-                pairs.setdefault((int(doc[first[m]]), item), []).append((int(first[m]), int(index.first_word[item]), n))
+    for m, k in _meetings(index.hashes, h):
+        pairs.setdefault((int(doc[first[m]]), int(index.item[k])), []).append((int(first[m]), int(index.word[k]), rule.window))
+    for (n, verbatim), (hashes, items, places) in index.whole.items():
+        h, first = tv.window_hashes(own if verbatim else canon, doc, n)
+        for m, k in _meetings(hashes, h):
+            item, p = int(items[k]), int(first[m] - places[k])
+            a, b = int(index.first_word[item]), int(index.first_word[item + 1])
+            q = p + b - a
+            if p < 0 or q > len(doc) or doc[p] != doc[q - 1]:
+                continue
+            same = own[p:q] == index.own[a:b]
+            if not verbatim:
+                same[1:] = canon[p + 1:q] == index.canon[a + 1:b]
+                same[0] |= canon[p] == index.canon[a]
+            if same.all():
+                pairs.setdefault((int(doc[p]), item), []).append((p, a, b - a))
     found = []
     for (d, item), met in pairs.items():
         total = int(index.n_windows[item])
@@ -228,8 +271,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, rule: Rule = Rule(), id_col: st
 
     Returns ``doc_id, item_id, windows_met, item_windows, slots,
     consistent_slots, first_byte, end_byte`` (of the text's UTF-8 bytes).  Null
-    and empty texts and items hold nothing and are held by nothing; items of
-    fewer words than a window are met as a whole; repeated rows of documents are
+    and empty texts and items hold nothing and are held by nothing; items without
+    a window of enough plain words are met as a whole, those of placeholders only word for word; repeated rows of documents are
     reported each, repeated items once; an empty table on either side gives an
     empty result; other columns are not looked at.
     """

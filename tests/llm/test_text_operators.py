@@ -120,6 +120,17 @@ def test_each_occurrence_counts_alone(make_docs, spark):
     assert found(make_docs, spark, rows, items) == [(d, i) for d in (1, 2, 3, 4) for i in (1, 2)]
 
 
+def test_items_dense_in_numbers_are_met(make_docs, spark):
+    items = [(1, "Compute 3 km plus 7 km minus 2 km plus 9 km"), (2, "12 + 45 = 57 ; 8 * 7 = 56"), (3, "4 8 15 16 23 42 108 7 9 1"),
+             (4, "91 17 33"), (5, "Add 1 2 3 4 5 6 7 8 and 10 11 12 13 14 15 16 17")]
+    filler = "some words that no item has stand here"
+    rows = [(i, f"{filler} {t} {filler}") for i, t in items]
+    rows += [(11, f"{filler}. Compute 5 km plus 8 km minus 1 km plus 6 km"), (12, f"{filler} 3 + 4 = 7 ; 5 * 6 = 30"),
+             (13, "4 8 15 16 23 42 108 7 9 2"), (14, "Compute 3 km plus 3 km minus 3 km plus 3 km"), (15, filler),
+             (16, f"{filler} Bob 3 km plus 7 km minus 2 km plus 9 km")]
+    assert found(make_docs, spark, rows, items) == [(1, 1), (11, 1), (12, 2), (2, 2), (3, 3), (4, 4), (5, 5)]
+
+
 def test_leaks_match_plain_search(spark, sf):
     docs = duckdb.sql(f"select doc_id, text from '{sf}/documents.parquet'").fetchall()
     items = duckdb.sql(f"select item_id, text from '{sf}/benchmark.parquet'").fetchall()
