@@ -110,7 +110,7 @@ def frequent_families(seed=11):
     return rows
 
 
-@pytest.mark.parametrize("partitions", [4, 32])
+@pytest.mark.parametrize("partitions", [4, 64])
 def test_jaccard_of_a_list_dealt_to_many_buckets(spark, make_docs, partitions):
     rows = frequent_families()
     rule = jaccard_join.Rule(bucket_postings=8, pivots=2)
