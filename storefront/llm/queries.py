@@ -12,7 +12,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, imatch, jaccard_join, licenses, packing, quality_gam, sharding, suffix_dedup, token_count, toxicity
+from . import (conversations, decontaminate, huffman, imatch, jaccard_join, licenses, packing, quality_gam, sharding,
+               suffix_dedup, token_count, toxicity, whitening)
 from .corpus_io import table
 
 
@@ -72,6 +73,24 @@ def op10_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_count.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op11_huffman(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of all documents, written as Huffman codes and read back."""
+    folder = huffman.scratch_folder(spark)
+    huffman.write(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), folder)
+    return huffman.read(spark, folder, with_ids=False)
+
+
+def op12_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, damaged and repaired."""
+    damaged = conversations.damage(table(spark, sf_dir, "conversations"))
+    return conversations.digests(damaged).withColumnRenamed("conv", "conv_id")
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All embeddings on the first 32 components, whitened."""
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_licenses": op1_licenses,
     "op2_packing": op2_packing,
@@ -83,4 +102,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality": op8_quality,
     "op9_imatch": op9_imatch,
     "op10_token_count": op10_token_count,
+    "op11_huffman": op11_huffman,
+    "op12_conversations": op12_conversations,
+    "op13_whitening": op13_whitening,
 }
