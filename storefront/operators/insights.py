@@ -14,7 +14,7 @@ import datetime as _dt
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from storefront.functions.numeric import exact_avg, exact_sum
+from storefront.functions.numeric import exact_avg, exact_sum, nan_to_null
 from storefront.functions.text import money_text, pct_text
 from storefront.operators.stats import quantile_scalar
 from storefront.session import ensure_checkpoint_dir
@@ -84,7 +84,7 @@ def discount_impact(orders: DataFrame, ref_date: str) -> DataFrame:
             .groupBy("discount_pct")
             .agg(exact_avg("order_value").alias("avg_order_value"),
                  exact_sum("order_value").alias("total_revenue"),
-                 F.count("order_value").alias("order_count")))
+                 F.count(nan_to_null("order_value")).alias("order_count")))
 
 
 def optimal_discount(orders: DataFrame, ref_date: str) -> DataFrame:
@@ -279,17 +279,18 @@ def insight_facts(orders: DataFrame, ref_date: str) -> DataFrame:
 
 
 def insights(orders: DataFrame, products: DataFrame, scored: DataFrame, customers: DataFrame,
-             ref_date: str, top_sales_features: DataFrame | None = None) -> DataFrame:
+             ref_date: str, top_sales_features: DataFrame | None = None, facts: DataFrame | None = None) -> DataFrame:
     """The insight document as rows (section, ordinal, metric, value, hint, severity).
 
     Insights whose data is empty are absent, as in the reference (e.g. no recent
     orders -> no revenue or product insights; no failures -> no payment row).
-    All order-level numbers come from one grouping-sets pass (``insight_facts``);
-    the small fact table is checkpointed for the dozen reads below.
+    All order-level numbers come from ``facts``: one grouping-sets pass (``insight_facts``)
+    by default, or the rollup's (``rollup.insight_facts``).  The small table is
+    checkpointed for the dozen reads below.
     """
     spark = orders.sparkSession
     ensure_checkpoint_dir(spark)
-    facts = insight_facts(orders, ref_date).checkpoint()
+    facts = (insight_facts(orders, ref_date) if facts is None else facts).checkpoint()
     # the scored customers feed two insights; keep the four columns they read
     scored = scored.select("customer_id", "churn_probability", "total_orders", "total_spent").checkpoint()
     glob = facts.where(F.col("level") == "all")

@@ -1,4 +1,4 @@
-"""Similar-product recommendations.
+"""Similar-product recommendations.
 
 The product vector is [log1p(price), rating, one-hot(category)].  Its cosine
 similarity has a closed form, so no vector column or UDF is needed:
@@ -12,7 +12,7 @@ their own and the eight cells around it, and an answer stands when its last
 neighbour is nearer than a cell is wide, since all products outside are farther.
 What is still open goes on to cells four times as wide.  Products with equal
 vectors are one point, so a popular vector is not compared with itself.
-``knn_vectors`` answers a stated set of query vectors against all rows, in blocks.
+Embedding vectors are searched by ``vector_index``.
 """
 
 from __future__ import annotations
@@ -26,8 +26,6 @@ from storefront.operators.stats import group_median
 # Neighbourhood size of the reference and the default rating.
 TOP_N = 5
 DEFAULT_RATING = 4.0
-# Query vectors that travel with one pass over all rows.
-QUERY_BLOCK = 4_096
 
 
 def product_price(products: DataFrame, orders: DataFrame | None = None) -> DataFrame:
@@ -148,65 +146,3 @@ def _nearest(queries: DataFrame, points: DataFrame, width: float, k: int) -> Dat
     item = F.struct((-F.col("s")).alias("o"), F.col("m.product_id").alias("product_id"), F.col("category"),
                     F.col("m.base_price").alias("base_price"), F.col("m.rating").alias("rating"), F.col("s"))
     return each.groupBy(F.col("_q").alias("_vector")).agg(F.slice(F.sort_array(F.collect_list(item)), 1, k).alias("near"))
-
-
-def knn_vectors(df: DataFrame, id_col: str, vec_col: str, queries: DataFrame, top_n: int = TOP_N) -> DataFrame:
-    """The top_n rows most similar (cosine) to each row of ``queries``, itself excluded.
-
-    ``queries`` has the same two columns.  Its vectors travel in blocks of
-    ``QUERY_BLOCK``; each block meets all rows in one pass that keeps top_n rows for
-    each query and task, and only those are shuffled.  Returns ``query_id, rank,
-    <id_col>, similarity``; ties go to the lesser id.  A zero or null vector has
-    similarity 0.
-    """
-    blocks = max(1, -(-queries.count() // QUERY_BLOCK))
-    rows = df.where(F.col(id_col).isNotNull()).select(
-        F.col(id_col).cast("long").alias("id"), F.transform(vec_col, lambda x: x.cast("double")).alias("v"))
-    asked = queries.where(F.col(id_col).isNotNull()).select(
-        F.col(id_col).cast("long").alias("id"), F.transform(vec_col, lambda x: x.cast("double")).alias("v"))
-    parts = None
-    for b in range(blocks):
-        block = asked.where(F.pmod(F.xxhash64("id"), F.lit(blocks)) == b).orderBy("id").toPandas()
-        part = rows.mapInArrow(_block_scorer(block, top_n), "query_id long, id long, similarity double")
-        parts = part if parts is None else parts.unionByName(part)
-    w = Window.partitionBy("query_id").orderBy(F.col("similarity").desc(), F.col("id"))
-    return (parts.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= top_n)
-            .select("query_id", "rank", F.col("id").alias(id_col), "similarity"))
-
-
-def _block_scorer(block, top_n: int):
-    import numpy as np
-
-    ids = block["id"].to_numpy()
-    width = max((len(v) for v in block["v"] if v is not None), default=1)
-    matrix = np.zeros((len(ids), width))
-    for i, v in enumerate(block["v"]):
-        if v is not None:
-            matrix[i, :len(v)] = v
-    length = np.linalg.norm(matrix, axis=1, keepdims=True)
-    matrix = np.divide(matrix, length, out=np.zeros_like(matrix), where=length > 0)
-
-    def run(batches):
-        import pyarrow as pa
-        best = np.zeros((len(ids), 0))
-        best_id = np.zeros((len(ids), 0), dtype=np.int64)
-        for batch in batches:
-            for at in range(0, batch.num_rows, 4096):
-                part = batch.slice(at, 4096)
-                own = np.zeros((part.num_rows, width))
-                for i, v in enumerate(part.column("v").to_pylist()):
-                    if v is not None:
-                        own[i, :len(v)] = v
-                size = np.linalg.norm(own, axis=1, keepdims=True)
-                own = np.divide(own, size, out=np.zeros_like(own), where=size > 0)
-                new_id = part.column("id").to_numpy()
-                sim = np.round(matrix @ own.T, 12)
-                sim[ids[:, None] == new_id[None, :]] = -np.inf
-                every, every_id = np.hstack((best, sim)), np.hstack((best_id, np.tile(new_id, (len(ids), 1))))
-                order = np.lexsort((every_id, -every), axis=1)[:, :top_n]
-                best, best_id = np.take_along_axis(every, order, 1), np.take_along_axis(every_id, order, 1)
-        keep = np.isfinite(best)
-        yield pa.RecordBatch.from_arrays([pa.array(np.repeat(ids, keep.sum(1))), pa.array(best_id[keep]), pa.array(best[keep])],
-                                         names=["query_id", "id", "similarity"])
-
-    return run

@@ -1,16 +1,17 @@
 """Exact quantiles without gathering a column into one task.
 
-pandas ``quantile(q)`` (linear interpolation) is exact.  Spark's ``percentile``
-is exact too, but it buffers every value of the group in one task, which does not
-survive a 100 TB column.  ``quantile_scalar`` keeps it exact with bounded memory,
-by the same steps at every size:
-
-1. one pass takes n and ``percentile_approx`` on both sides of q (rank error <= n /
-   accuracy), which bracket the target ranks k = floor((n - 1) q) and k + 1; a second
-   pass widens the bracket to the next values outside it and counts those below;
-2. the values inside the bracket are counted per distinct value (pre-aggregated,
-   so a hot value is one row), ordered, and the running count plus the number of
-   values below the bracket locates the two ranks exactly.
+pandas ``quantile(q)`` (linear interpolation) is exact.  Spark's ``percentile`` is
+exact too, but it buffers every value of the group in one task, which does not
+survive a 100 TB column.  ``quantile_columns`` answers several columns and several
+quantiles in two passes in all, by the same steps at every size:
+
+1. one pass takes, for each column, n and a mergeable sketch (``percentile_approx``)
+   of the places on both sides of each q.  A sketch's rank error is at most
+   n / accuracy, so each pair brackets the ranks k = floor((n - 1) q) and k + 1, or
+   these are the values next to the bracket;
+2. one exact pass counts the values inside the brackets one by one (pre-aggregated,
+   so a hot value is one row) and those of each gap between brackets as one row with
+   its least and largest value.  Running counts over these rows locate the ranks.
 
 ``group_median`` is the per-group variant used for per-product medians: values
 are first collapsed to (key, value, count), then a window per key walks the
@@ -20,6 +21,7 @@ distinct values, which Spark sorts and spills instead of buffering.
 from __future__ import annotations
 
 import math
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -28,50 +30,78 @@ DEFAULT_ACCURACY = 100_000
 
 
 def quantile_scalar(df: DataFrame, col: str, q: float, accuracy: int = DEFAULT_ACCURACY) -> Column:
-    """The q-quantile of a column's non-null values, NULL without any."""
-    return quantile_scalars(df, [col], q, accuracy)[col]
+    """The q-quantile of a column's values that are neither NULL nor NaN, NULL without any."""
+    return quantile_columns(df, {col: [q]}, accuracy)[col, q]
 
 
 def quantile_scalars(df: DataFrame, cols: list[str], q: float, accuracy: int = DEFAULT_ACCURACY) -> dict[str, Column]:
-    """The q-quantile of several columns: two aggregate passes that return one row each, then a
-    lazy scalar subquery over the bracketed values of all columns."""
-    vals = df.select(*[F.col(c).cast("double").alias(f"v{i}") for i, c in enumerate(cols)])
+    """The q-quantile of several columns, in two passes in all."""
+    got = quantile_columns(df, {c: [q] for c in cols}, accuracy)
+    return {c: got[c, q] for c in cols}
+
+
+def _brackets(ends: Sequence[float]) -> list[tuple[float, float]]:
+    """Pairs of ends in order, with overlapping ones as one."""
+    out: list[tuple[float, float]] = []
+    for lo, hi in sorted(zip(ends[::2], ends[1::2], strict=True)):
+        if out and lo <= out[-1][1]:
+            out[-1] = (out[-1][0], max(hi, out[-1][1]))
+        else:
+            out.append((lo, hi))
+    return out
+
+
+def quantile_columns(df: DataFrame, ranks: Mapping[str, Sequence[float]],
+                     accuracy: int = DEFAULT_ACCURACY) -> dict[tuple[str, float], Column]:
+    """Every wanted quantile of every column: ``(column, q) -> Column``.
+
+    The first pass returns one row when this is called; the second is one lazy scalar
+    subquery that all the columns share.
+    """
+    cols = list(ranks)
+    raw = [F.col(c).cast("double") for c in cols]
+    vals = df.select(*[F.when(~F.isnan(v), v).alias(f"v{i}") for i, v in enumerate(raw)])
     slack = 3.0 / accuracy
-    ends = F.array(F.lit(max(0.0, q - slack)), F.lit(min(1.0, q + slack)))
-    first = vals.agg(*[x for i in range(len(cols)) for x in (
-        F.count(f"v{i}").alias(f"n{i}"), F.percentile_approx(f"v{i}", ends, F.lit(accuracy)).alias(f"b{i}"))]).first()
+    places = [[p for q in ranks[c] for p in (max(0.0, q - slack), min(1.0, q + slack))] for c in cols]
+    first = vals.agg(*[x for i, p in enumerate(places) for x in (
+        F.count(f"v{i}").alias(f"n{i}"),
+        F.percentile_approx(f"v{i}", F.array(*[F.lit(x) for x in p]), F.lit(accuracy)).alias(f"b{i}"))]).first()
+    out = {(c, q): F.lit(None).cast("double") for c in cols for q in ranks[c]}
     known = [i for i in range(len(cols)) if first[f"n{i}"]]
-    out = {c: F.lit(None).cast("double") for c in cols}
     if not known:
         return out
-    # the next values that occur outside the approximate ends, and how many lie below them
-    near = vals.agg(*[x for i in known for x in (
-        F.max(F.when(F.col(f"v{i}") < first[f"b{i}"][0], F.col(f"v{i}"))).alias(f"lo{i}"),
-        F.min(F.when(F.col(f"v{i}") > first[f"b{i}"][1], F.col(f"v{i}"))).alias(f"hi{i}"),
-        F.count_if(F.col(f"v{i}") < first[f"b{i}"][0]).alias(f"below{i}"))]).first()
     parts = []
     for i in known:
-        lo, hi = first[f"b{i}"][0], near[f"hi{i}"] if near[f"hi{i}"] is not None else first[f"b{i}"][1]
-        # values from the lower end on; if the rank lies below it, the next lower value is the answer
-        keep = (F.col(f"v{i}") >= lo) & (F.col(f"v{i}") <= hi)
-        parts.append(F.struct(F.lit(i).alias("i"), F.when(keep, F.col(f"v{i}")).alias("v")))
-    inside = (vals.select(F.explode(F.array(*parts)).alias("p")).where("p.v is not null").groupBy("p.i", "p.v")
-              .agg(F.count(F.lit(1)).alias("c")))
-    # O(n / accuracy) distinct values for each column
-    cum = inside.withColumn("cum", F.sum("c").over(Window.partitionBy("i").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)))
-    answers = []
-    for i in known:
-        place = (first[f"n{i}"] - 1) * q
-        k, below = math.floor(place), near[f"below{i}"]
-        own = (F.col("i") == i)
-        at = [F.min(F.when(own & (F.col("cum") > k + j - below), F.col("v"))) for j in (0, 1)]
-        lower = F.lit(near[f"lo{i}"]).cast("double")
-        a = F.when(F.lit(k < below), lower).otherwise(at[0])
-        b = F.coalesce(F.when(F.lit(k + 1 < below), lower).otherwise(at[1]), a)
-        answers.append((a + (b - a) * F.lit(place - k)).alias(f"q{i}"))
-    row = cum.agg(F.struct(*answers).alias("s")).select("s").scalar()
+        v = F.col(f"v{i}")
+        brackets = _brackets(first[f"b{i}"])
+        begun = sum(((v >= lo).cast("int") for lo, _ in brackets), F.lit(0))
+        over = sum(((v > hi).cast("int") for _, hi in brackets), F.lit(0))
+        inside = begun > over
+        # zones in value order: gap 0, bracket 1, gap 2, ...
+        parts.append(F.struct(F.lit(i).alias("i"), (begun + over).alias("zone"), F.when(inside, v).alias("own"), v.alias("v")))
+    one = vals.select(parts[0].alias("p")) if len(parts) == 1 else vals.select(F.explode(F.array(*parts)).alias("p"))
+    counted = one.where("p.v is not null").groupBy("p.i", "p.zone", "p.own").agg(
+        F.count(F.lit(1)).alias("c"), F.min("p.v").alias("least"), F.max("p.v").alias("most"))
+    # O(n / accuracy) rows for each bracket
+    w = Window.partitionBy("i").orderBy("zone", "own").rowsBetween(Window.unboundedPreceding, 0)
+    placed = counted.withColumn("to", F.sum("c").over(w)).withColumn("from", F.col("to") - F.col("c"))
+    answers, names = [], {}
     for i in known:
-        out[cols[i]] = row.getField(f"q{i}")
+        for q in ranks[cols[i]]:
+            n = first[f"n{i}"]
+            place = (n - 1) * q
+            k = math.floor(place)
+
+            def at(r: int, i: int = i) -> Column:
+                # of a gap only the values next to a bracket can be asked for
+                value = F.when(F.col("from") == r, F.col("least")).when(F.col("to") == r + 1, F.col("most")).otherwise(F.col("own"))
+                return F.max(F.when((F.col("i") == i) & (F.col("from") <= r) & (r < F.col("to")), value))
+
+            a, b = at(k), at(min(k + 1, n - 1))
+            names[cols[i], q] = f"q{len(answers)}"
+            answers.append((a + (b - a) * F.lit(place - k)).alias(names[cols[i], q]))
+    row = placed.agg(F.struct(*answers).alias("s")).select("s").scalar()
+    out.update({key: row.getField(name) for key, name in names.items()})
     return out
 
 

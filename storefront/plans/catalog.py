@@ -15,9 +15,10 @@ from pyspark.sql import functions as F
 
 from storefront.functions.dates import floor_days, weekday_mon0
 from storefront.functions.numeric import exact_avg, exact_sum
-from storefront.operators import churn, clean, insights, kpis, reports
+from storefront.operators import churn, clean, insights, reports, rollup
 from storefront.operators.clean import np_round
-from storefront.operators.stats import quantile_scalar
+from storefront.operators.stats import quantile_columns
+from storefront.plans.derived import kept
 from storefront.plans.views import with_views
 from storefront.sources import testdata as td
 
@@ -103,6 +104,11 @@ def _c(spark, d):
     return td.customers(spark, d)
 
 
+def _r(spark, d) -> rollup.Rollup:
+    """The rollup of the order lines, written once for the given files."""
+    return kept("rollup", spark, d, ("lineitem", "orders", "part"), lambda: rollup.build(_o(spark, d)))
+
+
 CUT90 = "TIMESTAMP '2001-05-04 00:00:00'"
 CUT30 = "TIMESTAMP '2001-07-03 00:00:00'"
 REF_TS = "TIMESTAMP '2001-08-02 00:00:00'"
@@ -119,18 +125,18 @@ register("revenue_by_category", with_views(
     f"SELECT category, {XSUM('order_value')} AS revenue, "
     "CASE WHEN length(category) <= 40 THEN category ELSE substr(category, 1, 37) || '...' END AS label "
     "FROM orders_c WHERE category IS NOT NULL GROUP BY category ORDER BY revenue DESC, category LIMIT 10"))(
-    lambda spark, d: reports.revenue_by_category(_o(spark, d)))
+    lambda spark, d: rollup.revenue_by_category(_r(spark, d)))
 
 register("daily_revenue", with_views(
     f"SELECT CAST(CAST(order_date AS DATE) AS TIMESTAMP) AS date, {XSUM('order_value')} AS revenue "
     "FROM orders_c WHERE order_date IS NOT NULL GROUP BY 1"))(
-    lambda spark, d: reports.daily_revenue(_o(spark, d)).withColumn("date", F.col("date").cast("timestamp")))
+    lambda spark, d: rollup.daily_revenue(_r(spark, d)).withColumn("date", F.col("date").cast("timestamp")))
 
 register("orders_by_weekday", with_views(
     "SELECT CAST(isodow(order_date) - 1 AS INTEGER) AS day_of_week, COUNT(*) AS orders, "
     "['Monday','Tuesday','Wednesday','Thursday','Friday','Saturday','Sunday'][isodow(order_date)] AS day_name "
     "FROM orders_c WHERE order_date IS NOT NULL GROUP BY 1, 3"))(
-    lambda spark, d: reports.orders_by_weekday(_o(spark, d)))
+    lambda spark, d: rollup.orders_by_weekday(_r(spark, d)))
 
 
 @register("filter_dates", with_views(
@@ -167,26 +173,26 @@ register("revenue_90_30", with_views(
     f"COUNT(*) FILTER (WHERE order_date >= {CUT30}) AS orders_30, "
     f"COALESCE({XSUM(f'CASE WHEN order_date >= {CUT30} THEN order_value END')}, 0e0) AS revenue_30 "
     f"FROM orders_c WHERE order_date >= {CUT90}"))(
-    lambda spark, d: insights.revenue_90_30(_o(spark, d), REF))
+    lambda spark, d: rollup.revenue_90_30(_r(spark, d), REF))
 
 register("top_category", with_views(
     f"SELECT category, {XSUM('order_value')} AS revenue, "
     f"{XSUM('order_value')} / (SELECT {XSUM('order_value')} FROM orders_c WHERE order_date >= {CUT90}) * 100e0 "
     f"AS share_pct FROM orders_c WHERE order_date >= {CUT90} AND category IS NOT NULL "
     "GROUP BY category ORDER BY revenue DESC, category LIMIT 1"))(
-    lambda spark, d: insights.top_category(_o(spark, d), REF))
+    lambda spark, d: rollup.top_category(_r(spark, d), REF))
 
 register("discount_impact", with_views(
     f"SELECT discount_pct, {XAVG('order_value')} AS avg_order_value, {XSUM('order_value')} AS total_revenue, "
     f"COUNT(order_value) AS order_count FROM orders_c WHERE order_date >= {CUT90} "
     "AND discount_pct IS NOT NULL GROUP BY discount_pct"))(
-    lambda spark, d: insights.discount_impact(_o(spark, d), REF))
+    lambda spark, d: rollup.discount_impact(_r(spark, d), REF))
 
 register("optimal_discount", with_views(
     f"SELECT discount_pct, {XSUM('order_value')} AS total_revenue FROM orders_c "
     f"WHERE order_date >= {CUT90} AND discount_pct IS NOT NULL GROUP BY discount_pct "
     "ORDER BY total_revenue DESC, discount_pct LIMIT 1"))(
-    lambda spark, d: insights.optimal_discount(_o(spark, d), REF))
+    lambda spark, d: rollup.optimal_discount(_r(spark, d), REF))
 
 _PS = (f"ps AS (SELECT s.product_id, s.units_sold, s.revenue, s.avg_rating, p.base_price, p.category FROM "
        f"(SELECT product_id, SUM(quantity) AS units_sold, {XSUM('order_value')} AS revenue, "
@@ -194,18 +200,18 @@ _PS = (f"ps AS (SELECT s.product_id, s.units_sold, s.revenue, s.avg_rating, p.ba
        f"GROUP BY product_id) s JOIN products_c p ON s.product_id = p.product_id)")
 
 register("product_sales", with_views("SELECT * FROM ps", _PS))(
-    lambda spark, d: insights.product_sales(_o(spark, d), _p(spark, d), REF))
+    lambda spark, d: rollup.product_sales(_r(spark, d), _p(spark, d), REF))
 
 register("top_products", with_views(
     "SELECT string_agg(CAST(product_id AS VARCHAR), ', ' ORDER BY revenue DESC, product_id) AS top_products, "
     "COUNT(*) AS n FROM (SELECT * FROM ps ORDER BY revenue DESC, product_id LIMIT 5) t", _PS))(
-    lambda spark, d: insights.top_products(_o(spark, d), _p(spark, d), REF))
+    lambda spark, d: rollup.top_products(_r(spark, d), _p(spark, d), REF))
 
 register("worst_products", with_views(
     "SELECT string_agg(CAST(product_id AS VARCHAR), ', ' ORDER BY revenue DESC, product_id) AS worst_products, "
     "COUNT(*) AS n FROM (SELECT * FROM ps WHERE revenue > 0 ORDER BY revenue ASC, product_id DESC LIMIT 5) t",
     _PS))(
-    lambda spark, d: insights.worst_products(_o(spark, d), _p(spark, d), REF))
+    lambda spark, d: rollup.worst_products(_r(spark, d), _p(spark, d), REF))
 
 register("delivery_insight", with_views(
     f"SELECT {IAVG('delivery_time_days')} AS avg_delivery_days, "
@@ -214,28 +220,28 @@ register("delivery_insight", with_views(
     " COUNT(delivery_delay) FILTER (WHERE delivery_delay > 2)) AS avg_delay_days, "
     "(CAST(SUM(is_returned) FILTER (WHERE delivery_delay > 2) AS DOUBLE) / "
     " COUNT(is_returned) FILTER (WHERE delivery_delay > 2)) AS delayed_return_rate FROM orders_c"))(
-    lambda spark, d: insights.delivery_insight(_o(spark, d)))
+    lambda spark, d: rollup.delivery_insight(_r(spark, d)))
 
 register("delay_impact", with_views(
     f"SELECT delivery_delay, {IAVG('is_returned')} AS return_rate, {IAVG('customer_rating')} AS avg_rating, "
     "COUNT(*) AS orders FROM orders_c WHERE delivery_delay IS NOT NULL GROUP BY delivery_delay"))(
-    lambda spark, d: insights.delay_impact(_o(spark, d)))
+    lambda spark, d: rollup.delay_impact(_r(spark, d)))
 
 register("payment_failures", with_views(
     "SELECT COUNT(*) FILTER (WHERE failed_payment_attempts > 0) AS failed_orders, "
     "CAST(COUNT(*) FILTER (WHERE failed_payment_attempts > 0) AS DOUBLE) / COUNT(*) * 100e0 AS failed_pct, "
     f"COALESCE({XSUM('CASE WHEN failed_payment_attempts > 0 THEN order_value END')}, 0e0) AS value_at_stake "
     "FROM orders_c"))(
-    lambda spark, d: insights.payment_failures(_o(spark, d)))
+    lambda spark, d: rollup.payment_failures(_r(spark, d)))
 
 register("return_rate", with_views(
     f"SELECT {IAVG('is_returned')} AS return_rate, COUNT(*) AS orders FROM orders_c"))(
-    lambda spark, d: insights.return_rate(_o(spark, d)))
+    lambda spark, d: rollup.return_rate(_r(spark, d)))
 
 register("return_by_category", with_views(
     f"SELECT category, {IAVG('is_returned')} AS return_rate, COUNT(*) AS orders FROM orders_c "
     "WHERE category IS NOT NULL GROUP BY category"))(
-    lambda spark, d: insights.return_by_category(_o(spark, d)))
+    lambda spark, d: rollup.return_by_category(_r(spark, d)))
 
 register("acquisition", with_views(
     f"SELECT {XAVG('lifetime_value')} AS avg_ltv, "
@@ -326,7 +332,7 @@ _KPIS = (_LABELS + ", kpis AS (SELECT COUNT(*) AS total_orders, "
 
 def _kpis(spark, d):
     labeled = churn.churn_labels(_c(spark, d), _o(spark, d), REF)
-    return kpis.business_kpis(_o(spark, d), labeled)
+    return rollup.business_kpis(_r(spark, d), labeled)
 
 
 register("business_kpis", with_views("SELECT * FROM kpis", _KPIS))(_kpis)
@@ -409,5 +415,5 @@ def _plain_aggregates(spark, d):
                           for q in (0.0, 0.25, 0.5, 0.85, 0.9, 0.999, 1.0)) + " FROM orders_c"))
 def _line_quantiles(spark, d):
     o = _o(spark, d)
-    return o.limit(1).select(*[np_round(quantile_scalar(o, "order_value", q), 6).alias(f"q{int(q * 1000)}")
-                               for q in (0.0, 0.25, 0.5, 0.85, 0.9, 0.999, 1.0)])
+    got = quantile_columns(o, {"order_value": [0.0, 0.25, 0.5, 0.85, 0.9, 0.999, 1.0]})
+    return spark.range(1).select(*[np_round(v, 6).alias(f"q{int(q * 1000)}") for (_, q), v in got.items()])

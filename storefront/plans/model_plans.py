@@ -16,10 +16,11 @@ from functools import reduce
 
 from pyspark.sql import functions as F
 
-from storefront.operators import churn, clean, insights, kpis, models, reports
+from storefront.operators import churn, clean, insights, kpis, models, reports, rollup
 from storefront.operators.clean import np_round
-from storefront.plans.catalog import (_FEATURES, _KPIS, _LABELS, CUT30, CUT90, IAVG, NPROUND, REF, XSUM, _features, _kpis,
+from storefront.plans.catalog import (_FEATURES, _KPIS, _LABELS, CUT30, CUT90, IAVG, NPROUND, REF, XSUM, _features, _kpis, _r,
                                       register)
+from storefront.plans.derived import kept
 from storefront.plans.views import with_views
 from storefront.session import ensure_checkpoint_dir
 from storefront.sources import testdata as td
@@ -157,15 +158,7 @@ register("churn_alert", with_views(
 
 
 # ------------------------------------------------------------ fitted models --
-# the fitted model of each kind, for the folder and session that it was last asked for
-_FITTED: dict = {}
-
-
-def _fitted(kind: str, spark, d, fit):
-    key = (d, spark.sparkContext.applicationId)
-    if _FITTED.get(kind, (None,))[0] != key:
-        _FITTED[kind] = (key, fit())
-    return _FITTED[kind][1]
+_FIT_TABLES = ("lineitem", "orders", "part", "customer", "nation")
 
 
 def _sales_rows(spark, d):
@@ -173,11 +166,11 @@ def _sales_rows(spark, d):
 
 
 def _sales_fit(spark, d):
-    return _fitted("sales", spark, d, lambda: models.fit_sales_model(_sales_rows(spark, d)))
+    return kept("sales", spark, d, _FIT_TABLES, lambda: models.fit_sales_model(_sales_rows(spark, d)))
 
 
 def _churn_fit(spark, d):
-    return _fitted("churn", spark, d, lambda: models.fit_churn_model(_features(spark, d)))
+    return kept("churn", spark, d, _FIT_TABLES, lambda: models.fit_churn_model(_features(spark, d)))
 
 
 @register("sales_model")
@@ -265,7 +258,7 @@ def _given(spark, kind):
 def _insights_doc(spark, d):
     o, p, c = _o(spark, d), td.products(spark, d), td.customers(spark, d)
     scored = _recency_score(_features(spark, d))
-    return insights.insights(o, p, scored, c, REF, _given(spark, "sales"))
+    return insights.insights(o, p, scored, c, REF, _given(spark, "sales"), rollup.insight_facts(_r(spark, d), REF))
 
 
 @register("insights")
@@ -384,7 +377,7 @@ _R30 = f"order_date >= {CUT30}"
     "WHEN 6 THEN 'product_id' ELSE 'all' END AS level FROM orders_c "
     "GROUP BY GROUPING SETS ((category), (discount_pct), (product_id), ())"))
 def _insight_facts(spark, d):
-    f = insights.insight_facts(_o(spark, d), REF)
+    f = rollup.insight_facts(_r(spark, d), REF)
     key = F.coalesce(F.col("category"), F.col("discount_pct").cast("string"), F.col("product_id").cast("string"))
     return f.select("level", key.alias("key"), *[c for c in f.columns
                                                  if c not in ("level", "category", "discount_pct", "product_id")])

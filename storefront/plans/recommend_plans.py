@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from storefront.operators import recommend
+from storefront.operators import recommend, vector_index
 from storefront.operators.clean import np_round
 from storefront.plans.catalog import NPROUND, register
 from storefront.plans.views import with_views
@@ -77,5 +77,29 @@ def _knn_products(spark, d):
           "AND q.vec_id % 20 = 0) p) t WHERE rank <= 5")
 def _knn_embeddings(spark, d):
     e = td.table(spark, d, "embeddings")
-    r = recommend.knn_vectors(e, "vec_id", "embedding", e.where(F.col("vec_id") % 20 == 0))
+    r = vector_index.exact_neighbours(e, "vec_id", "embedding", e.where(F.col("vec_id") % 20 == 0))
     return r.withColumn("similarity", np_round(F.col("similarity"), 9)).withColumn("rank", F.col("rank").cast("int"))
+
+
+def _indexed(spark, d):
+    ensure_checkpoint_dir(spark)
+    e = td.table(spark, d, "embeddings").select("vec_id", "embedding")
+    index = vector_index.build_index(e, "vec_id", "embedding")
+    return e, vector_index.search(index, e.where(F.col("vec_id") % 20 == 0), "vec_id", "embedding")
+
+
+# the index's answers depend on the fitted cells: SQL states how many queries and neighbours there
+# are and that the index reaches the wanted share of the exact ones
+@register("knn_index")
+def _knn_index(spark, d):
+    return _indexed(spark, d)[1].withColumn("rank", F.col("rank").cast("int"))
+
+
+@register("knn_index_recall",
+          "SELECT COUNT(*) AS queries, CAST(SUM(LEAST(5, (SELECT COUNT(*) FROM embeddings) - 1)) AS BIGINT) AS neighbours, "
+          "TRUE AS recall_is_090 FROM embeddings WHERE vec_id % 20 = 0")
+def _knn_index_recall(spark, d):
+    e, found = _indexed(spark, d)
+    exact = vector_index.exact_neighbours(e, "vec_id", "embedding", e.where(F.col("vec_id") % 20 == 0))
+    r = vector_index.recall_of(found, exact, "vec_id")
+    return r.select("queries", "neighbours", (F.col("recall") >= 0.9).alias("recall_is_090"))

@@ -71,10 +71,9 @@ def test_entry_runs(spark):
 
 
 def test_every_query_has_oracle_or_is_a_model():
-    from __spark_entry__ import oracle_sql, queries
-    rows_only = set(queries()) - set(oracle_sql())
-    assert rows_only <= {"sales_model", "feature_importance", "top_features", "churn_model", "score_customers",
-                         "insights", "insight_cards", "report_sections", "kpi_json"}
+    rows_only = set(registry.queries()) - set(registry.oracle_sql())
+    assert rows_only <= {"sales_model", "feature_importance", "feature_importance_churn", "top_features", "churn_model",
+                         "score_customers", "insights", "insight_cards", "report_sections", "kpi_json"}
 
 
 @pytest.mark.skipif(not os.path.exists(SF), reason="test data not present")
