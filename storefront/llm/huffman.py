@@ -8,10 +8,11 @@ with one look-up of ``most_bits`` bits for each id.
 The folder of a data set has two tables in Parquet containers, so every store that
 Spark reads and writes will do:
 
-``code``      one row: ``ids`` and ``bits``, the code length of each id that occurs.
-              Canonical codes follow from the lengths alone.
+``code``      one row: ``ids`` and ``bits``, the code length of each id that occurs, and
+              the columns of ``segments``.  Canonical codes follow from the lengths alone.
 ``segments``  ``first`` (number of the first id in the data set), ``documents``,
-              ``sizes`` (their ids) and ``body``.  Files and rows are in document order.
+              ``sizes`` (their ids) and ``body``.  One folder ``part=...`` for each range
+              of documents; folders, and rows by ``first``, are in document order.
 
 A segment's body is binary, little-endian:
 
@@ -32,6 +33,7 @@ a sum over one row for each task.
 
 from __future__ import annotations
 
+import json
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -58,7 +60,7 @@ class Format:
 
     most_bits: int = 18
     block_ids: int = 256
-    segment_ids: int = 1 << 16
+    segment_ids: int = 1 << 14
     end_id: int = 2
 
 
@@ -176,7 +178,10 @@ class Codec:
 # --- writing --------------------------------------------------------------------------------------
 
 def tokenised(docs: DataFrame, path: str, form: Format, id_col: str, text_col: str) -> DataFrame:
-    """Runs of consecutive documents: ``part, nth, before`` (ids of the part before them), ``documents, sizes, ids``."""
+    """Runs of consecutive documents: ``part, nth, before`` (ids of the part before them), ``documents, sizes, ids``.
+
+    ``ids`` has 16 bits for each id where they are enough, else 32.
+    """
     small_batches(docs.sparkSession)
     text = F.coalesce(F.col(text_col), F.lit("")).cast("binary")
     rows = docs.select(F.col(id_col).alias("doc"), text.alias("_text"))
@@ -196,12 +201,12 @@ def tokenised(docs: DataFrame, path: str, form: Format, id_col: str, text_col: s
         total = 0
 
         def flush() -> pa.RecordBatch:
-            documents, size = pa.concat_arrays(keys), np.concatenate(sizes)
+            documents, size, ids = pa.concat_arrays(keys), np.concatenate(sizes), np.concatenate(held)
             one = pa.array([0, len(size)], pa.int32())
             return pa.RecordBatch.from_arrays(
                 [pa.array([part], pa.int32()), pa.array([nth], pa.int32()), pa.array([before], pa.int64()),
                  pa.ListArray.from_arrays(one, documents), pa.ListArray.from_arrays(one, pa.array(size)),
-                 pa.array([np.concatenate(held).astype("<u4").tobytes()], pa.binary())], names=schema.names)
+                 pa.array([ids.astype("<u2" if ids.max() < 1 << 16 else "<u4").tobytes()], pa.binary())], names=schema.names)
 
         for batch in batches:
             for piece in tv.text_slices(batch, "_text"):
@@ -222,20 +227,26 @@ def tokenised(docs: DataFrame, path: str, form: Format, id_col: str, text_col: s
     return rows.select("doc", "_text").mapInArrow(run, schema)
 
 
+def _ids_of(body: pa.Scalar, size: pa.Scalar) -> np.ndarray:
+    """The ids of a run."""
+    raw = body.as_buffer()
+    return np.frombuffer(raw, "<u2" if raw.size == 2 * int(size.values.to_numpy().sum()) else "<u4")
+
+
 def id_counts(runs: DataFrame) -> DataFrame:
     """``id, n`` over all documents; at most one row for each id of the vocabulary."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(0, np.int64)
         for batch in batches:
-            for body in batch.column("ids"):
-                more = np.bincount(np.frombuffer(body.as_buffer(), "<u4"), minlength=len(total))
+            for body, size in zip(batch.column("ids"), batch.column("sizes"), strict=True):
+                more = np.bincount(_ids_of(body, size), minlength=len(total))
                 more[:len(total)] += total
                 total = more
         some = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], names=["id", "n"])
 
-    return runs.select("ids").mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
+    return runs.select("sizes", "ids").mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
 
 
 def write(docs: DataFrame, tokenizer: str, folder: str, form: Format = Format(), id_col: str = "doc_id",
@@ -252,8 +263,10 @@ def write(docs: DataFrame, tokenizer: str, folder: str, form: Format = Format(),
     counts = id_counts(runs).toPandas().sort_values("id")  # bounded by the vocabulary
     # a vocabulary with more ids than the longest code tells apart takes longer ones
     bits = code_lengths(counts["n"].to_numpy(), max(form.most_bits, (len(counts) - 1).bit_length()))
-    codes = [(counts["id"].tolist(), bits.tolist())]
-    spark.createDataFrame(codes, "ids array<long>, bits array<long>").coalesce(1).write.parquet(f"{folder}/code")
+    layout = T.StructType([T.StructField("first", T.LongType()), T.StructField("documents", runs.schema["documents"].dataType),
+                           T.StructField("sizes", T.ArrayType(T.LongType())), T.StructField("body", T.BinaryType())])
+    codes = [(counts["id"].tolist(), bits.tolist(), layout.json())]
+    spark.createDataFrame(codes, "ids array<long>, bits array<long>, layout string").coalesce(1).write.parquet(f"{folder}/code")
     ids = counts["id"].to_numpy()
     doc_type = runs.schema["documents"].dataType
     schema = T.StructType([T.StructField("part", T.IntegerType()), T.StructField("nth", T.IntegerType()),
@@ -263,19 +276,19 @@ def write(docs: DataFrame, tokenizer: str, folder: str, form: Format = Format(),
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = Codec(ids, bits, form)
         for batch in batches:
-            body = [codec.encode(np.frombuffer(b.as_buffer(), "<u4")) for b in batch.column("ids")]
+            body = [codec.encode(_ids_of(b, n)) for b, n in zip(batch.column("ids"), batch.column("sizes"), strict=True)]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in schema.names[:-1]), pa.array(body, pa.binary())],
                                              names=schema.names)
 
-    # ids before each part: one row for each part
+    # ids before each part; one row for each part, so for each task of the first pass
     size = F.aggregate("sizes", F.lit(0).cast("long"), lambda a, x: a + x)
     parts = runs.select("part", size.alias("n")).groupBy("part").agg(F.sum("n").alias("n"))
     earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     parts = parts.select("part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("base"))
-    placed = runs.mapInArrow(run, schema).join(parts, "part").select(
-        (F.col("base") + F.col("before")).alias("first"), "documents", "sizes", "body")
-    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    placed.repartitionByRange(tasks, "first").sortWithinPartitions("first").write.parquet(f"{folder}/segments")
+    placed = runs.mapInArrow(run, schema).join(F.broadcast(parts), "part").select(
+        "part", (F.col("base") + F.col("before")).alias("first"), "documents", "sizes", "body")
+    # a part's runs lie in one file, so nothing is shuffled to keep documents in order
+    placed.sortWithinPartitions("part", "first").write.partitionBy("part").parquet(f"{folder}/segments")
 
 
 # --- reading --------------------------------------------------------------------------------------
@@ -285,8 +298,10 @@ def read(spark: SparkSession, folder: str, form: Format = Format(), with_ids: bo
     small_batches(spark)
     code = spark.read.parquet(f"{folder}/code").first()
     symbols, bits = np.array(code.ids, np.int64), np.array(code.bits, np.int64)
-    segments = spark.read.parquet(f"{folder}/segments").select("first", "documents", "sizes", "body")
-    fields = [T.StructField("doc_id", segments.schema["documents"].dataType.elementType), T.StructField("start", T.LongType()),
+    # the folders' names are not read as a column: an empty data set has none
+    body = T.StructType.fromJson(json.loads(code.layout))
+    segments = spark.read.schema(body).parquet(f"{folder}/segments").select("first", "documents", "sizes", "body")
+    fields = [T.StructField("doc_id", body["documents"].dataType.elementType), T.StructField("start", T.LongType()),
               T.StructField("n_tokens", T.LongType()), T.StructField("ids_crc32", T.LongType())]
     if with_ids:
         fields.append(T.StructField("ids", T.BinaryType()))
@@ -295,8 +310,8 @@ def read(spark: SparkSession, folder: str, form: Format = Format(), with_ids: bo
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = Codec(symbols, bits, form)
         for batch in batches:
-            for at in range(0, batch.num_rows, 8):
-                some = batch.slice(at, 8)
+            for at in range(0, batch.num_rows, 16):
+                some = batch.slice(at, 16)
                 decoded = codec.decode([b.as_buffer() for b in some.column("body")])
                 for i, ids in enumerate(decoded):
                     size = some.column("sizes")[i].values.to_numpy()

@@ -100,10 +100,10 @@ def test_round_trip(spark, make_docs):
     got = sorted((str(r.doc_id), np.frombuffer(r.ids, "<u4").tolist()) for r in rows)
     assert got == sorted((str(k), ids) for k, ids in plain_ids(ODD))
     assert all(r.ids_crc32 == zlib.crc32(r.ids) and r.n_tokens * 4 == len(r.ids) for r in rows)
-    # files hold the segments in order
-    segments = spark.read.parquet(f"{folder}/segments").withColumn("file", F.col("_metadata.file_path"))
-    firsts = [r["first"] for r in sorted(segments.collect(), key=lambda r: (r.file, r["first"]))]
-    assert firsts == sorted(firsts)
+    # folders hold the segments in order, each part in one file
+    segments = spark.read.parquet(f"{folder}/segments").withColumn("file", F.col("_metadata.file_path")).collect()
+    firsts = [r["first"] for r in sorted(segments, key=lambda r: (r.part, r["first"]))]
+    assert firsts == sorted(firsts) and len({(r.part, r.file) for r in segments}) == len({r.part for r in segments}) > 1
     empty = huffman.scratch_folder(spark)
     huffman.write(make_docs(ODD).filter("doc_id > 100"), BPE, empty)
     assert huffman.read(spark, empty).count() == 0
