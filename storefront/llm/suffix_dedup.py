@@ -6,8 +6,10 @@ of the corpus.  The work is cut so that equal strings always meet in one task:
 1. Every window of ``length`` bytes has an anchor, the k-gram with the least hash in
    it.  Equal windows have equal anchors, whatever stands around them.  Windows in
    a row with one anchor form a segment of 200 to 368 bytes.
-2. Anchors that occur once are dropped.  Segments that are equal as a whole are
-   repeated; one of them goes on to be compared with the others of its anchor.
+2. Segments that are equal as a whole are repeated; one of them goes on to be
+   compared with the others of its anchor.  Equal ones are found in the task that reads
+   them, so one of each task goes on, and then by a join of these.  Anchors that
+   occur once are dropped.
 3. Different segments with one anchor meet in a block, for which an enhanced suffix
    array (suffix order and common prefix lengths) is built.  A stack scan lists
    the intervals of common prefixes of ``length`` bytes or more, and those with more
@@ -124,11 +126,77 @@ def _chunk(held: list[tuple[int, int, int]], rule: Rule):
     return int(first[0]), int(last[-1]) + rule.length - 1, first, last, doc
 
 
+#: Places of the table of segments that a task remembers; it is emptied when half of them are taken.
+SEEN_PLACES = 1 << 19
+
+
+class SeenSegments:
+    """Segments met before by a task: equal ones are repeated, and only the first goes on."""
+
+    def __init__(self) -> None:
+        self.empty()
+
+    def empty(self) -> None:
+        self.table = tv.KeyTable(SEEN_PLACES)
+        self.anchor = np.zeros(SEEN_PLACES, np.uint64)
+        self.k = np.zeros(SEEN_PLACES, np.int64)
+        self.start = np.zeros(SEEN_PLACES, np.int64)
+        self.length = np.zeros(SEEN_PLACES, np.int64)
+        self.told = np.zeros(SEEN_PLACES, bool)
+
+    def meet(self, k: np.ndarray, start: np.ndarray, length: np.ndarray, ah: np.ndarray, sh: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Which segments go on, which are repeated, and the spans of firsts that are found to be repeated now."""
+        sh = np.where(sh == 0, np.uint64(1), sh)
+        name, first, which = np.unique(sh, return_index=True, return_inverse=True)
+        if not self.table.room(len(name)):
+            self.empty()
+        place = self.table.find(name)
+        new = np.flatnonzero(place < 0)
+        known = place >= 0
+        if self.table.room(len(new)):  # else a very large chunk, whose segments are not remembered
+            at = self.table.add(name[new])
+            self.anchor[at], self.k[at], self.start[at], self.length[at] = (x[first[new]] for x in (ah, k, start, length))
+            self.told[at] = False
+            place[new] = at
+        # segments equal, anchor and all, to the one in the table; of a new name, the first is that one
+        of = place[which]
+        same = of >= 0
+        same[same] = self.anchor[of[same]] == ah[same]
+        count = np.bincount(which[same], minlength=len(name)) + known
+        again = same & (count[which] > 1)
+        goes_on = ~same
+        goes_on[first[~known]] = True
+        repeated = (place >= 0) & (count > 1)
+        late = place[repeated & known]
+        late = late[~self.told[late]]
+        self.told[place[repeated]] = True
+        return goes_on, again, self.k[late], self.start[late], self.start[late] + self.length[late]
+
+
+def _merged(k: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Spans in text order, with overlapping ones of a text as one."""
+    if len(k) == 0:
+        return k, start, end
+    run = np.concatenate(([0], np.cumsum(k[1:] != k[:-1]))) << 40
+    reach = np.maximum.accumulate(end + run)
+    new = np.ones(len(k), bool)
+    new[1:] = start[1:] + run[1:] > reach[:-1]
+    at = np.flatnonzero(new)
+    return k[at], start[at], (reach - run)[np.append(at[1:], len(k)) - 1]
+
+
 def anchor_table(rows: DataFrame, rule: Rule) -> DataFrame:
-    """``k, start, len, a0, ah, sh`` of every segment of every text."""
+    """``k, start, len, a0, ah, sh`` of segments of every text, and spans ``k, start, len`` (``ah`` null).
+
+    Of segments that a task has met before only the first goes on; the others, and
+    that one, are repeated and become spans at once.  So a passage in very many texts
+    is one row for each task (and for each time its table fills up), not one for each
+    occurrence.
+    """
     names = ["k", "start", "len", "a0", "ah", "sh"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = SeenSegments()
         for batch in batches:
             for part in tv.text_slices(batch, "_text"):
                 data, offsets = tv.binary_view(part.column("_text"))
@@ -136,10 +204,18 @@ def anchor_table(rows: DataFrame, rule: Rule) -> DataFrame:
                 for a, b, first, last, doc in _chunks(offsets, rule):
                     begin, length, a0, ah, sh = segments(data[a:b], first - a, last - a, rule)
                     d = doc[np.searchsorted(first - a, begin, side="right") - 1]
+                    k, start = key[d], begin + a - offsets[d]
+                    on, again, *late = seen.meet(k, start, length, ah, sh)
+                    own = _merged(k[again], start[again], (start + length)[again])
+                    span_k, span_start, span_end = (np.concatenate(x) for x in zip(own, late, strict=True))
+                    none = np.zeros(len(span_k), bool)
+                    there = np.concatenate((np.ones(int(on.sum()), bool), none))
+                    zeros = np.zeros(len(span_k), np.int64)
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(key[d]), pa.array((begin + a - offsets[d]).astype(np.int32)),
-                         pa.array(length.astype(np.int32)), pa.array(a0.astype(np.int32)), pa.array(ah.view(np.int64)),
-                         pa.array(sh.view(np.int64))], names=names)
+                        [pa.array(np.concatenate((k[on], span_k))), pa.array(np.concatenate((start[on], span_start)).astype(np.int32)),
+                         pa.array(np.concatenate((length[on], span_end - span_start)).astype(np.int32)),
+                         *(pa.array(np.concatenate((x[on], zeros)), kind, mask=~there) for x, kind in (
+                             (a0, pa.int32()), (ah.view(np.int64), pa.int64()), (sh.view(np.int64), pa.int64())))], names=names)
 
     return rows.select("k", "_text").mapInArrow(run, "k long, start int, len int, a0 int, ah long, sh long")
 
@@ -317,7 +393,8 @@ def _halved(rows: DataFrame, rule: Rule) -> tuple[list[DataFrame], list[DataFram
 def repeated_spans(rows: DataFrame, rule: Rule = Rule()) -> DataFrame:
     """``k, start, end`` of repeated bytes; ``rows``: ``k, _text``, where ``k`` names a row."""
     tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    anchors = written(anchor_table(rows, rule), "repeat-anchors")
+    table = written(anchor_table(rows, rule), "repeat-anchors")
+    anchors = table.filter(F.col("ah").isNotNull())
     often = anchors.groupBy("ah").agg(F.count("*").alias("c")).filter("c > 1").select("ah")
     met = written(anchors.join(often, "ah"), "repeat-met")
     kinds = met.groupBy("ah", "sh").agg(F.count("*").alias("n"), F.min(F.struct("k", "start", "len", "a0")).alias("one"))
@@ -335,7 +412,7 @@ def repeated_spans(rows: DataFrame, rule: Rule = Rule()) -> DataFrame:
     cut = written(cut, "repeat-segments")
     hot = cut.filter(F.col("kinds") > rule.block_segments)
     blocks = [cut.filter(F.col("kinds") <= rule.block_segments).select("k", "start", "key", "seg")]
-    spans = [whole]
+    spans = [table.filter(F.col("ah").isNull()).select("k", "start", (F.col("start") + F.col("len")).alias("end")), whole]
     if not hot.isEmpty():
         more, small = _halved(hot, rule)
         spans += more

@@ -200,3 +200,29 @@ def test_sets_agree_with_words():
     data = np.frombuffer("".join(texts).encode(), dtype=np.uint8)
     cuts = np.concatenate(([0], np.cumsum([len(t.encode()) for t in texts])))
     assert [len(s) for s in tv.shingle_sets(data, cuts)] == [len(shingles(t)) for t in texts]
+
+
+def test_segments_met_before_are_told_at_once(monkeypatch):
+    """Of equal segments the first goes on, all are spans; a table that fills up only sends more on."""
+    rng = np.random.default_rng(8)
+    kinds = rng.integers(1, 1 << 60, 40).astype(np.uint64)
+    for places in (16, 64, 1 << 12):
+        monkeypatch.setattr(suffix_dedup, "SEEN_PLACES", places)
+        seen, sent, told, met = suffix_dedup.SeenSegments(), [], set(), []
+        for chunk in range(12):
+            which = rng.integers(0, 40, rng.integers(0, 9))
+            k, start, length = np.full(len(which), chunk), np.arange(len(which)) * 300, np.full(len(which), 210)
+            on, again, late_k, late_start, late_end = seen.meet(k, start, length, kinds[which] + np.uint64(1), kinds[which])
+            met += list(zip(which.tolist(), k.tolist(), start.tolist(), strict=True))
+            sent += [(w, a, b) for w, a, b, o in zip(which.tolist(), k.tolist(), start.tolist(), on, strict=True) if o]
+            told |= {(a, b) for a, b, t in zip(k.tolist(), start.tolist(), again, strict=True) if t}
+            told |= set(zip(late_k.tolist(), late_start.tolist(), strict=True))
+            assert ((late_end - late_start) == 210).all()
+        for kind in range(40):
+            own = {(a, b) for w, a, b in met if w == kind}
+            first = {(a, b) for w, a, b in sent if w == kind}
+            assert len(first) >= bool(own) and own - first <= told  # what does not go on is told
+            assert len(first) > 1 or len(own) < 2 or own <= told  # alone downstream: told here if repeated
+            assert len(own) > 1 or not own & told  # what occurs once is never told
+            if places == 1 << 12:
+                assert len(first) <= 1
