@@ -12,6 +12,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType
 
 
 def first_non_null(value: str | Column, order: str | Column) -> Column:
@@ -39,13 +40,10 @@ def prefix_sum(df: DataFrame, order_cols: Sequence[str], value_col: str | None,
     """Sum of ``value_col`` over the rows before each row in ``order_cols`` order
     (``value_col`` None counts rows: a dense 0-based row number), without one task.
 
-    1. split the key space into ranges of the first order column: boundaries
-       are taken from a bounded sample (about 100 values per range), and a row's
-       bucket is the number of boundaries <= its first order value, a pure
+    1. deal the rows to ranges of the order (``range_bucket``); a row's bucket is a pure
        function of the row, so every branch of the plan agrees on it (physical
-       partition ids do not: adaptive execution may coalesce partitions
-       differently per branch); rows tying on the first column share a bucket,
-       so bucket order agrees with the full order;
+       partition ids do not: adaptive execution may coalesce partitions differently
+       per branch);
     2. number rows inside each bucket (a window whose group is one range);
     3. count rows per bucket, turn the counts into start offsets and broadcast
        that table (its size is the bucket count);
@@ -54,24 +52,7 @@ def prefix_sum(df: DataFrame, order_cols: Sequence[str], value_col: str | None,
     spark = df.sparkSession
     n_b = buckets or max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     leaves = _leaves(df, order_cols)
-    first = leaves[0]
-    ftype = df.select(first.alias("k")).schema["k"].dataType
-    bounds, hot = _range_bounds(df, first, ftype, n_b, seed) if n_b > 1 else ([], False)
-    if hot and len(leaves) > 1:
-        # one first-column value spans several ranges: cut on (first, second) pairs
-        # so that value is spread over several buckets too
-        pairs = _pair_bounds(df, leaves[0], leaves[1], n_b, seed)
-        stype = df.select(F.struct(leaves[0].alias("a"), leaves[1].alias("b")).alias("k")).schema["k"].dataType
-        arr = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a, b in pairs]).cast(
-            f"array<{stype.simpleString()}>")
-        key2 = F.struct(leaves[0].alias("a"), leaves[1].alias("b"))
-        bucket = F.size(F.filter(arr, lambda x: x <= key2)) if pairs else F.lit(0)
-    elif bounds:
-        arr = F.array(*[F.lit(b) for b in bounds]).cast(f"array<{ftype.simpleString()}>")
-        bucket = F.size(F.filter(arr, lambda b: b <= first))
-    else:
-        bucket = F.lit(0)
-    keyed = df.withColumn("_pid", bucket)
+    keyed = df.withColumn("_pid", range_bucket(df, order_cols, n_b, seed))
     val = F.lit(1) if value_col is None else F.col(value_col)
     inner = Window.partitionBy("_pid").orderBy(*leaves).rowsBetween(Window.unboundedPreceding, -1)
     numbered = keyed.withColumn("_v", val).withColumn("_rn", F.coalesce(F.sum("_v").over(inner), F.lit(0)))
@@ -85,42 +66,57 @@ def prefix_sum(df: DataFrame, order_cols: Sequence[str], value_col: str | None,
             .drop("_pid", "_rn", "_off", "_v"))
 
 
-def _range_bounds(df: DataFrame, first: Column, ftype, n_b: int, seed: int) -> tuple[list, bool]:
-    """Sorted distinct boundaries splitting the first order column into about
-    n_b ranges, and whether one value spans several ranges (a hot value):
-    one ``percentile_approx`` pass for numeric/date/timestamp columns, a
-    bounded sample (about 100 values per range) otherwise."""
+#: Sampled rows for each bucket when boundaries are taken from a sample.
+SAMPLE_PER_BUCKET = 100
+
+
+def range_bucket(df: DataFrame, order_cols: Sequence[str], buckets: int, seed: int = 42) -> Column:
+    """Number of each row's range in the order of ``order_cols`` (NULLs first), 0 to ``buckets`` - 1.
+
+    Boundaries are values of the first order column where these are spread evenly (one
+    ``percentile_approx`` pass).  If a value or NULL spans more than half a range, and for
+    other types, they are whole order tuples, weighted as a sample of rows has them: so
+    a hot value or NULL is cut by the columns after it.  Only rows that tie on the whole
+    tuple must share a range.  A row finds its range by binary search.
+    """
     from pyspark.sql.types import DateType, NumericType, TimestampNTZType, TimestampType
+    if buckets <= 1:
+        return F.lit(0)
+    leaves = _leaves(df, order_cols)
+    first = leaves[0]
+    ftype = df.select(first.alias("k")).schema["k"].dataType
+    total = None
     if isinstance(ftype, (NumericType, DateType, TimestampType, TimestampNTZType)):
-        ps = [i / n_b for i in range(1, n_b)]
-        row = df.select(F.percentile_approx(first, F.array(*[F.lit(p) for p in ps]), F.lit(10_000))).first()
-        vals = [v for v in (row[0] if row and row[0] is not None else []) if v is not None]
-        return sorted(set(vals)), len(set(vals)) < len(vals)
-    total = df.count()
-    if total == 0:
-        return [], False
-    frac = min(1.0, 100.0 * n_b / total)
-    sample = sorted(r[0] for r in df.select(first.alias("k")).sample(False, frac, seed).collect()
-                    if r[0] is not None)
-    if not sample:
-        return [], False
-    step = len(sample) / n_b
-    picks = [sample[int(step * i)] for i in range(1, n_b) if int(step * i) < len(sample)]
-    return sorted(set(picks)), len(set(picks)) < len(picks)
-
-
-def _pair_bounds(df: DataFrame, a: Column, b: Column, n_b: int, seed: int) -> list:
-    """Sorted distinct (a, b) boundaries from a bounded sample (about 100 rows per range)."""
-    total = df.count()
+        # twice as many places as bounds: a value that is met twice in a row spans half a range
+        ps = [i / (2 * buckets) for i in range(1, 2 * buckets)]
+        row = df.select(F.count(F.lit(1)).alias("n"), F.count_if(first.isNull()).alias("nulls"),
+                        F.percentile_approx(first, F.array(*[F.lit(p) for p in ps]), F.lit(10_000)).alias("q")).first()
+        total, found = row.n, row.q or []
+        if len(set(found)) == len(found) and row.nulls * 2 * buckets <= total or len(leaves) == 1:
+            return bucket_of(first, sorted({v for v in found[1::2] if v is not None}), ftype)
+    total = df.count() if total is None else total
     if total == 0:
-        return []
-    frac = min(1.0, 100.0 * n_b / total)
-    sample = sorted((r[0], r[1]) for r in df.select(a.alias("a"), b.alias("b")).sample(False, frac, seed).collect()
-                    if r[0] is not None and r[1] is not None)
-    if not sample:
-        return []
-    step = len(sample) / n_b
-    return sorted({sample[int(step * i)] for i in range(1, n_b) if int(step * i) < len(sample)})
+        return F.lit(0)
+    share = min(1.0, SAMPLE_PER_BUCKET * buckets / total)
+    key = F.struct(*[c.alias(f"k{i}") for i, c in enumerate(leaves)])
+    ktype = df.select(key.alias("k")).schema["k"].dataType
+    sample = df.select(key.alias("k")).sample(False, share, seed).orderBy("k").collect()
+    step = len(sample) / buckets
+    picks = [sample[int(step * i)].k for i in range(1, buckets) if int(step * i) < len(sample)]
+    return bucket_of(key, list(dict.fromkeys(picks)), ktype)
+
+
+def bucket_of(key: Column, bounds: Sequence, dtype) -> Column:
+    """Number of the ascending ``bounds`` that are not above ``key``, by binary search; NULL keys: 0."""
+    if not bounds:
+        return F.lit(0)
+
+    def lit(v):
+        return F.struct(*[F.lit(x).alias(f"k{i}") for i, x in enumerate(v)]) if isinstance(v, tuple) else F.lit(v)
+
+    array = F.array(*[lit(v) for v in bounds]).cast(ArrayType(dtype))
+    steps = F.array(*[F.lit(1 << k) for k in reversed(range(len(bounds).bit_length()))])
+    return F.aggregate(steps, F.lit(0), lambda at, step: F.when(F.get(array, at + step - 1) <= key, at + step).otherwise(at))
 
 
 def _leaves(df: DataFrame, cols: Sequence[str]) -> list[Column]:

@@ -6,11 +6,13 @@ import tempfile
 
 import numpy as np
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from storefront.operators import reports
 from storefront.operators.rows import dense_row_index, prefix_sum
-from storefront.operators.stats import group_median, quantile_scalar
+from storefront.operators.stats import group_median, quantile_columns, quantile_scalar
+from storefront.session import ensure_checkpoint_dir
 
 
 @pytest.mark.parametrize("q", [0.0, 0.5, 0.85, 0.9, 1.0])
@@ -92,6 +94,37 @@ def test_dense_row_index_hot_first_column(spark):
                                      F.col("id"))
     got = dense_row_index(df, ["k", "id"], buckets=8).toPandas().sort_values(["k", "id"]).reset_index(drop=True)
     assert list(got.row_index) == list(range(3000))
-    from storefront.operators.rows import _range_bounds
-    _, hot = _range_bounds(df, F.col("k"), df.schema["k"].dataType, 8, 42)
-    assert hot
+
+
+@pytest.mark.parametrize("kind", ["nulls", "hot", "struct", "text", "ties"])
+def test_no_range_is_above_twice_the_mean(spark, kind):
+    """A first key with 90 % NULL, one value at half of all rows, struct and text keys: ranges stay even and in order."""
+    from storefront.operators.rows import range_bucket
+    ensure_checkpoint_dir(spark)
+    n = 20_000
+    base = spark.range(n).repartition(7).withColumn("u", F.xxhash64("id"))
+    k = {"nulls": F.when(F.col("id") % 10 == 0, F.col("id")), "hot": F.when(F.col("id") % 2 == 0, F.lit(77)).otherwise(F.col("id")),
+         "struct": F.struct(F.when(F.col("id") % 10 == 0, F.lit(1)).alias("a"), F.when(F.col("id") % 3 > 0, F.col("id")).alias("b")),
+         "text": F.concat(F.lit("k"), F.pmod(F.col("u"), F.lit(5)).cast("string")), "ties": F.lit(3)}[kind]
+    df = base.select(k.alias("k"), "u", "id")
+    placed = df.withColumn("b", range_bucket(df, ["k", "u"], 16)).checkpoint()
+    sizes = [r["count"] for r in placed.groupBy("b").count().collect()]
+    assert max(sizes) <= 2 * n / 16
+    got = dense_row_index(df, ["k", "u"], buckets=16)
+    rank = got.select("row_index", F.row_number().over(Window.orderBy("k", "u")).alias("want"))
+    assert rank.where("row_index != want - 1").count() == 0
+
+
+def test_many_ranks_of_many_columns(spark):
+    rng = np.random.default_rng(9)
+    a, b = rng.normal(size=4000).round(2), np.concatenate([rng.integers(0, 9, 3500).astype(float), np.full(500, np.nan)])
+    df = spark.createDataFrame([(float(x), float(y), None) for x, y in zip(a, b, strict=True)], "a double, b double, c double")
+    qs = [0.0, 0.01, 0.25, 0.5, 0.5001, 0.999, 1.0]
+    for accuracy in (50, 1000, 100_000):
+        got = quantile_columns(df, {"a": qs, "b": qs[::2], "c": [0.5]}, accuracy)
+        row = spark.range(1).select(*[v.alias(f"{c}_{i}") for i, ((c, _), v) in enumerate(got.items())]).first()
+        for value, (c, q) in zip(row, got, strict=True):
+            want = None if c == "c" else float(np.quantile(a if c == "a" else b[:3500], q))
+            assert value == (want if want is None else pytest.approx(want, abs=1e-12))
+    few = spark.createDataFrame([(3.0,), (1.0,), (None,)], "a double")
+    assert [r[0] for r in spark.range(1).select(*quantile_columns(few, {"a": [0.75]}).values()).collect()] == [2.5]
