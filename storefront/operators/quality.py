@@ -1,14 +1,18 @@
 """Data-quality checks (V1-V9) as DataFrames.
 
 Per table, the row count, the null counts of the required columns and the
-range checks fold into one aggregate pass; orphan keys are left-anti joins.
+range checks fold into one aggregate pass (``table_checks``), or into a pass that is
+made anyway (``observe_checks``); orphan keys are left-anti joins.
 ``dq_report`` returns one row per check (table, check, severity, ok, detail);
 the verdict is ``bool_and(ok)`` over the error-level rows.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import uuid
+from collections.abc import Mapping
+
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from storefront.functions.numeric import exact_avg, exact_sum
@@ -22,6 +26,8 @@ REQUIRED = {
 NULL_WARN_SHARE = 0.1
 RATING_RANGE = (1, 5)
 ORPHAN_LIST = 10
+#: Columns whose range is reported: table, column.
+RANGED = (("products", "base_price"), ("customers", "lifetime_value"))
 
 
 def missing_columns(df: DataFrame, table: str) -> list[str]:
@@ -96,52 +102,99 @@ def orphan_summary(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
         "orphans", F.when(F.col("orphans") <= ORPHAN_LIST, ids).alias("orphan_ids"))
 
 
-def _check(df: DataFrame, table: str, check: str, severity: str, ok, detail) -> DataFrame:
-    return df.select(F.lit(table).alias("table_name"), F.lit(check).alias("check"), F.lit(severity).alias("severity"),
-                     ok.alias("ok"), detail.cast("string").alias("detail"))
+def _metrics(df: DataFrame, table: str) -> dict[str, Column]:
+    """V3-V6: every number that the checks of one table need, as aggregates of one pass."""
+    has = set(df.columns)
+    out = {"n": F.count(F.lit(1))}
+    out |= {f"nulls_{c}": F.count_if(_missing(df, c)) for c in REQUIRED[table] if c in has}
+    if table == "orders":
+        if "order_date" in has:
+            out |= {"first_day": F.min("order_date"), "last_day": F.max("order_date")}
+        if "quantity" in has:
+            out["quantity_below_1"] = F.count_if(F.col("quantity") < 1)
+        if "order_value" in has:
+            out |= {"negative_value": F.count_if(F.col("order_value") < 0),
+                    "total_revenue": F.coalesce(exact_sum("order_value"), F.lit(0.0))}
+    for name, col in RANGED:
+        if table == name and col in has:
+            out |= {"least": F.min(col), "most": F.max(col), "mean": exact_avg(col)}
+    if table == "products" and "rating" in has:
+        lo, hi = RATING_RANGE
+        out["rating_out_of_range"] = F.count_if((F.col("rating") < lo) | (F.col("rating") > hi))
+    return out
+
 
+def _checks(table: str, names: set[str], n_columns: int) -> list[Column]:
+    """The check rows of one table, as structs over its row of metrics."""
+    yes = F.lit(True)
 
-def _range_checks(name: str, df: DataFrame) -> list[DataFrame]:
-    """V3, V5, V6: size, ranges and totals of the columns that are present."""
-    has, yes = set(df.columns), F.lit(True)
+    def row(check: str, severity: str, ok: Column, detail: Column) -> Column:
+        return F.struct(F.lit(table).alias("table_name"), F.lit(check).alias("check"), F.lit(severity).alias("severity"),
+                        ok.alias("ok"), detail.cast("string").alias("detail"))
 
-    def money(c):
-        return F.coalesce(F.format_number(F.col(c), 2), F.lit("none"))
+    def money(c: str) -> Column:
+        return F.coalesce(F.format_number(F.col(c).cast("double"), 2), F.lit("none"))
 
-    def day(c):
+    def day(c: str) -> Column:
         return F.coalesce(F.date_format(F.col(c), "yyyy-MM-dd"), F.lit("none"))
 
-    out = [_check(df.agg(F.count(F.lit(1)).alias("n")), name, "size", "info", yes,
-                  F.concat(F.col("n").cast("string"), F.lit(f" rows, {len(df.columns)} columns")))]
-    if name == "orders":
-        if "order_date" in has:
-            d = df.agg(F.min("order_date").alias("a"), F.max("order_date").alias("b"))
-            out.append(_check(d, name, "date_range", "info", yes, F.concat(day("a"), F.lit(" to "), day("b"))))
-        for col, check, bad in (("quantity", "quantity_below_1", F.col("quantity") < 1 if "quantity" in has else None),
-                                ("order_value", "negative_value", F.col("order_value") < 0 if "order_value" in has else None)):
-            if col in has:
-                out.append(_check(df.agg(F.count_if(bad).alias("n")), name, check, "warning", F.col("n") == 0, F.col("n")))
-        if "order_value" in has:
-            t = df.agg(F.coalesce(exact_sum("order_value"), F.lit(0.0)).alias("t"))
-            out.append(_check(t, name, "total_revenue", "info", yes, money("t")))
-    for table, col, check in (("products", "base_price", "price_range"), ("customers", "lifetime_value", "lifetime_value")):
-        if name == table and col in has:
-            m = df.agg(F.min(col).alias("a"), F.max(col).alias("b"), exact_avg(col).alias("m"))
-            out.append(_check(m, name, check, "info", yes, F.concat(money("a"), F.lit(" to "), money("b"), F.lit(", mean "), money("m"))))
-    if name == "products" and "rating" in has:
-        lo, hi = RATING_RANGE
-        n = df.agg(F.count_if((F.col("rating") < lo) | (F.col("rating") > hi)).alias("n"))
-        out.append(_check(n, name, "rating_out_of_range", "warning", F.col("n") == 0, F.col("n")))
+    out = []
+    for c in (c for c in REQUIRED[table] if f"nulls_{c}" in names):
+        share = F.coalesce(F.try_divide(F.col(f"nulls_{c}").cast("double"), F.col("n")), F.lit(0.0))
+        out.append(row(f"nulls:{c}", "warning", share <= NULL_WARN_SHARE,
+                       F.concat(F.col(f"nulls_{c}").cast("string"), F.lit(" nulls ("), F.format_number(share * F.lit(100.0), 1), F.lit("%)"))))
+    out.append(row("size", "info", yes, F.concat(F.col("n").cast("string"), F.lit(f" rows, {n_columns} columns"))))
+    if "first_day" in names:
+        out.append(row("date_range", "info", yes, F.concat(day("first_day"), F.lit(" to "), day("last_day"))))
+    for c in ("quantity_below_1", "negative_value", "rating_out_of_range"):
+        if c in names:
+            out.append(row(c, "warning", F.col(c) == 0, F.col(c)))
+    if "total_revenue" in names:
+        out.append(row("total_revenue", "info", yes, money("total_revenue")))
+    if "least" in names:
+        check = "price_range" if table == "products" else "lifetime_value"
+        out.append(row(check, "info", yes, F.concat(money("least"), F.lit(" to "), money("most"), F.lit(", mean "), money("mean"))))
     return out
 
 
-def dq_report(orders: DataFrame | None, products: DataFrame | None, customers: DataFrame | None) -> DataFrame:
+def _rows_of(metrics: DataFrame, table: str, names: set[str], n_columns: int) -> DataFrame:
+    return metrics.select(F.inline(F.array(*_checks(table, names, n_columns))))
+
+
+def table_checks(df: DataFrame, table: str) -> DataFrame:
+    """V3-V6: the checks of one table, from one aggregate over it."""
+    m = _metrics(df, table)
+    return _rows_of(df.agg(*[c.alias(n) for n, c in m.items()]), table, set(m), len(df.columns))
+
+
+def observe_checks(df: DataFrame, table: str) -> tuple[DataFrame, Observation]:
+    """V3-V6 within another pass: the same rows, and an observation that holds the metrics once they have been written.
+
+    Write the returned frame (an ingest job, say), then call ``observed_checks``.
+    """
+    seen = Observation(f"checks-{table}-{uuid.uuid4().hex}")
+    return df.observe(seen, *[c.alias(n) for n, c in _metrics(df, table).items()]), seen
+
+
+def observed_checks(df: DataFrame, table: str, seen: Observation) -> DataFrame:
+    """The rows of ``table_checks`` from what was observed; waits for the pass to end.  ``df`` is the table as it was given."""
+    spark = df.sparkSession
+    m = _metrics(df, table)
+    empty = df.limit(0).agg(*[c.alias(n) for n, c in m.items()])  # for its types
+    got = seen.get
+    return _rows_of(spark.createDataFrame([tuple(got[n] for n in m)], empty.schema), table, set(m), len(df.columns))
+
+
+def dq_report(orders: DataFrame | None, products: DataFrame | None, customers: DataFrame | None,
+              observed: Mapping[str, Observation] | None = None) -> DataFrame:
     """V1-V9: one row per check; severity 'error' rows decide the verdict.
 
-    A missing table or column gives an error row; the checks of the columns that
-    are present run all the same.
+    Each table is aggregated once, or not at all where ``observed`` has what its ingest
+    pass saw; the orphan checks are one anti join each.  A missing table or column gives
+    an error row; the checks of the columns that are present run all the same.
     """
     spark = next(d for d in (orders, products, customers) if d is not None).sparkSession
+    observed = observed or {}
     rows = []
     tables = {"orders": orders, "products": products, "customers": customers}
     parts: list[DataFrame] = []
@@ -151,17 +204,13 @@ def dq_report(orders: DataFrame | None, products: DataFrame | None, customers: D
             continue
         miss = missing_columns(df, name)
         rows.append((name, "required_columns", "error", not miss, ", ".join(miss)))
-        n = dq_nulls(df, name)
-        parts.append(n.select("table_name", F.concat(F.lit("nulls:"), F.col("column_name")).alias("check"),
-                              F.lit("warning").alias("severity"), (~F.col("high_nulls")).alias("ok"),
-                              F.concat(F.col("nulls").cast("string"), F.lit(" nulls (")
-                                       , F.format_number(F.col("null_pct"), 1), F.lit("%)")).alias("detail")))
-        parts += _range_checks(name, df)
+        parts.append(observed_checks(df, name, observed[name]) if name in observed else table_checks(df, name))
     for check, other, key in (("orphan_customers", customers, "customer_id"), ("orphan_products", products, "product_id")):
         if orders is not None and other is not None and key in orders.columns and key in other.columns:
             s = orphan_summary(orders, other, key)
-            parts.append(_check(s, "orders", check, "warning", F.col("orphans") == 0,
-                                F.coalesce(F.col("orphan_ids"), F.col("orphans").cast("string"))))
+            parts.append(s.select(F.lit("orders").alias("table_name"), F.lit(check).alias("check"), F.lit("warning").alias("severity"),
+                                  (F.col("orphans") == 0).alias("ok"),
+                                  F.coalesce(F.col("orphan_ids"), F.col("orphans").cast("string")).alias("detail")))
     out = spark.createDataFrame(rows, "table_name string, check string, severity string, ok boolean, detail string")
     for p in parts:
         out = out.unionByName(p)

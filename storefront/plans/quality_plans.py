@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from storefront.operators import quality
 from storefront.plans.catalog import XAVG, XSUM, register
 from storefront.plans.views import with_views
+from storefront.session import ensure_checkpoint_dir
 from storefront.sources import testdata as td
 
 
@@ -122,6 +125,19 @@ register("dq_verdict", with_views(
     f"SELECT COALESCE(bool_and(CASE WHEN severity = 'error' THEN ok END), TRUE) AS valid FROM ({_report_sql()}) r"))(
     lambda spark, d: quality.dq_verdict(quality.dq_report(_o(spark, d), _p(spark, d), _c(spark, d))))
 
+# V1: no customers table, and the checks of products taken from the pass that writes it
+_ABSENT = (f"SELECT * FROM ({_report_sql()}) r WHERE table_name <> 'customers' AND \"check\" <> 'orphan_customers' "
+           "UNION ALL SELECT 'customers', 'present', 'error', FALSE, 'input missing'")
+
+
+@register("dq_report_absent", with_views(_ABSENT))
+def _dq_report_absent(spark, d):
+    products = _p(spark, d)
+    passing, seen = quality.observe_checks(products, "products")
+    passing.write.mode("overwrite").parquet(f"{ensure_checkpoint_dir(spark)}/ingest/{uuid.uuid4().hex}")
+    return quality.dq_report(_o(spark, d), products, None, {"products": seen})
+
+
 # orders with a missing column, orphan and NULL keys, and missing values
 _DIRTY = ("dirty AS (SELECT order_id, CASE WHEN customer_id % 50 = 0 THEN NULL WHEN customer_id % 50 = 1 "
           "THEN customer_id + 100000000 ELSE customer_id END AS customer_id, CASE WHEN product_id = 7 THEN -7 "
