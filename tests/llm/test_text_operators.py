@@ -174,16 +174,53 @@ def test_licence_inheritance(spark):
 
 # --- 7 -----------------------------------------------------------------------------------------
 
-def test_minimax_cuts_are_smallest():
-    rng = np.random.default_rng(2)
-    for _ in range(30):
-        sizes = rng.integers(1, 50, int(rng.integers(1, 12)))
-        shards = int(rng.integers(1, 5))
-        capacity, cuts = sharding.minimax_cuts(sizes, shards)
-        ends = [0, *cuts]
-        loads = [int(sizes[a:b].sum()) for a, b in zip(ends[:-1], ends[1:], strict=True)]
-        assert cuts[-1] == len(sizes) and max(loads) == capacity or max(loads) <= capacity
-        assert sharding.greedy_cuts(sizes, capacity - 1, shards) is None or capacity == sizes.max()
+def plain_minimax(sizes, shards):
+    """The least possible largest shard, over all contiguous partitions."""
+    least = [0] + [float("inf")] * len(sizes)
+    for _ in range(shards):
+        least = [min(max(least[a], sum(sizes[a:b])) for a in range(b + 1)) for b in range(len(sizes) + 1)]
+    return least[-1]
+
+
+def in_memory(groups):
+    """Measures like the operator's, of (md5, size) pairs."""
+    def measure(digits, within):
+        found = {}
+        for name, size in groups:
+            if within is None or name[:digits - sharding.MORE_DIGITS] in within:
+                found.setdefault(name[:digits], []).append(size)
+        return [(k, sum(v), len(v) == 1) for k, v in found.items()]
+    return measure
+
+
+@pytest.mark.parametrize("digits", [1, 4])
+def test_minimax_over_groups_against_all_partitions(digits, monkeypatch):
+    monkeypatch.setattr(sharding, "FIRST_DIGITS", digits)
+    monkeypatch.setattr(sharding, "MORE_DIGITS", 1)
+    rng = np.random.default_rng(7)
+    for trial in range(40):
+        n, shards = int(rng.integers(1, 26)), int(rng.integers(1, 8))
+        sizes = rng.integers(1, 50, n).tolist()
+        if trial % 3 == 0:
+            sizes[int(rng.integers(0, n))] = 400  # one hot group
+        groups = sorted((hashlib.md5(f"{trial}-{i}".encode()).hexdigest(), s) for i, s in enumerate(sizes))
+        capacity, firsts = sharding.minimax_cuts(in_memory(groups), shards)
+        assert capacity == plain_minimax([s for _, s in groups], shards)
+        loads = [0] * shards
+        for name, size in groups:
+            loads[sum(f is not None and name >= f for f in firsts)] += size
+        assert max(loads) == capacity or max(loads) <= capacity and len(firsts) == shards - 1
+
+
+def test_a_hot_group_leaves_no_shard_empty():
+    groups = sorted((hashlib.md5(f"h{i}".encode()).hexdigest(), 1000 if i == 0 else 1) for i in range(2001))
+    capacity, firsts = sharding.minimax_cuts(in_memory(groups), 24)
+    loads = [0] * 24
+    for name, size in groups:
+        loads[sum(f is not None and name >= f for f in firsts)] += size
+    assert capacity == 1000 == max(loads)
+    rest = sorted(loads)[:-1]
+    assert min(rest) >= 40 and max(rest) <= 200
 
 
 def test_shards(make_docs, spark, sf):
@@ -200,7 +237,12 @@ def test_shards(make_docs, spark, sf):
     assert sharding.shard(make_docs(ODD).filter("doc_id > 99")).count() == 0
     whole = queries.op7_sharding(spark, sf).collect()
     loads = np.bincount([r.shard for r in whole], [r.size for r in whole], 24)
-    assert loads.max() <= loads.sum() / 24 + max(r.size for r in whole) * 2
+    sizes = {}
+    for (t,) in spark.read.parquet(f"{sf}/documents.parquet").select("text").collect():
+        raw = (t or "").encode()
+        sizes[hashlib.md5(raw).hexdigest()] = sizes.get(hashlib.md5(raw).hexdigest(), 0) + len(raw) + 8
+    capacity, _ = sharding.minimax_cuts(in_memory(sorted(sizes.items())), 24)
+    assert loads.max() <= capacity and loads.min() >= 0.3 * loads.sum() / 24
 
 
 # --- 5 and 8 -----------------------------------------------------------------------------------
