@@ -1,17 +1,30 @@
 """Operator 1: licence scans.
 
-Lines of a text that speak of a licence are compared with templates by sparse
-TF-IDF cosine: terms are exploded, weighted with document frequencies counted over
-all such lines of the corpus, and joined with the templates' terms.  A file's own
-licence is its best line's.  A file that is little else than its licence line, or
-is named like a licence file, is the licence file of its directory.  Files without
-a licence of their own take that of the nearest directory above them that has a
-licence file: directories are resolved once by a join with the exploded paths of
-their ancestors, and files join their directory.
+The units of a file are its lines, its blocks of lines (between blank lines, so a header
+or a paragraph that wraps over lines) and the file as a whole.  Units are compared with
+templates by sparse TF-IDF cosine: terms are exploded, weighted with document
+frequencies of the templates (a term of none has the largest weight; a repeated term
+counts 1 + log of its count) and joined with the templates' terms.
+
+Two bounds keep other units out, and lose none: by Cauchy-Schwarz the cosine is at most
+the root of the share of a template's squared weights that lie on terms the unit
+holds.  So a unit must hold one of the *telling* terms of a template, its rare ones
+without which the share is too small (a pattern search), and then terms of enough weight
+(a join of the unit's template terms alone).
+
+A file's own licence is its best unit's.  A file that is little else than this unit, or
+is named like a licence file, is the licence file of its directory.  Files without a
+licence of their own take that of the nearest directory above them that has a licence
+file: directories are resolved once by a join with the exploded paths of their
+ancestors, and files join their directory.
 """
 
 from __future__ import annotations
 
+import math
+import re
+from collections import Counter
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -19,7 +32,8 @@ from pyspark.sql import functions as F
 
 from .corpus_io import written
 
-#: Short notices and first sentences of common licences.
+# Notices, header texts and short licences in full.  Long licences are known by
+# these; ``scan`` takes other templates, whole texts too.
 TEMPLATES = (
     ("MIT", "Released under the MIT License."),
     ("MIT", "Licensed under the MIT license."),
@@ -39,12 +53,78 @@ TEMPLATES = (
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
     ("CC0-1.0", "Released into the public domain under CC0 1.0 Universal."),
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
+    ("MIT", """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated
+documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to
+whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission
+notice shall be included in all copies or substantial portions of the Software. THE SOFTWARE IS PROVIDED "AS IS", WITHOUT
+WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A
+PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES
+OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE
+SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."""),
+    ("ISC", """Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby
+granted, provided that the above copyright notice and this permission notice appear in all copies. THE SOFTWARE IS PROVIDED
+"AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF
+MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL
+DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE
+OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE."""),
+    ("BSD-2-Clause", """Redistribution and use in source and binary forms, with or without modification, are permitted provided
+that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list
+of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this
+list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution."""),
+    ("BSD-3-Clause", """Redistribution and use in source and binary forms, with or without modification, are permitted provided
+that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list
+of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this
+list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.
+3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products
+derived from this software without specific prior written permission."""),
+    ("Zlib", """This software is provided as-is, without any express or implied warranty. In no event will the authors be held
+liable for any damages arising from the use of this software. Permission is granted to anyone to use this software for any
+purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following
+restrictions"""),
+    ("Apache-2.0", """Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in
+compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless
+required by applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS"
+BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language
+governing permissions and limitations under the License."""),
+    ("GPL-3.0", """This program is free software: you can redistribute it and/or modify it under the terms of the GNU General
+Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later
+version. This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied
+warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details."""),
+    ("GPL-2.0", """This program is free software; you can redistribute it and/or modify it under the terms of the GNU General
+Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later
+version. This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied
+warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details."""),
+    ("GPL-3.0", """This program is free software: you can redistribute it and/or modify it under the terms of the GNU General
+Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later
+version."""),
+    ("GPL-2.0", """This program is free software; you can redistribute it and/or modify it under the terms of the GNU General
+Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later
+version."""),
+    ("LGPL-3.0", """This library is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser
+General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option)
+any later version."""),
+    ("AGPL-3.0", """This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero
+General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option)
+any later version."""),
+    ("MPL-2.0", """This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was
+not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/."""),
+    ("GPL-3.0", "GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007"),
+    ("GPL-2.0", "GNU GENERAL PUBLIC LICENSE Version 2, June 1991"),
+    ("LGPL-3.0", "GNU LESSER GENERAL PUBLIC LICENSE Version 3, 29 June 2007"),
+    ("AGPL-3.0", "GNU AFFERO GENERAL PUBLIC LICENSE Version 3, 19 November 2007"),
+    ("MPL-2.0", "Mozilla Public License Version 2.0"),
 )
 
-#: What a line must hold to be looked at.
-MARK = "(?i)licen[cs]e|copyright|public domain|spdx"
 LICENCE_NAME = "(?i)(^|/)(licen[cs]e|copying|notice)[^/]*$"
 TERM_CUT = "[^a-z0-9]+"
+#: Between the blocks of a text.
+BLANK_LINES = r"\n[ \t\r\n]*\n"
+
+
+#: Words that most English texts hold: they tell of a template only where the others aren't enough.
+COMMON = frozenset("a all an and any are as at be but by can do for from if in into is it its may more must no not of on one or "
+                   "other out see so that the this to use used was will with work you your".split())
 
 
 @dataclass(frozen=True)
@@ -55,55 +135,94 @@ class Rule:
     file_share: float = 0.5
 
 
+@dataclass(frozen=True)
+class Weights:
+    """Inverse document frequencies over the templates, each template's unit vector, and the telling terms."""
+
+    idf: dict[str, float]
+    unknown: float
+    vectors: list[dict[str, float]]
+    telling: list[str]
+
+
+def weights(texts: Sequence[str], cosine: float) -> Weights:
+    """Weights of the templates; a unit without telling terms has a cosine under ``cosine`` with all of them."""
+    counts = [Counter(t for t in re.split(TERM_CUT, text.lower()) if t) for text in texts]
+    df = Counter(t for c in counts for t in c)
+    idf = {t: math.log((1 + len(texts)) / (1 + n)) + 1 for t, n in df.items()}
+    vectors, telling = [], set()
+    for c in counts:
+        v = {t: (1 + math.log(n)) * idf[t] for t, n in c.items()}
+        norm = math.sqrt(sum(w * w for w in v.values()))
+        v = {t: w / norm for t, w in v.items()}
+        vectors.append(v)
+        rest = 1.0
+        for t in sorted(v, key=lambda t: (t in COMMON, -idf[t], t)):
+            if rest < cosine * cosine - 1e-6:
+                break
+            telling.add(t)
+            rest -= v[t] ** 2
+    return Weights(idf, math.log(1 + len(texts)) + 1, vectors, sorted(telling))
+
+
 def _terms(text: Column) -> Column:
     return F.filter(F.split(F.lower(text), TERM_CUT), lambda t: t != "")
 
 
-def _weights(rows: DataFrame, keys: list[str], idf: DataFrame) -> DataFrame:
-    """Unit-length TF-IDF weights: ``keys, term, w``."""
-    tf = rows.select(*keys, F.explode("terms").alias("term")).groupBy(*keys, "term").agg(F.count("*").alias("tf"))
-    weighted = tf.join(idf, "term").select(*keys, "term", (F.col("tf") * F.col("idf")).alias("w"))
-    norm = weighted.groupBy(*keys).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
-    return weighted.join(norm, keys).select(*keys, "term", (F.col("w") / F.col("norm")).alias("w"))
+def _words(text: Column) -> Column:
+    return F.size(F.filter(F.split(text, r"\s+"), lambda w: w != ""))
 
 
-def scan(docs: DataFrame, path: Column, rule: Rule = Rule(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def units(text: Column) -> Column:
+    """Lines, blocks of several lines, and a text of several lines as a whole."""
+    blocks = F.filter(F.split(text, BLANK_LINES), lambda b: b.contains("\n"))
+    return F.concat(F.split(text, "\n"), blocks, F.when(text.contains("\n"), F.array(text)).otherwise(F.array().cast("array<string>")))
+
+
+def scan(docs: DataFrame, path: Column, rule: Rule = Rule(), id_col: str = "doc_id", text_col: str = "text",
+         templates: Sequence[tuple[str, str]] = TEMPLATES) -> DataFrame:
     """One row for each file: ``doc_id, path, licence, origin, cosine, origin_dir``.
 
     ``origin`` is ``own``, ``inherited`` or ``none``.  Equal cosines go to the
     licence whose name is the lesser.  A null text has no licence of its own; a
     null path counts as a file in the root directory; repeated rows are scanned
     each; an empty table gives an empty result; other columns are not looked at.
+    ``templates`` are licences and texts, held by the driver.
     """
+    spark = docs.sparkSession
+    known = weights([t for _, t in templates], rule.cosine)
+    tells = rf"(?<![a-z0-9])(?:{'|'.join(known.telling)})(?![a-z0-9])"
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(path, F.lit("")).alias("path"), text.alias("_t"))
     rows = rows.withColumn("dir", F.when(F.col("path").contains("/"), F.regexp_replace("path", "/[^/]*$", "")).otherwise(F.lit("")))
-    marked = F.col("_t").rlike(MARK)
-    lines = F.filter(F.split("_t", "\n"), lambda x: x.rlike(MARK))
     # a file is named by its path and text; rows that agree in both have the same licence
-    files = rows.select("doc_id", "path", "dir", F.xxhash64("path", "_t").alias("key"), F.when(marked, lines).alias("lines"),
-                        F.when(marked, F.size(F.filter(F.split("_t", r"\s+"), lambda w: w != ""))).alias("words"))
-    files = written(files, "licence-files")
-    spoken = (files.filter("lines is not null").dropDuplicates(["key"])
-              .select("key", "path", "dir", "words", F.posexplode("lines").alias("line", "text"))
-              .withColumn("terms", _terms(F.col("text"))))
-    spoken = written(spoken, "licence-lines")
-    spark = docs.sparkSession
-    known = spark.createDataFrame([(i, n, t) for i, (n, t) in enumerate(TEMPLATES)], "template int, licence string, text string")
-    known = known.withColumn("terms", _terms(F.col("text")))
-    everything = spoken.select("terms").unionByName(known.select("terms"))
-    n = F.lit(spoken.count() + len(TEMPLATES))
-    idf = (everything.select(F.explode(F.array_distinct("terms")).alias("term")).groupBy("term").agg(F.count("*").alias("df"))
-           .select("term", (F.log((1 + n) / (1 + F.col("df"))) + 1).alias("idf")))
-    idf = written(idf, "licence-idf")
-    a = _weights(spoken, ["key", "line"], idf)
-    b = _weights(known, ["template"], idf).withColumnRenamed("w", "tw")  # as many rows as the templates have terms
-    cosines = a.join(F.broadcast(b), "term").groupBy("key", "line", "template").agg(F.round(F.sum(F.col("w") * F.col("tw")), 6).alias("cosine"))
-    names = F.broadcast(known.select("template", "licence"))
+    rows = rows.withColumn("key", F.xxhash64("path", "_t"))
+    files = rows.select("doc_id", "path", "dir", "key")
+    spoken = (rows.filter(F.lower("_t").rlike(tells)).dropDuplicates(["key"])
+              .select("key", "path", "dir", _words(F.col("_t")).alias("words"), F.posexplode(units(F.col("_t"))).alias("unit", "text"))
+              .filter(F.lower("text").rlike(tells)))
+    own_terms = F.lit(sorted(known.idf))
+    spoken = written(spoken.withColumn("hits", F.array_intersect(_terms(F.col("text")), own_terms)), "licence-units")
+    # one row for each template and term
+    vectors = F.broadcast(spark.createDataFrame(
+        [(i, t, w) for i, v in enumerate(known.vectors) for t, w in v.items()], "template int, term string, tw double"))
+    near = (spoken.select("key", "unit", F.explode("hits").alias("term")).join(vectors, "term").groupBy("key", "unit", "template")
+            .agg(F.sum(F.col("tw") * F.col("tw")).alias("share")).filter(F.col("share") >= rule.cosine ** 2 - 1e-6)
+            .select("key", "unit").distinct())
+    near = spoken.drop("hits").join(near, ["key", "unit"])
+    near = written(near.withColumn("unit_words", _words(F.col("text"))), "licence-near")
+    idf = F.broadcast(spark.createDataFrame(list(known.idf.items()), "term string, idf double"))
+    tf = near.select("key", "unit", F.explode(_terms(F.col("text"))).alias("term")).groupBy("key", "unit", "term").agg(F.count("*").alias("tf"))
+    weighted = tf.join(idf, "term", "left").withColumn("w", (1 + F.log("tf")) * F.coalesce("idf", F.lit(known.unknown)))
+    norms = weighted.groupBy("key", "unit").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
+    dots = weighted.join(vectors, "term").groupBy("key", "unit", "template").agg(F.sum(F.col("w") * F.col("tw")).alias("dot"))
+    names = F.broadcast(spark.createDataFrame([(i, n) for i, (n, _) in enumerate(templates)], "template int, licence string"))
+    cosines = dots.join(norms, ["key", "unit"]).withColumn("cosine", F.round(F.col("dot") / F.col("norm"), 6))
     best = (cosines.filter(F.col("cosine") >= rule.cosine).join(names, "template")
-            .groupBy("key").agg(F.min(F.struct((-F.col("cosine")).alias("c"), "licence", "line")).alias("best")))
-    own = spoken.join(best, "key").filter("line = best.line").select(
-        "key", "path", "dir", "words", F.col("best.licence").alias("own"), (-F.col("best.c")).alias("own_cosine"), F.size(F.filter(F.split("text", r"\s+"), lambda w: w != "")).alias("line_words"))
+            .groupBy("key").agg(F.min(F.struct((-F.col("cosine")).alias("c"), "licence", "unit")).alias("best")))
+    own = near.join(best, "key").filter("unit = best.unit").select(
+        "key", "path", "dir", "words", F.col("best.licence").alias("own"), (-F.col("best.c")).alias("own_cosine"),
+        F.col("unit_words").alias("line_words"))
     own = written(own, "licence-own")
     is_file = (F.col("line_words") >= rule.file_share * F.col("words")) | F.col("path").rlike(LICENCE_NAME)
     by_dir = own.filter(is_file).groupBy("dir").agg(F.min(F.struct((-F.col("own_cosine")).alias("c"), "own")).alias("f"))

@@ -5,37 +5,38 @@ from __future__ import annotations
 from .licenses import TEMPLATES
 
 _VALUES = ", ".join(f"({i}, '{name}', '{text}')" for i, (name, text) in enumerate(TEMPLATES))
+assert not any("'" in text for _, text in TEMPLATES)
 
 OP1 = rf"""
 WITH files AS (
   SELECT doc_id, concat_ws('/', source, lang, doc_id::VARCHAR) AS path, coalesce(text, '') AS t FROM documents),
 placed AS (SELECT *, regexp_replace(path, '/[^/]*$', '') AS dir FROM files),
 spoken AS (
-  SELECT doc_id, dir, line, l AS text, len(list_filter(regexp_split_to_array(t, '\s+'), lambda w: w <> '')) AS words
-  FROM (SELECT doc_id, dir, t, unnest(ls) AS l, unnest(range(len(ls))) AS line
-        FROM (SELECT doc_id, dir, t, list_filter(string_split(t, chr(10)),
-                     lambda x: regexp_matches(x, '(?i)licen[cs]e|copyright|public domain|spdx')) AS ls FROM placed))),
+  SELECT doc_id, dir, unit, u AS text, len(list_filter(regexp_split_to_array(t, '\s+'), lambda w: w <> '')) AS words
+  FROM (SELECT doc_id, dir, t, unnest(us) AS u, unnest(range(len(us))) AS unit
+        FROM (SELECT doc_id, dir, t, list_concat(list_concat(string_split(t, chr(10)),
+                     list_filter(regexp_split_to_array(t, '\n[ \t\r\n]*\n'), lambda b: contains(b, chr(10)))),
+                     CASE WHEN contains(t, chr(10)) THEN [t] ELSE [] END) AS us FROM placed))),
 known(template, licence, text) AS (VALUES {_VALUES}),
-sa AS (SELECT doc_id, line, unnest(list_filter(regexp_split_to_array(lower(text), '[^a-z0-9]+'), lambda x: x <> '')) AS term FROM spoken),
+sa AS (SELECT doc_id, unit, unnest(list_filter(regexp_split_to_array(lower(text), '[^a-z0-9]+'), lambda x: x <> '')) AS term FROM spoken),
 sb AS (SELECT template, unnest(list_filter(regexp_split_to_array(lower(text), '[^a-z0-9]+'), lambda x: x <> '')) AS term FROM known),
-n AS (SELECT (SELECT count(*) FROM spoken) + (SELECT count(*) FROM known) AS n),
-idf AS (
-  SELECT term, ln((1 + (SELECT n FROM n))::DOUBLE / (1 + count(*))) + 1 AS idf
-  FROM (SELECT DISTINCT 'd' AS k, doc_id, line, term FROM sa UNION ALL SELECT DISTINCT 't', template, 0, term FROM sb) GROUP BY term),
-wa AS (SELECT doc_id, line, term, count(*) * any_value(idf) AS w FROM sa JOIN idf USING (term) GROUP BY ALL),
-wb AS (SELECT template, term, count(*) * any_value(idf) AS w FROM sb JOIN idf USING (term) GROUP BY ALL),
-na AS (SELECT doc_id, line, sqrt(sum(w * w)) AS norm FROM wa GROUP BY ALL),
+n AS (SELECT count(*) AS n FROM known),
+idf AS (SELECT term, ln((1 + (SELECT n FROM n))::DOUBLE / (1 + count(DISTINCT template))) + 1 AS idf FROM sb GROUP BY term),
+wa AS (SELECT doc_id, unit, term, (1 + ln(count(*))) * any_value(coalesce(idf, ln((1 + (SELECT n FROM n))::DOUBLE) + 1)) AS w
+       FROM sa LEFT JOIN idf USING (term) GROUP BY ALL),
+wb AS (SELECT template, term, (1 + ln(count(*))) * any_value(idf) AS w FROM sb JOIN idf USING (term) GROUP BY ALL),
+na AS (SELECT doc_id, unit, sqrt(sum(w * w)) AS norm FROM wa GROUP BY ALL),
 nb AS (SELECT template, sqrt(sum(w * w)) AS norm FROM wb GROUP BY ALL),
 cosines AS (
-  SELECT wa.doc_id, wa.line, wb.template, round(sum(wa.w / na.norm * wb.w / nb.norm), 6) AS cosine
-  FROM wa JOIN wb USING (term) JOIN na USING (doc_id, line) JOIN nb USING (template) GROUP BY ALL),
+  SELECT wa.doc_id, wa.unit, wb.template, round(sum(wa.w / na.norm * wb.w / nb.norm), 6) AS cosine
+  FROM wa JOIN wb USING (term) JOIN na USING (doc_id, unit) JOIN nb USING (template) GROUP BY ALL),
 best AS (
-  SELECT doc_id, licence, line, cosine FROM cosines JOIN known USING (template) WHERE cosine >= 0.65
-  QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY cosine DESC, licence, line) = 1),
+  SELECT doc_id, licence, unit, cosine FROM cosines JOIN known USING (template) WHERE cosine >= 0.65
+  QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY cosine DESC, licence, unit) = 1),
 own AS (
   SELECT s.doc_id, s.dir, b.licence, b.cosine,
          len(list_filter(regexp_split_to_array(s.text, '\s+'), lambda w: w <> '')) >= 0.5 * s.words AS is_file
-  FROM spoken s JOIN best b USING (doc_id, line)),
+  FROM spoken s JOIN best b USING (doc_id, unit)),
 by_dir AS (
   SELECT dir AS above, licence, cosine FROM own WHERE is_file
   QUALIFY row_number() OVER (PARTITION BY dir ORDER BY cosine DESC, licence) = 1),

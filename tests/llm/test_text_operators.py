@@ -172,6 +172,45 @@ def test_licence_inheritance(spark):
     assert licenses.scan(df.filter("doc_id > 99"), F.col("p")).count() == 0
 
 
+GPL3 = """# This program is free software: you can redistribute it and/or modify
+# it under the terms of the GNU General Public License as published by
+# the Free Software Foundation, either version 3 of the License, or
+# (at your option) any later version."""
+
+
+def wrapped(text, width, mark=""):
+    out, line = [], ""
+    for w in text.split():
+        if len(line) + len(w) > width:
+            out.append(mark + line)
+            line = ""
+        line += w + " "
+    return "\n".join([*out, mark + line])
+
+
+def test_licence_texts_that_wrap_over_lines(spark, make_docs):
+    from pyspark.sql import functions as F
+    mit = next(t for n, t in licenses.TEMPLATES if n == "MIT" and "WARRANTY" in t)
+    code = "\n\nimport os\n" + "value = compute(value)\n" * 40
+    grant = licenses.TEMPLATES[2][1]
+    texts = {"LICENSE": (grant, "MIT"), "COPYING": ("MIT License\n\nCopyright (c) 2001 Someone\n\n" + wrapped(mit, 70), "MIT"),
+             "a.py": (GPL3 + code, "GPL-3.0"), "b.py": (GPL3.replace("version 3", "version 2").replace("software:", "software;") + code, "GPL-2.0"),
+             "c.py": (GPL3.replace("General", "Affero General") + code, "AGPL-3.0"), "d.py": ("int x;" + code, None),
+             "long.txt": ("filler words of no licence " * 60_000 + "\n\n" + wrapped(mit, 60, "// "), "MIT"),
+             "prose.txt": ("The terms of use of the work, without warranty, are in this file. " * 20, None)}
+    df = make_docs([(i, t) for i, (t, _) in enumerate(texts.values())])
+    names = F.element_at(F.lit([f"x{i}/{n}" for i, n in enumerate(texts)]), F.col("doc_id").cast("int") + 1)
+    got = {r.doc_id: r.licence for r in licenses.scan(df, names).collect()}
+    assert got == {i: want for i, (_, want) in enumerate(texts.values())}
+
+
+def test_bounds_lose_no_unit():
+    """A unit's cosine is under the threshold wherever it holds no telling term."""
+    known = licenses.weights([t for _, t in licenses.TEMPLATES], 0.65)
+    for v in known.vectors:
+        assert sum(w * w for t, w in v.items() if t not in known.telling) < 0.65 ** 2
+
+
 # --- 7 -----------------------------------------------------------------------------------------
 
 def plain_minimax(sizes, shards):
