@@ -7,7 +7,7 @@ from storefront.plans import catalog
 
 def _load() -> None:
     # importing a plan module registers its queries in catalog.QUERIES/ORACLE
-    from storefront.plans import (ingest_plans, model_plans, quality_plans,  # noqa: F401
+    from storefront.plans import (ingest_plans, io_plans, model_plans, quality_plans,  # noqa: F401
                                   recommend_plans)
 
 
