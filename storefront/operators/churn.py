@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from storefront.functions.dates import floor_days
@@ -35,10 +35,12 @@ def last_order(orders: DataFrame) -> DataFrame:
 def churn_labels(customers: DataFrame, orders: DataFrame, ref_date: str,
                  days: int = CHURN_AFTER_DAYS) -> DataFrame:
     """days_since_last_order (9999 without orders) and churned = days > 180."""
-    lo = last_order(orders)
+    return _labelled(customers.join(last_order(orders), "customer_id", "left"), ref_date, days)
+
+
+def _labelled(df: DataFrame, ref_date: str, days: int) -> DataFrame:
     rec = F.coalesce(floor_days(ref_date, "last_order_date"), F.lit(NO_ORDER_RECENCY)).cast("int")
-    return (customers.join(lo, "customer_id", "left")
-            .withColumn("days_since_last_order", rec)
+    return (df.withColumn("days_since_last_order", rec)
             .withColumn("churned", F.when(F.col("days_since_last_order") > days, 1).otherwise(0)))
 
 
@@ -52,27 +54,39 @@ def churn_rate(labeled: DataFrame) -> DataFrame:
 def order_stats(orders: DataFrame) -> DataFrame:
     """per-customer count, mean/sum value, mean rating, return rate, mean discount."""
     return (orders.where(F.col("customer_id").isNotNull())
-            .groupBy("customer_id")
-            .agg(F.count("order_id").alias("total_orders"),
-                 exact_avg("order_value").alias("avg_order_value"),
-                 exact_sum("order_value").alias("total_spent"),
-                 F.try_divide(F.sum("customer_rating").cast("double"), F.count("customer_rating"))
-                 .alias("avg_rating_given"),
-                 F.try_divide(F.sum("is_returned").cast("double"), F.count("is_returned")).alias("return_rate"),
-                 exact_avg("discount_pct").alias("avg_discount")))
+            .groupBy("customer_id").agg(*_stats()))
+
+
+def _stats() -> list[Column]:
+    return [F.count("order_id").alias("total_orders"),
+            exact_avg("order_value").alias("avg_order_value"),
+            exact_sum("order_value").alias("total_spent"),
+            F.try_divide(F.sum("customer_rating").cast("double"), F.count("customer_rating")).alias("avg_rating_given"),
+            F.try_divide(F.sum("is_returned").cast("double"), F.count("is_returned")).alias("return_rate"),
+            exact_avg("discount_pct").alias("avg_discount")]
 
 
 def customer_features(labeled: DataFrame, orders: DataFrame, ref_date: str,
                       stats: DataFrame | None = None) -> DataFrame:
     """customers + order stats (no orders -> 0), recency, customer_age_days."""
     stats = order_stats(orders) if stats is None else stats
-    joined = labeled.join(stats, "customer_id", "left").na.fill(
-        {"total_orders": 0, "avg_order_value": 0.0, "total_spent": 0.0,
-         "avg_rating_given": 0.0, "return_rate": 0.0, "avg_discount": 0.0})
-    return (joined.withColumn("recency", F.col("days_since_last_order"))
+    return _features(labeled.join(stats, "customer_id", "left"), ref_date)
+
+
+def _features(joined: DataFrame, ref_date: str) -> DataFrame:
+    filled = joined.na.fill({"total_orders": 0, "avg_order_value": 0.0, "total_spent": 0.0,
+                             "avg_rating_given": 0.0, "return_rate": 0.0, "avg_discount": 0.0})
+    return (filled.withColumn("recency", F.col("days_since_last_order"))
             .withColumn("customer_age_days", floor_days(ref_date, "signup_date")))
 
 
+def labelled_features(customers: DataFrame, orders: DataFrame, ref_date: str, days: int = CHURN_AFTER_DAYS) -> DataFrame:
+    """F2-F6 in one pass over the orders: last order and statistics are one aggregate."""
+    per = (orders.where(F.col("customer_id").isNotNull()).groupBy("customer_id")
+           .agg(F.max("order_date").alias("last_order_date"), *_stats()))
+    return _features(_labelled(customers.join(per, "customer_id", "left"), ref_date, days), ref_date)
+
+
 def impute_features(df: DataFrame, cols: Iterable[str]) -> DataFrame:
     """inf/NaN -> NULL, NULL -> exact column median, still NULL -> 0."""
     cols = list(cols)

@@ -99,7 +99,7 @@ def class_weights(df: DataFrame, label: str, out: str = "weight") -> DataFrame:
     nk = df.select(F.struct(F.count(F.lit(1)).alias("n"), F.countDistinct(label).alias("k"))).scalar()
     n, k = nk.getField("n"), nk.getField("k")
     per = df.groupBy(label).agg(F.count(F.lit(1)).alias("_nc"))
-    return (df.join(F.broadcast(per), label)      # one row per class
+    return (df.join(per, label)      # one row per class; adaptive execution decides how
             .withColumn(out, n.cast("double") / (k * F.col("_nc")))
             .drop("_nc"))
 

@@ -314,8 +314,7 @@ _FEATURES = (_LABELS + ", " + _STATS + ", features AS (SELECT l.customer_id, l.l
 
 
 def _features(spark, d):
-    labeled = churn.churn_labels(_c(spark, d), _o(spark, d), REF)
-    return churn.customer_features(labeled, _o(spark, d), REF).select(
+    return churn.labelled_features(_c(spark, d), _o(spark, d), REF).select(
         "customer_id", "lifetime_value", "churned", "total_orders", "avg_order_value", "total_spent",
         "avg_rating_given", "return_rate", "avg_discount", "recency", "customer_age_days")
 

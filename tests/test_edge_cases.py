@@ -77,6 +77,8 @@ def test_churn_threshold_and_no_orders(spark):
         churn.churn_labels(cust, orders, REF), orders, REF).collect()}
     assert feats["none"].total_orders == 0 and feats["none"].total_spent == 0.0
     assert feats["none"].avg_rating_given == 0.0 and feats["none"].recency == 9999
+    one_pass = churn.labelled_features(cust, orders, REF)
+    assert {r.customer_id: {c: r[c] for c in feats["none"].asDict()} for r in one_pass.collect()} == {k: r.asDict() for k, r in feats.items()}
 
 
 def test_zero_price_margin_is_null(spark):
