@@ -35,12 +35,21 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the document with the least id of each component; documents without words stay."""
+    """Keep the document with the least id of each component; documents without words stay.
+
+    A null text has no words.  A null id stays only where no row of its component has
+    an id; rows that agree in id and text count once; of rows with one id and
+    different texts each is judged by its text.
+    """
     return jaccard_join.representatives(docs.select(*COLUMNS))
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Cut out repeated strings of 200 bytes; a character of which a byte goes is cut whole."""
+    """Cut out repeated strings of 200 bytes; a character of which a byte goes is cut whole.
+
+    No row goes: a text of which nothing is left stays as the empty text.  Null texts stay
+    null, null and repeated ids are kept, and equal long texts lose all that they share.
+    """
     cut = suffix_dedup.remove_repeats(docs.select(*COLUMNS), whole_characters=True)
     text = F.when(F.col("_n_removed") > 0, F.decode("_kept", "UTF-8")).otherwise(F.col("text"))
     return (cut.withColumn("text", text)
@@ -49,18 +58,22 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents that hold a benchmark item."""
+    """Drop documents that hold a benchmark item.
+
+    Rows are judged by their texts alone: a row with a null id goes like others, and a
+    clean row that shares its id with a leaking one stays.  Null and empty texts stay.
+    """
     docs = docs.select(*COLUMNS)
-    held = decontaminate.leaks(docs, table(spark, sf_dir, "benchmark")).select("doc_id").distinct()
-    held = written(held, "pipeline-held")
-    return docs.join(maybe_broadcast(held, held.count(), 16), "doc_id", "left_anti").select(*COLUMNS)
+    named = docs.withColumn("_text_md5", F.md5(F.coalesce("text", F.lit("")).cast("binary")))
+    held = decontaminate.leaks(named, table(spark, sf_dir, "benchmark"), id_col="_text_md5")
+    held = written(held.select(F.col("doc_id").alias("_text_md5")).distinct(), "pipeline-held")
+    return named.join(maybe_broadcast(held, held.count(), 48), "_text_md5", "left_anti").select(*COLUMNS)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pack all that is left into sequences of at most 2,048 ids; documents without text are left out."""
+    """Pack all that is left into sequences of at most 2,048 ids; a document without text is its end id."""
     small_batches(spark)
-    some = docs.filter(F.length(F.coalesce("text", F.lit(""))) > 0)
-    pieces = packing.pack(some, public_tokenizers.path("byte_bpe_50k.json"))
+    pieces = packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
