@@ -53,3 +53,11 @@ def test_leaks_are_judged_by_text(spark, sf, make_docs):
     rows = [(None, f"before {item} after"), (7, f"{item}"), (7, "a clean row of the same id"), (8, None), (9, ""), (10, "clean")]
     kept = cp.benchmark_decontamination(spark, make_docs(rows), sf).collect()
     assert sorted((r.doc_id, r.text or "") for r in kept) == [(7, "a clean row of the same id"), (8, ""), (9, ""), (10, "clean")]
+
+
+def test_every_operator_has_its_query():
+    import __spark_entry__ as entry
+    names = {q.split("_")[0] for q in entry.queries() if q.startswith("op")}
+    assert names == {f"op{n}" for n in range(1, 14)} and "pipeline" in entry.queries()
+    # the other corpus queries are held against plain versions in this folder
+    assert {q for q in entry.oracle_sql() if q.startswith("op")} == {"op1_licenses", "op6_jaccard"}
