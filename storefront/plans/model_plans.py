@@ -197,9 +197,7 @@ def _churn_model(spark, d):
 
 @register("score_customers")
 def _score_customers(spark, d):
-    model, _, const = _churn_fit(spark, d)
-    feats = models._sanitised(_features(spark, d), models.CHURN_FEATURES)
-    return models.score(model, feats, const).select("customer_id", "churned", "churn_probability", "prediction")
+    return _scored(spark, d).select("customer_id", "churned", "churn_probability", "prediction")
 
 
 _TEST_ROWS = "SUM(floor(n * 20 / 100e0 + 0.5e0))"
@@ -267,14 +265,22 @@ def _given(spark, kind):
 
 
 def _scored(spark, d):
-    model, _, const = _churn_fit(spark, d)
-    return models.score(model, models._sanitised(_features(spark, d), models.CHURN_FEATURES), const)
+    """All customers with the fitted model's churn probability, stored once."""
+    def make():
+        ensure_checkpoint_dir(spark)
+        model, _, const = _churn_fit(spark, d)
+        return models.score(model, models._sanitised(_features(spark, d), models.CHURN_FEATURES), const).checkpoint()
+    return kept("scored", spark, d, _FIT_TABLES, make)
 
 
 def _insights_doc(spark, d):
-    """The insight document with the fitted models' churn probabilities and most important features."""
-    o, p, c = _o(spark, d), td.products(spark, d), td.customers(spark, d)
-    return insights.insights(o, p, _scored(spark, d), c, REF, _feature_importance(spark, d), rollup.insight_facts(_r(spark, d), REF))
+    """The insight document with the fitted models' churn probabilities and most important features, stored once."""
+    def make():
+        ensure_checkpoint_dir(spark)
+        o, p, c = _o(spark, d), td.products(spark, d), td.customers(spark, d)
+        return insights.insights(o, p, _scored(spark, d), c, REF, _feature_importance(spark, d),
+                                 rollup.insight_facts(_r(spark, d), REF)).checkpoint()
+    return kept("insights", spark, d, _FIT_TABLES, make)
 
 
 @register("insights")

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from storefront.operators import recommend, vector_index
 from storefront.operators.clean import np_round
 from storefront.plans.catalog import NPROUND, register
+from storefront.plans.derived import kept
 from storefront.plans.views import with_views
 from storefront.session import ensure_checkpoint_dir
 from storefront.sources import testdata as td
@@ -84,7 +85,7 @@ def _knn_embeddings(spark, d):
 def _indexed(spark, d):
     ensure_checkpoint_dir(spark)
     e = td.table(spark, d, "embeddings").select("vec_id", "embedding")
-    index = vector_index.build_index(e, "vec_id", "embedding")
+    index = kept("vector_index", spark, d, ("embeddings",), lambda: vector_index.build_index(e, "vec_id", "embedding"))
     return e, vector_index.search(index, e.where(F.col("vec_id") % 20 == 0), "vec_id", "embedding")
 
 
