@@ -1,5 +1,7 @@
 """The pipeline stage by stage against plain versions of its decisions."""
 
+import re
+
 import duckdb
 from pyspark.sql import functions as F
 
@@ -57,7 +59,7 @@ def test_leaks_are_judged_by_text(spark, sf, make_docs):
 
 def test_every_operator_has_its_query():
     import __spark_entry__ as entry
-    names = {q.split("_")[0] for q in entry.queries() if q.startswith("op")}
+    names = {q.split("_")[0] for q in entry.queries() if re.match(r"op\d", q)}
     assert names == {f"op{n}" for n in range(1, 14)} and "pipeline" in entry.queries()
     # the other corpus queries are held against plain versions in this folder
-    assert {q for q in entry.oracle_sql() if q.startswith("op")} == {"op1_licenses", "op6_jaccard"}
+    assert {q for q in entry.oracle_sql() if re.match(r"op\d", q)} == {"op1_licenses", "op6_jaccard"}
