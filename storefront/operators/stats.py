@@ -13,9 +13,7 @@ quantiles in two passes in all, by the same steps at every size:
    so a hot value is one row) and those of each gap between brackets as one row with
    its least and largest value.  Running counts over these rows locate the ranks.
 
-``group_median`` is the per-group variant used for per-product medians: values
-are first collapsed to (key, value, count), then a window per key walks the
-distinct values, which Spark sorts and spills instead of buffering.
+``group_median`` is the per-group variant used for per-product medians.
 """
 
 from __future__ import annotations
@@ -109,31 +107,24 @@ def group_median(df: DataFrame, key: str, col: str, out: str = "median",
                  accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
     """Exact per-key median (linear interpolation), one row per key.
 
-    Values are first collapsed to (key, value, count).  Keys with fewer than
-    ``accuracy`` values are ranked by a window over their distinct values.  For
-    a bigger (hot) key, a per-key ``percentile_approx`` (partially aggregated,
-    so it is spread over all tasks) brackets the two middle ranks; only the
-    values inside the bracket, O(n / accuracy) of them, are ranked, offset by
-    the count of values below the bracket.  No key's values meet in one task.
+    A per-key ``percentile_approx`` (partially aggregated, so a hot key is spread over
+    all tasks) brackets the two middle ranks, exactly where a key has few values; only
+    the values inside the bracket, O(n / accuracy) of them, are collapsed to (key,
+    value, count) and ranked, offset by the count of values below the bracket.  No
+    key's values meet in one task, and every key takes the same steps.
     """
     vals = df.where(F.col(col).isNotNull()).select(key, F.col(col).cast("double").alias("v"))
     delta = 3.0 / accuracy
     stats = vals.groupBy(key).agg(
         F.count(F.lit(1)).alias("n"),
         F.percentile_approx("v", F.array(F.lit(0.5 - delta), F.lit(0.5 + delta)), F.lit(accuracy)).alias("_b"))
-    big = (F.col("n") >= accuracy)
-    bounds = stats.select(key, "n",
-                          F.when(big, F.element_at("_b", 1)).alias("lo"),
-                          F.when(big, F.element_at("_b", 2)).alias("hi"))
-    joined = vals.join(bounds, key)
-    inside = (F.col("lo").isNull()) | ((F.col("v") >= F.col("lo")) & (F.col("v") <= F.col("hi")))
-    below = (joined.where(F.col("lo").isNotNull() & (F.col("v") < F.col("lo")))
-             .groupBy(key).agg(F.count(F.lit(1)).alias("_below")))
-    counts = (joined.where(inside).groupBy(key, "v", "n").agg(F.count(F.lit(1)).alias("c"))
-              .join(below, key, "left").withColumn("_below", F.coalesce("_below", F.lit(0))))
+    bounds = stats.select(key, "n", F.element_at("_b", 1).alias("lo"), F.element_at("_b", 2).alias("hi"))
+    # one look at the values: those below the bracket are one row of each key, those inside one for each value
+    joined = vals.join(bounds, key).where(F.col("v") <= F.col("hi"))
+    below = F.col("v") < F.col("lo")
+    counts = joined.groupBy(key, "n", F.when(~below, F.col("v")).alias("v")).agg(F.count(F.lit(1)).alias("c"))
     w = Window.partitionBy(key).orderBy("v")
-    ranked = counts.withColumn(
-        "cum", F.sum("c").over(w.rowsBetween(Window.unboundedPreceding, 0)) + F.col("_below"))
+    ranked = counts.withColumn("cum", F.sum("c").over(w.rowsBetween(Window.unboundedPreceding, 0)))
     # 0-based ranks lo = floor((n-1)/2), hi = ceil((n-1)/2); value at rank r is the
     # first distinct value whose running count exceeds r
     lo_r = F.floor((F.col("n") - 1) / 2)
