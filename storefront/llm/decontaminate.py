@@ -27,7 +27,7 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import reduce
+from functools import lru_cache, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -65,8 +65,41 @@ UNITS = ("mm", "cm", "m", "km", "mg", "g", "kg", "t", "ml", "l", "s", "sec", "mi
          "seconds", "days", "day", "weeks", "week", "months", "month", "years", "year", "miles", "mile", "feet", "foot",
          "inches", "inch", "pounds", "pound", "ounces", "dollars", "dollar", "euros", "euro", "cents", "percent",
          "degrees", "meters", "metres", "grams", "liters", "litres", "kilometers", "kilograms")
-PLACEHOLDERS = tv.mix64(np.array([11, 12, 13], dtype=np.uint64))  # number, unit, name
-NUMBER, UNIT, NAME = 1, 2, 3
+#: Numbers in words; "one" and "a" are too often something else.
+NUMBER_WORDS = ("zero", "two", "three", "four", "five", "six", "seven", "eight", "nine", "ten", "eleven", "twelve", "thirteen",
+                "fourteen", "fifteen", "sixteen", "seventeen", "eighteen", "nineteen", "twenty", "thirty", "forty", "fifty",
+                "sixty", "seventy", "eighty", "ninety", "hundred", "thousand", "million", "billion", "dozen")
+PLACEHOLDERS = tv.mix64(np.array([11, 12, 13, 14], dtype=np.uint64))  # number, unit, name, number with its unit
+NUMBER, UNIT, NAME, MEASURE = 1, 2, 3, 4
+#: UTF-8 of currency signs that stand at a number.
+CURRENCIES = ("€", "£", "¥")
+
+
+@lru_cache(maxsize=1)
+def _cases() -> tuple[np.ndarray, np.ndarray]:
+    """Which of the code points under 0x800 (one or two bytes of UTF-8) are capitals and which small letters."""
+    chars = [chr(c) for c in range(0x800)]
+    return np.array([c.isupper() for c in chars]), np.array([c.islower() for c in chars])
+
+
+def _code_point(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Code point (0 from 0x800 on) and number of bytes of the character at each place."""
+    one, two = data[at].astype(np.int64), data[np.minimum(at + 1, len(data) - 1)].astype(np.int64)
+    size = np.select([one < 0x80, one < 0xE0, one < 0xF0], [1, 2, 3], 4)
+    return np.select([size == 1, size == 2], [one, (one & 0x1F) << 6 | two & 0x3F], 0), size
+
+
+def _currency_bytes(data: np.ndarray) -> np.ndarray:
+    """Bytes that belong to a currency sign."""
+    out = np.zeros(len(data), dtype=bool)
+    for sign in CURRENCIES:
+        raw = np.frombuffer(sign.encode(), dtype=np.uint8)
+        at = np.flatnonzero(data[:len(data) - len(raw) + 1] == raw[0]) if len(data) >= len(raw) else np.zeros(0, np.int64)
+        for k in range(1, len(raw)):
+            at = at[data[at + k] == raw[k]]
+        for k in range(len(raw)):
+            out[at + k] = True
+    return out
 
 
 def canonical(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -76,7 +109,7 @@ def canonical(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
         return starts, ends, doc, np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros(0, np.int64)
     low = tv.LOWER[data]
     # bytes that are marks at a word's beginning or end don't count
-    solid = ~tv.SPACE[data] & ~_TRIM[data]
+    solid = ~tv.SPACE[data] & ~_TRIM[data] & ~_currency_bytes(data)
     place = np.arange(len(data))
     first = np.minimum.reduceat(np.where(solid, place, len(data)), starts)
     last = np.maximum.reduceat(np.where(solid, place, -1), starts)
@@ -90,20 +123,36 @@ def canonical(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
     own = tv.span_hashes(values, first) ^ tv.mix64((last - first + 1).astype(np.uint64))
     digits = np.add.reduceat(_DIGIT[data].astype(np.int32) * (values != 0), first)
     numeric = np.add.reduceat((_IN_NUMBER[data] & (values != 0)).astype(np.int32), first)
-    is_number = (digits > 0) & (numeric == last - first + 1)
+    length = last - first + 1
+    is_number = (digits > 0) & (numeric == length) | np.isin(own, _hashes_of(NUMBER_WORDS))
+    # a number with its unit in one word: what follows its last digit is a unit
+    is_measure = np.zeros(len(starts), dtype=bool)
+    some = np.flatnonzero((digits > 0) & (numeric < length) & _DIGIT[data[first]])
+    if len(some):
+        tail = np.maximum.reduceat(np.where(_DIGIT[data] & (values != 0), place, -1), first)[some] + 1
+        inner = np.zeros(len(data) + 1, dtype=np.int8)
+        np.add.at(inner, tail, 1)
+        np.add.at(inner, last[some] + 1, -1)
+        ends_in = tv.span_hashes(np.where(np.cumsum(inner[:-1]) > 0, tv.BYTE_HASH[low], np.uint64(0)), tail)
+        ends_in = ends_in ^ tv.mix64((last[some] + 1 - tail).astype(np.uint64))
+        letters = length[some] - (last[some] + 1 - tail) == numeric[some]
+        is_measure[some] = (tail <= last[some]) & letters & np.isin(ends_in, _hashes_of(UNITS))
     is_unit = np.zeros(len(starts), dtype=bool)
-    is_unit[1:] = is_number[:-1] & (doc[1:] == doc[:-1]) & np.isin(own[1:], _unit_hashes())
-    upper = (data[first] >= 65) & (data[first] <= 90)
-    second = data[np.minimum(first + 1, last)]
+    is_unit[1:] = is_number[:-1] & (doc[1:] == doc[:-1]) & np.isin(own[1:], _hashes_of(UNITS))
+    capital, small = _cases()
+    letter, size = _code_point(data, first)
+    second = np.minimum(first + size, len(data) - 1)
+    longer = first + size <= last
     follows = np.zeros(len(starts), dtype=bool)
     follows[1:] = (doc[1:] == doc[:-1]) & ~_END[data[ends[:-1] - 1]] & (data[np.maximum(starts[1:] - 1, 0)] != 10)
-    is_name = upper & (second >= 97) & follows & ~is_number
-    kind = np.select([is_number, is_unit, is_name], [NUMBER, UNIT, NAME], 0)
+    is_name = capital[letter] & longer & small[_code_point(data, second)[0]] & follows & ~is_number & ~is_measure
+    kind = np.select([is_number, is_measure, is_unit, is_name], [NUMBER, MEASURE, UNIT, NAME], 0)
     return starts, ends, doc, own, np.where(kind > 0, PLACEHOLDERS[np.maximum(kind, 1) - 1], own), kind
 
 
-def _unit_hashes() -> np.ndarray:
-    data = np.frombuffer(" ".join(UNITS).encode(), dtype=np.uint8)
+@lru_cache(maxsize=8)
+def _hashes_of(words: tuple[str, ...]) -> np.ndarray:
+    data = np.frombuffer(" ".join(words).encode(), dtype=np.uint8)
     starts, ends, _ = tv.words(data, np.array([0, len(data)]))
     return tv.word_hashes(data, starts, ends)
 

@@ -40,6 +40,10 @@ class Limits:
     segments: int = 256
     loss_tokens: int = 2048
 
+    def __post_init__(self) -> None:
+        if min(self.tokens, self.segments, self.loss_tokens) < 1:
+            raise ValueError("every limit of a sequence is 1 at least")
+
 
 class Packer:
     """Fills sequences from a pool of examples with the dot-product heuristic.

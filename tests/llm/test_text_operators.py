@@ -1,6 +1,7 @@
 """Operators 1, 2, 3, 5, 7, 8, 9 and 10 on awkward rows and against plain versions."""
 
 import hashlib
+import random
 import zlib
 
 import duckdb
@@ -131,6 +132,59 @@ def test_items_dense_in_numbers_are_met(make_docs, spark):
     assert found(make_docs, spark, rows, items) == [(1, 1), (11, 1), (12, 2), (2, 2), (3, 3), (4, 4), (5, 5)]
 
 
+VARIANTS = [  # item, and the same question with other numbers, units and names
+    ("The old train leaves the station with 240 passengers and travels 5km before Anna joins the long route home",
+     "The old train leaves the station with 317 passengers and travels 12m before Älva joins the long route home"),
+    ("In a small shop a farmer called Ömer sells twenty baskets of fresh red apples for €15 each and keeps the rest",
+     "In a small shop a farmer called Zoë sells forty baskets of fresh red apples for £22 each and keeps the rest"),
+    ("how many bottles of water must be filled when every bottle holds 250ml and the large tank holds seven litres",
+     "how many bottles of water must be filled when every bottle holds 500ml and the large tank holds nine litres"),
+    ("the long river flows past Иван and his house where 3 boats carry 40kg of grain down to the market every day",
+     "the long river flows past Олег and his house where 8 boats carry 95kg of grain down to the market every day"),
+]
+
+
+def test_canonical_words():
+    text = "They paid €5 or £7 and 12km then twenty kilos with Élan, Straße Ωmega 5kmx km5 v2 one day 3 km".encode()
+    data = np.frombuffer(text, np.uint8)
+    starts, ends, *_, kind = decontaminate.canonical(data, np.array([0, len(data)]))
+    got = {text[a:b].decode(): int(k) for a, b, k in zip(starts, ends, kind, strict=True)}
+    n, u, name, m = decontaminate.NUMBER, decontaminate.UNIT, decontaminate.NAME, decontaminate.MEASURE
+    want = {"€5": n, "£7": n, "12km": m, "twenty": n, "Élan,": name, "Straße": name, "Ωmega": name, "3": n, "km": u}
+    assert {w: k for w, k in got.items() if k} == want
+
+
+def test_recall_on_other_numbers_units_and_names(make_docs, spark):
+    rng = random.Random(3)
+    filler = [f"w{i}" for i in range(400)]
+    items, docs, pairs = [], [], VARIANTS
+    for i, (item, other) in enumerate(pairs):
+        items.append((i, item))
+        for text in (item, other):
+            docs.append((len(docs), " ".join(rng.choices(filler, k=60)) + " " + text + " " + " ".join(rng.choices(filler, k=60))))
+    # re-parameterised at random: every number word, number and name replaced one for one
+    names, numbers = ["Åsa", "Bruno", "Çelik", "Dora", "Žofie"], ["three", "eleven", "sixty"]
+    for i in range(60):
+        k = i % len(pairs)
+        words = []
+        for w in pairs[k][0].split():
+            if w[0].isdigit():
+                digits = "".join(c for c in w if c.isdigit())
+                w = str(rng.randrange(2, 900)) + w[len(digits):]
+            elif w.startswith("€"):
+                w = rng.choice("€£¥") + str(rng.randrange(2, 90))
+            elif w in decontaminate.NUMBER_WORDS:
+                w = rng.choice(numbers)
+            elif w[0].isupper() and w not in ("The", "In"):
+                w = rng.choice(names)
+            words.append(w)
+        docs.append((len(docs), " ".join(words)))
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    found = {(r.doc_id, r.item_id) for r in decontaminate.leaks(make_docs(docs), bench).collect()}
+    want = {(2 * k + v, k) for k in range(len(pairs)) for v in (0, 1)} | {(2 * len(pairs) + i, i % len(pairs)) for i in range(60)}
+    assert len(found & want) >= 0.9 * len(want) and not found - want
+
+
 def test_leaks_match_plain_search(spark, sf):
     docs = duckdb.sql(f"select doc_id, text from '{sf}/documents.parquet'").fetchall()
     items = duckdb.sql(f"select item_id, text from '{sf}/benchmark.parquet'").fetchall()
