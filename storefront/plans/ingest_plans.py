@@ -231,3 +231,29 @@ def _reviews_products(spark, d):
     "0e0 AS lifetime_value FROM reviews_c GROUP BY user_id"))
 def _reviews_customers(spark, d):
     return reviews.reviews_customers(td.review_export(spark, d), "row_ord", REF)
+
+
+# an export without categories, with an empty price column and a sub-category: the fallbacks of W11 and W12
+@register("split_products_fallbacks", with_views(
+    f'SELECT "Product ID" AS product_id, {_first("Category")} AS category, {NPROUND("fsum(Sales) / COUNT(Sales)", 9)} AS base_price, '
+    '4.0e0 AS rating, "Product ID" AS product_name, 100 AS stock_quantity FROM wide_c WHERE "Product ID" IS NOT NULL GROUP BY "Product ID"'))
+def _split_products_fallbacks(spark, d):
+    w = td.wide_export(spark, d)
+    poor = w.select("Row ID", "Order ID", "Order Date", "Product ID", F.lit(None).cast("double").alias("Price"), "Sales", "Quantity",
+                    F.col("Category").alias(split.SUBCATEGORY_COLUMN))
+    out = split.split_products(poor, ORD)
+    return out.select("product_id", "category", np_round(F.col("base_price"), 9).alias("base_price"), "rating", "product_name", "stock_quantity")
+
+
+# orders and customers that lack every column with a default
+@register("add_defaults_orders", with_views(
+    "SELECT order_id, line_no, product_id, 3 AS delivery_time_days, 'card' AS payment_method, 0 AS failed_payment_attempts, "
+    "0 AS is_returned, 4 AS customer_rating, 1 AS delivery_delay FROM orders_c"))
+def _add_defaults_orders(spark, d):
+    return clean.add_defaults(td.orders(spark, d).select("order_id", "line_no", "product_id"), "orders")
+
+
+@register("add_defaults_customers", with_views(
+    "SELECT customer_id, lifetime_value, 'Unknown' AS city, 'Unknown' AS age_group FROM customers_c"))
+def _add_defaults_customers(spark, d):
+    return clean.add_defaults(td.customers(spark, d).select("customer_id", "lifetime_value"), "customers")
