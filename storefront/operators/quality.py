@@ -170,7 +170,10 @@ def table_checks(df: DataFrame, table: str) -> DataFrame:
 def observe_checks(df: DataFrame, table: str) -> tuple[DataFrame, Observation]:
     """V3-V6 within another pass: the same rows, and an observation that holds the metrics once they have been written.
 
-    Write the returned frame (an ingest job, say), then call ``observed_checks``.
+    Write the returned frame (an ingest job, say), then call ``observed_checks``.  A session
+    that has observed something can no longer be serialised, and fitted forests carry
+    theirs in their training summary: observe in a session of its own
+    (``spark.newSession()``) where models are scored beside it.
     """
     seen = Observation(f"checks-{table}-{uuid.uuid4().hex}")
     return df.observe(seen, *[c.alias(n) for n, c in _metrics(df, table).items()]), seen

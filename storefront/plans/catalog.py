@@ -106,7 +106,7 @@ def _c(spark, d):
 
 def _r(spark, d) -> rollup.Rollup:
     """The rollup of the order lines, written once for the given files."""
-    return kept("rollup", spark, d, ("lineitem", "orders", "part"), lambda: rollup.build(_o(spark, d)))
+    return kept("rollup", spark, d, ("lineitem", "orders", "part"), lambda: rollup.build(_o(spark, d)), lambda r: r.path)
 
 
 CUT90 = "TIMESTAMP '2001-05-04 00:00:00'"

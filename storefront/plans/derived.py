@@ -23,9 +23,20 @@ def _files(spark: SparkSession, sf_dir: str, tables: tuple[str, ...]) -> tuple:
     return tuple(out)
 
 
-def kept(kind: str, spark: SparkSession, sf_dir: str, tables: tuple[str, ...], make: Callable):
-    """``make()``, or what it gave for the same files in this session; one result of each kind is kept."""
+def kept(kind: str, spark: SparkSession, sf_dir: str, tables: tuple[str, ...], make: Callable,
+         place: Callable[[object], str] | None = None):
+    """``make()``, or what it gave for the same files in this session; one result of each kind is kept.
+
+    ``place`` names the folder that a result lies in: if it is gone, the result is made again.
+    """
     key = (spark.sparkContext.applicationId, _files(spark, sf_dir, tables))
-    if _KEPT.get(kind, (None,))[0] != key:
-        _KEPT[kind] = (key, make())
-    return _KEPT[kind][1]
+    known, result = _KEPT.get(kind, (None, None))
+    if known != key or place is not None and not _exists(spark, place(result)):
+        result = make()
+        _KEPT[kind] = (key, result)
+    return result
+
+
+def _exists(spark: SparkSession, folder: str) -> bool:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from storefront.operators import quality
 from storefront.plans.catalog import XAVG, XSUM, register
 from storefront.plans.views import with_views
-from storefront.session import ensure_checkpoint_dir
+from storefront.session import apply_conf, ensure_checkpoint_dir
 from storefront.sources import testdata as td
 
 
@@ -133,7 +133,7 @@ _ABSENT = (f"SELECT * FROM ({_report_sql()}) r WHERE table_name <> 'customers' A
 @register("dq_report_absent", with_views(_ABSENT))
 def _dq_report_absent(spark, d):
     products = _p(spark, d)
-    passing, seen = quality.observe_checks(products, "products")
+    passing, seen = quality.observe_checks(_p(apply_conf(spark.newSession()), d), "products")
     passing.write.mode("overwrite").parquet(f"{ensure_checkpoint_dir(spark)}/ingest/{uuid.uuid4().hex}")
     return quality.dq_report(_o(spark, d), products, None, {"products": seen})
 

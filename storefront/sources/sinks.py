@@ -30,7 +30,7 @@ def write_days(df: DataFrame, path: str, day: str = "order_date", fmt: str = "pa
     old ones.  Rows without a day have a partition of their own.
     """
     month = F.date_format(day, "yyyyMM").cast("int")
-    (df.withColumn("month", month).repartition("month", F.pmod(F.xxhash64(*df.columns), F.lit(4)))
+    (df.withColumn("month", month).hint("rebalance", F.col("month"))
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("header", True)
      .partitionBy("month").format(fmt).save(path))
 

@@ -274,3 +274,12 @@ def test_high_value_flag_is_strictly_above_quantile(spark):
     flags = {r.customer_id: r.is_high_value for r in clean.high_value_flag(df).collect()}
     # 0.85 quantile of 1..10 = 8.65: only the values 9 and 10 (ids "8", "9") are above it
     assert sorted(k for k, v in flags.items() if v == 1) == ["8", "9"]
+
+
+def test_observed_checks_leave_the_session_usable(spark):
+    """The key that observes an ingest pass must not spoil the scoring of forests in the same session."""
+    from storefront.plans import registry
+    assert registry.queries()["dq_report_absent"](spark, "/root/testdata/sf0.001").count() == 22
+    df = spark.range(40).selectExpr("CAST(id % 2 AS INT) AS churned", "CAST(id AS DOUBLE) AS x", "concat('c', id) AS customer_id")
+    model, _, const = models.fit_churn_model(df, ["x"], params=dict(numTrees=2, maxDepth=2))
+    assert models.score(model, df, const).where("churn_probability between 0 and 1").count() == 40

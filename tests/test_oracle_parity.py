@@ -73,7 +73,7 @@ def test_entry_runs(spark):
 def test_every_query_has_oracle_or_is_a_model():
     rows_only = set(registry.queries()) - set(registry.oracle_sql())
     assert rows_only <= {"sales_model", "feature_importance", "feature_importance_churn", "top_features", "churn_model",
-                         "score_customers", "insights", "insight_cards", "report_sections", "kpi_json"}
+                         "score_customers", "insights", "insight_cards", "report_sections", "kpi_json", "knn_index"}
 
 
 @pytest.mark.skipif(not os.path.exists(SF), reason="test data not present")
