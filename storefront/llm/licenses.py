@@ -9,8 +9,8 @@ counts 1 + log of its count) and joined with the templates' terms.
 Two bounds keep other units out, and lose none: by Cauchy-Schwarz the cosine is at most
 the root of the share of a template's squared weights that lie on terms the unit
 holds.  So a unit must hold one of the *telling* terms of a template, its rare ones
-without which the share is too small (a pattern search), and then terms of enough weight
-(a join of the unit's template terms alone).
+without which the share is too small (a test of its words), and then terms of enough
+weight (a join of the unit's template terms alone).
 
 A file's own licence is its best unit's.  A file that is little else than this unit, or
 is named like a licence file, is the licence file of its directory.  Files without a
@@ -191,18 +191,19 @@ def scan(docs: DataFrame, path: Column, rule: Rule = Rule(), id_col: str = "doc_
     """
     spark = docs.sparkSession
     known = weights([t for _, t in templates], rule.cosine)
-    tells = rf"(?<![a-z0-9])(?:{'|'.join(known.telling)})(?![a-z0-9])"
+    telling, own_terms = F.lit(known.telling), F.lit(sorted(known.idf))
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(path, F.lit("")).alias("path"), text.alias("_t"))
     rows = rows.withColumn("dir", F.when(F.col("path").contains("/"), F.regexp_replace("path", "/[^/]*$", "")).otherwise(F.lit("")))
     # a file is named by its path and text; rows that agree in both have the same licence
     rows = rows.withColumn("key", F.xxhash64("path", "_t"))
     files = rows.select("doc_id", "path", "dir", "key")
-    spoken = (rows.filter(F.lower("_t").rlike(tells)).dropDuplicates(["key"])
-              .select("key", "path", "dir", _words(F.col("_t")).alias("words"), F.posexplode(units(F.col("_t"))).alias("unit", "text"))
-              .filter(F.lower("text").rlike(tells)))
-    own_terms = F.lit(sorted(known.idf))
-    spoken = written(spoken.withColumn("hits", F.array_intersect(_terms(F.col("text")), own_terms)), "licence-units")
+    spoken = (rows.filter(F.arrays_overlap(F.split(F.lower("_t"), TERM_CUT), telling)).dropDuplicates(["key"])
+              .select("key", "path", "dir", "_t", F.posexplode(units(F.col("_t"))).alias("unit", "text"))
+              .withColumn("hits", F.array_intersect(F.split(F.lower("text"), TERM_CUT), own_terms))
+              .filter(F.arrays_overlap("hits", telling))
+              .select("key", "path", "dir", _words(F.col("_t")).alias("words"), "unit", "text", "hits"))
+    spoken = written(spoken, "licence-units")
     # one row for each template and term
     vectors = F.broadcast(spark.createDataFrame(
         [(i, t, w) for i, v in enumerate(known.vectors) for t, w in v.items()], "template int, term string, tw double"))
