@@ -198,11 +198,12 @@ def scan(docs: DataFrame, path: Column, rule: Rule = Rule(), id_col: str = "doc_
     # a file is named by its path and text; rows that agree in both have the same licence
     rows = rows.withColumn("key", F.xxhash64("path", "_t"))
     files = rows.select("doc_id", "path", "dir", "key")
-    spoken = (rows.filter(F.arrays_overlap(F.split(F.lower("_t"), TERM_CUT), telling)).dropDuplicates(["key"])
-              .select("key", "path", "dir", "_t", F.posexplode(units(F.col("_t"))).alias("unit", "text"))
-              .withColumn("hits", F.array_intersect(F.split(F.lower("text"), TERM_CUT), own_terms))
-              .filter(F.arrays_overlap("hits", telling))
-              .select("key", "path", "dir", _words(F.col("_t")).alias("words"), "unit", "text", "hits"))
+    spoken = (rows.filter(F.arrays_overlap(F.split(F.lower("_t"), TERM_CUT), telling))
+              # words and units stand before the generator, so that no unit carries its file's text
+              .select("key", "path", "dir", _words(F.col("_t")).alias("words"), units(F.col("_t")).alias("units"))
+              .select("key", "path", "dir", "words", F.posexplode("units").alias("unit", "text"))
+              .filter(F.arrays_overlap(F.split(F.lower("text"), TERM_CUT), telling)).dropDuplicates(["key", "unit"])
+              .withColumn("hits", F.array_intersect(F.split(F.lower("text"), TERM_CUT), own_terms)))
     spoken = written(spoken, "licence-units")
     # one row for each template and term
     vectors = F.broadcast(spark.createDataFrame(
