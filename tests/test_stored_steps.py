@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from storefront.operators import churn, models
+from storefront.operators import churn, insights, models, reports, rollup
+from storefront.sources import testdata as td
 
 
 def _plan(df) -> str:
@@ -25,3 +26,17 @@ def test_models_read_stored_rows(spark):
     people = spark.range(200).selectExpr("id AS customer_id", "CAST(id % 2 AS INT) AS churned", "id % 5 * 1.0D AS x")
     _, test, _ = models.fit_churn_model(people, ["x"], params=dict(numTrees=2, maxDepth=2))
     assert test.inputFiles() and test.count() == 40
+
+
+def _rows(df):
+    cols = sorted(df.columns)
+    return sorted((tuple(round(v, 6) if isinstance(v, float) else v for v in (r[c] for c in cols)) for r in df.collect()), key=repr)
+
+
+def test_rollup_of_days_alone(spark):
+    """Reports by day, category, discount or delay need no cells by product, which are wider than the lines."""
+    o = td.orders(spark, "/root/testdata/sf0.001")
+    r = rollup.build(o, tables=("days",))
+    assert r.cells is None and "product_id" not in r.days.columns
+    assert _rows(rollup.daily_revenue(r)) == _rows(reports.daily_revenue(o))
+    assert _rows(rollup.insight_facts(r, td.REF_DATE, o)) == _rows(insights.insight_facts(o, td.REF_DATE))
