@@ -2,15 +2,16 @@
 
 The units of a file are its lines, its blocks of lines (between blank lines, so a header
 or a paragraph that wraps over lines) and the file as a whole.  Units are compared with
-templates by sparse TF-IDF cosine: terms are exploded, weighted with document
+templates by sparse TF-IDF cosine: terms are sorted and counted, weighted with document
 frequencies of the templates (a term of none has the largest weight; a repeated term
-counts 1 + log of its count) and joined with the templates' terms.
+counts 1 + log of its count) and looked up among the templates' terms.
 
 Two bounds keep other units out, and lose none: by Cauchy-Schwarz the cosine is at most
 the root of the share of a template's squared weights that lie on terms the unit
 holds.  So a unit must hold one of the *telling* terms of a template, its rare ones
 without which the share is too small (a test of its words), and then terms of enough
-weight (a join of the unit's template terms alone).
+weight.  All of a unit's terms stand in one row, so its cosines are expressions on that
+row; what is shuffled and written are keys, numbers and licence names.
 
 A file's own licence is its best unit's.  A file that is little else than this unit, or
 is named like a licence file, is the licence file of its directory.  Files without a
@@ -179,6 +180,66 @@ def units(text: Column) -> Column:
     return F.concat(F.split(text, "\n"), blocks, F.when(text.contains("\n"), F.array(text)).otherwise(F.array().cast("array<string>")))
 
 
+def _let(value: Column, body) -> Column:
+    """``body`` of a value that is worked out once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _by_term(values: dict[str, float]) -> Column:
+    return F.create_map(*[F.lit(x) for pair in values.items() for x in pair])
+
+
+def _least(vector: dict[str, float], bound: float) -> int:
+    """Fewest of a template's terms whose squared weights can reach ``bound``: units with fewer need no sums."""
+    share = 0.0
+    for n, w in enumerate(sorted(vector.values(), reverse=True), start=1):
+        share += w * w
+        if share >= bound - 1e-9:
+            return n
+    return len(vector)
+
+
+def _best(terms: Column, known: Weights, names: Sequence[str], cosine: float) -> Column:
+    """A unit's best licence as (minus its cosine, licence), NULL if none reaches ``cosine``; equal cosines: the lesser name."""
+    own, idf = F.lit(sorted(known.idf)), _by_term(known.idf)
+    bound = cosine ** 2 - 1e-6
+    vectors = F.array(*[F.struct(F.lit(n).alias("licence"), F.lit(list(v)).alias("terms"), F.lit(_least(v, bound)).alias("least"),
+                                 _by_term(v).alias("tw"), _by_term({t: w * w for t, w in v.items()}).alias("squares"))
+                        for n, v in zip(names, known.vectors)])
+    unknown = known.unknown
+
+    def total(items: Column, term) -> Column:
+        return F.aggregate(items, F.lit(0.0), lambda at, x: at + term(x))
+
+    def within_reach(hits: Column) -> Column:
+        # the bound: templates of whose squared weights the unit holds enough
+        return F.filter(vectors, lambda v: (F.size(F.array_intersect(hits, v["terms"])) >= v["least"])
+                        & (total(hits, lambda h: F.coalesce(v["squares"][h], F.lit(0.0))) >= bound))
+
+    def counted(s: Column) -> Column:
+        # the runs of equal terms in sorted ones: (term, 1 + log of its count)
+        first = F.filter(F.sequence(F.lit(0), F.size(s) - 1), lambda i: (i == 0) | (F.get(s, i) != F.get(s, i - 1)))
+        return _let(first, lambda f: F.transform(f, lambda at, k: F.struct(
+            F.get(s, at).alias("term"), (1 + F.log(F.coalesce(F.get(f, k + 1), F.size(s)) - at)).alias("tf"))))
+
+    def judged(runs: Column, hits: Column, near: Column) -> Column:
+        held = _let(F.map_from_entries(runs), lambda m: F.transform(hits, lambda h: F.struct(
+            h.alias("term"), m[h].alias("tf"), idf[h].alias("idf"))))
+        return _let(held, lambda ks: _let(
+            F.sqrt(total(runs, lambda r: r["tf"] * r["tf"]) * unknown ** 2
+                   + total(ks, lambda k: k["tf"] * k["tf"] * (k["idf"] * k["idf"] - unknown ** 2))),
+            lambda norm: F.transform(near, lambda v: F.struct(
+                (-F.round(total(ks, lambda k: k["tf"] * k["idf"] * F.coalesce(v["tw"][k["term"]], F.lit(0.0))) / norm, 6)).alias("c"),
+                v["licence"].alias("licence")))))
+
+    def unit(ts: Column) -> Column:
+        return _let(F.array_intersect(ts, own), lambda hits: _let(within_reach(hits), lambda near: F.when(
+            F.size(near) > 0, _let(F.array_sort(ts), lambda s: _let(counted(s), lambda runs: F.array_min(
+                F.filter(judged(runs, hits, near), lambda x: x["c"] <= -cosine)))))))
+
+    return _let(terms, unit)
+
+
 def scan(docs: DataFrame, path: Column, rule: Rule = Rule(), id_col: str = "doc_id", text_col: str = "text",
          templates: Sequence[tuple[str, str]] = TEMPLATES) -> DataFrame:
     """One row for each file: ``doc_id, path, licence, origin, cosine, origin_dir``.
@@ -191,37 +252,25 @@ def scan(docs: DataFrame, path: Column, rule: Rule = Rule(), id_col: str = "doc_
     """
     spark = docs.sparkSession
     known = weights([t for _, t in templates], rule.cosine)
-    telling, own_terms = F.lit(known.telling), F.lit(sorted(known.idf))
+    telling = F.lit(known.telling)
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(path, F.lit("")).alias("path"), text.alias("_t"))
     rows = rows.withColumn("dir", F.when(F.col("path").contains("/"), F.regexp_replace("path", "/[^/]*$", "")).otherwise(F.lit("")))
     # a file is named by its path and text; rows that agree in both have the same licence
     rows = rows.withColumn("key", F.xxhash64("path", "_t"))
     files = rows.select("doc_id", "path", "dir", "key")
-    spoken = (rows.filter(F.arrays_overlap(F.split(F.lower("_t"), TERM_CUT), telling))
-              # words and units stand before the generator, so that no unit carries its file's text
-              .select("key", "path", "dir", _words(F.col("_t")).alias("words"), units(F.col("_t")).alias("units"))
-              .select("key", "path", "dir", "words", F.posexplode("units").alias("unit", "text"))
-              .filter(F.arrays_overlap(F.split(F.lower("text"), TERM_CUT), telling)).dropDuplicates(["key", "unit"])
-              .withColumn("hits", F.array_intersect(F.split(F.lower("text"), TERM_CUT), own_terms)))
-    spoken = written(spoken, "licence-units")
-    # one row for each template and term
-    vectors = F.broadcast(spark.createDataFrame(
-        [(i, t, w) for i, v in enumerate(known.vectors) for t, w in v.items()], "template int, term string, tw double"))
-    near = (spoken.select("key", "unit", F.explode("hits").alias("term")).join(vectors, "term").groupBy("key", "unit", "template")
-            .agg(F.sum(F.col("tw") * F.col("tw")).alias("share")).filter(F.col("share") >= rule.cosine ** 2 - 1e-6)
-            .select("key", "unit").distinct())
-    near = spoken.drop("hits").join(near, ["key", "unit"])
-    near = written(near.withColumn("unit_words", _words(F.col("text"))), "licence-near")
-    idf = F.broadcast(spark.createDataFrame(list(known.idf.items()), "term string, idf double"))
-    tf = near.select("key", "unit", F.explode(_terms(F.col("text"))).alias("term")).groupBy("key", "unit", "term").agg(F.count("*").alias("tf"))
-    weighted = tf.join(idf, "term", "left").withColumn("w", (1 + F.log("tf")) * F.coalesce("idf", F.lit(known.unknown)))
-    norms = weighted.groupBy("key", "unit").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
-    dots = weighted.join(vectors, "term").groupBy("key", "unit", "template").agg(F.sum(F.col("w") * F.col("tw")).alias("dot"))
-    names = F.broadcast(spark.createDataFrame([(i, n) for i, (n, _) in enumerate(templates)], "template int, licence string"))
-    cosines = dots.join(norms, ["key", "unit"]).withColumn("cosine", F.round(F.col("dot") / F.col("norm"), 6))
-    best = (cosines.filter(F.col("cosine") >= rule.cosine).join(names, "template")
-            .groupBy("key").agg(F.min(F.struct((-F.col("cosine")).alias("c"), "licence", "unit")).alias("best")))
+    # a unit is judged in the row that holds it: no text is shuffled or written
+    units_of = (rows.filter(F.arrays_overlap(F.split(F.lower("_t"), TERM_CUT), telling))
+                # words and units stand before the generator, so that no unit carries its file's text
+                .select("key", "path", "dir", _words(F.col("_t")).alias("words"), units(F.col("_t")).alias("units"))
+                .select("key", "path", "dir", "words", F.posexplode("units").alias("unit", "text"))
+                .filter(F.arrays_overlap(F.split(F.lower("text"), TERM_CUT), telling)))
+    judged = units_of.select("key", "path", "dir", "words", "unit", _words(F.col("text")).alias("unit_words"),
+                             _best(_terms(F.col("text")), known, [n for n, _ in templates], rule.cosine).alias("found"))
+    # filtered after it is written: a filter before would be pushed below and judge each unit twice; equal files have equal units
+    near = written(judged, "licence-units").filter(F.col("found").isNotNull())
+    best = near.groupBy("key").agg(F.min(F.struct(F.col("found.c").alias("c"), F.col("found.licence").alias("licence"), "unit")).alias("best"))
+    near = near.dropDuplicates(["key", "unit"])
     own = near.join(best, "key").filter("unit = best.unit").select(
         "key", "path", "dir", "words", F.col("best.licence").alias("own"), (-F.col("best.c")).alias("own_cosine"),
         F.col("unit_words").alias("line_words"))
