@@ -9,15 +9,17 @@ back to the driver) instead of one pass per check.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from storefront.functions.dates import days_between
-from storefront.functions.numeric import exact_avg, exact_sum
+from storefront.functions.numeric import exact_avg, exact_sum, exact_value
 from storefront.operators.mapping import (SPLIT_CUSTOMER_ALIASES, SPLIT_ORDER_ALIASES,
                                           SPLIT_PRODUCT_ALIASES, resolve_columns)
 from storefront.operators.rows import dense_row_index, first_non_null
-from storefront.session import ensure_checkpoint_dir
+from storefront.session import stored
 
 # Defaults of the splitter.
 DEFAULT_DELIVERY_DAYS = 3
@@ -28,6 +30,8 @@ DEFAULT_LTV = 5000.0
 DEFAULT_SIGNUP = "2020-01-01"
 ROW_ID_COLUMN = "Row.ID"
 ROW_NUMBER = "_row_number"
+#: A profile under which no key is made and no discount is told apart: for tables that show neither.
+_AS_GIVEN: dict = {"count": None, "keyed": None, "max_discount": None}
 SUBCATEGORY_COLUMN = "Sub. CategYear"
 PAYMENT_COLUMN = "Payment Method"
 
@@ -62,6 +66,8 @@ def profile(df: DataFrame) -> dict:
 
 def _surrogates(df: DataFrame, prof: dict) -> list[str]:
     """The keys that are absent or entirely null."""
+    if prof is _AS_GIVEN:
+        return []
     hits = resolve_columns(df.columns, SPLIT_ORDER_ALIASES, "contains")
     return [k for k in ("order_id", "customer_id", "product_id") if k not in hits or prof["count"][hits[k]] == 0]
 
@@ -78,14 +84,15 @@ def number_rows(df: DataFrame, order_col: str | None, prof: dict) -> DataFrame:
 def split_wide(df: DataFrame, order_col: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Orders, products and customers of one export, with the same keys in all three.
 
-    The export is profiled once; made-up keys are numbered once and written to the
-    checkpoint folder, so the three tables agree on them.
+    The export is stored once, as what leads to it would be worked out again for the
+    profile, the ranges and the numbers, and profiled once; made-up keys are numbered once
+    and written to the checkpoint folder, so the three tables agree on them.
     """
+    df = stored(df, "split-export")
     prof = profile(df)
     numbered = number_rows(df, order_col, prof)
     if numbered is not df:
-        ensure_checkpoint_dir(df.sparkSession)
-        numbered = numbered.checkpoint()
+        numbered = stored(numbered, "split-numbered")
     return (split_orders(numbered, order_col, prof=prof).drop("_ord"), split_products(numbered, order_col, prof),
             split_customers(numbered, order_col, prof))
 
@@ -144,33 +151,60 @@ def split_orders(df: DataFrame, order_col: str | None = None, carry: dict | None
     return df.select(*sel)
 
 
+def _of_each(df: DataFrame, order_col: str, prof: dict | None, key: str, table: str, aliases: dict, totals: dict,
+             more: dict | None = None) -> tuple[DataFrame, Callable[[str], bool]]:
+    """One row per ``key``: the first non-null attribute values and ``totals`` (aggregates by name); and
+    a function that tells whether an attribute is absent or entirely null.
+
+    The export is read once: its rows are grouped once, the groups are stored, and what
+    the profile tells is added up from them.  A group's first row has the first values of
+    all attributes that are not null there; only where one is null and a later row has it
+    are the rows read again.  A key that is made from row numbers is one row's own, so
+    nothing is grouped.
+    """
+    hits = resolve_columns(df.columns, aliases, "contains")
+    okeys = resolve_columns(df.columns, SPLIT_ORDER_ALIASES, "contains")
+    carried = {**{f"_a_{std}": src for std, src in hits.items()}, **(more or {})}
+    attributes = [f"_a_{std}" for std in hits] + list(more or {})
+
+    def out(c):
+        return c.removeprefix("_a_")
+
+    if key in okeys and (prof is None or prof["count"][okeys[key]] > 0):
+        joined = split_orders(df, order_col, carried, _AS_GIVEN)
+        value = [F.count(c).alias(f"_n{i}") for i, c in enumerate(attributes)]
+        ordered = [F.count(F.when(F.col("_ord").isNotNull(), F.col(c))).alias(f"_o{i}") for i, c in enumerate(attributes)]
+        first = [F.min_by(F.struct(*attributes), "_ord").alias("_first")] if attributes else []
+        joined = joined.where(F.col(key).isNotNull())
+        per = stored(joined.groupBy(key).agg(*first, *value, *ordered, *[t(joined).alias(n) for n, t in totals.items()]),
+                     f"split-{table}")
+        got = per.agg(F.count(key).alias("keys"), *[F.sum(f"_n{i}").alias(f"k{i}") for i in range(len(attributes))],
+                      *[F.count_if(F.col(f"_first.{c}").isNull() & (F.col(f"_o{i}") > 0)).alias(f"l{i}")
+                        for i, c in enumerate(attributes)]).first()
+        if got["keys"]:
+            later = [c for i, c in enumerate(attributes) if got[f"l{i}"]]
+            rows = per.select(key, *[F.col(f"_first.{c}").alias(c) for c in attributes], *totals)
+            if later:
+                again = joined.groupBy(key).agg(*[first_non_null(F.col(c), "_ord").alias(c) for c in later])
+                rows = rows.drop(*later).join(again, key, "left")
+            known = {c: got[f"k{i}"] or 0 for i, c in enumerate(attributes)}
+            return (rows.select(key, *[F.col(c).alias(out(c)) for c in attributes], *totals),
+                    lambda std: not known.get(f"_a_{std}"))
+    prof = profile(df) if prof is None else prof
+    joined = split_orders(number_rows(df, order_col, prof), order_col, carried, prof)
+    rows = joined.select(key, *[F.when(F.col("_ord").isNotNull(), F.col(c)).alias(out(c)) for c in attributes],
+                         *[t(joined, True).alias(n) for n, t in totals.items()])
+    return rows, lambda std: std not in hits or prof["count"][hits[std]] == 0
+
+
 def split_products(df: DataFrame, order_col: str, prof: dict | None = None) -> DataFrame:
     """One row per product with first non-null attributes and defaults."""
-    hits = resolve_columns(df.columns, SPLIT_PRODUCT_ALIASES, "contains")
     okeys = resolve_columns(df.columns, SPLIT_ORDER_ALIASES, "contains")
-    prof = profile(df) if prof is None else prof
-    df = number_rows(df, order_col, prof)
-    joined = split_orders(df, order_col, {f"_a_{std}": src for std, src in hits.items()}, prof)
-
-    def empty(std):
-        src = hits.get(std)
-        if src is None:
-            return True
-        if okeys.get("product_id") and prof["count"][okeys["product_id"]] > 0:
-            return prof["keyed"][("product", src)] == 0
-        return prof["count"][src] == 0
-    aggs = [first_non_null(F.col(f"_a_{std}"), "_ord").alias(std) for std in hits]
-    if "sales" in joined.columns:
-        aggs.append(exact_avg("sales").alias("_mean_sales"))
-    prods = joined.where(F.col("product_id").isNotNull()).groupBy("product_id").agg(
-        *(aggs or [F.count(F.lit(1)).alias("_n")]))
+    totals = {"_mean_sales": _mean_sales} if "sales" in okeys else {}
+    more = {"_subcat": SUBCATEGORY_COLUMN} if SUBCATEGORY_COLUMN in df.columns else {}
+    prods, empty = _of_each(df, order_col, prof, "product_id", "products", SPLIT_PRODUCT_ALIASES, totals, more)
     if empty("category"):
-        if SUBCATEGORY_COLUMN in df.columns:
-            sub = (split_orders(df, order_col, {"_sub": SUBCATEGORY_COLUMN}, prof)
-                   .groupBy("product_id").agg(first_non_null(F.col("_sub"), "_ord").alias("_subcat")))
-            prods = prods.join(sub, "product_id", "left").withColumn("category", F.col("_subcat"))
-        else:
-            prods = prods.withColumn("category", F.lit("General"))
+        prods = prods.withColumn("category", F.col("_subcat") if more else F.lit("General"))
     if empty("base_price"):
         prods = prods.withColumn("base_price", F.col("_mean_sales") if "_mean_sales" in prods.columns
                                  else F.lit(DEFAULT_BASE_PRICE))
@@ -186,24 +220,29 @@ def split_products(df: DataFrame, order_col: str, prof: dict | None = None) -> D
 
 def split_customers(df: DataFrame, order_col: str, prof: dict | None = None) -> DataFrame:
     """One row per customer: first location attributes, LTV, signup date."""
-    hits = resolve_columns(df.columns, SPLIT_CUSTOMER_ALIASES, "contains")
-    okeys = resolve_columns(df.columns, SPLIT_ORDER_ALIASES, "contains")
-    prof = profile(df) if prof is None else prof
-    df = number_rows(df, order_col, prof)
-    joined = split_orders(df, order_col, {f"_a_{std}": src for std, src in hits.items()}, prof)
-    aggs = [first_non_null(F.col(f"_a_{std}"), "_ord").alias(std) for std in hits]
-    aggs.append((exact_sum("sales") if "sales" in joined.columns else F.lit(DEFAULT_LTV)).alias("lifetime_value"))
-    aggs.append((F.min("order_date") if "order_date" in joined.columns
-                 else F.lit(DEFAULT_SIGNUP).cast("timestamp")).alias("signup_date"))
-    cust = joined.where(F.col("customer_id").isNotNull()).groupBy("customer_id").agg(*aggs)
-    city_src = hits.get("city")
-    city_empty = city_src is None or (
-        prof["keyed"][("customer", city_src)] == 0 if okeys.get("customer_id") and
-        prof["count"][okeys["customer_id"]] > 0 else prof["count"][city_src] == 0)
-    if city_empty:
+    totals = {"lifetime_value": _lifetime_value, "signup_date": _signup_date}
+    cust, empty = _of_each(df, order_col, prof, "customer_id", "customers", SPLIT_CUSTOMER_ALIASES, totals)
+    if empty("city"):
         cust = cust.withColumn("city", F.lit("Unknown"))
     cust = cust.withColumn("lifetime_value", F.col("lifetime_value").cast("double"))
     cust = cust.withColumn("age_group", F.lit("Unknown"))
     keep = ["customer_id"] + [c for c in ("city", "region", "country", "state", "segment") if c in cust.columns] \
         + ["lifetime_value", "signup_date", "age_group"]
     return cust.select(*keep)
+
+
+def _mean_sales(joined: DataFrame, single: bool = False):
+    """Mean of a group's sales, or of one row's own."""
+    return exact_value("sales") if single else exact_avg("sales")
+
+
+def _lifetime_value(joined: DataFrame, single: bool = False):
+    if "sales" not in joined.columns:
+        return F.lit(DEFAULT_LTV)
+    return exact_value("sales") if single else exact_sum("sales")
+
+
+def _signup_date(joined: DataFrame, single: bool = False):
+    if "order_date" not in joined.columns:
+        return F.lit(DEFAULT_SIGNUP).cast("timestamp")
+    return F.col("order_date") if single else F.min("order_date")
