@@ -81,9 +81,11 @@ def ingest_csv(spark: SparkSession, path: str, staging: str, schema: T.StructTyp
     full = T.StructType([*schema.fields, T.StructField(BAD_LINE, T.StringType())])
     lines = (spark.read.schema(full).option("header", header).option("mode", "PERMISSIVE").option("columnPruning", False)
              .option("enforceSchema", True).option("columnNameOfCorruptRecord", BAD_LINE).csv(path))
-    lines = lines.select("*", F.col("_metadata.file_path").alias("_file"), F.col(BAD_LINE).isNotNull().alias("_bad"))
-    lines.write.mode("overwrite").partitionBy("_bad").parquet(staging)
-    back = spark.read.schema(T.StructType([*lines.schema.fields])).parquet(staging)
+    bad = F.col(BAD_LINE).isNotNull()
+    lines = lines.select("*", F.when(bad, F.col("_metadata.file_path")).alias("_file"), bad.alias("_bad"))
+    # rows are written as they come: folders for good and bad ones would have each task sort all its rows first
+    lines.write.mode("overwrite").parquet(staging)
+    back = spark.read.schema(lines.schema).parquet(staging)
     floats = [f.name for f in schema.fields if f.dataType.typeName() in ("double", "float")]
     good = back.where(~F.col("_bad")).select(*[(nan_to_null(F.col(f"`{f.name}`")).alias(f.name) if f.name in floats else F.col(f"`{f.name}`"))
                                                for f in schema.fields])
