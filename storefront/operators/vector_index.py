@@ -38,6 +38,9 @@ FIT_ROWS, TUNE_ROWS = 64, 256
 #: Centres lie on the driver and travel with tasks: beyond the square of this many rows cells grow instead.
 MOST_CELLS = 1 << 14
 FIT_ROUNDS = 8
+#: Entries of a matrix of rows and centres, and rows of an answer to one batch: both bound a worker's memory, whatever
+#: the number of cells and of visited ones.
+MOST_ENTRIES, MOST_VISITS = 1 << 20, 1 << 14
 
 
 @dataclass(frozen=True)
@@ -77,11 +80,13 @@ def _matrix(column, dims: int) -> np.ndarray:
 
 
 def _nearest_cells(x: np.ndarray, centres: np.ndarray, k: int) -> np.ndarray:
-    """The k nearest centres of each row, nearest first."""
-    far = (centres * centres).sum(axis=1) - 2.0 * (x @ centres.T)
-    if k == 1:
-        return far.argmin(axis=1)[:, None]
-    return np.argsort(far, axis=1, kind="stable")[:, :k]
+    """The k nearest centres of each row, nearest first; few rows meet all centres at once."""
+    out = np.empty((len(x), k), np.int64)
+    size, most = (centres * centres).sum(axis=1), max(1, MOST_ENTRIES // len(centres))
+    for at in range(0, len(x), most):
+        far = size - 2.0 * (x[at:at + most] @ centres.T)
+        out[at:at + most] = far.argmin(axis=1)[:, None] if k == 1 else np.argsort(far, axis=1, kind="stable")[:, :k]
+    return out
 
 
 def _packed(rows: DataFrame, keys: list[str], dims: int, most: int) -> DataFrame:
@@ -254,16 +259,20 @@ def search(index: VectorIndex, queries: DataFrame, id_col: str, vec_col: str, to
     visited = min(probes or index.probes, len(centres))
 
     def visits(batches):
-        for batch in batches:
+        some = max(1, MOST_VISITS // visited)
+        for batch in (b.slice(at, some) for b in batches for at in range(0, b.num_rows, some)):
             near = _nearest_cells(_matrix(batch.column("v"), dims), centres, visited)
             times = parts[near]
             row = np.repeat(np.arange(batch.num_rows), times.sum(axis=1))
             cell = np.repeat(near.ravel(), times.ravel())
             begin = np.cumsum(times.ravel()) - times.ravel()
             part = np.arange(len(cell)) - np.repeat(begin, times.ravel())
-            take = pa.array(row)
-            yield pa.RecordBatch.from_arrays([pa.array(cell, pa.int32()), pa.array(part, pa.int32()), batch.column("id").take(take),
-                                              batch.column("v").take(take)], names=["cell", "part", "id", "v"])
+            for at in range(0, len(row), MOST_VISITS):  # a cell may have many parts
+                to = slice(at, at + MOST_VISITS)
+                take = pa.array(row[to])
+                yield pa.RecordBatch.from_arrays([pa.array(cell[to], pa.int32()), pa.array(part[to], pa.int32()),
+                                                  batch.column("id").take(take), batch.column("v").take(take)],
+                                                 names=["cell", "part", "id", "v"])
 
     asked = unit_rows(queries, id_col, vec_col).mapInArrow(visits, "cell int, part int, id long, v array<double>").checkpoint()
     # queries that visit one cell are dealt into blocks' worth of shares
