@@ -28,6 +28,31 @@ def test_models_read_stored_rows(spark):
     assert test.inputFiles() and test.count() == 40
 
 
+def test_rows_of_a_fit_are_dealt_evenly(spark, monkeypatch):
+    """Stored rows of a small file come back as one part: each pass of a fit would run in one task."""
+    parts = []
+
+    class Seen(models.Pipeline):
+        def fit(self, df, params=None):
+            parts.append(df.rdd.mapPartitions(lambda rows: [sum(1 for _ in rows)]).collect())
+            return super().fit(df)
+
+    monkeypatch.setattr(models, "Pipeline", Seen)
+    monkeypatch.setattr(models, "BOOSTED_ROWS", 100, raising=False)
+    monkeypatch.setattr(models, "FOREST_ROWS", 100, raising=False)
+    rows = spark.range(2000).selectExpr("id AS order_id", "id % 7 * 1.5D AS order_value", "id % 5 * 1.0D AS x").coalesce(1)
+    model, test = models.fit_sales_model(rows, ["x"], params=dict(maxIter=2, maxDepth=2))
+    models.cross_val_r2(rows, ["x"], folds=2, params=dict(maxIter=2, maxDepth=2))
+    people = rows.selectExpr("order_id AS customer_id", "CAST(order_id % 2 AS INT) AS churned", "x")
+    models.fit_churn_model(people, ["x"], params=dict(numTrees=2, maxDepth=2))
+    assert len(parts) == 4
+    for p in parts:      # the session has four cores
+        assert len(p) == 4 and max(p) < 1.2 * min(p)
+    assert sum(parts[0]) + test.count() == 2000
+    few = rows.limit(150)
+    assert models.spread(few, 100) is few
+
+
 def _rows(df):
     cols = sorted(df.columns)
     return sorted((tuple(round(v, 6) if isinstance(v, float) else v for v in (r[c] for c in cols)) for r in df.collect()), key=repr)
