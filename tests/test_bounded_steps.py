@@ -32,3 +32,37 @@ def test_nearest_cells_hold_few_rows_at_once():
     some = x[::997]
     far = ((some[:, None, :] - centres[None]) ** 2).sum(axis=2)
     assert (near[::997] == np.argsort(far, axis=1, kind="stable")[:, :3]).all()
+
+
+def test_products_meet_few_others_of_their_category(spark, monkeypatch):
+    """Products with vectors of their own: most are answered by the first cells, which hold one category each, and exactly."""
+    import math
+
+    from storefront.operators import recommend
+
+    rows = [(i, ["a", "b", None][i % 3], 900.0 + (i * 7919 % 1201) * 0.91, None if i % 11 == 0 else 2.5 + i % 50 / 20) for i in range(900)]
+    rounds, near = [], recommend._nearest
+
+    def seen(queries, points, width, k, *apart):
+        rounds.append((queries.count(), *apart))
+        return near(queries, points, width, k, *apart)
+
+    monkeypatch.setattr(recommend, "_nearest", seen)
+    products = spark.createDataFrame(rows, "product_id int, category string, base_price double, rating double")
+    got = {}
+    for r in recommend.knn_products(products).orderBy("source_id", "rank").collect():
+        got.setdefault(r.source_id, []).append((r.product_id, round(r.similarity, 9)))
+    vectors = [(i, c, math.log1p(p), 4.0 if r is None else r) for i, c, p, r in rows]
+    norms = [math.sqrt(p * p + r * r + 1) for _, _, p, r in vectors]
+    for i, c, p, r in vectors:
+        best = sorted((-round((p * q + r * s + (c == d)) / (norms[i] * norms[j]), 12), j) for j, d, q, s in vectors if j != i)[:5]
+        assert got[i] == [(j, round(-o, 9)) for o, j in best]
+    assert rounds[0] == (900, True) and sum(n for n, *_ in rounds) < 3 * 900
+
+
+def test_neighbours_of_no_and_of_one_product(spark):
+    from storefront.operators import recommend
+
+    none = spark.createDataFrame([], "product_id int, category string, base_price double, rating double")
+    one = spark.createDataFrame([(1, None, None, None)], none.schema)
+    assert recommend.knn_products(none).count() == 0 and recommend.knn_products(one).count() == 0
